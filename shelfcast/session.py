@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -50,12 +51,14 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
     return spark.sparkContext.getCheckpointDir()
 
 
-def ensure_checkpoint_dir(spark: SparkSession, fallback: str) -> str:
-    """Use the session's checkpoint folder; set ``fallback`` only when unset
-    (local tests). Never used to override a cluster setting."""
+def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
+    """Use the session's checkpoint folder; only when it is unset (local runs
+    and tests) set a fresh scratch folder. Never overrides a cluster setting."""
     current = checkpoint_dir(spark)
     if current:
         return current
+    if fallback is None:
+        fallback = tempfile.mkdtemp(prefix="shelfcast-ckpt-")
     os.makedirs(fallback, exist_ok=True)
     spark.sparkContext.setCheckpointDir(fallback)
     spark.conf.set("spark.checkpoint.dir", fallback)

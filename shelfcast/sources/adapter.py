@@ -12,7 +12,7 @@ Mapping (one row per store-day-family is an *observed* sale):
   test          held-out days x train stores x train families; onpromotion from
                 the actuals or 0 (actual sales kept aside in ``test_actuals``)
   stores        nation x region
-  oil           orders per weekday: average order price in thousands (cents),
+  oil           orders per weekday: average order price in thousands (whole),
                 missing on the 13th of each month
   transactions  distinct orders per (ship date, supplier nation), sparse
   holidays      generated from the distinct order dates (national, regional,
@@ -23,6 +23,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -161,8 +162,10 @@ def oil_view(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         .where(F.weekday("date") < 5)
     )
-    # Integer arithmetic keeps the price exact (whole cents) on every engine.
-    price = F.expr("cast(_cents div (_n * 1000) as double) / 100")
+    # Whole units of the average order price in thousands: integer arithmetic
+    # keeps it exact on every engine, so interpolated and averaged prices have
+    # no rounding ties at 6 decimals.
+    price = F.expr("cast(_cents div (_n * 100000) as double)")
     return per_day.select(
         "date",
         F.when(F.dayofmonth("date") == 13, F.lit(None).cast("double")).otherwise(price).alias("dcoilwtico"),
@@ -220,9 +223,15 @@ def holidays_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     return national.unionByName(regional).unionByName(local)
 
 
-def load_sources(spark: SparkSession, sf_dir: str) -> Sources:
-    """The six raw sources (plus the held-out actuals) over ``sf_dir``."""
+def load_sources(spark: SparkSession, sf_dir: str, persist: bool = True) -> Sources:
+    """The six raw sources (plus the held-out actuals) over ``sf_dir``.
+
+    The daily aggregate feeds train, test and the cut date; ``persist`` keeps
+    it (memory, spilling to disk) so those views read it instead of
+    re-aggregating lineitem. Lost blocks are recomputed from lineage."""
     daily = daily_sales(spark, sf_dir)
+    if persist:
+        daily = daily.persist(StorageLevel.MEMORY_AND_DISK)
     cutoff = _cutoff(daily)
     test_full = _test_frame(daily, cutoff)
     return Sources(
