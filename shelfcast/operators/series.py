@@ -179,3 +179,18 @@ def last_n_days(df: DataFrame, n: int) -> DataFrame:
     """Rows with date > max(date) - n."""
     mx = F.broadcast(df.agg(F.max("date").alias("_max")))
     return df.crossJoin(mx).where(F.col("date") > F.date_sub("_max", n)).drop("_max")
+
+
+def fold_assignment(df: DataFrame, k: int, order: list[str], partition: list[str] = SERIES) -> DataFrame:
+    """Expanding-window fold of every row (W11) over the (partition, order)
+    total order: ``test_fold`` is the fold whose test block holds the row
+    (null for the leading train-only block); fold f trains on every row
+    before its block. Uses the distributed row index of ``global_row_index``."""
+    indexed = global_row_index(df, order, partition)
+    n = F.broadcast(df.agg(F.count(F.lit(1)).alias("_n")))
+    size = F.floor(F.col("_n") / (k + 1))
+    first = F.col("_n") - size * k
+    return (indexed.crossJoin(n)
+            .withColumn("test_fold", F.when(F.col("row_index") >= first,
+                                            F.floor((F.col("row_index") - first) / size).cast("int")))
+            .drop("_n"))

@@ -690,3 +690,182 @@ SELECT arg_min(model, (rmsle, position)) AS best_model, MIN(rmsle) AS best_rmsle
 """, ("best_rmsle",))
 def q_l5(spark, d):
     return evaluate.best_model(_model_metrics(spark, d))
+
+
+# --------------------------------------------------------------------- ML
+
+_CAT_SQL = " UNION ALL ".join(
+    f"""SELECT '{c}' AS column, {c} AS value, CAST(row_number() OVER (ORDER BY {c}) - 1 AS INTEGER) AS index
+FROM (SELECT DISTINCT {c} FROM features WHERE dataset_split = 'train' AND sales IS NOT NULL
+      AND date < DATE '{TEST_START}')""" for c in ("family", "city", "state", "type"))
+
+
+@register("f12_one_hot_vocabulary", _CAT_SQL)
+def q_f12(spark, d):
+    from ..operators import ml
+    rows = ml.model_rows(_pipe(spark, d).features, TEST_START)
+    _, cat = ml.feature_columns(rows)
+    stages, _ = ml.one_hot_stages(cat)
+    from pyspark.ml import Pipeline
+    return ml.vocabulary(Pipeline(stages=stages).fit(rows), spark)
+
+
+@register("f13_minmax_scaling", f"""
+WITH m AS (SELECT * FROM features WHERE dataset_split = 'train' AND sales IS NOT NULL AND date < DATE '{TEST_START}'),
+b AS (SELECT MIN(onpromotion) lo1, MAX(onpromotion) hi1, MIN(transactions) lo2, MAX(transactions) hi2,
+             MIN(oil_price) lo3, MAX(oil_price) hi3 FROM m WHERE date < DATE '{VAL_START}')
+SELECT date, store_nbr, family,
+  (onpromotion - lo1) / CASE WHEN hi1 = lo1 THEN 1.0 ELSE hi1 - lo1 END AS onpromotion,
+  (transactions - lo2) / CASE WHEN hi2 = lo2 THEN 1.0 ELSE hi2 - lo2 END AS transactions,
+  (oil_price - lo3) / CASE WHEN hi3 = lo3 THEN 1.0 ELSE hi3 - lo3 END AS oil_price
+FROM m, b
+""", ("onpromotion", "transactions", "oil_price"))
+def q_f13(spark, d):
+    from ..operators import ml
+    rows = ml.model_rows(_pipe(spark, d).features, TEST_START).select(
+        "date", "store_nbr", "family", "onpromotion", "transactions", "oil_price")
+    return ml.minmax_scale(rows, ["onpromotion", "transactions", "oil_price"],
+                           F.col("date") < F.lit(VAL_START).cast("date"))
+
+
+@register("t9_lag_training_frame", """
+SELECT * FROM (
+SELECT store_nbr, family, date, sales, CAST(isodow(date) - 1 AS INTEGER) AS dayofweek, CAST(month(date) AS INTEGER) AS month,
+  CAST(quarter(date) AS INTEGER) AS quarter, CAST(year(date) AS INTEGER) AS year,
+  CAST(isodow(date) >= 6 AS INTEGER) AS is_weekend,
+  lag(sales, 1) OVER w AS sales_lag_1, lag(sales, 7) OVER w AS sales_lag_7,
+  lag(sales, 14) OVER w AS sales_lag_14, lag(sales, 28) OVER w AS sales_lag_28,
+  CASE WHEN count(sales) OVER w7 = 7 THEN avg(sales) OVER w7 END AS rolling_mean_7,
+  CASE WHEN count(sales) OVER w7 = 7 THEN stddev_samp(sales) OVER w7 END AS rolling_std_7,
+  CASE WHEN count(sales) OVER w14 = 14 THEN avg(sales) OVER w14 END AS rolling_mean_14
+FROM tf WINDOW w AS (PARTITION BY store_nbr, family ORDER BY date),
+  w7 AS (PARTITION BY store_nbr, family ORDER BY date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW),
+  w14 AS (PARTITION BY store_nbr, family ORDER BY date ROWS BETWEEN 13 PRECEDING AND CURRENT ROW))
+WHERE sales_lag_28 IS NOT NULL AND rolling_mean_14 IS NOT NULL AND rolling_std_7 IS NOT NULL
+""", ("sales", "sales_lag_1", "sales_lag_7", "sales_lag_14", "sales_lag_28", "rolling_mean_7", "rolling_std_7",
+      "rolling_mean_14"))
+def q_t9(spark, d):
+    from ..operators import ml
+    return ml.lag_training_frame(forecast.training_frame(_pipe(spark, d).features))
+
+
+@register("w11_expanding_folds", """
+SELECT store_nbr, family, date, CAST(rn - 1 AS BIGINT) AS row_index,
+  CASE WHEN rn - 1 >= n - (n // 6) * 5 THEN CAST((rn - 1 - (n - (n // 6) * 5)) // (n // 6) AS INTEGER) END AS test_fold
+FROM (SELECT store_nbr, family, date, row_number() OVER (ORDER BY store_nbr, family, date) AS rn,
+             COUNT(*) OVER () AS n FROM tf)
+""")
+def q_w11(spark, d):
+    tf = forecast.training_frame(_pipe(spark, d).features)
+    return series.fold_assignment(tf, 5, ["date"]).select("store_nbr", "family", "date", "row_index", "test_fold")
+
+
+# Model-fitting queries: checked by rows plus unit tests (no SQL equivalent).
+# Boosting rounds are kept small here; the library defaults follow the original.
+GBT_QUERY_PARAMS = {"max_iter": 20, "max_depth": 6}
+
+
+def _gbt_fit(spark, d):
+    from ..operators import ml
+    key = ("gbt", spark.sparkContext.applicationId, id(spark), d)
+    if key not in _FITS:
+        matrix, model, names = ml.prepare_tabular(_pipe(spark, d).features, VAL_START, TEST_START)
+        _FITS[key] = (matrix, model, names, ml.gbt(**GBT_QUERY_PARAMS).fit(matrix))
+    return _FITS[key]
+
+
+_FITS: dict = {}
+
+
+@register("t8_tabular_matrix")
+def q_t8(spark, d):
+    matrix, _, names, _ = _gbt_fit(spark, d)
+    return matrix.groupBy("is_val").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("label").alias("sum_label"),
+                                        F.lit(len(names)).alias("n_features"))
+
+
+@register("t10_gbt_metrics")
+def q_t10(spark, d):
+    from ..operators import ml
+    matrix, _, _, m = _gbt_fit(spark, d)
+    return ml.split_metrics(m, matrix)
+
+
+@register("t11_l4_split_importance")
+def q_t11(spark, d):
+    from ..operators import ml
+    _, _, names, m = _gbt_fit(spark, d)
+    return ml.top_features(ml.split_count_importance(m, names, spark), 20)
+
+
+@register("t16_gbt_test_predictions")
+def q_t16(spark, d):
+    from ..operators import ml
+    _, model, _, m = _gbt_fit(spark, d)
+    return ml.score_test(_pipe(spark, d).features, model, m)
+
+
+@register("t7_param_search")
+def q_t7(spark, d):
+    from ..operators import ml
+    matrix, _, _, _ = _gbt_fit(spark, d)
+    grid = [{"max_iter": 5, "max_depth": 4}, {"max_iter": 5, "max_depth": 6}]
+    return ml.param_search(matrix.select("date", "store_nbr", "family", "features", "label"), grid, n_splits=3)
+
+
+@register("t12_sequence_regression")
+def q_t12(spark, d):
+    from ..operators import ml
+    f = _pipe(spark, d).features.where(F.col("dataset_split") == "train").where(
+        F.col("date") < F.lit(TEST_START).cast("date"))
+    # window features exclude the target, as in the original matrix
+    cols = ["onpromotion", "promo_active", "transactions", "oil_price", "is_holiday", "day_of_week", "is_weekend"]
+    frame = f.select("store_nbr", "family", "date", F.col("sales").cast("double").alias("sales"),
+                     *[F.col(c).cast("double").alias(c) for c in cols])
+    ds = ml.sequence_dataset(frame, cols, VAL_START, 14)
+    model = ml.sequence_regression(ds)
+    pred = model.transform(ds).withColumn("split", F.when(F.col("is_val"), "validation").otherwise("train"))
+    return ml.evaluate_predictions(pred, "split")
+
+
+@register("t13_seasonal_ar_forecasts")
+def q_t13(spark, d):
+    from ..operators import models
+    tf = forecast.training_frame(_pipe(spark, d).features)
+    fc = models.sarima_forecasts(tf, VAL_START, TEST_START)
+    return models.forecast_metrics(fc, tf)
+
+
+@register("t14_additive_forecasts")
+def q_t14(spark, d):
+    from ..operators import models
+    f = _pipe(spark, d).features.where(F.col("dataset_split") == "train")
+    fc = models.additive_forecasts(f, VAL_START, TEST_START)
+    return fc.select("store_nbr", "family", "date", "yhat", "yhat_lower", "yhat_upper")
+
+
+@register("a18_density_curve")
+def q_a18(spark, d):
+    p = _pipe(spark, d)
+    return evaluate.density_curve(forecast.submission(p.features, p.cleaned.test), "sales")
+
+
+@register("a20_qq_points")
+def q_a20(spark, d):
+    return evaluate.qq_points(evaluate.with_residual(_pairs(spark, d)), "residual")
+
+
+@register("w12_sequence_windows")
+def q_w12(spark, d):
+    tf = forecast.training_frame(_pipe(spark, d).features)
+    return series.sequence_windows(tf, ["sales"], "sales", 14)
+
+
+@register("a3_quality_report")
+def q_a3(spark, d):
+    p = _pipe(spark, d)
+    c = p.cleaned
+    cleaned = {"train": c.train, "test": c.test, "oil": c.oil, "holidays": c.holidays,
+               "transactions": c.transactions, "holiday_features": c.holiday_features}
+    return quality.quality_report(p.sources.as_dict(), cleaned, p.integrated, p.features,
+                                  clean.transformation_counters(c))
