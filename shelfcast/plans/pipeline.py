@@ -7,6 +7,7 @@ by the writer; with a checkpoint folder configured it is written once there
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -54,11 +55,27 @@ def features_for(spark: SparkSession, sf_dir: str, materialize: bool = False) ->
     return run_features(load_sources(spark, sf_dir), materialize=materialize)
 
 
-def stage_sources(src: Sources) -> Sources:
+def stage_sources(src: Sources, parallel: int = 4) -> Sources:
     """Write the source views once (Parquet under the checkpoint folder) so
-    every later step scans files instead of re-deriving the views."""
-    staged = {k: stage(v, f"src-{k}") for k, v in src.as_dict().items()}
-    actuals = stage(src.test_actuals, "src-test_actuals") if src.test_actuals is not None else None
+    every later step scans files instead of re-deriving the views.
+
+    The writes are independent jobs; they are submitted from a few driver
+    threads so Spark schedules them side by side instead of one after the
+    other. The test view and the held-out actuals are two projections of one
+    staged frame."""
+    tables = src.as_dict()
+    if src.test_full is not None:
+        tables["test_full"] = src.test_full
+        del tables["test"]
+    with ThreadPoolExecutor(max_workers=parallel) as pool:
+        futures = {k: pool.submit(stage, v, f"src-{k}") for k, v in tables.items()}
+        staged = {k: f.result() for k, f in futures.items()}
+    if "test_full" in staged:
+        full = staged.pop("test_full")
+        staged["test"] = full.select(*src.test.columns)
+        actuals = full.select("id", "date", "store_nbr", "family", "sales")
+    else:
+        actuals = stage(src.test_actuals, "src-test_actuals") if src.test_actuals is not None else None
     return Sources(**staged, test_actuals=actuals)
 
 

@@ -47,6 +47,8 @@ class Sources:
     holidays: DataFrame
     transactions: DataFrame
     test_actuals: DataFrame | None = None
+    # test rows together with their held-out sales (adapter only)
+    test_full: DataFrame | None = None
 
     def as_dict(self) -> dict[str, DataFrame]:
         return {
@@ -242,4 +244,5 @@ def load_sources(spark: SparkSession, sf_dir: str, persist: bool = True) -> Sour
         holidays=holidays_view(spark, sf_dir),
         transactions=transactions_view(spark, sf_dir),
         test_actuals=test_full.select("id", "date", "store_nbr", "family", "sales"),
+        test_full=test_full,
     )
