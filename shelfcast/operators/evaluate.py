@@ -96,6 +96,18 @@ def pivot_matrix(long: DataFrame, row: str = "store_nbr", col: str = "family",
     return long.groupBy(row).pivot(col, keys).agg(F.first(value)).orderBy(row)
 
 
+def metric_matrix_long(results: DataFrame, metric: str = "rmsle", n_families: int = 15,
+                       n_stores: int = 15) -> DataFrame:
+    """Store x family metric matrix (A11, L6): the ``n_families`` families with
+    the lowest mean metric, the first ``n_stores`` stores in index order, long
+    form (store_nbr, family, value). Both selections are top-k reports."""
+    fam = (results.groupBy("family").agg(F.avg(metric).alias("_m"))
+           .orderBy("_m", "family").limit(n_families).select("family"))
+    sto = results.select("store_nbr").distinct().orderBy("store_nbr").limit(n_stores)
+    cells = results.join(F.broadcast(fam), "family", "left_semi").join(F.broadcast(sto), "store_nbr", "left_semi")
+    return cells.groupBy("store_nbr", "family").agg(F.avg(metric).alias("value"))
+
+
 def best_worst(results: DataFrame, key: str = "family", metric: str = "rmsle", k: int = 5) -> DataFrame:
     """Best k and worst k groups by mean metric."""
     means = results.groupBy(key).agg(F.avg(metric).alias("mean_metric"))
@@ -177,10 +189,12 @@ def density_curve(df: DataFrame, value: str, grid_points: int = 200, fine_bins:
             .groupBy("x").agg((F.sum(F.col("_c") * k) / F.first("_n")).alias("density")))
 
 
-def box_stats(df: DataFrame, group: str, value: str, accuracy: int | None = None) -> DataFrame:
+def box_stats(df: DataFrame, group: str, value: str, accuracy: int | None = 10000) -> DataFrame:
     """Quartiles, whiskers (most extreme values within 1.5 IQR) and outlier
-    count per group (A19). ``accuracy`` switches to percentile_approx for
-    very large groups; the exact percentile is the default."""
+    count per group (A19). By default the quartiles are percentile_approx
+    sketches, whose size per group is bounded whatever the group holds;
+    ``accuracy=None`` asks for exact quartiles, whose buffer grows with the
+    distinct values of a group (fine for integral measures)."""
     if accuracy is None:
         q = F.percentile(value, [0.25, 0.5, 0.75])
     else:
@@ -223,3 +237,12 @@ def extended_metric_table(pairs: DataFrame, group: list[str] | None = None) -> D
 def compare_models(model_metrics: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Long comparison table and the best model (T17); needs two models."""
     return metrics_long(model_metrics), best_model(model_metrics)
+
+
+def model_frame(series_rows: DataFrame, regressors: list[str]) -> DataFrame:
+    """Frame for the additive model (P5, P22): date -> ds, sales -> y, the
+    requested regressors as doubles; regressors absent from the input are 0.0."""
+    cols = [F.col("date").alias("ds"), F.col("sales").alias("y")]
+    for r in regressors:
+        cols.append((F.col(r).cast("double") if r in series_rows.columns else F.lit(0.0)).alias(r))
+    return series_rows.select(*cols)

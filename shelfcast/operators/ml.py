@@ -203,7 +203,9 @@ def param_search(matrix: DataFrame, grid: list[dict], n_splits: int = 5) -> Data
     grid; mean RMSLE per parameter set; the first strictly smallest wins (T7).
     Returns one row per parameter set with ``best`` marking the winner."""
     spark = matrix.sparkSession
-    indexed = global_row_index(matrix.withColumn("_all", F.lit(0)), ["date", "store_nbr", "family"], ["_all"])
+    # total order (date, store, family): offsets per date, row numbers inside
+    # a date, so no window ever holds more than one day of rows
+    indexed = global_row_index(matrix, ["store_nbr", "family"], ["date"])
     n = indexed.count()
     results = []
     for pos, params in enumerate(grid):
