@@ -51,12 +51,17 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
     return spark.sparkContext.getCheckpointDir()
 
 
-def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
-    """Use the session's checkpoint folder; only when it is unset (local runs
-    and tests) set a fresh scratch folder. Never overrides a cluster setting."""
+def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str | None:
+    """Use the session's checkpoint folder; only when it is unset on a local
+    master (local runs and tests) set a fresh scratch folder. Never overrides
+    a cluster setting, and never points a cluster at a machine-local folder:
+    on a cluster without the setting the result is None and ``stage`` keeps
+    plans lazy."""
     current = checkpoint_dir(spark)
     if current:
         return current
+    if not spark.sparkContext.master.startswith("local"):
+        return None
     if fallback is None:
         fallback = tempfile.mkdtemp(prefix="shelfcast-ckpt-")
     os.makedirs(fallback, exist_ok=True)
