@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.metrics import clip_zero, error_aggregates
-from ..session import checkpoint_dir
+from ..session import checkpoint_dir, stage
 from .series import SERIES, expanding_folds, global_row_index, lag_features, rolling_features, sequence_windows
 
 TARGET = "sales"
@@ -205,7 +205,9 @@ def param_search(matrix: DataFrame, grid: list[dict], n_splits: int = 5) -> Data
     spark = matrix.sparkSession
     # total order (date, store, family): offsets per date, row numbers inside
     # a date, so no window ever holds more than one day of rows
-    indexed = global_row_index(matrix, ["store_nbr", "family"], ["date"])
+    # every fit of the grid x folds loop scans this frame: write it once
+    # (lineage cut; a lost executor does not re-run the feature plan)
+    indexed = stage(global_row_index(matrix, ["store_nbr", "family"], ["date"]), "folds")
     n = indexed.count()
     results = []
     for pos, params in enumerate(grid):

@@ -69,15 +69,24 @@ def expanding_folds(n: int, k: int) -> list[tuple[int, int, int]]:
 
 def global_row_index(df: DataFrame, order: list[str], partition: list[str] = SERIES) -> DataFrame:
     """0-based position of each row in the total order (``partition`` then
-    ``order``), without a single-partition window: a small per-partition-key
-    count table gives each key's offset, then a row_number inside the key (W10)."""
+    ``order``), without a single-partition window over the rows: a per-key
+    count table gives each key's offset (prefix sums first over the distinct
+    values of the first key, then inside each of them), then a row_number
+    inside the key (W10)."""
+    running = (Window.unboundedPreceding, Window.currentRow)
     counts = df.groupBy(*partition).agg(F.count(F.lit(1)).alias("_n"))
-    w_all = Window.orderBy(*partition)  # over the count table: one row per key
-    offsets = counts.select(
-        *partition,
-        (F.sum("_n").over(w_all.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("_n"))
-        .alias("_offset"),
-    )
+    head, rest = partition[0], partition[1:]
+    # level 1: one row per value of the first key (stores, dates); the only
+    # window without a partition runs over this table
+    head_counts = counts.groupBy(head).agg(F.sum("_n").alias("_hn"))
+    head_off = head_counts.select(
+        head, (F.sum("_hn").over(Window.orderBy(head).rowsBetween(*running)) - F.col("_hn")).alias("_ho"))
+    # level 2: the remaining keys, partitioned by the first one
+    if rest:
+        inner = F.sum("_n").over(Window.partitionBy(head).orderBy(*rest).rowsBetween(*running)) - F.col("_n")
+    else:
+        inner = F.lit(0).cast("bigint")
+    offsets = counts.join(head_off, head).select(*partition, (F.col("_ho") + inner).alias("_offset"))
     rn = F.row_number().over(Window.partitionBy(*partition).orderBy(*order)) - 1
     return df.join(offsets, partition).withColumn("row_index", F.col("_offset") + rn).drop("_offset")
 
