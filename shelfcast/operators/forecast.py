@@ -2,11 +2,13 @@
 (T3-T6, A16, A22, T15).
 
 The seasonal-naive model keeps the last ``period`` training values of a series
-and repeats them. Here that is: a descending running count picks the last
-``period`` training rows (at most ``period`` values are gathered per series),
+and repeats them. Here that is one pass over the series partitioning: a
+descending running count ranks the training rows from the end, a whole-series
+window gathers the last ``period`` of them (a bounded array) onto every row,
 an ascending running count numbers the rows to forecast, and step s reads
-season[(s - 1) % period]. Both windows, the per-series aggregate and the joins
-share the series partitioning, so each job shuffles its input once."""
+season[(s - 1) % period]. All windows share one hash partitioning, and the
+per-series metrics are a grouped aggregate on that same partitioning, so a
+backtest scans and shuffles its input once and joins nothing back."""
 
 from __future__ import annotations
 
@@ -32,35 +34,45 @@ def _step(role_is_target: Column, partition: list[str]) -> Column:
     return F.when(role_is_target, F.sum(role_is_target.cast("int")).over(w))
 
 
+def seasonal_naive_frame(rows: DataFrame, fit_col: str, target_col: str, value: str,
+                         period: int = 7, partition: list[str] = SERIES) -> DataFrame:
+    """Every input row with ``_step`` (its position among the group's rows to
+    forecast), ``_n_fit`` (fit rows in its group) and ``prediction`` (null
+    unless it is a row to forecast of a group with at least ``period`` fit
+    rows; the original raises for shorter series and its callers skip them)."""
+    fit, tgt = F.col(fit_col), F.col(target_col)
+    whole = Window.partitionBy(*partition)
+    ranked = rows.withColumns({"_back": _season_pick(fit, partition), "_step": _step(tgt, partition)})
+    # at most `period` values per group: a bounded gather
+    last = F.collect_list(F.when(F.col("_back") <= period,
+                                 F.struct(F.col("_back"), F.col(value).alias("v")))).over(whole)
+    gathered = ranked.withColumns({"_last": last, "_n_fit": F.count_if(fit).over(whole)})
+    # chronological order: the oldest of the last `period` values first
+    season = F.reverse(F.transform(F.sort_array("_last"), lambda x: x["v"]))
+    pred = F.when(tgt & (F.col("_n_fit") >= period),
+                  F.element_at(season, ((F.col("_step") - 1) % period + 1).cast("int")))
+    return gathered.withColumn("prediction", pred).drop("_back", "_last")
+
+
 def seasonal_naive(rows: DataFrame, fit_col: str, target_col: str, value: str,
                    period: int = 7, partition: list[str] = SERIES,
                    extra_counts: dict[str, Column] | None = None) -> tuple[DataFrame, DataFrame]:
-    """Seasonal-naive forecasts for all series.
-
-    ``rows`` holds fit rows (``fit_col`` true) and rows to forecast
-    (``target_col`` true) of every series; a row may be both. Returns
-    (forecasts, per-group fit facts). Groups with fewer than ``period`` fit
-    rows get no forecast (the original raises and its callers skip them)."""
-    fit, tgt = F.col(fit_col), F.col(target_col)
-    ranked = rows.withColumns({"_back": _season_pick(fit, partition), "_step": _step(tgt, partition)})
-    facts = ranked.groupBy(*partition).agg(
-        F.count_if(fit).alias("n_fit"),
-        F.count_if(tgt).alias("n_target"),
+    """Seasonal-naive forecasts for all series (T3) as (forecast rows,
+    per-group facts: n_fit, n_target and ``extra_counts``)."""
+    frame = seasonal_naive_frame(rows, fit_col, target_col, value, period, partition)
+    forecasts = frame.where(F.col("prediction").isNotNull())
+    facts = frame.groupBy(*partition).agg(
+        F.count_if(F.col(fit_col)).alias("n_fit"),
+        F.count_if(F.col(target_col)).alias("n_target"),
         *[F.count_if(c).alias(k) for k, c in (extra_counts or {}).items()],
-        # at most `period` values per group: bounded gather
-        F.sort_array(F.collect_list(F.when(F.col("_back") <= period,
-                                           F.struct(F.col("_back"), F.col(value).alias("v"))))).alias("_last"),
-    )
-    season = facts.where(F.col("n_fit") >= period).select(
-        *partition,
-        # chronological order: the oldest of the last `period` values first
-        F.reverse(F.transform("_last", lambda s: s["v"])).alias("season"),
     )
-    targets = ranked.where(tgt).drop("_back")
-    forecasts = targets.join(season, partition).withColumn(
-        "prediction", F.element_at("season", ((F.col("_step") - 1) % period + 1).cast("int"))
-    ).drop("season")
-    return forecasts, facts.drop("_last")
+    return forecasts, facts
+
+
+def _scored(frame: DataFrame, value: str) -> DataFrame:
+    """Truth kept only where a forecast exists, so the error aggregates skip
+    every other row of the group."""
+    return frame.withColumn("_y", F.when(F.col("prediction").isNotNull(), F.col(value)))
 
 
 def training_frame(features: DataFrame) -> DataFrame:
@@ -83,15 +95,16 @@ def baseline_backtest(features: DataFrame, val_start: str, test_start: str, peri
         "_val": (d >= vs) & (d < ts),
         "_test": d >= ts,
     })
-    forecasts, facts = seasonal_naive(tagged, "_fit", "_val", "sales", period,
-                                      extra_counts={"test_days": F.col("_test")})
-    metrics = forecasts.groupBy(*SERIES).agg(*error_aggregates("sales", "prediction", "rmsle_only"))
-    return (
-        metrics.join(facts, SERIES)
-        .where((F.col("n_fit") > 0) & (F.col("n_target") > 0))
-        .select(*SERIES, "rmsle", "rmse", "mae",
-                F.col("n_fit").alias("train_days"), F.col("n_target").alias("val_days"), "test_days")
+    frame = _scored(seasonal_naive_frame(tagged, "_fit", "_val", "sales", period), "sales")
+    per_series = frame.groupBy(*SERIES).agg(
+        *error_aggregates("_y", "prediction", "rmsle_only"),
+        F.count("prediction").alias("_n_pred"),
+        F.count_if("_fit").alias("train_days"),
+        F.count_if("_val").alias("val_days"),
+        F.count_if("_test").alias("test_days"),
     )
+    return per_series.where(F.col("_n_pred") > 0).select(
+        *SERIES, "rmsle", "rmse", "mae", "train_days", "val_days", "test_days")
 
 
 def backtest_summary(results: DataFrame, metric: str = "rmsle") -> DataFrame:
@@ -114,13 +127,17 @@ def rolling_validation(features: DataFrame, n_splits: int = 3, val_days: int = 3
 
     rows = rolling_origin_split(training_frame(features), n_splits, val_days, min_train_days, strict)
     part = SERIES + ["split"]
-    forecasts, _ = seasonal_naive(rows, "is_train", "is_val", "sales", period, part)
-    train_end = rows.where("is_train").groupBy(*part).agg(F.max("date").alias("train_end"))
-    return forecasts.groupBy(*part).agg(
-        F.min("date").alias("val_start"),
-        F.max("date").alias("val_end"),
-        *error_aggregates("sales", "prediction", "rmsle_only"),
-    ).join(train_end, part).select(*part, "train_end", "val_start", "val_end", "rmsle", "rmse", "mae")
+    frame = _scored(seasonal_naive_frame(rows, "is_train", "is_val", "sales", period, part), "sales")
+    forecast_date = F.when(F.col("prediction").isNotNull(), F.col("date"))
+    per_split = frame.groupBy(*part).agg(
+        F.max(F.when(F.col("is_train"), F.col("date"))).alias("train_end"),
+        F.min(forecast_date).alias("val_start"),
+        F.max(forecast_date).alias("val_end"),
+        *error_aggregates("_y", "prediction", "rmsle_only"),
+        F.count("prediction").alias("_n_pred"),
+    )
+    return per_split.where(F.col("_n_pred") > 0).select(
+        *part, "train_end", "val_start", "val_end", "rmsle", "rmse", "mae")
 
 
 def rolling_summary(per_split: DataFrame) -> DataFrame:
@@ -148,17 +165,14 @@ def submission(features: DataFrame, test: DataFrame, period: int = 7,
     targets = test.select(*SERIES, "date", F.lit(None).cast("double").alias("sales"),
                           F.lit(False).alias("_fit"), F.lit(True).alias("_tgt"), "id")
     rows = frame.unionByName(targets)
-    forecasts, facts = seasonal_naive(rows, "_fit", "_tgt", "sales", period)
-    mean = F.broadcast(frame.agg(F.avg("sales").alias("_mean")))
-    short = (
-        rows.where("_tgt")
-        .withColumn("_step", F.row_number().over(Window.partitionBy(*SERIES).orderBy("date")))
-        .join(facts.where((F.col("n_fit") > 0) & (F.col("n_fit") < period)).select(*SERIES), SERIES)
+    scored = seasonal_naive_frame(rows, "_fit", "_tgt", "sales", period)
+    mean = F.broadcast(frame.agg(F.avg("sales").alias("_mean")))  # one row
+    # series with some but fewer than `period` training rows: the global mean
+    out = (
+        scored.where(F.col("_tgt") & (F.col("_n_fit") > 0))
         .crossJoin(mean)
-        .withColumn("prediction", F.col("_mean"))
+        .select("id", "_step", F.coalesce(F.col("prediction"), F.col("_mean")).alias("prediction"))
     )
-    cols = ["id", "_step", "prediction"]
-    out = forecasts.select(*cols).unionByName(short.select(*cols))
     if horizon is not None:
         out = out.where(F.col("_step") <= horizon)
     pred = F.col("prediction")

@@ -47,10 +47,21 @@ def rolling_origin_split(df: DataFrame, n_splits: int = 3, val_days: int = 31,
     validation day is also the last training day and validation has
     ``val_days + 1`` rows; ``strict=True`` keeps that day in training only.
     Splits with fewer than ``min_train_days`` training rows are dropped.
-    Each row joins at most ``n_splits`` bound rows of its own series."""
-    bounds = rolling_origin_bounds(df, n_splits, val_days)
+    Each row is repeated for at most ``n_splits`` splits of its own series.
+    The series' first and last dates come from whole-series windows and the
+    splits from an explode, so the job shuffles by series once (before the
+    rows multiply) and the (series, split) windows and aggregates downstream
+    reuse that partitioning."""
     d = F.col("date")
-    j = df.join(bounds, SERIES).where(d <= F.col("val_end"))
+    whole = Window.partitionBy(*SERIES)
+    ks = F.explode(F.sequence(F.lit(0), F.lit(n_splits - 1))).alias("split")
+    spans = df.withColumns({"first_date": F.min("date").over(whole), "_last": F.max("date").over(whole)})
+    val_end = F.date_sub("_last", (n_splits - 1 - F.col("split")) * val_days)
+    j = (spans.select("*", ks)
+         .withColumn("val_end", val_end)
+         .withColumn("val_start", F.date_sub("val_end", val_days))
+         .drop("_last")
+         .where(d <= F.col("val_end")))
     val_lo = (d > F.col("val_start")) if strict else (d >= F.col("val_start"))
     tagged = j.withColumns({"is_train": d <= F.col("val_start"), "is_val": val_lo})
     n_train = F.count_if(F.col("is_train")).over(Window.partitionBy(*SERIES, "split"))
