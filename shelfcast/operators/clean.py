@@ -63,20 +63,50 @@ def type_sources(src: Sources) -> Sources:
 
 # ---------------------------------------------------------- densification
 
+def panel_facts(train: DataFrame, test: DataFrame | None = None) -> dict:
+    """One job over the date and key columns: HyperLogLog sizes of the store
+    and family axes and the train (and test) date bounds. The result is a few
+    scalars; the spines and the span are then built from them instead of
+    re-scanning the date column in every plan that needs them."""
+    facts = train.agg(
+        F.approx_count_distinct("store_nbr", 0.05).alias("stores"),
+        F.approx_count_distinct("family", 0.05).alias("families"),
+        F.min("date").alias("train_lo"), F.max("date").alias("train_hi"),
+    )
+    if test is not None:
+        facts = facts.crossJoin(test.agg(F.min("date").alias("test_lo"), F.max("date").alias("test_hi")))
+    return facts.first().asDict()
+
+
+def axes_within(facts: dict, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
+    """Both panel axes within ``max_rows`` (HLL error is well under 10 %; the
+    margin keeps the check conservative)."""
+    return max(facts["stores"] or 0, facts["families"] or 0) * 1.1 <= max_rows
+
+
 def panel_axes_are_small(train: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
     """Size check of the panel's store and family axes, done once per run with
     HyperLogLog counts (no distinct values are shuffled). When both axes are
     within ``max_rows``, tables keyed by store or by family are broadcast;
     otherwise joins on them stay shuffle joins."""
-    row = train.agg(
-        F.approx_count_distinct("store_nbr", 0.05).alias("s"),
-        F.approx_count_distinct("family", 0.05).alias("f"),
-    ).first()
-    # HLL error is well under 10 %; the margin keeps the check conservative.
-    return row is None or max(row["s"] or 0, row["f"] or 0) * 1.1 <= max_rows
+    return axes_within(panel_facts(train), max_rows)
+
+
+def _bounds_row(spark, lo, hi, names: tuple[str, str]) -> DataFrame:
+    """A one-row frame of two dates known on the driver."""
+    return one_row(spark.range(1).select(F.lit(lo).cast("date").alias(names[0]),
+                                         F.lit(hi).cast("date").alias(names[1])))
+
+
+def span_from_facts(spark, facts: dict) -> DataFrame:
+    """(min_date, max_date) over train and test (A6) from ``panel_facts``."""
+    los = [d for d in (facts["train_lo"], facts.get("test_lo")) if d is not None]
+    his = [d for d in (facts["train_hi"], facts.get("test_hi")) if d is not None]
+    return _bounds_row(spark, min(los) if los else None, max(his) if his else None, ("min_date", "max_date"))
 
 
-def build_train_grid(train: DataFrame, fill_value: float = 0.0, axes_small: bool = False) -> DataFrame:
+def build_train_grid(train: DataFrame, fill_value: float = 0.0, axes_small: bool = False,
+                     facts: dict | None = None) -> DataFrame:
     """Every date between the first and last train date x every store x every
     family seen in train, left-joined to train.
 
@@ -85,7 +115,10 @@ def build_train_grid(train: DataFrame, fill_value: float = 0.0, axes_small: bool
     left join does. The spine is broadcast (one row per day); the store x family
     axis stays distributed, so the grid is built where it is consumed and joined
     to train by one shuffle on the key."""
-    bounds = train.agg(F.min("date").alias("lo"), F.max("date").alias("hi"))
+    if facts is not None:
+        bounds = _bounds_row(train.sparkSession, facts["train_lo"], facts["train_hi"], ("lo", "hi"))
+    else:
+        bounds = train.agg(F.min("date").alias("lo"), F.max("date").alias("hi"))
     spine = date_spine(bounds, "lo", "hi")
     stores = train.select("store_nbr").distinct()
     families = train.select("family").distinct()
@@ -309,9 +342,10 @@ class Cleaned:
 
 def standardize(src: Sources, fill_value: float = 0.0) -> Cleaned:
     typed = type_sources(src)
-    axes_small = panel_axes_are_small(typed.train)
-    grid = build_train_grid(typed.train, fill_value, axes_small)
-    span = one_row(global_span(typed.train, typed.test))
+    facts = panel_facts(typed.train, typed.test)
+    axes_small = axes_within(facts)
+    grid = build_train_grid(typed.train, fill_value, axes_small, facts)
+    span = span_from_facts(typed.train.sparkSession, facts)
     holidays = clean_holidays(typed.holidays)
     return Cleaned(
         train=grid,
