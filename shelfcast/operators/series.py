@@ -18,6 +18,20 @@ def series_window(order: str = "date", *, desc: bool = False, partition: list[st
     return Window.partitionBy(*(partition or SERIES)).orderBy(o)
 
 
+# Default columns of a series slice (fixed values: the original's defaults).
+SLICE_COLUMNS = ["sales", "onpromotion", "oil_price", "transactions", "is_holiday", "is_event"]
+
+
+def series_slice(features: DataFrame, store_nbr: int, family: str, cols: list[str] | None = None) -> DataFrame:
+    """Train rows of one series, date plus ``cols``, in date order (P14). The
+    key and split predicates reach the Parquet scan, so only the row groups
+    that can hold the series are read."""
+    return (features.where((F.col("store_nbr") == store_nbr) & (F.col("family") == family)
+                           & (F.col("dataset_split") == "train"))
+            .select("date", *(cols or SLICE_COLUMNS))
+            .orderBy("date"))
+
+
 # ------------------------------------------------------------------ splits
 
 def time_split(df: DataFrame, val_start: str, test_start: str, col: str = "split") -> DataFrame:

@@ -629,6 +629,14 @@ def q_p23(spark, d):
     return evaluate.with_band(_pairs(spark, d), "prediction", 0.1)
 
 
+@register("p14_series_slice", """
+SELECT date, sales, onpromotion, oil_price, transactions, is_holiday, is_event FROM features
+WHERE store_nbr = 1 AND family = 'ECONOMY' AND dataset_split = 'train'
+""", ("sales", "oil_price", "transactions"))
+def q_p14(spark, d):
+    return series.series_slice(_pipe(spark, d).features, 1, "ECONOMY")
+
+
 @register("p15_filtered_history", """
 SELECT date, SUM(sales) AS total FROM tf WHERE store_nbr = 1 AND date BETWEEN DATE '2000-01-01' AND DATE '2000-12-31'
 GROUP BY date
