@@ -126,6 +126,71 @@ def lag_training_frame(df: DataFrame, include_current: bool = True) -> DataFrame
     return out.dropna()
 
 
+# ------------------------------------------------ lag model for test scoring
+
+def horizon_lag_frame(rows: DataFrame, horizon: int, lags=(1, 7, 14, 28)) -> DataFrame:
+    """Calendar, lag and full-window rolling features that only look at rows
+    at least ``horizon`` rows back (T9 shifted for scoring, fixes Q21): lag k
+    becomes lag k + horizon - 1 and the rolling windows end ``horizon`` rows
+    back, so every one of the next ``horizon`` unlabeled rows of a series has
+    the same, fully known features as a training row. Rows keep a null target.
+    One shuffle by series; the panel is dense, so row lags are day lags."""
+    shift = horizon - 1
+    w = Window.partitionBy(*SERIES).orderBy("date")
+    d, y = F.col("date"), F.col(TARGET)
+    cols = {"dayofweek": F.weekday(d), "month": F.month(d), "quarter": F.quarter(d), "year": F.year(d),
+            "is_weekend": (F.weekday(d) >= 5).cast("int")}
+    cols.update({f"{TARGET}_lag_{k + shift}": F.lag(y, k + shift).over(w) for k in lags})
+    for n in (7, 14):
+        wn = w.rowsBetween(-(shift + n), -(shift + 1))
+        cols[f"rolling_mean_{n}"] = F.when(F.count(y).over(wn) == n, F.avg(y).over(wn))
+    w7 = w.rowsBetween(-(shift + 7), -(shift + 1))
+    cols["rolling_std_7"] = F.when(F.count(y).over(w7) == 7, F.stddev_samp(y).over(w7))
+    return rows.withColumns(cols)
+
+
+def horizon_feature_names(horizon: int, lags=(1, 7, 14, 28)) -> list[str]:
+    return (["dayofweek", "month", "quarter", "year", "is_weekend"]
+            + [f"{TARGET}_lag_{k + horizon - 1}" for k in lags]
+            + ["rolling_mean_7", "rolling_mean_14", "rolling_std_7"])
+
+
+def prepend_history(train_rows: DataFrame, test_rows: DataFrame) -> DataFrame:
+    """Training rows prepended to the unlabeled rows (U3): columns aligned by
+    name, the target null on test rows."""
+    return train_rows.unionByName(test_rows, allowMissingColumns=True)
+
+
+def scoring_frame(features: DataFrame, horizon: int) -> DataFrame:
+    """Test rows with horizon-safe lag features computed over train + test
+    (U3 -> T9). Only rows without a full history are dropped, never rows for
+    their missing target (fixes Q21)."""
+    train = features.where(F.col("dataset_split") == "train").select(*SERIES, "date", F.col(TARGET).cast("double"))
+    test = features.where(F.col("dataset_split") == "test").select("id", *SERIES, "date")
+    frame = horizon_lag_frame(prepend_history(train, test), horizon)
+    return frame.where(F.col("id").isNotNull()).dropna(subset=horizon_feature_names(horizon))
+
+
+def fit_lag_model(features: DataFrame, val_start: str, horizon: int, **gbt_params) -> tuple[PipelineModel, DataFrame]:
+    """Boosted trees on the horizon-safe lag frame of the training rows
+    (T9, T10): validation rows from ``val_start`` on are the watch set.
+    Returns the fitted pipeline and the training frame."""
+    names = horizon_feature_names(horizon)
+    rows = features.where(F.col("dataset_split") == "train").select(*SERIES, "date", F.col(TARGET).cast("double"))
+    frame = (horizon_lag_frame(rows, horizon).dropna(subset=names + [TARGET])
+             .withColumn("label", F.col(TARGET))
+             .withColumn("is_val", F.col("date") >= F.lit(val_start).cast("date")))
+    pipe = Pipeline(stages=[VectorAssembler(inputCols=names, outputCol="features"), gbt(**gbt_params)])
+    return pipe.fit(frame), frame
+
+
+def score_lag_model(model: PipelineModel, features: DataFrame, horizon: int) -> DataFrame:
+    """Predictions for the unlabeled test rows (T16): date, store, family,
+    predicted_sales clipped at zero (S10 layout) and the row id."""
+    pred = model.transform(scoring_frame(features, horizon))
+    return pred.select("id", "date", *SERIES, clip_zero(F.col("prediction")).alias("predicted_sales"))
+
+
 # ------------------------------------------------------------ boosted trees
 
 def gbt(max_iter: int = 300, max_depth: int = 8, step: float = 0.05, subsample: float = 0.8,

@@ -814,6 +814,48 @@ def q_t16(spark, d):
     return ml.score_test(_pipe(spark, d).features, model, m)
 
 
+# Horizon of the test split (days); scoring lags start here.
+_HORIZON = 16
+_LAG_COLS = ("sales_lag_16", "sales_lag_22", "sales_lag_29", "sales_lag_43",
+             "rolling_mean_7", "rolling_mean_14", "rolling_std_7")
+
+
+@register("u3_t9_scoring_frame", """
+WITH u AS (
+  SELECT store_nbr, family, date, CAST(sales AS DOUBLE) AS sales, CAST(NULL AS BIGINT) AS id
+  FROM features WHERE dataset_split = 'train'
+  UNION ALL
+  SELECT store_nbr, family, date, CAST(NULL AS DOUBLE), id FROM features WHERE dataset_split = 'test'),
+f AS (
+  SELECT id, store_nbr, family, date, sales,
+    CAST(isodow(date) - 1 AS INTEGER) AS dayofweek, CAST(month(date) AS INTEGER) AS month,
+    CAST(quarter(date) AS INTEGER) AS quarter, CAST(year(date) AS INTEGER) AS year,
+    CAST(isodow(date) >= 6 AS INTEGER) AS is_weekend,
+    lag(sales, 16) OVER w AS sales_lag_16, lag(sales, 22) OVER w AS sales_lag_22,
+    lag(sales, 29) OVER w AS sales_lag_29, lag(sales, 43) OVER w AS sales_lag_43,
+    CASE WHEN count(sales) OVER w7 = 7 THEN avg(sales) OVER w7 END AS rolling_mean_7,
+    CASE WHEN count(sales) OVER w14 = 14 THEN avg(sales) OVER w14 END AS rolling_mean_14,
+    CASE WHEN count(sales) OVER w7 = 7 THEN stddev_samp(sales) OVER w7 END AS rolling_std_7
+  FROM u WINDOW w AS (PARTITION BY store_nbr, family ORDER BY date),
+    w7 AS (PARTITION BY store_nbr, family ORDER BY date ROWS BETWEEN 22 PRECEDING AND 16 PRECEDING),
+    w14 AS (PARTITION BY store_nbr, family ORDER BY date ROWS BETWEEN 29 PRECEDING AND 16 PRECEDING))
+SELECT * FROM f WHERE id IS NOT NULL AND sales_lag_16 IS NOT NULL AND sales_lag_22 IS NOT NULL
+  AND sales_lag_29 IS NOT NULL AND sales_lag_43 IS NOT NULL AND rolling_mean_7 IS NOT NULL
+  AND rolling_mean_14 IS NOT NULL AND rolling_std_7 IS NOT NULL
+""", ("sales",) + _LAG_COLS)
+def q_u3(spark, d):
+    from ..operators import ml
+    return ml.scoring_frame(_pipe(spark, d).features, _HORIZON)
+
+
+@register("t10_t16_lag_model_predictions")
+def q_t16_lag(spark, d):
+    from ..operators import ml
+    feats = _pipe(spark, d).features
+    model, _ = ml.fit_lag_model(feats, VAL_START, _HORIZON, **GBT_QUERY_PARAMS)
+    return ml.score_lag_model(model, feats, _HORIZON)
+
+
 @register("t7_param_search")
 def q_t7(spark, d):
     from ..operators import ml

@@ -89,3 +89,23 @@ def test_gbt_split_importance_counts(spark):
     model = ml.gbt(max_iter=3, max_depth=2, validation_col=None, subsample=1.0, col_sample="all").fit(m)
     imp = {r.feature: r.importance for r in ml.split_count_importance(model, ["a", "b"], spark).collect()}
     assert imp["a"] > 0 and set(imp) == {"a", "b"}
+
+
+def test_lag_model_scores_every_test_row(spark):
+    from shelfcast.operators import ml
+
+    start = dt.date(2001, 1, 1)
+    rows = []
+    for store in (1, 2):
+        for i in range(216):
+            d = start + dt.timedelta(days=i)
+            split = "train" if i < 200 else "test"
+            sales = float(10 * store + (20 if d.weekday() == 5 else 0)) if split == "train" else None
+            rows.append((store * 1000 + i, d, split, store, "A", sales))
+    feats = spark.createDataFrame(rows, "id long, date date, dataset_split string, store_nbr int, family string,"
+                                        " sales double")
+    model, _ = ml.fit_lag_model(feats, "2001-06-01", 16, max_iter=30, max_depth=4)
+    pred = ml.score_lag_model(model, feats, 16).toPandas()
+    assert len(pred) == 32 and pred["predicted_sales"].notna().all()
+    pred["truth"] = [10 * s + (20 if d.weekday() == 5 else 0) for s, d in zip(pred["store_nbr"], pred["date"])]
+    assert (pred["predicted_sales"] - pred["truth"]).abs().max() < 2.0
