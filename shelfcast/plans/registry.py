@@ -848,7 +848,7 @@ def q_u3(spark, d):
     return ml.scoring_frame(_pipe(spark, d).features, _HORIZON)
 
 
-@register("t10_t16_lag_model_predictions")
+@register("t16_lag_model_predictions")
 def q_t16_lag(spark, d):
     from ..operators import ml
     feats = _pipe(spark, d).features
