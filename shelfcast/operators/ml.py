@@ -8,6 +8,7 @@ recurrent nets: scale, window, fit, clip, score)."""
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
@@ -263,10 +264,14 @@ def load_pipeline(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
-def param_search(matrix: DataFrame, grid: list[dict], n_splits: int = 5) -> DataFrame:
+def param_search(matrix: DataFrame, grid: list[dict], n_splits: int = 5, parallelism: int = 4) -> DataFrame:
     """Expanding-window folds over the rows in date order (W11) x parameter
     grid; mean RMSLE per parameter set; the first strictly smallest wins (T7).
-    Returns one row per parameter set with ``best`` marking the winner."""
+    Returns one row per parameter set with ``best`` marking the winner.
+
+    Each fit is a distributed job; the independent (parameters, fold) fits
+    are submitted from ``parallelism`` driver threads so the cluster runs
+    them side by side (as ``CrossValidator(parallelism=...)`` does)."""
     spark = matrix.sparkSession
     # total order (date, store, family): offsets per date, row numbers inside
     # a date, so no window ever holds more than one day of rows
@@ -274,16 +279,22 @@ def param_search(matrix: DataFrame, grid: list[dict], n_splits: int = 5) -> Data
     # (lineage cut; a lost executor does not re-run the feature plan)
     indexed = stage(global_row_index(matrix, ["store_nbr", "family"], ["date"]), "folds")
     n = indexed.count()
+    tasks = [(pos, params, lo, hi) for pos, params in enumerate(grid)
+             for _, lo, hi in expanding_folds(n, n_splits)]
+
+    def fold_rmsle(task) -> float:
+        _, params, lo, hi = task
+        tr = indexed.where(F.col("row_index") < lo).withColumn("is_val", F.lit(False))
+        va = indexed.where((F.col("row_index") >= lo) & (F.col("row_index") < hi))
+        m = gbt(validation_col=None, **params).fit(tr)
+        return evaluate_predictions(m.transform(va)).first()["rmsle"]
+
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        scores = list(pool.map(fold_rmsle, tasks))  # in task order
     results = []
     for pos, params in enumerate(grid):
-        scores = []
-        for fold, lo, hi in expanding_folds(n, n_splits):
-            tr = indexed.where(F.col("row_index") < lo).withColumn("is_val", F.lit(False))
-            va = indexed.where((F.col("row_index") >= lo) & (F.col("row_index") < hi))
-            m = gbt(validation_col=None, **params).fit(tr)
-            r = evaluate_predictions(m.transform(va)).first()
-            scores.append(r["rmsle"])
-        results.append((pos, str(params), float(sum(scores) / len(scores))))
+        mine = [sc for (p, *_), sc in zip(tasks, scores) if p == pos]
+        results.append((pos, str(params), float(sum(mine) / len(mine))))
     df = spark.createDataFrame(results, "position int, params string, mean_rmsle double")
     best = df.agg(F.min_by("position", F.struct("mean_rmsle", "position")).alias("_b"))
     return df.crossJoin(best).withColumn("best", F.col("position") == F.col("_b")).drop("_b")
