@@ -83,3 +83,19 @@ def test_sequence_windows_stay_inside_series(spark):
     df = _daily(spark, 5).unionByName(_daily(spark, 5, store=2))
     out = series.sequence_windows(df, ["sales"], "sales", 3)
     assert out.count() == 4  # 2 per series, none crossing
+
+
+def test_global_row_index_matches_total_order(spark):
+    import itertools
+
+    rows = [(dt.date(2015, 1, 1) + dt.timedelta(days=d), s, f, 1.0)
+            for d, s, f in itertools.product(range(5), (3, 1, 2), ("B", "A"))]
+    df = spark.createDataFrame(rows, "date date, store_nbr int, family string, sales double")
+    for order, partition in ((["store_nbr", "family"], ["date"]), (["date"], ["store_nbr", "family"]),
+                             (["store_nbr"], ["family", "date"])):
+        got = {(r.date, r.store_nbr, r.family): r.row_index
+               for r in series.global_row_index(df, order, partition).collect()}
+        key = partition + order
+        want = {(r[0], r[1], r[2]): i for i, r in enumerate(
+            sorted(rows, key=lambda r: tuple(r[["date", "store_nbr", "family"].index(c)] for c in key)))}
+        assert got == want, (order, partition)
