@@ -27,6 +27,8 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.common import checked_broadcast
+
 # --- fixed values (must stay as they are for results to match) -------------
 FAMILIES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
 HOLIDAY_TYPES = ["Holiday", "Event", "Additional", "Bridge", "Work Day", "Transfer"]
@@ -216,7 +218,8 @@ def holidays_view(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.year("date") % 3 == 0).alias("transferred"),
     )
     region = _table(spark, sf_dir, "region", "r_regionkey", "r_name")
-    regional = dates.join(F.broadcast(region), F.dayofmonth("date") == region.r_regionkey + 1).select(
+    # region and nation are dimension tables; broadcast behind a counted bound
+    regional = dates.join(checked_broadcast(region), F.dayofmonth("date") == region.r_regionkey + 1).select(
         "date",
         F.element_at(types, month % 6 + 1).alias("type"),
         F.lit("Regional").alias("locale"),
@@ -227,7 +230,7 @@ def holidays_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = _table(spark, sf_dir, "nation", "n_nationkey", "n_name")
     local = (
         dates.where(month % 4 == 0)
-        .join(F.broadcast(nation), F.dayofmonth("date") == nation.n_nationkey % 28 + 1)
+        .join(checked_broadcast(nation), F.dayofmonth("date") == nation.n_nationkey % 28 + 1)
         .select(
             "date",
             F.lit("Holiday").alias("type"),
