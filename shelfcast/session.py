@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -82,3 +83,22 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = f"{base.rstrip('/')}/stage-{name}-{uuid.uuid4().hex[:12]}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors' Python workers, once per Spark
+    context. Functions that run inside tasks are pickled by reference, so a
+    worker started from another folder has to be able to import them."""
+    sc = spark.sparkContext
+    if getattr(sc, "_shelfcast_shipped", False):
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(tempfile.mkdtemp(prefix="shelfcast-zip-"), "shelfcast.zip")
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(package):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    z.write(path, os.path.relpath(path, os.path.dirname(package)))
+    sc.addPyFile(target)
+    sc._shelfcast_shipped = True
