@@ -2,11 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
 
-from . import ranking, weak_rules
+
+from . import bpe_trie, packing, ranking, token_files, weak_rules
 from .common import documents, fold, stage
 
+#: The vocabulary files; their folder is not part of this repository.
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+
+
+def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.write_and_read(documents(spark, sf_dir), BYTE_BPE)
+
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     stats = stage(weak_rules.document_stats(documents(spark, sf_dir)), "rule-stats")
@@ -22,9 +32,20 @@ def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranking.score_documents(docs, ranker).select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
+def op9_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_trie.encode_decode(documents(spark, sf_dir), WORD_BPE)
+
+
+def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(documents(spark, sf_dir), WORD_BPE)
+
+
 QUERIES = {
+    "op1_token_files": op1_token_files,
     "op5_quality_rules": op5_quality_rules,
     "op7_quality_classifier": op7_quality_classifier,
+    "op9_bpe_codec": op9_bpe_codec,
+    "op10_best_fit_packing": op10_best_fit_packing,
 }
 
 ORACLE: dict[str, str] = {}

@@ -82,41 +82,45 @@ def document_stats(docs: DataFrame) -> DataFrame:
 
 
 def votes() -> dict[str, Column]:
-    """The rules, as columns over the statistics."""
-    def rule(bad: Column, good: Column) -> Column:
-        return F.when(F.col("n_words") == 0, 0).when(bad, -1).when(good, 1).otherwise(0)
-
+    """The rules, as columns over the statistics. A fault rule votes bad or
+    abstains, the last two vote good or abstain."""
     c, n = F.col, F.col("n_words")
+
+    def vote(condition: Column, value: int) -> Column:
+        return F.when((n > 0) & condition, value).otherwise(0)
+
     return {
-        "symbols": rule(c("n_symbols") > 0.3 * n, c("n_symbols") <= 0.05 * n),
-        "dup_lines": rule(c("n_dup_lines") > 0.3 * c("n_lines"), (c("n_dup_lines") == 0) & (c("n_lines") >= 3)),
-        "repeats": rule(c("n_repeat_words") > 0.2 * n, c("n_repeat_words") <= 0.02 * n),
-        "word_length": rule((c("word_chars") > 14 * n) | (c("word_chars") < 2 * n), c("word_chars").between(3 * n, 10 * n)),
-        "capitals": rule(c("n_upper") > 0.4 * c("word_chars"), c("n_upper") <= 0.15 * c("word_chars")),
-        "bangs": rule(c("n_bangs") > 0.3 * n, c("n_bangs") <= 0.05 * n),
-        "variety": rule((n >= 20) & (c("n_distinct") < 0.15 * n) & (n < 2000), (n >= 20) & (c("n_distinct") > 0.3 * n)),
+        "symbols": vote(c("n_symbols") > 0.2 * n, -1),
+        "dup_lines": vote(c("n_dup_lines") > 0.3 * c("n_lines"), -1),
+        "repeats": vote(c("n_repeat_words") > 0.15 * n, -1),
+        "word_length": vote((c("word_chars") > 14 * n) | (c("word_chars") < 2 * n), -1),
+        "shouting": vote((c("n_upper") > 0.3 * c("word_chars")) | (c("n_bangs") > 0.2 * n), -1),
+        "few_symbols": vote((c("n_symbols") + c("n_bangs") <= 0.05 * n) & (c("n_upper") <= 0.15 * c("word_chars")), 1),
+        "varied": vote((c("n_repeat_words") <= 0.05 * n) & (c("n_dup_lines") <= 0.1 * c("n_lines")), 1),
     }
 
 
-def fit_em(patterns: np.ndarray, counts: np.ndarray, rounds: int = 50, trust: float = 0.2) -> np.ndarray:
+def fit_em(patterns: np.ndarray, counts: np.ndarray, rounds: int = 100, trust: float = 0.02) -> np.ndarray:
     """The posterior probability of good for each vote pattern (rows of -1, 0,
-    1). ``trust`` is the weight, as a share of the documents, of the prior that
-    a rule that votes is right four times out of five; it fixes which of the
-    two classes means good."""
+    1). Each rule has, in each class, a probability of each of its three
+    outcomes. ``trust`` is the weight, as a share of the documents, of the prior
+    that good documents draw good votes and few bad ones, and bad documents the
+    other way about; it fixes which of the two classes means good."""
     if not len(counts):
         return np.zeros(0)
     total = counts.sum()
-    posterior = 1 / (1 + np.exp(-patterns.sum(1).astype(float)))
+    posterior = 1 / (1 + np.exp(-2 * patterns.sum(1).astype(float)))
     voted = {v: patterns == v for v in (-1, 0, 1)}
+    # Prior outcome shares (bad, abstain, good) of a rule by class.
+    priors = {True: (0.02, 0.49, 0.49), False: (0.4, 0.5, 0.1)}
     for _ in range(rounds):
-        good, bad = counts * posterior, counts * (1 - posterior)
-        log_odds = np.full(len(counts), np.log((good.sum() + 0.7 * trust * total) / (bad.sum() + 0.3 * trust * total)))
-        for weights, right, sign in ((good, 1, 1), (bad, -1, -1)):
-            cells = {v: voted[v].T @ weights for v in (-1, 0, 1)}
-            votes_cast = cells[-1] + cells[1] + trust * total + 1
-            for v in (-1, 1):
-                prior = (0.8 if v == right else 0.2) * trust * total + 0.5
-                log_odds += sign * (voted[v] * np.log((cells[v] + prior) / votes_cast)).sum(1)
+        weight = {True: counts * posterior, False: counts * (1 - posterior)}
+        log_odds = np.full(len(counts), np.log((weight[True].sum() + 0.7 * trust * total) / (weight[False].sum() + 0.3 * trust * total)))
+        for good, sign in ((True, 1), (False, -1)):
+            size = weight[good].sum() + trust * total
+            for v, prior in zip((-1, 0, 1), priors[good]):
+                share = (voted[v].T @ weight[good] + prior * trust * total) / size
+                log_odds += sign * (voted[v] * np.log(share)).sum(1)
         new = 1 / (1 + np.exp(-np.clip(log_odds, -40, 40)))
         moved = np.abs(new - posterior).max()
         posterior = new
