@@ -3,10 +3,9 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-
-from . import bpe_trie, packing, ranking, token_files, weak_rules
+from . import bpe_trie, jaccard_join, kd_search, lang_fusion, packing, ranking, token_files, weak_rules
 from .common import documents, fold, stage
 
 #: The vocabulary files; their folder is not part of this repository.
@@ -18,6 +17,10 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.write_and_read(documents(spark, sf_dir), BYTE_BPE)
 
 
+def op2_kd_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kd_search.top_k(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("vec_id") % 20 == 0, k=20)
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     stats = stage(weak_rules.document_stats(documents(spark, sf_dir)), "rule-stats")
     return weak_rules.judge(stats).select(
@@ -25,6 +28,11 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = lang_fusion.fit_text_model(documents(spark, sf_dir))
+    return lang_fusion.identify_pages(spark.read.parquet(f"{sf_dir}/pages.parquet"), model)
+
+
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     held_out = fold("doc_id", 5) == 0
@@ -32,6 +40,10 @@ def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranking.score_documents(docs, ranker).select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
+def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.similar_groups(documents(spark, sf_dir))
+
+
 def op9_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_trie.encode_decode(documents(spark, sf_dir), WORD_BPE)
 
@@ -42,8 +54,11 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_token_files": op1_token_files,
+    "op2_kd_top_k": op2_kd_top_k,
     "op5_quality_rules": op5_quality_rules,
+    "op6_language_id": op6_language_id,
     "op7_quality_classifier": op7_quality_classifier,
+    "op8_ngram_jaccard": op8_ngram_jaccard,
     "op9_bpe_codec": op9_bpe_codec,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
