@@ -24,12 +24,13 @@ import json
 import re
 import unicodedata
 from hashlib import sha256
+from operator import itemgetter
 
 import regex
 from pyspark.sql import DataFrame
 
 from .common import column, map_arrow, texts
-from .tokens import RecentCache, bare_chunks
+from .tokens import RecentCache, bare_chunks, blocks
 
 # Fixed value: the pattern of the vocabulary file's pre-tokenizer.
 PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
@@ -61,7 +62,12 @@ class TrieBPE:
         self.alphabet = byte_alphabet()
         self.apart: dict[tuple[int, int], bool] = {}
         self.whole: dict[int, bool] = {}
-        self.cache = RecentCache(cache)
+        self.cache, self.word_ids = RecentCache(cache), RecentCache(cache)
+        # Where to look for the token that ends after d symbols: any order is
+        # right, as only one token fits; most are of two or three symbols.
+        first = [k for k in (2, 3, 1, 4, 5) if k <= self.longest]
+        lengths = [*first, *(k for k in range(1, self.longest + 1) if k not in first)]
+        self.starts = [[d - k for k in lengths if k <= d] for d in range(self.longest + 1)]
 
     # -- the merge rule, on one or two tokens --------------------------------
 
@@ -104,7 +110,7 @@ class TrieBPE:
     def encode_words(self, words: list[str]) -> dict[str, list[int]]:
         """Token ids of distinct words (byte alphabet, without the end mark)."""
         out: dict[str, list[int]] = {}
-        ids, longest, apart, end = self.ids.get, self.longest, self.apart, END
+        ids, longest, apart, end, starts = self.ids.get, self.longest, self.apart, END, self.starts
         last: list[int] = [0]  # last[d], back[d]: the last token of the prefix of d symbols, and where it begins
         back: list[int] = [0]
         before = ""
@@ -116,7 +122,7 @@ class TrieBPE:
             del last[shared + 1 :], back[shared + 1 :]
             for d in range(shared + 1, n + 1):
                 mark = end if d == n else ""
-                for s in range(max(0, d - longest), d):
+                for s in starts[d] if d <= longest else [d - longest + x for x in starts[longest]]:
                     t = ids(w[s:d] + mark)
                     if t is None:
                         continue
@@ -146,14 +152,12 @@ class TrieBPE:
 
     def words(self, chunk: str) -> list[str]:
         """The words of a chunk without white space or special tokens."""
-        if chunk.isascii():
-            if chunk.isalpha():
-                return [chunk.lower()]
-            return PIECE.findall(chunk.lower())
+        if chunk.isascii() and chunk.isprintable():
+            return [chunk.lower()] if chunk.isalpha() else PIECE.findall(chunk.lower())
         norm = unicodedata.normalize("NFC", chunk)
         norm = "".join(map(str.lower, norm)) if "Σ" in norm else norm.lower()
         return [
-            w if w.isascii() else "".join(map(self.alphabet.__getitem__, w.encode())) for w in PIECE.findall(norm)
+            w if w.isascii() and w.isprintable() else "".join(map(self.alphabet.__getitem__, w.encode())) for w in PIECE.findall(norm)
         ]
 
     def encode_chunks(self, chunks: list[str]) -> dict[str, list[int]]:
@@ -164,7 +168,8 @@ class TrieBPE:
                 split[c] = [x for i, p in enumerate(parts) for x in ([self.special[p]] if i % 2 else self.words(p))]
             else:
                 split[c] = self.words(c)
-        known = self.encode_words(list({w for ws in split.values() for w in ws if type(w) is str}))
+        words = [[w for w in ws if type(w) is str] for ws in split.values()]
+        known = self.word_ids.complete(words, self.encode_words)
         return {c: [t for w in ws for t in (known[w] if type(w) is str else (w,))] for c, ws in split.items()}
 
     def decode(self, ids: list[int]) -> str:
@@ -174,26 +179,18 @@ class TrieBPE:
     def encode(self, batch: list[str]):
         """For each text: the number of tokens, the ids and the decoded text,
         the last two as strings joined by blanks."""
-        lo = 0
-        while lo < len(batch):
-            hi, size = lo, 0
-            while hi < len(batch) and size < 2_000_000:
-                size += len(batch[hi])
-                hi += 1
-            split = [bare_chunks(t) for t in batch[lo:hi]]
-            known, missing = self.cache.pick({c for s in split for c in s})
-            if missing:
-                new = {
-                    c: (len(ids), " ".join(map(str, ids)), self.decode(ids)) for c, ids in self.encode_chunks(missing).items()
-                }
-                known.update(new)
-                self.cache.put({k: v for k, v in new.items() if len(k) <= 40})
+        for block in blocks(batch, 2_000_000):
+            split = [bare_chunks(t) for t in block]
+            known = self.cache.complete(split, self.spelled_chunks)
             for s in split:
-                got = [known[c] for c in s]
-                yield sum(x[0] for x in got), " ".join(x[1] for x in got), " ".join(x[2] for x in got)
-            lo = hi
+                got = list(map(known.__getitem__, s))
+                yield sum(map(_count, got)), " ".join(map(_ids, got)), " ".join(map(_decoded, got))
 
+    def spelled_chunks(self, chunks: list[str]) -> dict[str, tuple[int, str, str]]:
+        return {c: (len(ids), " ".join(map(str, ids)), self.decode(ids)) for c, ids in self.encode_chunks(chunks).items()}
 
+
+_count, _ids, _decoded = map(itemgetter, range(3))
 _MODELS: dict[str, TrieBPE] = {}
 
 

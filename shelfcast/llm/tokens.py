@@ -11,7 +11,8 @@ lookup. The library still makes every id.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Iterator
+import unicodedata
+from collections.abc import Iterator
 
 import numpy as np
 
@@ -20,6 +21,9 @@ WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 LED_CHUNK = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
 BARE_CHUNK = re.compile(f"[^{WHITE}]+")
 UNUSUAL = re.compile(r"[^\S \n]")
+# Fixed value: letters or digits, then ASCII marks other than the apostrophe,
+# which may begin a contraction. Either tokenizer's pattern cuts between the two.
+MARKED = re.compile(r"([^\W_]+)([!-&(-/:-@\[-^`{-~]+)")
 CONTROL_BLANK = re.compile("[\x1c-\x1f]")
 
 
@@ -47,7 +51,7 @@ def led_chunks(text: str) -> list:
             out += words
         return out
     chunks: list = LED_CHUNK.findall(text)
-    if not chunks[0][0].isspace():
+    if chunks[0][0] not in _BLANKS:
         chunks[0] = (chunks[0],)
     return [c[1:] if type(c) is str and c[0] == " " and len(c) > 1 and not BLANK_SECOND.match(c) else c for c in chunks]
 
@@ -56,36 +60,63 @@ BLANK_SECOND = re.compile(f" [{WHITE}]")
 
 
 class RecentCache:
-    """A dictionary of bounded size: entries not asked for during the last
-    ``size`` new ones are forgotten."""
+    """Values by key, of bounded size: entries not asked for during the last
+    ``size`` new ones are forgotten, and long keys at once."""
 
     def __init__(self, size: int):
         self.size, self.young, self.old = size, {}, {}
 
-    def pick(self, keys: Iterable) -> tuple[dict, list]:
-        """The known values of ``keys``, and the keys that are unknown."""
-        found, missing, young, old = {}, [], self.young, self.old
-        for k in keys:
-            v = young.get(k)
-            if v is None:
-                v = old.get(k)
-                if v is None:
-                    missing.append(k)
-                    continue
-                young[k] = v
-            found[k] = v
-        return found, missing
-
-    def put(self, new: dict) -> None:
-        self.young.update(new)
+    def complete(self, keys: list[list], make) -> dict:
+        """A dictionary that holds every key of the lists ``keys``;
+        ``make(list)`` gives the values of the unknown ones. It is good until
+        the next call."""
         if len(self.young) > self.size:
             self.old, self.young = self.young, {}
+        young, old = self.young, self.old
+        missing = set().union(*keys).difference(young)
+        for k in missing.intersection(old) if old else ():
+            young[k] = old[k]
+            missing.discard(k)
+        if missing:
+            new = make(list(missing))
+            long = {k: v for k, v in new.items() if len(k) > 40}
+            if long:
+                for k in long:
+                    del new[k]
+                young.update(new)
+                return _Both(long, young)
+            young.update(new)
+        return young
+
+
+class _Both(dict):
+    """A few values of its own before those of another dictionary."""
+
+    def __init__(self, own: dict, rest: dict):
+        super().__init__(own)
+        self.rest = rest
+
+    def __missing__(self, key):
+        return self.rest[key]
+
+
+def blocks(texts: list[str], size: int) -> Iterator[list[str]]:
+    """The texts in order, in lists of about ``size`` characters."""
+    block, held = [], 0
+    for t in texts:
+        block.append(t)
+        held += len(t)
+        if held >= size:
+            yield block
+            block, held = [], 0
+    if block:
+        yield block
 
 
 class TextEncoder:
     """Ids of whole texts as little-endian unsigned 32-bit bytes."""
 
-    def __init__(self, path: str, byte_level: bool, cache: int = 300_000):
+    def __init__(self, path: str, byte_level: bool, cache: int = 400_000):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -97,53 +128,77 @@ class TextEncoder:
         self.chunks = led_chunks if byte_level else bare_chunks
         self.byte_level = byte_level
         self.cache = RecentCache(cache)
+        names = self.tokenizer.get_vocab(with_added_tokens=False)
+        self.token_bytes = np.zeros(self.tokenizer.get_vocab_size() + 1, np.int64)
+        for name, i in names.items():
+            self.token_bytes[i] = len(name) if byte_level else len(name.removesuffix("</w>"))
+
+    def _alone(self, keys: list, out: dict) -> None:
+        """Chunks that cannot be told apart in a row of chunks, one by one."""
+        lead = " " if self.byte_level else ""
+        spelled = [k[0] if type(k) is tuple else k if k[0] in _BLANKS else lead + k for k in keys]
+        for k, e in zip(keys, self.tokenizer.encode_batch_fast(spelled, add_special_tokens=False)):
+            out[k] = np.array(e.ids, "<u4").tobytes()
 
-    def _spell(self, key) -> str:
-        if type(key) is tuple:
-            return key[0]
-        return " " + key if self.byte_level and key[0] not in _BLANKS else key
+    def _bytes(self, key: str) -> int:
+        """Bytes of the chunk's tokens."""
+        if key.isascii():
+            return len(key) + self.byte_level
+        if self.byte_level:
+            return len(key.encode()) + 1
+        return len("".join(map(str.lower, unicodedata.normalize("NFC", key))).encode())
 
     def encode_chunks(self, keys: list) -> dict:
-        """Ids of each distinct chunk. Chunks that begin with white space (or
-        are set apart by it) are encoded many to a call and told apart by the
-        character offsets of their tokens."""
-        out, row, alone = {}, [], []
+        """Ids of each distinct chunk. Letters before closing marks are a piece
+        of their own, so a chunk of both is put together from its two parts."""
+        young, parts, odd, whole = self.cache.young, {}, [], set()
         for k in keys:
-            s = self._spell(k)
-            # Text starts and white space without a word would run into their neighbours.
-            (alone if self.byte_level and (s[0] not in _BLANKS or s[-1] in _BLANKS) else row).append((k, s))
-        for (k, _), e in zip(alone, self.tokenizer.encode_batch([s for _, s in alone], add_special_tokens=False)):
-            out[k] = np.array(e.ids, "<u4").tobytes()
-        gap = "" if self.byte_level else " "
-        groups = [row[i : i + 400] for i in range(0, len(row), 400)]
-        for group, e in zip(groups, self.tokenizer.encode_batch([gap.join(s for _, s in g) for g in groups], add_special_tokens=False)):
-            ends = np.cumsum([len(s) + len(gap) for _, s in group])
-            starts = np.fromiter((o[0] for o in e.offsets), np.int64, len(e.ids))
-            cut = np.searchsorted(starts, ends) * 4
-            ids, lo = np.array(e.ids, "<u4").tobytes(), 0
-            for (k, _), hi in zip(group, cut.tolist()):
-                out[k] = ids[lo:hi]
-                lo = hi
+            if type(k) is tuple or k[0] in _BLANKS or "<|" in k:
+                odd.append(k)
+                continue
+            m = MARKED.fullmatch(k) if self.byte_level or "İ" not in k else None  # its lower case ends in a mark
+            base, tail = m.groups() if m else (k, "")
+            if not self.byte_level and base.isascii():
+                base = base.lower()
+            parts[k] = base, tail
+            if base not in young:
+                whole.add(base)
+            if tail and (tail,) not in young:
+                odd.append((tail,))
+        out: dict = {}
+        self._alone(odd, out)
+        self._rows(list(whole), out)
+        for k, (base, tail) in parts.items():
+            ids = out.get(base) or young[base]
+            out[k] = ids + (out.get((tail,)) or young[(tail,)]) if tail else ids
         return out
 
+    def _rows(self, plain: list, out: dict) -> None:
+        """Chunks of one blank and a word, encoded many to a call and told apart
+        by the bytes that their tokens cover."""
+        for lo in range(0, len(plain), 400):
+            group = plain[lo : lo + 400]
+            row = (" " if self.byte_level else "") + " ".join(group)
+            ids = np.array(self.tokenizer.encode_batch_fast([row], add_special_tokens=False)[0].ids, "<u4")
+            ends = np.cumsum(np.fromiter(map(self._bytes, group), np.int64, len(group)))
+            covered = np.cumsum(self.token_bytes[ids])
+            cut = np.searchsorted(covered, ends)
+            if not len(ids) or cut[-1] >= len(ids) or not np.array_equal(covered[cut], ends):
+                self._alone(group, out)
+                continue
+            raw, at = ids.tobytes(), 0
+            for k, end in zip(group, (4 * cut + 4).tolist()):
+                out[k] = raw[at:end]
+                at = end
+
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         """Ids of each text, in order. Texts are handled in blocks of about a
         million characters, so memory does not grow with the list."""
-        lo = 0
-        while lo < len(texts):
-            hi, size = lo, 0
-            while hi < len(texts) and size < 1_000_000:
-                size += len(texts[hi])
-                hi += 1
-            split = [self.chunks(t) for t in texts[lo:hi]]
-            known, missing = self.cache.pick({c for s in split for c in s})
-            if missing:
-                new = self.encode_chunks(missing)
-                known.update(new)
-                self.cache.put({k: v for k, v in new.items() if len(k) <= 40})
+        for block in blocks(texts, 1_000_000):
+            split = [self.chunks(t) for t in block]
+            known = self.cache.complete(split, self.encode_chunks)
             for s in split:
                 yield b"".join(map(known.__getitem__, s))
-            lo = hi
 
 
 _BLANKS = frozenset(c for c in map(chr, range(0x3001)) if LED_CHUNK.match(c) and not BARE_CHUNK.match(c))
