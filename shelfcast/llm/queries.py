@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe_trie, jaccard_join, kd_search, lang_fusion, packing, ranking, token_files, weak_rules
+from . import bpe_trie, jaccard_join, kd_search, lang_fusion, packing, ranking, suffix_dedup, token_files, weak_rules
 from .common import documents, fold, stage
 
 #: The vocabulary files; their folder is not part of this repository.
@@ -21,6 +21,10 @@ def op2_kd_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kd_search.top_k(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("vec_id") % 20 == 0, k=20)
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(documents(spark, sf_dir))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     stats = stage(weak_rules.document_stats(documents(spark, sf_dir)), "rule-stats")
     return weak_rules.judge(stats).select(
@@ -55,6 +59,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_token_files": op1_token_files,
     "op2_kd_top_k": op2_kd_top_k,
+    "op3_suffix_dedup": op3_suffix_dedup,
     "op5_quality_rules": op5_quality_rules,
     "op6_language_id": op6_language_id,
     "op7_quality_classifier": op7_quality_classifier,
