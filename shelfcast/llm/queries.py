@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe_trie, jaccard_join, kd_search, lang_fusion, packing, ranking, suffix_dedup, token_files, weak_rules
+from . import bpe_trie, jaccard_join, kd_search, lang_fusion, packing, ranking, suffix_dedup, token_files, toxicity, weak_rules
 from .common import documents, fold, stage
 
 #: The vocabulary files; their folder is not part of this repository.
@@ -25,6 +25,13 @@ def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(documents(spark, sf_dir))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    held_out = fold("doc_id", 3) == 1
+    net = toxicity.fit_from_labels(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), ~held_out)
+    return toxicity.score_documents(docs, net).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     stats = stage(weak_rules.document_stats(documents(spark, sf_dir)), "rule-stats")
     return weak_rules.judge(stats).select(
@@ -60,6 +67,7 @@ QUERIES = {
     "op1_token_files": op1_token_files,
     "op2_kd_top_k": op2_kd_top_k,
     "op3_suffix_dedup": op3_suffix_dedup,
+    "op4_toxicity": op4_toxicity,
     "op5_quality_rules": op5_quality_rules,
     "op6_language_id": op6_language_id,
     "op7_quality_classifier": op7_quality_classifier,
