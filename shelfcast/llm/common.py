@@ -16,8 +16,12 @@ from ..session import ensure_checkpoint_dir
 BATCH_ROWS = 1000
 
 
-def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
@@ -81,3 +85,24 @@ def fold(key: str, n: int):
 def split_u64(values: np.ndarray, n: int) -> np.ndarray:
     """Bucket 0..n-1 of each 64-bit hash, from its high bits."""
     return ((values >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32)
+
+
+#: Ids that a filter drops are broadcast up to this many (16 MB); beyond it they
+#: meet the documents by a shuffle.
+BROADCAST_IDS = 1_000_000
+
+
+def without_ids(docs: DataFrame, dropped: DataFrame) -> DataFrame:
+    """``docs`` without the rows whose doc_id is in ``dropped`` (staged, one
+    column ``doc_id``). Rows with a null doc_id stay."""
+    ids = dropped.where("doc_id IS NOT NULL").distinct()
+    if dropped.count() <= BROADCAST_IDS:
+        ids = F.broadcast(ids)
+    return docs.join(ids, "doc_id", "left_anti").select(*docs.columns)
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores before it until no column of ``df`` has it."""
+    while name.lower() in {c.lower() for c in df.columns}:
+        name = "_" + name
+    return name

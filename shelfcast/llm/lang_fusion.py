@@ -124,11 +124,10 @@ def text_evidence(rows: DataFrame, model: TextModel, is_page: bool) -> DataFrame
     })
 
 
-def softmax(values: list[Column]) -> list[Column]:
-    top = F.greatest(*values) if len(values) > 1 else values[0]
-    powers = [F.exp(v - top) for v in values]
-    total = sum(powers[1:], powers[0])
-    return [p / total for p in powers]
+def softmax(logs: Column) -> Column:
+    """An array of logarithms as shares."""
+    powers = F.transform(logs, lambda x: F.exp(x - F.array_max(logs)))
+    return F.transform(powers, lambda x: x / F.aggregate(powers, F.lit(0.0), lambda s, y: s + y))
 
 
 def fuse(scored: DataFrame, languages: tuple[str, ...]) -> DataFrame:
@@ -140,48 +139,47 @@ def fuse(scored: DataFrame, languages: tuple[str, ...]) -> DataFrame:
             "id", "host", "declared", F.lit(None).cast("string").alias("text_lang"),
             F.lit(None).cast("string").alias("lang"), F.lit(0.0).alias("posterior"), F.lit(False).alias("accepted"),
         )
-    p = [f"p{i}" for i in range(n)]
-    rows = scored.select("id", "host", "domain", "suffix", "declared", "ll")
-    rows = rows.withColumns(dict(zip(p, softmax([F.col("ll")[i] for i in range(n)]))))
+    rows = scored.select("id", "host", "domain", "suffix", "declared", "ll", softmax(F.col("ll")).alias("p"))
 
-    # The language mix of the whole table: one row, by the driver.
-    whole = rows.agg(*(F.sum(c).alias(c) for c in p)).collect()[0]
-    mass = np.array([whole[c] or 0.0 for c in p]) + 1.0
-    share = mass / mass.sum()
+    def total() -> Column:
+        return F.array(*(F.sum(F.col("p")[i]) for i in range(n)))
 
-    def sums(key: str) -> DataFrame:
-        return rows.where(F.col(key).isNotNull()).groupBy(key).agg(
-            *(F.sum(c).alias(f"{key}_{c}") for c in p), F.count("*").alias(f"{key}_n")
-        )
+    # The language mix of the whole table: one row, by the driver.
+    whole = rows.agg(total().alias("s")).collect()[0].s
+    mass = np.array([x or 0.0 for x in whole]) + 1.0
+    share = F.array(*(F.lit(float(x)) for x in mass / mass.sum()))
 
     out = rows
     for key in ("host", "domain", "suffix", "declared"):
-        out = out.join(sums(key), key, "left")
-    zero = F.lit(0.0)
-    logs = []
-    for i in range(n):
-        def got(key, loo):
-            return F.greatest(F.coalesce(F.col(f"{key}_p{i}") - (F.col(f"p{i}") if loo else zero), zero), zero)
-
-        def rest(key):
-            return F.coalesce(F.col(f"{key}_n") - 1, zero)
-
-        domain = (got("domain", True) + SMOOTH * float(share[i])) / (rest("domain") + SMOOTH)
-        host = (got("host", True) + SMOOTH * domain) / (rest("host") + SMOOTH)
-        # How often a suffix or declaration goes with the language, next to how
-        # often any does: its likelihood up to a factor shared by all languages.
-        seen = [
-            (got(key, False) + SMOOTH * float(share[i])) / (F.coalesce(F.col(f"{key}_n"), zero) + SMOOTH) / float(share[i])
-            for key in ("suffix", "declared")
-        ]
-        logs.append(F.col("ll")[i] + F.log(host) + F.log(seen[0]) + F.log(seen[1]))
-    post = softmax(logs)
-    best, text_best = F.greatest(*post) if n > 1 else post[0], F.array_max("ll")
-    name = F.coalesce(*(F.when(x == best, F.lit(languages[i])) for i, x in enumerate(post)))
-    text_name = F.coalesce(*(F.when(F.col("ll")[i] == text_best, F.lit(x)) for i, x in enumerate(languages)))
-    return out.select(
-        "id", "host", "declared", F.when(F.array_min("ll") < 0, text_name).alias("text_lang"),
-        name.alias("lang"), best.alias("posterior"), (best >= ACCEPT).alias("accepted"),
+        sums = rows.where(F.col(key).isNotNull()).groupBy(key).agg(total().alias(f"{key}_s"), F.count("*").alias(f"{key}_n"))
+        out = out.join(sums, key, "left")
+    none = F.array_repeat(F.lit(0.0), n)
+
+    def mixed(key: str, own: Column | None, above: Column) -> Column:
+        """The key's language mix, without the row's own part if that is given,
+        smoothed towards ``above``."""
+        total = F.coalesce(F.col(f"{key}_s"), none)
+        rows_there = F.coalesce(F.col(f"{key}_n"), F.lit(0))
+        if own is not None:
+            total = F.zip_with(total, own, lambda s, x: F.greatest(s - x, F.lit(0.0)))
+            rows_there = F.greatest(rows_there - 1, F.lit(0))
+        return F.zip_with(total, above, lambda s, x: (s + SMOOTH * x) / (rows_there + SMOOTH))
+
+    prior = mixed("host", F.col("p"), mixed("domain", F.col("p"), share))
+    # How often a suffix or declaration goes with the language, next to how often
+    # any does: its likelihood up to a factor shared by all languages.
+    seen = [F.zip_with(mixed(key, None, share), share, lambda x, y: x / y) for key in ("suffix", "declared")]
+    logs = F.col("ll")
+    for factor in (prior, *seen):
+        logs = F.zip_with(logs, factor, lambda x, y: x + F.log(y))
+    names = F.array(*map(F.lit, languages))
+    fused = out.select("id", "host", "declared", "ll", logs.alias("logs"))
+    best = 1 / F.aggregate("logs", F.lit(0.0), lambda s, x: s + F.exp(x - F.array_max("logs")))
+    return fused.select(
+        "id", "host", "declared",
+        F.when(F.array_min("ll") < 0, F.element_at(names, F.array_position("ll", F.lit(0.0)).cast("int"))).alias("text_lang"),
+        F.element_at(names, F.array_position("logs", F.array_max("logs")).cast("int")).alias("lang"),
+        best.alias("posterior"), (best >= ACCEPT).alias("accepted"),
     )
 
 

@@ -38,10 +38,11 @@ from hashlib import sha256
 from itertools import groupby
 
 import numpy as np
+import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .common import column, map_arrow, stage
+from .common import column, free_name, map_arrow, stage
 from .exchange import by_bucket, decode, encode, gather, task_count
 
 LENGTH = 100
@@ -496,15 +497,14 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """``docs`` with what is left of each text. Bytes of a character that was
     cut in two go too, as a text holds whole characters."""
-    spans = repeated_spans(docs, length).select(F.col("doc_id").alias("_doc"), F.col("spans").alias("_spans"))
-    joined = docs.join(spans, docs["doc_id"] == F.col("_doc"), "left").drop("_doc")
+    doc, found = (free_name(docs, n) for n in ("_doc", "_spans"))
+    spans = repeated_spans(docs, length).select(F.col("doc_id").alias(doc), F.col("spans").alias(found))
+    joined = docs.join(spans, docs["doc_id"] == F.col(doc), "left")
 
     @F.pandas_udf("string")
-    def kept(text, found):
-        import pandas as pd
-
+    def kept(text: pd.Series, blob: pd.Series) -> pd.Series:
         return pd.Series([
-            t if s is None or t is None else kept_bytes(t.encode(), s)[0].decode(errors="ignore") for t, s in zip(text, found)
+            t if s is None or t is None else kept_bytes(t.encode(), s)[0].decode(errors="ignore") for t, s in zip(text, blob)
         ], dtype=object)
 
-    return joined.withColumn("text", kept("text", "_spans")).drop("_spans")
+    return joined.withColumn("text", kept("text", F.col(found))).select(*docs.columns)
