@@ -1,8 +1,8 @@
 """N-gram Jaccard self-join by token-combination prefixes.
 
 A document is the set of its distinct word shingles, here called tokens. All
-tokens have one order: rare ones first, then frequent ones by how many documents
-hold them. Two sets of similarity t or more share, among the first
+tokens have one order, by how many documents hold them, the fewest first; from
+``FREQUENT_FROM`` documents on a token is frequent, below it is rare. Two sets of similarity t or more share, among the first
 ``n - ceil(t n) + 1 + G`` tokens of each, at least ``1 + G`` tokens. Frequent
 tokens are split into G classes. So two such sets share either a rare token of
 those prefixes, or, if all of the ``1 + G`` are frequent, two of one class. The
@@ -33,13 +33,14 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from .common import column, map_arrow, stage, texts
-from .exchange import by_bucket, decode, gather, task_count
-
-#: A token in at least this many documents may be frequent; at most
-#: ``MOST_FREQUENT`` tokens, the ones in most documents, are. That list is
-#: broadcast: 16 MB at most, whatever the input.
-FREQUENT_FROM = 32
-MOST_FREQUENT = 1 << 20
+from .exchange import by_bucket, decode, encode, gather, task_count
+
+#: Tokens are ordered by their document counts from this count on, and from the
+#: second one on are frequent. At most ``MOST_COUNTED`` tokens, the ones in most
+#: documents, have a known count; that list is broadcast: 32 MB at most, whatever
+#: the input. The others count as held by one document.
+COUNTED_FROM, FREQUENT_FROM = 3, 32
+MOST_COUNTED = 1 << 21
 CLASSES = 16
 #: Up to so many candidate ids are broadcast to the scan of the texts; more are
 #: joined by a shuffle.
@@ -76,9 +77,9 @@ def _short(tokens: np.ndarray) -> np.ndarray:
     return tokens >> np.uint64(24)
 
 
-def frequent_tokens(docs: DataFrame, n: int = 4, least: int = FREQUENT_FROM, most: int = MOST_FREQUENT) -> tuple[np.ndarray, np.ndarray]:
-    """The frequent tokens' 40 bits in order, and the documents that hold each,
-    counted over all documents."""
+def counted_tokens(docs: DataFrame, n: int = 4, least: int = COUNTED_FROM, most: int = MOST_COUNTED) -> tuple[np.ndarray, np.ndarray]:
+    """The 40 bits in order of tokens that several documents hold, and how many
+    do, counted over all documents."""
     parts = task_count(docs)
     buckets = 4 * parts
 
@@ -100,33 +101,46 @@ def frequent_tokens(docs: DataFrame, n: int = 4, least: int = FREQUENT_FROM, mos
             yield flush()
 
     def total(bucket, blobs):
+        """A blob for each power of two of the count, so that a lower bound can
+        be chosen before anything is read."""
         cols = [decode(x, 2) for x in blobs]
         v = np.concatenate([c[0] for c in cols])
         kinds, at = np.unique(v, return_inverse=True)
         df = np.bincount(at, np.concatenate([c[1] for c in cols]).astype(float)).astype(np.int64)
-        keep = df >= least
-        yield {"token": kinds[keep].astype(np.int64), "df": df[keep]}
+        level = np.where(df >= least, np.log2(np.maximum(df, 1)).astype(np.int64), -1)
+        for k in np.unique(level[level >= 0]).tolist():
+            here = level == k
+            yield {"level": [k], "tokens": [int(here.sum())], "blob": [encode(kinds[here], df[here])]}
 
     dealt = map_arrow(docs, ["text"], "bucket int, blob binary", count)
-    found = gather(dealt, parts, "token long, df long", total).orderBy(F.desc("df"), "token").limit(most).collect()
-    token = np.array([r.token for r in found], np.uint64)
+    counted = stage(gather(dealt, parts, "level int, tokens long, blob binary", total), "counted")
+    room, lowest = most, 64
+    for r in sorted(counted.groupBy("level").agg(F.sum("tokens").alias("n")).collect(), reverse=True):
+        room -= r.n
+        if room < 0:
+            break
+        lowest = r.level
+    held = [decode(r.blob, 2) for r in counted.where(F.col("level") >= lowest).select("blob").toLocalIterator()]
+    if not held:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int32)
+    token, df = (np.concatenate(c) for c in zip(*held))
     order = np.argsort(token)
-    return token[order], np.array([r.df for r in found], np.int64)[order]
+    return token[order], df[order].astype(np.int32)
 
 
-def index_keys(tokens: np.ndarray, frequent: tuple[np.ndarray, np.ndarray], percent: int, classes: int = CLASSES) -> tuple[np.ndarray, np.ndarray, int]:
+def index_keys(tokens: np.ndarray, counted: tuple[np.ndarray, np.ndarray], percent: int, classes: int = CLASSES, frequent_from: int = FREQUENT_FROM) -> tuple[np.ndarray, np.ndarray, int]:
     """The single keys and the pair keys of a set, and its count of rare tokens."""
     n = len(tokens)
     if not n:
         return tokens, tokens, 0
-    known, counts = frequent
+    known, counts = counted
     df = np.zeros(n, np.int64)
     if len(known):
         at = np.minimum(np.searchsorted(known, _short(tokens)), len(known) - 1)
         df = np.where(known[at] == _short(tokens), counts[at], 0)
     order = np.lexsort((tokens, df))
     tokens, df = tokens[order], df[order]
-    rare = int((df == 0).sum())
+    rare = int((df < frequent_from).sum())
     plain = n - (percent * n + 99) // 100 + 1
     # From this size on, sets that link share more than ``classes`` tokens.
     enough = -(-(100 * classes + 1) // percent)
@@ -134,7 +148,7 @@ def index_keys(tokens: np.ndarray, frequent: tuple[np.ndarray, np.ndarray], perc
     if percent * n <= 100 * enough:
         singles.append(tokens[:plain])
     if n >= enough:
-        prefix, often = tokens[: plain + classes], df[: plain + classes] > 0
+        prefix, often = tokens[: plain + classes], df[: plain + classes] >= frequent_from
         singles.append(prefix[~often])
         if often.sum() > classes:
             some = np.sort(prefix[often])
@@ -150,8 +164,8 @@ def index_keys(tokens: np.ndarray, frequent: tuple[np.ndarray, np.ndarray], perc
     return np.unique(np.concatenate(singles)) if singles else tokens[:0], pairs, rare
 
 
-def _signatures(docs: DataFrame, frequent, percent: int, n: int) -> DataFrame:
-    spread = docs.sparkSession.sparkContext.broadcast(frequent)
+def _signatures(docs: DataFrame, counted, percent: int, n: int) -> DataFrame:
+    spread = docs.sparkSession.sparkContext.broadcast(counted)
 
     def run(batches):
         known = spread.value
@@ -172,31 +186,37 @@ def _signatures(docs: DataFrame, frequent, percent: int, n: int) -> DataFrame:
 
 
 def _groups(sets: DataFrame, parts: int) -> DataFrame:
-    """gid, paired, cid, n, rare of every index group of two or more sets.
-    Groups of the same members within a bucket are listed once."""
+    """gid, paired, cid of every index group of two or more sets. Groups of the
+    same members within a bucket are listed once."""
     buckets = 4 * parts
 
     def keys(batches):
-        for b in batches:
-            cols = {k: [] for k in ("key", "cid", "n", "rare")}
-            for cid, n, rare, singles, pairs in zip(*(column(b, c) for c in ("cid", "n", "rare", "singles", "pairs"))):
-                # The lowest bit tells single tokens from pairs.
-                s = np.frombuffer(singles, np.uint64) & ~np.uint64(1)
-                p = np.frombuffer(pairs, np.uint64) | np.uint64(1)
-                k = np.concatenate([s, p])
-                cols["key"].append(k)
-                for name, v in (("cid", cid), ("n", n), ("rare", rare)):
-                    cols[name].append(np.full(len(k), v, np.uint64))
-            key, cid, n, rare = (np.concatenate(v) for v in cols.values())
+        def flush():
+            key, cid = (np.concatenate(v) for v in zip(*held))
             order = np.argsort(key, kind="stable")
             key = key[order]
-            bucket = ((key >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
-            yield by_bucket(bucket, key, cid[order], n[order], rare[order])
+            return by_bucket((key * np.uint64(buckets)) >> np.uint64(48), key, cid[order])
+
+        held, size = [], 0
+        for b in batches:
+            for cid, singles, pairs in zip(*(column(b, c) for c in ("cid", "singles", "pairs"))):
+                # 48 bits of each key, of which the lowest tells pairs from
+                # single tokens. Keys that fall together only add candidates.
+                s = np.frombuffer(singles, np.uint64) >> np.uint64(16) & ~np.uint64(1)
+                p = np.frombuffer(pairs, np.uint64) >> np.uint64(16) | np.uint64(1)
+                k = np.concatenate([s, p])
+                held.append((k, np.full(len(k), cid, np.uint64)))
+                size += len(k)
+            if size >= _FLUSH:
+                yield flush()
+                held, size = [], 0
+        if held:
+            yield flush()
 
     def members(bucket, blobs):
-        key, cid, n, rare = (np.concatenate(v) for v in zip(*(decode(x, 4) for x in blobs)))
+        key, cid = (np.concatenate(v) for v in zip(*(decode(x, 2) for x in blobs)))
         order = np.lexsort((cid, key))
-        key, cid, n, rare = key[order], cid[order], n[order], rare[order]
+        key, cid = key[order], cid[order]
         first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
         size = np.diff(np.append(first, len(key)))
         seen, starts = set(), []
@@ -209,13 +229,10 @@ def _groups(sets: DataFrame, parts: int) -> DataFrame:
             some = starts[block : block + 10_000]
             at = np.concatenate([np.arange(lo, lo + m) for lo, m in some])
             gid = np.repeat(np.arange(block, block + len(some)), [m for _, m in some]) + (bucket << 40)
-            yield {
-                "gid": gid, "paired": (key[at] & np.uint64(1)).astype(bool), "cid": cid[at].astype(np.int64),
-                "n": n[at].astype(np.int64), "rare": rare[at].astype(np.int64),
-            }
+            yield {"gid": gid, "paired": (key[at] & np.uint64(1)).astype(bool), "cid": cid[at].astype(np.int64)}
 
-    dealt = map_arrow(sets, ["cid", "n", "rare", "singles", "pairs"], "bucket int, blob binary", keys)
-    return gather(dealt, parts, "gid long, paired boolean, cid long, n long, rare long", members)
+    dealt = map_arrow(sets, ["cid", "singles", "pairs"], "bucket int, blob binary", keys)
+    return gather(dealt, parts, "gid long, paired boolean, cid long", members)
 
 
 def _token_sets(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
@@ -238,7 +255,8 @@ def _token_sets(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """a, b, shared, either (sizes of intersection and union), linked."""
+    """a, b, shared, either (sizes of intersection and union), linked. Identical
+    rows of documents bring a set twice; so much the more often it is compared."""
     left = sets.select(F.col("cid").alias("a"), F.col("tokens").alias("ta"))
     right = sets.select(F.col("cid").alias("b"), F.col("tokens").alias("tb"))
     both = pairs.select("a", "b").join(right, "b").join(left, "a")
@@ -274,19 +292,20 @@ def components(links: DataFrame, name: str = "component") -> DataFrame:
 def similar_groups(docs: DataFrame, percent: int = 85, n: int = 4) -> DataFrame:
     """doc_id, n_shingles, component_id of every row."""
     parts = task_count(docs)
-    rows = _signatures(docs, frequent_tokens(docs, n), percent, n)
+    rows = _signatures(docs, counted_tokens(docs, n), percent, n)
     linked = rows.where("doc_id IS NOT NULL AND n > 0")
     classes = stage(linked.groupBy("fp1", "fp2").agg(F.min("row").alias("cid")), "classes")
     sets = rows.join(classes, ["fp1", "fp2"]).where("row = cid")
-    groups = stage(_groups(sets, parts), "groups")
+    facts = sets.select("cid", "doc_id", "fp1", "fp2", "n", "rare")
+    groups = stage(_groups(sets, parts), "members")
+    wanted = stage(groups.select("cid").distinct().join(facts, "cid"), "wanted")
+    groups = stage(groups.join(wanted.select("cid", "n", "rare"), "cid"), "groups")
 
     # Round one: every member of a group against its hub.
     hub = F.min(F.struct("rare", "cid")).alias("hub")
     stars = groups.join(groups.groupBy("gid").agg(hub), "gid").select(F.col("cid").alias("a"), F.col("hub.cid").alias("b"))
     stars = stage(stars.where("a != b").distinct(), "stars")
-    named = sets.select("cid", "doc_id", "fp1", "fp2")
-    wanted = stage(groups.select("cid").distinct().join(named, "cid"), "wanted")
-    tokens = stage(_token_sets(docs, wanted, n).dropDuplicates(["cid"]), "token-sets")
+    tokens = stage(_token_sets(docs, wanted.select("cid", "doc_id", "fp1", "fp2"), n), "token-sets")
     checked = stage(_verified(stars, tokens, percent), "checked")
     label = components(checked.where("linked"))
 

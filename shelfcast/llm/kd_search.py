@@ -200,11 +200,12 @@ def top_k(embeddings: DataFrame, is_query, k: int = 20) -> DataFrame:
         for d in first:
             ids = np.concatenate([i for w, i, _ in asked if w == d] or [np.zeros(0, np.int64)])
             x = np.concatenate([v for w, _, v in asked if w == d] or [np.zeros((0, d))])
-            for n, lo in enumerate(range(0, len(ids), BLOCK_ROWS)):
+            for lo in range(0, len(ids), BLOCK_ROWS):
+                shards += 1
                 block, qs = ids[lo : lo + BLOCK_ROWS], x[lo : lo + BLOCK_ROWS]
                 best = Best(len(block), k, np.full(len(block), -np.inf))
                 search(first[d], block, qs, best)
-                yield row("block", n, d, block, qs, best.kth)
+                yield row("block", shards, d, block, qs, best.kth)
 
     before = spark.conf.get(batch_rows)
     cells = stage(map_arrow(rows, ["vec_id", "embedding", "is_query"], "kind string, number long, width int, ids binary, x binary, floor binary", cut), "kd-shards")
