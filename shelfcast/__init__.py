@@ -8,7 +8,6 @@ operators/  DataFrame -> DataFrame operators (cleaning, features, quality,
             series, forecasting, evaluation, ML)
 plans/      end-to-end jobs composed from operators (feature pipeline,
             backtests, submission) and the query registry
-streaming/  intentionally empty: every source is a bounded table
 """
 
 __version__ = "0.1.0"

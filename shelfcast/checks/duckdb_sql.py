@@ -13,7 +13,7 @@ _TYPES = "[" + ", ".join(f"'{t}'" for t in HOLIDAY_TYPES) + "]"
 
 
 def _id(d: str, s: str, f: str) -> str:
-    return (f"CAST(CAST(({d} - DATE '{ID_EPOCH}') AS BIGINT) * 1000 + CAST({s} AS BIGINT) * 10"
+    return (f"CAST(CAST(({d} - DATE '{ID_EPOCH}') AS BIGINT) * 1000000000 + CAST({s} AS BIGINT) * 1000"
             f" + (list_position({_FAM}, {f}) - 1) AS BIGINT)")
 
 

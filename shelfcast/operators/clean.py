@@ -234,6 +234,7 @@ def oil_counters(oil_clean: DataFrame) -> DataFrame:
 
 # -------------------------------------------------------------- holidays
 
+# The flag column of each holiday type.
 HOLIDAY_FLAGS = {
     "is_holiday": "holiday",
     "is_event": "event",

@@ -99,12 +99,13 @@ def pivot_matrix(long: DataFrame, row: str = "store_nbr", col: str = "family",
 def metric_matrix_long(results: DataFrame, metric: str = "rmsle", n_families: int = 15,
                        n_stores: int = 15) -> DataFrame:
     """Store x family metric matrix (A11, L6): the ``n_families`` families with
-    the lowest mean metric, the first ``n_stores`` stores in index order, long
+    the lowest mean metric, of their rows the first ``n_stores`` stores, long
     form (store_nbr, family, value). Both selections are top-k reports."""
     fam = (results.groupBy("family").agg(F.avg(metric).alias("_m"))
            .orderBy("_m", "family").limit(n_families).select("family"))
-    sto = results.select("store_nbr").distinct().orderBy("store_nbr").limit(n_stores)
-    cells = results.join(F.broadcast(fam), "family", "left_semi").join(F.broadcast(sto), "store_nbr", "left_semi")
+    kept = results.join(F.broadcast(fam), "family", "left_semi")  # at most n_families rows
+    sto = kept.select("store_nbr").distinct().orderBy("store_nbr").limit(n_stores)
+    cells = kept.join(F.broadcast(sto), "store_nbr", "left_semi")
     return cells.groupBy("store_nbr", "family").agg(F.avg(metric).alias("value"))
 
 
@@ -236,6 +237,8 @@ def extended_metric_table(pairs: DataFrame, group: list[str] | None = None) -> D
 
 def compare_models(model_metrics: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Long comparison table and the best model (T17); needs two models."""
+    if model_metrics.select("model").distinct().limit(2).count() < 2:
+        raise ValueError("a comparison needs at least two models")
     return metrics_long(model_metrics), best_model(model_metrics)
 
 

@@ -15,6 +15,7 @@ from ..functions.text import pipe_piece_count
 from .clean import HOLIDAY_FLAGS, Cleaned
 from .common import checked_broadcast, one_row
 
+# Join keys and output columns in order.
 JOIN_KEYS = ["date", "store_nbr", "family"]
 
 HOLIDAY_FILL_ZERO = ["holiday_count", "is_national_holiday", "is_regional_holiday",

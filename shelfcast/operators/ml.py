@@ -19,10 +19,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.metrics import clip_zero, error_aggregates
-from ..session import checkpoint_dir, stage
+from ..session import ensure_checkpoint_dir, stage
 from .series import SERIES, expanding_folds, global_row_index, lag_features, rolling_features, sequence_windows
 
 TARGET = "sales"
+# Columns that are never model inputs.
 FEATURE_EXCLUDE = {"id", "date", "dataset_split", "sales", "holiday_names", "store_family_key"}
 
 
@@ -119,7 +120,8 @@ def lag_training_frame(df: DataFrame, include_current: bool = True) -> DataFrame
     full windows (the original includes the current target; pass False for an
     honest frame), rows with any null dropped."""
     d = F.col("date")
-    out = df.select(*SERIES, "date", TARGET).withColumns({
+    kept = [c for c in ("onpromotion",) if c in df.columns]
+    out = df.select(*SERIES, "date", TARGET, *kept).withColumns({
         "dayofweek": F.weekday(d), "month": F.month(d), "quarter": F.quarter(d), "year": F.year(d),
         "is_weekend": (F.weekday(d) >= 5).cast("int"),
     })
@@ -127,6 +129,25 @@ def lag_training_frame(df: DataFrame, include_current: bool = True) -> DataFrame
     return out.dropna()
 
 
+# The columns that the lag trainer one-hot encodes.
+LAG_CATEGORICAL = ("store_nbr", "family", "dayofweek", "month")
+
+
+def lag_matrix(frame: DataFrame, train_share: float = 0.8) -> tuple[DataFrame, PipelineModel, list[str]]:
+    """Model matrix of the lag frame: one-hot store, family, weekday and month
+    beside the numeric columns; ``is_val`` marks the rows after the first
+    ``train_share`` in date order (the positional split)."""
+    num = [f.name for f in frame.schema.fields
+           if f.name not in (*LAG_CATEGORICAL, "date", TARGET) and not isinstance(f.dataType, T.StringType)]
+    rows = frame.withColumns({f"{c}_key": F.col(c).cast("string") for c in LAG_CATEGORICAL})
+    rows = rows.withColumns({c: F.col(c).cast("double") for c in num}).withColumn("label", F.col(TARGET).cast("double"))
+    model = tabular_pipeline(num, [f"{c}_key" for c in LAG_CATEGORICAL]).fit(rows)
+    indexed = global_row_index(model.transform(rows), list(SERIES), ["date"])
+    n = F.broadcast(rows.agg(F.floor(F.count(F.lit(1)) * train_share).alias("_cut")))
+    matrix = indexed.crossJoin(n).withColumn("is_val", F.col("row_index") >= F.col("_cut")).drop("_cut")
+    return matrix, model, expanded_names(model, num, [f"{c}_key" for c in LAG_CATEGORICAL])
+
+
 # ------------------------------------------------ lag model for test scoring
 
 def horizon_lag_frame(rows: DataFrame, horizon: int, lags=(1, 7, 14, 28)) -> DataFrame:
@@ -174,15 +195,15 @@ def scoring_frame(features: DataFrame, horizon: int) -> DataFrame:
 
 def fit_lag_model(features: DataFrame, val_start: str, horizon: int, **gbt_params) -> tuple[PipelineModel, DataFrame]:
     """Boosted trees on the horizon-safe lag frame of the training rows
-    (T9, T10): validation rows from ``val_start`` on are the watch set.
-    Returns the fitted pipeline and the training frame."""
+    (T9, T10): rows from ``val_start`` on are held out for validation.
+    Returns the fitted pipeline and the whole frame."""
     names = horizon_feature_names(horizon)
     rows = features.where(F.col("dataset_split") == "train").select(*SERIES, "date", F.col(TARGET).cast("double"))
     frame = (horizon_lag_frame(rows, horizon).dropna(subset=names + [TARGET])
              .withColumn("label", F.col(TARGET))
              .withColumn("is_val", F.col("date") >= F.lit(val_start).cast("date")))
     pipe = Pipeline(stages=[VectorAssembler(inputCols=names, outputCol="features"), gbt(**gbt_params)])
-    return pipe.fit(frame), frame
+    return pipe.fit(frame.where(~F.col("is_val"))), frame
 
 
 def score_lag_model(model: PipelineModel, features: DataFrame, horizon: int) -> DataFrame:
@@ -195,14 +216,22 @@ def score_lag_model(model: PipelineModel, features: DataFrame, horizon: int) ->
 # ------------------------------------------------------------ boosted trees
 
 def gbt(max_iter: int = 300, max_depth: int = 8, step: float = 0.05, subsample: float = 0.8,
-        col_sample: str = "0.8", seed: int = 42, validation_col: str | None = "is_val") -> GBTRegressor:
-    """Squared-error boosted trees with a validation watch column."""
-    g = GBTRegressor(featuresCol="features", labelCol="label", maxIter=max_iter, maxDepth=max_depth,
-                     stepSize=step, subsamplingRate=subsample, featureSubsetStrategy=col_sample, seed=seed,
-                     lossType="squared")
-    if validation_col:
-        g = g.setValidationIndicatorCol(validation_col)
-    return g
+        col_sample: str = "0.8", seed: int = 42) -> GBTRegressor:
+    """Squared-error boosted trees (T10). Every round is kept: the original's
+    watch set is only logged, so it must not stop the fit early."""
+    return GBTRegressor(featuresCol="features", labelCol="label", maxIter=max_iter, maxDepth=max_depth,
+                        stepSize=step, subsamplingRate=subsample, featureSubsetStrategy=col_sample, seed=seed,
+                        lossType="squared")
+
+
+def fit_gbt(matrix: DataFrame, **gbt_params):
+    """Boosted trees on the rows of the matrix before the validation period."""
+    return gbt(**gbt_params).fit(matrix.where(~F.col("is_val")))
+
+
+def validation_curve(model, matrix: DataFrame) -> list[float]:
+    """Squared error on the validation rows after each round: the watch log."""
+    return list(model.evaluateEachIteration(matrix.where("is_val"), "squared"))
 
 
 def evaluate_predictions(pred: DataFrame, group: str | None = None) -> DataFrame:
@@ -213,18 +242,18 @@ def evaluate_predictions(pred: DataFrame, group: str | None = None) -> DataFrame
 
 
 def split_metrics(model, matrix: DataFrame) -> DataFrame:
-    """Train and validation metric rows (split, rmsle, mae, rmse)."""
+    """Train and validation metric rows (split, rmsle, mae, rmse, n_trees)."""
     pred = model.transform(matrix).withColumn("split", F.when(F.col("is_val"), "validation").otherwise("train"))
-    return evaluate_predictions(pred, "split").select("split", "rmsle", "mae", "rmse")
+    return evaluate_predictions(pred, "split").select("split", "rmsle", "mae", "rmse", F.lit(model.getNumTrees).alias("n_trees"))
 
 
 def split_count_importance(model, feature_names: list[str], spark: SparkSession) -> DataFrame:
     """Number of splits per feature across all trees (T11), every feature
     listed (missing -> 0, J11), ordered by importance (L4). The counts come
     from the saved ensemble's node table, aggregated by Spark."""
-    base = checkpoint_dir(spark)
+    base = ensure_checkpoint_dir(spark)
     if not base:
-        raise RuntimeError("split counts need a checkpoint folder to save the model")
+        raise RuntimeError("set spark.checkpoint.dir: split counts need a shared folder to save the model")
     path = f"{base.rstrip('/')}/gbt-{uuid.uuid4().hex[:12]}"
     model.write().overwrite().save(path)
     nodes = spark.read.parquet(f"{path}/data")
@@ -284,9 +313,9 @@ def param_search(matrix: DataFrame, grid: list[dict], n_splits: int = 5, paralle
 
     def fold_rmsle(task) -> float:
         _, params, lo, hi = task
-        tr = indexed.where(F.col("row_index") < lo).withColumn("is_val", F.lit(False))
+        tr = indexed.where(F.col("row_index") < lo)
         va = indexed.where((F.col("row_index") >= lo) & (F.col("row_index") < hi))
-        m = gbt(validation_col=None, **params).fit(tr)
+        m = gbt(**params).fit(tr)
         return evaluate_predictions(m.transform(va)).first()["rmsle"]
 
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:

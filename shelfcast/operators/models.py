@@ -70,9 +70,10 @@ def _integrate(y: np.ndarray, zf: np.ndarray, d: int, D: int, s: int) -> np.ndar
 
 
 def seasonal_ar_forecast(y: np.ndarray, horizon: int, s: int = 7,
-                         grid: list[tuple[int, int, int, int]] | None = None) -> tuple[np.ndarray, tuple, float, float]:
+                         grid: list[tuple[int, int, int, int]] | None = None) -> tuple[np.ndarray, tuple, float, np.ndarray]:
     """Best (p, d, P, D) by AIC = n ln(RSS/n) + 2k on a common sample, then a
-    recursive forecast. Returns (forecast, order, aic, residual std)."""
+    recursive forecast. Returns (forecast, order, aic, standard error of each
+    step)."""
     grid = grid or list(itertools.product([0, 1, 2], [0, 1], [0, 1], [0, 1]))
     max_loss = max(d + D * s + max(p, P * s) for p, d, P, D in grid)
     best = None
@@ -103,7 +104,18 @@ def seasonal_ar_forecast(y: np.ndarray, horizon: int, s: int = 7,
         zf.append(v)
         z.append(v)
     fc = _integrate(y, np.array(zf), d, D, s)
-    return np.maximum(fc, 0.0), (p, d, P, D), float(aic), sd
+    # The spread grows with the step: each innovation runs on through the
+    # recursion and the integration by these weights.
+    impulse = np.zeros(horizon)
+    for h in range(horizon):
+        impulse[h] = (h == 0) + sum(c * impulse[h - lag] for c, lag in zip(coef[1:], lags) if h >= lag)
+    for _ in range(d):
+        impulse = np.cumsum(impulse)
+    for _ in range(D):
+        for h in range(s, horizon):
+            impulse[h] += impulse[h - s]
+    spread = sd * np.sqrt(np.cumsum(impulse**2))
+    return np.maximum(fc, 0.0), (p, d, P, D), float(aic), spread
 
 
 def _seasonal_naive(y: np.ndarray, horizon: int, s: int) -> np.ndarray:
@@ -126,13 +138,13 @@ def sarima_forecasts(frame: DataFrame, val_start: str, test_start: str, s: int =
         y = hist["sales"].to_numpy(dtype=float)
         label, aic = "seasonal_naive", float("nan")
         if np.ptp(y) == 0:
-            fc, sd = _seasonal_naive(y, len(fut), s), 0.0
+            fc, sd = _seasonal_naive(y, len(fut), s), np.zeros(len(fut))
         else:
             try:
                 fc, order, aic, sd = seasonal_ar_forecast(y, len(fut), s)
                 label = "ar(p={},d={})(P={},D={})[{}]".format(*order, s)
             except ValueError:
-                fc, sd = _seasonal_naive(y, len(fut), s), 0.0
+                fc, sd = _seasonal_naive(y, len(fut), s), np.zeros(len(fut))
         return pd.DataFrame({
             "store_nbr": pdf["store_nbr"].iloc[0], "family": pdf["family"].iloc[0], "date": fut["date"].values,
             "yhat": fc, "yhat_lower": np.maximum(fc - 1.96 * sd, 0), "yhat_upper": fc + 1.96 * sd,
@@ -161,12 +173,14 @@ def _design(t: np.ndarray, doy: np.ndarray, dow: np.ndarray, changepoints: np.nd
 def additive_forecasts(frame: DataFrame, val_start: str, test_start: str,
                        regressors: tuple[str, ...] = ("onpromotion", "oil_price", "transactions"),
                        holidays: tuple[str, ...] = ("is_holiday", "is_event", "is_additional", "is_bridge"),
-                       n_changepoints: int = 25, changepoint_penalty: float = 1.0 / 0.05,
-                       seasonality_penalty: float = 1.0 / 10.0, z: float = 1.96) -> DataFrame:
+                       n_changepoints: int = 25, changepoint_scale: float = 0.05,
+                       seasonality_scale: float = 10.0, z: float = 1.96) -> DataFrame:
     """Additive model per series (T14): trend with hinge changepoints over the
     first 80 % of the history, weekly and yearly Fourier seasonality, holiday
     indicators, regressors (absent -> 0, future gaps forward/back filled),
-    fitted by ridge regression where the prior scales become penalties."""
+    fitted by ridge regression. A coefficient's penalty is the noise variance
+    over its squared prior scale, so a longer history outweighs the prior; the
+    variance is taken from the residuals of the fit before."""
     vs, ts = pd.Timestamp(val_start).date(), pd.Timestamp(test_start).date()
     cols = list(regressors) + list(holidays)
     present = [c for c in cols if c in frame.columns]
@@ -192,10 +206,15 @@ def additive_forecasts(frame: DataFrame, val_start: str, test_start: str,
         Xh, Xf = X[: len(hist)], X[len(hist):]
         y = hist["sales"].to_numpy(dtype=float)
         scale = max(np.abs(y).max(), 1.0)
-        pen = np.zeros(X.shape[1])
-        pen[2: 2 + len(cps)] = changepoint_penalty
-        pen[2 + len(cps):] = seasonality_penalty
-        coef = np.linalg.solve(Xh.T @ Xh + np.diag(pen) * len(hist), Xh.T @ (y / scale)) * scale
+        prior = np.zeros(X.shape[1])  # one over the squared scale; none for level and slope
+        prior[2: 2 + len(cps)] = changepoint_scale ** -2
+        prior[2 + len(cps):] = seasonality_scale ** -2
+        variance = 0.01
+        for _ in range(8):
+            lhs = Xh.T @ Xh + np.diag(variance * prior + 1e-10)
+            coef = np.linalg.solve(lhs, Xh.T @ (y / scale))
+            variance = max(float(np.mean((y / scale - Xh @ coef) ** 2)), 1e-12)
+        coef = coef * scale
         resid_sd = float(np.std(y - Xh @ coef))
         yhat = Xf @ coef
         return pd.DataFrame({

@@ -83,6 +83,7 @@ def quality_report(raw: dict[str, DataFrame], cleaned: dict[str, DataFrame],
     return out
 
 
+# Grain and keys of the sources.
 LINEAGE_SOURCES = [
     ("train", "date x store_nbr x family", ["id"], ["date", "store_nbr", "family"]),
     ("test", "date x store_nbr x family", ["id"], ["date", "store_nbr", "family"]),
@@ -92,16 +93,15 @@ LINEAGE_SOURCES = [
     ("transactions", "date x store_nbr", [], ["date", "store_nbr"]),
 ]
 
-LINEAGE_STEPS = [
-    "type dates and fields; normalize text fields to lower-case canonical form",
-    "densify train to the full date x store_nbr x family grid; fill missing sales/promotion with 0; "
-    "keep is_generated_row",
-    "reindex oil to the full date range; linear interpolation and edge fills; change and moving averages",
-    "drop transferred holidays; map national/regional/local rules to store level",
-    "reindex transactions to the full date x store_nbr grid; fill 0; keep the missing marker",
-    "join stores, oil, transactions and holiday features into integrated_dataset",
-    "derive calendar, promotion, store and group-statistic features into feature_dataset",
-]
+def lineage_steps() -> list[tuple[str, str]]:
+    """(operator, what it does) of the feature run, from the operators' own
+    docstrings."""
+    from . import clean, features
+
+    ran = (clean.standardize, clean.build_train_grid, clean.clean_oil, clean.clean_holidays,
+           clean.build_holiday_store_features, clean.build_transactions_frame, features.integrate, features.build_features)
+    return [(f.__name__, " ".join((f.__doc__ or "").split("\n\n")[0].split())) for f in ran]
+
 
 LINEAGE_OUTPUTS = [
     ("integrated_dataset", "date x store_nbr x family x split"),
@@ -117,6 +117,6 @@ def lineage(spark: SparkSession, source_paths: dict[str, str], output_paths: dic
     schema = ("kind string, step int, name string, path string, grain string, primary_keys array<string>, "
               "business_keys array<string>, description string")
     rows = [("source", None, n, source_paths.get(n), g, pk, bk, None) for n, g, pk, bk in LINEAGE_SOURCES]
-    rows += [("transformation", i + 1, None, None, None, None, None, s) for i, s in enumerate(LINEAGE_STEPS)]
+    rows += [("transformation", i + 1, name, None, None, None, None, s) for i, (name, s) in enumerate(lineage_steps())]
     rows += [("output", None, n, output_paths.get(n), g, None, None, None) for n, g in LINEAGE_OUTPUTS]
     return spark.createDataFrame(rows, schema)

@@ -1,5 +1,5 @@
 """Feature pipeline (T18): sources -> cleaned tables -> integrated panel ->
-feature table, plus quality report and lineage.
+feature table. ``write_run`` writes them with their quality report and lineage.
 
 The integrated panel is used by the feature step, by the quality profile and
 by the writer; with a checkpoint folder configured it is written once there
@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.clean import Cleaned, standardize
 from ..operators.features import build_features, integrate
-from ..session import ensure_checkpoint_dir, stage
+from ..session import ensure_checkpoint_dir, input_version, stage
 from ..sources.adapter import Sources, load_sources
 
 # Backtest constants for the benchmark tables' calendar.
@@ -95,8 +95,9 @@ _RUNS: dict[tuple, PipelineResult] = {}
 
 
 def pipeline_for(spark: SparkSession, sf_dir: str) -> PipelineResult:
-    """The staged pipeline of ``sf_dir``, built once per session."""
-    key = (spark.sparkContext.applicationId, id(spark), sf_dir.rstrip("/"))
+    """The staged pipeline of ``sf_dir``, built once per session and state of
+    the input files."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), input_version(spark, sf_dir))
     if key not in _RUNS:
         _RUNS[key] = run_staged(spark, sf_dir)
     return _RUNS[key]

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from ..checks.duckdb_sql import sql
 from ..operators import clean, evaluate, features as feat, forecast, quality, series
+from ..session import input_version
 from ..sources.adapter import load_sources
 from .pipeline import TEST_START, VAL_START, pipeline_for
 
@@ -776,10 +777,10 @@ GBT_QUERY_PARAMS = {"max_iter": 20, "max_depth": 6}
 
 def _gbt_fit(spark, d):
     from ..operators import ml
-    key = ("gbt", spark.sparkContext.applicationId, id(spark), d)
+    key = ("gbt", spark.sparkContext.applicationId, d, input_version(spark, d))
     if key not in _FITS:
         matrix, model, names = ml.prepare_tabular(_pipe(spark, d).features, VAL_START, TEST_START)
-        _FITS[key] = (matrix, model, names, ml.gbt(**GBT_QUERY_PARAMS).fit(matrix))
+        _FITS[key] = (matrix, model, names, ml.fit_gbt(matrix, **GBT_QUERY_PARAMS))
     return _FITS[key]
 
 
@@ -924,7 +925,7 @@ def q_a3(spark, d):
 
 @register("a11_metric_matrix", _T4_SQL + """
 , fam AS (SELECT family FROM res GROUP BY family ORDER BY avg(rmsle), family LIMIT 15),
-sto AS (SELECT DISTINCT store_nbr FROM res ORDER BY store_nbr LIMIT 15)
+sto AS (SELECT DISTINCT store_nbr FROM res WHERE family IN (SELECT family FROM fam) ORDER BY store_nbr LIMIT 15)
 SELECT store_nbr, family, avg(rmsle) AS value FROM res
 WHERE family IN (SELECT family FROM fam) AND store_nbr IN (SELECT store_nbr FROM sto) GROUP BY 1, 2
 """, ("value",))

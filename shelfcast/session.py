@@ -41,6 +41,7 @@ def build_session(
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    ship_package(spark)
     return spark
 
 
@@ -74,12 +75,11 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Cut lineage by writing ``df`` as Parquet under the checkpoint folder and
     reading it back. The written table survives executor loss, unlike cached
-    blocks. Without a configured checkpoint folder the plan stays lazy (Spark
-    reuses identical exchanges inside one query)."""
+    blocks. A cluster has to name the shared folder in spark.checkpoint.dir."""
     spark = df.sparkSession
-    base = checkpoint_dir(spark)
+    base = ensure_checkpoint_dir(spark)
     if not base:
-        return df
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     path = f"{base.rstrip('/')}/stage-{name}-{uuid.uuid4().hex[:12]}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
@@ -102,3 +102,15 @@ def ship_package(spark: SparkSession) -> None:
                     z.write(path, os.path.relpath(path, os.path.dirname(package)))
     sc.addPyFile(target)
     sc._shelfcast_shipped = True
+
+
+def input_version(spark: SparkSession, folder: str) -> tuple:
+    """Names, sizes and times of the tables in ``folder`` (and of their parts),
+    in any store that Spark reads: changes when the input does."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    out = []
+    for table in fs.listStatus(path):
+        parts = fs.listStatus(table.getPath()) if table.isDirectory() else [table]
+        out += [(p.getPath().toString(), p.getLen(), p.getModificationTime()) for p in parts]
+    return tuple(sorted(out))

@@ -87,11 +87,14 @@ def _family_ordinal(family: Column) -> Column:
 
 
 def row_id(date: Column, store_nbr: Column, family: Column) -> Column:
-    """Deterministic id of a (date, store, family) row."""
+    """Deterministic id of a (date, store, family) row: slots for 1,000 families
+    and 1,000,000 stores a day. A family outside the list, or a store beyond its
+    slot, fails instead of sharing an id."""
+    ordinal, store = _family_ordinal(family), store_nbr.cast("bigint")
     return (
-        F.datediff(date, F.lit(ID_EPOCH).cast("date")).cast("bigint") * 1000
-        + store_nbr.cast("bigint") * 10
-        + _family_ordinal(family)
+        F.datediff(date, F.lit(ID_EPOCH).cast("date")).cast("bigint") * 1_000_000_000
+        + F.when((store >= 0) & (store < 1_000_000), store).otherwise(F.raise_error(F.lit("store number outside 0..999999"))) * 1000
+        + F.when(ordinal >= 0, ordinal).otherwise(F.raise_error(F.concat(F.lit("unknown family: "), F.coalesce(family, F.lit("null")))))
     ).cast("bigint")
 
 
@@ -148,7 +151,8 @@ def _test_frame(daily: DataFrame, cutoff: DataFrame) -> DataFrame:
     )
     stores = train_part.select("store_nbr").distinct()
     families = train_part.select("family").distinct()
-    grid = stores.crossJoin(families).crossJoin(F.broadcast(days))
+    # row_id fails on a family outside FAMILIES, so there are at most that many
+    grid = stores.crossJoin(F.broadcast(families)).crossJoin(F.broadcast(days))
     actual = daily.select("date", "store_nbr", "family",
                           F.col("sales").alias("_sales"), F.col("onpromotion").alias("_promo"))
     return grid.join(actual, ["date", "store_nbr", "family"], "left").select(

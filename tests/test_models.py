@@ -60,7 +60,38 @@ def test_additive_model_recovers_holiday_effect(spark):
     fc = models.additive_forecasts(df, vs, "2030-01-01", regressors=(), holidays=("is_holiday",))
     j = fc.join(df, ["store_nbr", "family", "date"]).select("yhat", "sales").collect()
     err = max(abs(r.yhat - r.sales) for r in j)
-    assert err < 2.0
+    assert err < 0.2  # 1 % of the effect
+
+
+def test_additive_model_follows_a_trend_break(spark):
+    n = 400
+    t = np.arange(n)
+    y = 100 + 0.5 * np.maximum(t - 200, 0) + 30 * (np.array([(dt.date(2015, 1, 1) + dt.timedelta(days=int(i))).weekday() for i in t]) == 5)
+    df = _series(spark, y)
+    vs = (dt.date(2015, 1, 1) + dt.timedelta(days=380)).isoformat()
+    fc = models.additive_forecasts(df, vs, "2030-01-01", regressors=(), holidays=())
+    j = fc.join(df, ["store_nbr", "family", "date"]).select("yhat", "sales").collect()
+    assert len(j) == 20 and max(abs(r.yhat - r.sales) / r.sales for r in j) < 0.01
+
+
+def test_seasonal_ar_bands_widen_with_the_step():
+    rng = np.random.default_rng(1)
+    walk = np.cumsum(rng.normal(0, 1, 400)) + 100
+    _, _, _, spread = models.seasonal_ar_forecast(walk, 9, 7, grid=[(0, 1, 0, 0)])
+    assert np.allclose(spread / spread[0], np.sqrt(np.arange(1, 10)), rtol=1e-6)
+
+
+def test_boosted_trees_keep_every_round(spark):
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(400, 2))
+    rows = [(float(a), float(b), float(a * b + rng.normal(0, 0.1)), i >= 300) for i, (a, b) in enumerate(x)]
+    df = spark.createDataFrame(rows, "a double, b double, label double, is_val boolean")
+    from pyspark.ml.feature import VectorAssembler
+    m = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(df)
+    model = ml.fit_gbt(m, max_iter=25, max_depth=3)
+    assert model.getNumTrees == 25
+    curve = ml.validation_curve(model, m)
+    assert len(curve) == 25 and curve[-1] < curve[0]
 
 
 def test_vocabulary_fixed_for_test_rows(spark):
@@ -86,7 +117,7 @@ def test_gbt_split_importance_counts(spark):
     df = spark.createDataFrame(rows, "a double, b double, label double")
     from pyspark.ml.feature import VectorAssembler
     m = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(df)
-    model = ml.gbt(max_iter=3, max_depth=2, validation_col=None, subsample=1.0, col_sample="all").fit(m)
+    model = ml.gbt(max_iter=3, max_depth=2, subsample=1.0, col_sample="all").fit(m)
     imp = {r.feature: r.importance for r in ml.split_count_importance(model, ["a", "b"], spark).collect()}
     assert imp["a"] > 0 and set(imp) == {"a", "b"}
 
