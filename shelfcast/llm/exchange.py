@@ -8,10 +8,13 @@ import struct
 from collections.abc import Callable
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from .common import column, map_arrow
 
+#: Rows that a task gathers before it sends them on.
+FLUSH_ROWS = 1_000_000
+
 
 def encode(*columns: np.ndarray) -> bytes:
     """Unsigned 64-bit columns of equal length; the first is in ascending order
@@ -52,19 +55,34 @@ def by_bucket(bucket: np.ndarray, *columns: np.ndarray) -> dict[str, list]:
     }
 
 
-def gather(dealt: DataFrame, parts: int, schema: str, fn: Callable) -> DataFrame:
+def gather(dealt: DataFrame, parts: int, schema: str, fn: Callable, flush: Callable | None = None) -> DataFrame:
     """``fn(bucket, blobs)`` yields batches for each bucket of ``dealt``, with all
-    blobs of the bucket in one task; ``parts`` tasks."""
+    blobs of the bucket in one task; ``parts`` tasks. With ``flush``, it yields
+    tuples of arrays instead, and ``flush(tuples)`` makes a batch of what the
+    task has gathered, so that a task sends a blob to each bucket, not one for
+    each pair of buckets."""
 
     def run(batches):
         held: dict[int, list[bytes]] = {}
         for b in batches:
             for bucket, blob in zip(column(b, "bucket"), column(b, "blob")):
                 held.setdefault(bucket, []).append(blob)
+        ready, size = [], 0
         for bucket in sorted(held):
-            yield from fn(bucket, held.pop(bucket))
-
-    return map_arrow(dealt.repartition(parts, "bucket"), ["bucket", "blob"], schema, run)
+            for out in fn(bucket, held.pop(bucket)):
+                if flush is None:
+                    yield out
+                    continue
+                ready.append(out)
+                size += len(out[0])
+                if size >= FLUSH_ROWS:
+                    yield flush(ready)
+                    ready, size = [], 0
+        if ready:
+            yield flush(ready)
+
+    # Buckets are numbered 0 .. parts - 1 or more; each goes to the task of its number.
+    return map_arrow(dealt.repartitionById(parts, F.pmod("bucket", F.lit(parts)).cast("int")), ["bucket", "blob"], schema, run)
 
 
 def task_count(df: DataFrame) -> int:

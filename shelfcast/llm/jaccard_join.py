@@ -81,7 +81,7 @@ def counted_tokens(docs: DataFrame, n: int = 4, least: int = COUNTED_FROM, most:
     """The 40 bits in order of tokens that several documents hold, and how many
     do, counted over all documents."""
     parts = task_count(docs)
-    buckets = 4 * parts
+    buckets = parts
 
     def count(batches):
         def flush():
@@ -188,7 +188,7 @@ def _signatures(docs: DataFrame, counted, percent: int, n: int) -> DataFrame:
 def _groups(sets: DataFrame, parts: int) -> DataFrame:
     """gid, paired, cid of every index group of two or more sets. Groups of the
     same members within a bucket are listed once."""
-    buckets = 4 * parts
+    buckets = parts
 
     def keys(batches):
         def flush():

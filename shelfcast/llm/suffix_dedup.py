@@ -129,7 +129,7 @@ def _doc_bucket(doc: np.ndarray, n: int) -> np.ndarray:
 def _candidates(docs: DataFrame, parts: int, length: int) -> DataFrame:
     """bucket, blob: (doc, place) of the anchors that may repeat, by document
     bucket; bucket -1 has (hash, count) of the frequent anchors."""
-    buckets = 4 * parts
+    buckets = parts
 
     def report(batches):
         """Anchors met once by this task, and one of each met more often, go to
@@ -171,7 +171,7 @@ def _candidates(docs: DataFrame, parts: int, length: int) -> DataFrame:
     def judge(bucket, blobs):
         if bucket >= buckets:
             for x in blobs:
-                yield {"bucket": [bucket - buckets], "blob": [x]}
+                yield tuple(decode(x, 2))
             return
         h, doc, place, count = (np.concatenate(v) for v in zip(*(decode(x, 4) for x in blobs)))
         order = np.argsort(h, kind="stable")
@@ -180,19 +180,28 @@ def _candidates(docs: DataFrame, parts: int, length: int) -> DataFrame:
         total = np.add.reduceat(count, first)
         many = np.repeat(total, np.diff(np.append(first, len(h)))) > 1
         hot = total >= HOT
-        out = {"bucket": [], "blob": []}
         if hot.any():
-            out = {"bucket": [-1], "blob": [encode(h[first][hot], total[hot])]}
-        d, p = doc[many & (count == 1)], place[many & (count == 1)]
-        if len(d):
-            order = np.lexsort((d, _doc_bucket(d, buckets)))
-            d, p = d[order], p[order]
-            more = by_bucket(_doc_bucket(d, buckets).astype(np.int64), d, p)
-            out = {k: out[k] + more[k] for k in out}
-        yield out
+            yield h[first][hot], total[hot], True
+        yield doc[many & (count == 1)], place[many & (count == 1)]
+
+    def send(found):
+        out = {"bucket": [], "blob": []}
+        for h, total, _ in (x for x in found if len(x) == 3):
+            out["bucket"].append(-1)
+            out["blob"].append(encode(h, total))
+        plain = [x for x in found if len(x) == 2]
+        if not plain:
+            return out
+        d, p = (np.concatenate(c) for c in zip(*plain))
+        if not len(d):
+            return out
+        order = np.lexsort((d, _doc_bucket(d, buckets)))
+        d, p = d[order], p[order]
+        more = by_bucket(_doc_bucket(d, buckets).astype(np.int64), d, p)
+        return {k: out[k] + more[k] for k in out}
 
     dealt = map_arrow(docs, ["doc_id", "text"], "bucket int, blob binary", report)
-    return stage(gather(dealt, parts, "bucket int, blob binary", judge), "anchors")
+    return stage(gather(dealt, parts, "bucket int, blob binary", judge, send), "anchors")
 
 
 def _per_document(dealt: DataFrame, parts: int, schema: str, n_columns: int, make) -> DataFrame:
@@ -371,7 +380,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """doc_id, spans: for each document with a repeated string, (tie, start, end)
     triples as a blob; spans may touch."""
     parts = task_count(docs)
-    buckets = 4 * parts
+    buckets = parts
     known = docs.select("doc_id", "text").where("doc_id IS NOT NULL AND text IS NOT NULL")
     found = _candidates(known, parts, length)
     hot: dict[int, int] = {}
@@ -433,18 +442,23 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     def merge(bucket, blobs):
         if bucket >= buckets:
             for x in blobs:
-                yield {"bucket": [bucket - buckets], "blob": [x]}
+                doc, tie, lo, hi = decode(x, 4)
+                yield doc, tie, lo, hi
             return
         held = []
         for row in settle(merge_runs([front_decode(x) for x in blobs]), length):
             held.append(row)
             if len(held) >= 200_000:
-                yield _spans_by_doc(held, buckets)
+                yield tuple(np.array(c, np.uint64) for c in zip(*held))
                 held = []
-        yield _spans_by_doc(held, buckets)
+        if held:
+            yield tuple(np.array(c, np.uint64) for c in zip(*held))
+
+    def send(found):
+        return _spans_by_doc(list(zip(*(np.concatenate(c).tolist() for c in zip(*found)))), buckets)
 
     runs = map_arrow(joined, ["doc_id", "text", "places"], "bucket int, blob binary", sort_runs)
-    merged = gather(runs, parts, "bucket int, blob binary", merge)
+    merged = gather(runs, parts, "bucket int, blob binary", merge, send)
     return _per_document(merged, parts, "spans", 4, lambda *c: np.stack(c, 1).astype("<u8").tobytes())
 
 
