@@ -13,9 +13,11 @@ from dataclasses import dataclass
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators.clean import Cleaned, standardize
+from ..operators import quality
+from ..operators.clean import Cleaned, standardize, transformation_counters
 from ..operators.features import build_features, integrate
 from ..session import ensure_checkpoint_dir, input_version, stage
+from ..sources import sinks
 from ..sources.adapter import Sources, load_sources
 
 # Backtest constants for the benchmark tables' calendar.
@@ -101,3 +103,19 @@ def pipeline_for(spark: SparkSession, sf_dir: str) -> PipelineResult:
     if key not in _RUNS:
         _RUNS[key] = run_staged(spark, sf_dir)
     return _RUNS[key]
+
+
+def write_run(spark: SparkSession, run: PipelineResult, folder: str) -> dict[str, str]:
+    """The four outputs of a run (T18) under ``folder``: integrated panel,
+    feature table, quality report, lineage. Returns their paths."""
+    c, paths = run.cleaned, {n: f"{folder}/{n}" for n in ("integrated", "features", "quality_report", "lineage")}
+    sinks.write_table(run.integrated, paths["integrated"])
+    sinks.write_table(run.features, paths["features"])
+    cleaned = {"train": c.train, "test": c.test, "oil": c.oil, "holidays": c.holidays,
+               "transactions": c.transactions, "holiday_features": c.holiday_features}
+    report = quality.quality_report(run.sources.as_dict(), cleaned, run.integrated, run.features, transformation_counters(c))
+    sinks.write_json_rows(report, paths["quality_report"])
+    outputs = {"integrated_dataset": paths["integrated"], "feature_dataset": paths["features"],
+               "quality_report": paths["quality_report"], "lineage_metadata": paths["lineage"]}
+    sinks.write_json_rows(quality.lineage(spark, {}, outputs), paths["lineage"])
+    return paths

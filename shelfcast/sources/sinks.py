@@ -15,7 +15,7 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
     """Write a table (S7). CSV gets a header; no index column exists."""
     w = df.write.mode(mode).format(fmt)
     if fmt == "csv":
-        w = w.option("header", True)
+        w = w.option("header", True).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.save(path)
