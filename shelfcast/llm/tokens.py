@@ -176,8 +176,8 @@ class TextEncoder:
     def _rows(self, plain: list, out: dict) -> None:
         """Chunks of one blank and a word, encoded many to a call and told apart
         by the bytes that their tokens cover."""
-        for lo in range(0, len(plain), 400):
-            group = plain[lo : lo + 400]
+        for lo in range(0, len(plain), 64):
+            group = plain[lo : lo + 64]
             row = (" " if self.byte_level else "") + " ".join(group)
             ids = np.array(self.tokenizer.encode_batch_fast([row], add_special_tokens=False)[0].ids, "<u4")
             ends = np.cumsum(np.fromiter(map(self._bytes, group), np.int64, len(group)))
