@@ -76,4 +76,59 @@ QUERIES = {
     "op10_best_fit_packing": op10_best_fit_packing,
 }
 
-ORACLE: dict[str, str] = {}
+#: Models, token ids and file formats are beyond SQL; those queries are tested
+#: against the tokenizers library, brute force or held-out labels.
+ORACLE: dict[str, str] = {
+    "op2_kd_top_k": """
+WITH v AS (
+  SELECT vec_id, min(embedding) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL GROUP BY vec_id),
+w AS (
+  SELECT vec_id, list_transform(e, lambda x: floor(64 * CAST(x AS DOUBLE))) AS e FROM v
+  WHERE len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, b.vec_id AS vec_id,
+    CAST(coalesce(list_sum(list_transform(list_zip(q.e, b.e), lambda p: p[1] * p[2])), 0) AS BIGINT) AS score
+  FROM w q, w b WHERE q.vec_id % 20 = 0 AND q.vec_id <> b.vec_id AND len(q.e) = len(b.e)),
+r AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
+""",
+    "op3_suffix_dedup": """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+n AS (SELECT doc_id, h, CAST(len(h) // 2 AS BIGINT) AS n_bytes FROM d),
+w AS (SELECT doc_id, h, unnest(range(0, greatest(n_bytes - 99, 0))) AS i FROM n),
+k AS (SELECT doc_id, i, md5_number(substr(h, 2 * i + 1, 200)) AS k FROM w),
+f AS (SELECT doc_id, i FROM k QUALIFY row_number() OVER (PARTITION BY k ORDER BY doc_id, i) > 1),
+g AS (SELECT doc_id, i, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 100 THEN 0 ELSE 1 END AS starts FROM f),
+r AS (SELECT doc_id, i, SUM(starts) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM g),
+s AS (SELECT doc_id, run, min(i) AS lo, max(i) + 100 AS hi FROM r GROUP BY doc_id, run),
+p AS (SELECT doc_id, lo, hi, coalesce(lag(hi) OVER (PARTITION BY doc_id ORDER BY lo), 0) AS before FROM s),
+a AS (
+  SELECT p.doc_id, string_agg(substr(h, 2 * before + 1, 2 * (lo - before)), '' ORDER BY lo) AS kept, max(hi) AS last,
+    CAST(SUM(hi - lo) AS BIGINT) AS n_removed, COUNT(*) AS n_spans FROM p JOIN n ON n.doc_id = p.doc_id GROUP BY p.doc_id)
+SELECT n.doc_id, n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  sha256(unhex(coalesce(kept, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM n LEFT JOIN a ON a.doc_id = n.doc_id
+""",
+    "op8_ngram_jaccard": """
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x20\\x09-\\x0D]+') AS words FROM documents),
+s AS (
+  SELECT doc_id, CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 4 THEN [array_to_string(words, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(words) - 2), lambda i: array_to_string(words[i:i + 3], ' '))) END AS tokens
+  FROM w),
+t AS (SELECT doc_id, len(tokens) AS n, unnest(tokens) AS token FROM s),
+o AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, a.n AS nx, b.n AS ny, COUNT(*) AS shared
+  FROM t a JOIN t b ON a.token = b.token AND a.doc_id <> b.doc_id GROUP BY ALL),
+l AS (SELECT x, y FROM o WHERE 100 * shared >= 85 * (nx + ny - shared)),
+r AS (
+  SELECT doc_id, doc_id AS root FROM s
+  UNION
+  SELECT l.x, r.root FROM r JOIN l ON l.y = r.doc_id WHERE r.root < l.x)
+SELECT s.doc_id, CAST(len(s.tokens) AS BIGINT) AS n_shingles, m.component_id
+FROM s JOIN (SELECT doc_id, min(root) AS component_id FROM r GROUP BY doc_id) m ON m.doc_id = s.doc_id
+""",
+}
