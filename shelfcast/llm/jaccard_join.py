@@ -11,10 +11,13 @@ their class, and a set with fewer than ``1 + G`` frequent tokens in its prefix
 needs no pairs. Sets too small for that arithmetic are indexed by the single
 tokens of the plain prefix.
 
-Equal sets are one class. The sets of an index group are not paired with each
-other: each is verified against the group's hub, the set with the fewest rare
-tokens, the verified links are joined to components, and only what could still
-link two components is verified in a second round. What cannot is told by exact
+Equal sets are one class. Sets that meet in small index groups are counted pair
+by pair, and verified if they can share enough of their prefixes: what they share
+in small groups is known, and in others there is no more than either set has
+there. The sets of a large group are not paired with each other: each is verified
+against the group's hub, the set with the fewest rare tokens, the verified links
+are joined to components, and only what could still link two components is
+verified in a second round. What cannot is told by exact
 bounds: the sizes; the distances to a common hub (Jaccard distance obeys the
 triangle inequality); and, for groups of frequent pairs, the counts of rare
 tokens, as sets that share a rare token meet in that token's group.
@@ -128,11 +131,12 @@ def counted_tokens(docs: DataFrame, n: int = 4, least: int = COUNTED_FROM, most:
     return token[order], df[order].astype(np.int32)
 
 
-def index_keys(tokens: np.ndarray, counted: tuple[np.ndarray, np.ndarray], percent: int, classes: int = CLASSES, frequent_from: int = FREQUENT_FROM) -> tuple[np.ndarray, np.ndarray, int]:
-    """The single keys and the pair keys of a set, and its count of rare tokens."""
+def index_keys(tokens: np.ndarray, counted: tuple[np.ndarray, np.ndarray], percent: int, classes: int = CLASSES, frequent_from: int = FREQUENT_FROM) -> tuple[np.ndarray, np.ndarray, int, int]:
+    """The single keys and the pair keys of a set, its count of rare tokens, and
+    how many frequent ones its prefix has."""
     n = len(tokens)
     if not n:
-        return tokens, tokens, 0
+        return tokens, tokens, 0, 0
     known, counts = counted
     df = np.zeros(n, np.int64)
     if len(known):
@@ -144,12 +148,13 @@ def index_keys(tokens: np.ndarray, counted: tuple[np.ndarray, np.ndarray], perce
     plain = n - (percent * n + 99) // 100 + 1
     # From this size on, sets that link share more than ``classes`` tokens.
     enough = -(-(100 * classes + 1) // percent)
-    singles, pairs = [], np.zeros(0, np.uint64)
+    singles, pairs, frequent = [], np.zeros(0, np.uint64), 0
     if percent * n <= 100 * enough:
         singles.append(tokens[:plain])
     if n >= enough:
         prefix, often = tokens[: plain + classes], df[: plain + classes] >= frequent_from
         singles.append(prefix[~often])
+        frequent = int(often.sum())
         if often.sum() > classes:
             some = np.sort(prefix[often])
             kind = (scramble(some) % np.uint64(classes)).astype(np.int64)
@@ -161,7 +166,7 @@ def index_keys(tokens: np.ndarray, counted: tuple[np.ndarray, np.ndarray], perce
                     made.append(scramble(c[i] * _M[0] + scramble(c[j])))
             if made:
                 pairs = np.concatenate(made)
-    return np.unique(np.concatenate(singles)) if singles else tokens[:0], pairs, rare
+    return np.unique(np.concatenate(singles)) if singles else tokens[:0], pairs, rare, frequent
 
 
 def _signatures(docs: DataFrame, counted, percent: int, n: int) -> DataFrame:
@@ -170,24 +175,36 @@ def _signatures(docs: DataFrame, counted, percent: int, n: int) -> DataFrame:
     def run(batches):
         known = spread.value
         for b in batches:
-            out = {k: [] for k in ("doc_id", "n", "fp1", "fp2", "rare", "singles", "pairs")}
+            out = {k: [] for k in ("doc_id", "n", "fp1", "fp2", "rare", "often", "singles", "pairs")}
             for doc, t in zip(column(b, "doc_id"), texts(b)):
                 s = shingles(t, n)
-                singles, pairs, rare = index_keys(s, known, percent) if doc is not None else (s[:0], s[:0], 0)
+                singles, pairs, rare, often = index_keys(s, known, percent) if doc is not None else (s[:0], s[:0], 0, 0)
                 fp = xxhash.xxh3_128_intdigest(s.tobytes())
-                row = (doc, len(s), (fp >> 64) - (1 << 63), (fp & (2**64 - 1)) - (1 << 63), rare, singles.tobytes(), pairs.tobytes())
+                row = (doc, len(s), (fp >> 64) - (1 << 63), (fp & (2**64 - 1)) - (1 << 63), rare, often, singles.tobytes(), pairs.tobytes())
                 for k, v in zip(out, row):
                     out[k].append(v)
             yield out
 
-    signed = map_arrow(docs, ["doc_id", "text"], "doc_id long, n long, fp1 long, fp2 long, rare long, singles binary, pairs binary", run)
+    signed = map_arrow(docs, ["doc_id", "text"], "doc_id long, n long, fp1 long, fp2 long, rare long, often long, singles binary, pairs binary", run)
     # Numbered once written, so that a row keeps its number however often it is read.
     return stage(signed.withColumn("row", F.monotonically_increasing_id()), "signatures")
 
 
+#: Index groups of up to so many sets are listed as pairs.
+SMALL = 8
+# What a row (kind, x, y, c) of the members table says.
+PAIR, GROUP, IN_LARGE, IN_SMALL, COMBINED = range(5)
+
+
 def _groups(sets: DataFrame, parts: int) -> DataFrame:
-    """gid, paired, cid of every index group of two or more sets. Groups of the
-    same members within a bucket are listed once."""
+    """(kind, x, y, c) rows about the index groups of two or more sets:
+
+    PAIR      sets x and y share c tokens of small groups
+    COMBINED  sets x and y share a pair key in a small group
+    GROUP     large group x has set y; c is 1 for a group of a pair key. Groups
+              of the same members within a bucket are listed once.
+    IN_LARGE, IN_SMALL   set x has c single tokens in such groups
+    """
     buckets = parts
 
     def keys(batches):
@@ -219,20 +236,38 @@ def _groups(sets: DataFrame, parts: int) -> DataFrame:
         key, cid = key[order], cid[order]
         first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
         size = np.diff(np.append(first, len(key)))
+        combined = (key[first] & np.uint64(1)).astype(bool)
+        small = (size > 1) & (size <= SMALL)
+        rows = []
+        for is_pair, kind in ((False, PAIR), (True, COMBINED)):
+            found = []
+            for m in range(2, SMALL + 1):
+                lo = first[small & (size == m) & (combined == is_pair)]
+                i, j = np.triu_indices(m, 1)
+                found.append(np.stack([cid[lo[:, None] + j].ravel(), cid[lo[:, None] + i].ravel()], 1))
+            both, times = np.unique(np.concatenate(found), axis=0, return_counts=True)
+            rows.append((np.full(len(both), kind), both[:, 0], both[:, 1], times))
+        each = np.repeat(size, size)
+        single = ~np.repeat(combined, size)
+        for where, kind in ((each > SMALL, IN_LARGE), ((each > 1) & (each <= SMALL), IN_SMALL)):
+            who, times = np.unique(cid[where & single], return_counts=True)
+            rows.append((np.full(len(who), kind), who, np.zeros(len(who)), times))
         seen, starts = set(), []
-        for lo, m in zip(first[size > 1].tolist(), size[size > 1].tolist()):
+        for lo, m in zip(first[size > SMALL].tolist(), size[size > SMALL].tolist()):
             sign = (int(key[lo]) & 1, xxhash.xxh3_128_digest(cid[lo : lo + m].tobytes()))
             if sign not in seen:
                 seen.add(sign)
                 starts.append((lo, m))
-        for block in range(0, len(starts), 10_000):
-            some = starts[block : block + 10_000]
-            at = np.concatenate([np.arange(lo, lo + m) for lo, m in some])
-            gid = np.repeat(np.arange(block, block + len(some)), [m for _, m in some]) + (bucket << 40)
-            yield {"gid": gid, "paired": (key[at] & np.uint64(1)).astype(bool), "cid": cid[at].astype(np.int64)}
+        if starts:
+            at = np.concatenate([np.arange(lo, lo + m) for lo, m in starts])
+            gid = np.repeat(np.arange(len(starts)), [m for _, m in starts]) + (bucket << 40)
+            rows.append((np.full(len(at), GROUP), gid, cid[at], key[at] & np.uint64(1)))
+        cols = [np.concatenate([np.asarray(r[k]).astype(np.int64) for r in rows]) for k in range(4)]
+        for lo in range(0, len(cols[0]), 200_000):
+            yield dict(zip(("kind", "x", "y", "c"), (c[lo : lo + 200_000] for c in cols)))
 
     dealt = map_arrow(sets, ["cid", "singles", "pairs"], "bucket int, blob binary", keys)
-    return gather(dealt, parts, "gid long, paired boolean, cid long", members)
+    return gather(dealt, parts, "kind int, x long, y long, c long", members)
 
 
 def _token_sets(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
@@ -289,6 +324,13 @@ def components(links: DataFrame, name: str = "component") -> DataFrame:
         mark = now
 
 
+def _apart(x: str, y: str, percent: int):
+    """True if two sets that share no rare token cannot link: columns ``n`` and
+    ``rare`` of both, by their prefixes."""
+    (nx, rx), (ny, ry) = ((F.col(f"{p}n"), F.col(f"{p}rare")) for p in (x, y))
+    return 100 * F.least(nx - rx, ny - ry) < percent * (rx + ry + F.greatest(nx - rx, ny - ry))
+
+
 def similar_groups(docs: DataFrame, percent: int = 85, n: int = 4) -> DataFrame:
     """doc_id, n_shingles, component_id of every row."""
     parts = task_count(docs)
@@ -296,23 +338,47 @@ def similar_groups(docs: DataFrame, percent: int = 85, n: int = 4) -> DataFrame:
     linked = rows.where("doc_id IS NOT NULL AND n > 0")
     classes = stage(linked.groupBy("fp1", "fp2").agg(F.min("row").alias("cid")), "classes")
     sets = rows.join(classes, ["fp1", "fp2"]).where("row = cid")
-    facts = sets.select("cid", "doc_id", "fp1", "fp2", "n", "rare")
-    groups = stage(_groups(sets, parts), "members")
-    wanted = stage(groups.select("cid").distinct().join(facts, "cid"), "wanted")
-    groups = stage(groups.join(wanted.select("cid", "n", "rare"), "cid"), "groups")
-
-    # Round one: every member of a group against its hub.
+    facts = sets.select("cid", "doc_id", "fp1", "fp2", "n", "rare", "often")
+    found = stage(_groups(sets, parts), "members")
+
+    def of(kind: int, *names: str) -> DataFrame:
+        return found.where(F.col("kind") == kind).select(*(F.col(c).alias(n) for c, n in zip(("x", "y", "c"), names)))
+
+    # What a set can share outside small groups, and in all: two sets of enough
+    # tokens link only if they share more than CLASSES of their prefixes.
+    enough = -(-(100 * CLASSES + 1) // percent)
+    large, small = (of(k, "cid", "_", "c").groupBy("cid").agg(F.sum("c").alias(n)) for k, n in ((IN_LARGE, "large"), (IN_SMALL, "small")))
+    facts = facts.join(large, "cid", "left").join(small, "cid", "left").withColumn("large", F.coalesce("large", F.lit(0)) + F.col("often"))
+    short = F.col("n") < enough
+    able = stage(facts.where(short | (F.coalesce("small", F.lit(0)) + F.col("large") > CLASSES)).drop("small"), "able")
+    a, b = (able.select(F.col("cid").alias(k), *(F.col(c).alias(f"{k}_{c}") for c in ("n", "rare", "large"))) for k in "ab")
+
+    def with_facts(pairs: DataFrame) -> DataFrame:
+        sized = pairs.join(a, "a").join(b, "b")
+        return sized.where(100 * F.least("a_n", "b_n") >= percent * F.greatest("a_n", "b_n"))
+
+    direct = with_facts(of(PAIR, "a", "b", "c").groupBy("a", "b").agg(F.sum("c").alias("c"))).where(
+        (F.least("a_n", "b_n") < enough) | (F.col("c") + F.least("a_large", "b_large") > CLASSES)
+    ).select("a", "b")
+    combined = with_facts(of(COMBINED, "a", "b").distinct()).where(~_apart("a_", "b_", percent)).select("a", "b")
+    groups = stage(of(GROUP, "gid", "cid", "paired").join(able.select("cid", "n", "rare"), "cid").withColumn("paired", F.col("paired") == 1), "groups")
+
+    # Round one: the pairs of small groups, and every member of a large group
+    # against its hub.
     hub = F.min(F.struct("rare", "cid")).alias("hub")
-    stars = groups.join(groups.groupBy("gid").agg(hub), "gid").select(F.col("cid").alias("a"), F.col("hub.cid").alias("b"))
-    stars = stage(stars.where("a != b").distinct(), "stars")
-    tokens = stage(_token_sets(docs, wanted.select("cid", "doc_id", "fp1", "fp2"), n), "token-sets")
+    stars = groups.join(groups.groupBy("gid").agg(hub), "gid").where("cid != hub.cid").select(
+        F.greatest("cid", "hub.cid").alias("a"), F.least("cid", "hub.cid").alias("b"))
+    stars = stage(stars.unionByName(direct).unionByName(combined).distinct(), "candidates")
+    wanted = stars.select(F.col("a").alias("cid")).unionByName(stars.select(F.col("b").alias("cid")))
+    wanted = wanted.unionByName(groups.select("cid")).distinct().join(able, "cid")
+    wanted = stage(wanted.select("cid", "doc_id", "fp1", "fp2"), "wanted")
+    tokens = stage(_token_sets(docs, wanted, n), "token-sets")
     checked = stage(_verified(stars, tokens, percent), "checked")
     label = components(checked.where("linked"))
 
     # Round two: members of one group that are still in different components.
-    near = checked.groupBy(F.col("a").alias("cid")).agg(
-        F.min(F.struct((1 - F.col("shared") / F.col("either")).alias("d"), F.col("b").alias("hub"))).alias("h")
-    )
+    ends = [checked.select(F.col(x).alias("cid"), (1 - F.col("shared") / F.col("either")).alias("d"), F.col(y).alias("hub")) for x, y in ("ab", "ba")]
+    near = ends[0].unionByName(ends[1]).groupBy("cid").agg(F.min(F.struct("d", "hub")).alias("h"))
     marked = groups.join(label.withColumnRenamed("node", "cid"), "cid", "left").join(near, "cid", "left").select(
         "gid", "paired", "cid", "n", "rare", F.coalesce("root", "cid").alias("root"),
         F.coalesce("h.hub", "cid").alias("hub"), F.coalesce("h.d", F.lit(0.0)).alias("d"),
@@ -321,10 +387,7 @@ def similar_groups(docs: DataFrame, percent: int = 85, n: int = 4) -> DataFrame:
     open_groups = stage(marked.join(mixed, "gid"), "open-groups")
     a, b = open_groups.alias("a"), open_groups.alias("b")
     far, c = 1 - percent / 100 + 1e-9, F.col
-    common = c("a.n") - c("a.rare"), c("b.n") - c("b.rare")
-    apart = c("a.paired") & (
-        100 * F.least(*common) < percent * (c("a.rare") + c("b.rare") + F.greatest(*common))
-    )
+    apart = c("a.paired") & _apart("a.", "b.", percent)
     rest = a.join(b, (c("a.gid") == c("b.gid")) & (c("a.cid") > c("b.cid")) & (c("a.root") != c("b.root"))
                   & (100 * F.least("a.n", "b.n") >= percent * F.greatest("a.n", "b.n"))
                   & ~((c("a.hub") == c("b.hub")) & (F.abs(c("a.d") - c("b.d")) > far)) & ~apart)
