@@ -42,6 +42,29 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Workspace:
+    """Tables that an operator needs until its result is written: one folder
+    under the shared folder, dropped table by table or as a whole. Only paths
+    that this object made are ever deleted."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.path, self.made = spark, scratch(spark, name), {}
+
+    def stage(self, df: DataFrame, name: str) -> DataFrame:
+        path = f"{self.path}/{name}-{len(self.made)}"
+        df.write.parquet(path)
+        out = self.spark.read.schema(df.schema).parquet(path)
+        self.made[id(out)] = (out, path)
+        return out
+
+    def drop(self, *tables: DataFrame) -> None:
+        """Delete the given tables of this workspace, or all of them."""
+        paths = [self.made[id(t)][1] for t in tables] if tables else [self.path]
+        for p in paths:
+            where = self.spark._jvm.org.apache.hadoop.fs.Path(p)
+            where.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def map_arrow(df: DataFrame, columns: list, schema: str, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[dict]]) -> DataFrame:
     """``mapInArrow`` over ``columns``; ``fn`` yields dicts of column -> values
     (lists or numpy arrays) that are turned into batches of ``schema``."""

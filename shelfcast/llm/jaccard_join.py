@@ -35,7 +35,7 @@ import numpy as np
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .common import column, map_arrow, stage, texts
+from .common import Workspace, column, map_arrow, stage, texts
 from .exchange import by_bucket, decode, encode, gather, task_count
 
 #: Tokens are ordered by their document counts from this count on, and from the
@@ -80,7 +80,7 @@ def _short(tokens: np.ndarray) -> np.ndarray:
     return tokens >> np.uint64(24)
 
 
-def counted_tokens(docs: DataFrame, n: int = 4, least: int = COUNTED_FROM, most: int = MOST_COUNTED) -> tuple[np.ndarray, np.ndarray]:
+def counted_tokens(docs: DataFrame, work: Workspace, n: int = 4, least: int = COUNTED_FROM, most: int = MOST_COUNTED) -> tuple[np.ndarray, np.ndarray]:
     """The 40 bits in order of tokens that several documents hold, and how many
     do, counted over all documents."""
     parts = task_count(docs)
@@ -116,7 +116,7 @@ def counted_tokens(docs: DataFrame, n: int = 4, least: int = COUNTED_FROM, most:
             yield {"level": [k], "tokens": [int(here.sum())], "blob": [encode(kinds[here], df[here])]}
 
     dealt = map_arrow(docs, ["text"], "bucket int, blob binary", count)
-    counted = stage(gather(dealt, parts, "level int, tokens long, blob binary", total), "counted")
+    counted = work.stage(gather(dealt, parts, "level int, tokens long, blob binary", total), "counted")
     room, lowest = most, 64
     for r in sorted(counted.groupBy("level").agg(F.sum("tokens").alias("n")).collect(), reverse=True):
         room -= r.n
@@ -169,7 +169,7 @@ def index_keys(tokens: np.ndarray, counted: tuple[np.ndarray, np.ndarray], perce
     return np.unique(np.concatenate(singles)) if singles else tokens[:0], pairs, rare, frequent
 
 
-def _signatures(docs: DataFrame, counted, percent: int, n: int) -> DataFrame:
+def _signatures(docs: DataFrame, work: Workspace, counted, percent: int, n: int) -> DataFrame:
     spread = docs.sparkSession.sparkContext.broadcast(counted)
 
     def run(batches):
@@ -187,7 +187,7 @@ def _signatures(docs: DataFrame, counted, percent: int, n: int) -> DataFrame:
 
     signed = map_arrow(docs, ["doc_id", "text"], "doc_id long, n long, fp1 long, fp2 long, rare long, often long, singles binary, pairs binary", run)
     # Numbered once written, so that a row keeps its number however often it is read.
-    return stage(signed.withColumn("row", F.monotonically_increasing_id()), "signatures")
+    return work.stage(signed.withColumn("row", F.monotonically_increasing_id()), "signatures")
 
 
 #: Index groups of up to so many sets are listed as pairs.
@@ -303,12 +303,12 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def components(links: DataFrame, name: str = "component") -> DataFrame:
+def components(links: DataFrame, work: Workspace) -> DataFrame:
     """node, root: the smallest node reachable, for nodes that have a link
     (a, b). Alternates joining every node's larger and smaller neighbours to the
     smallest one until nothing moves; each round is written out."""
     edges = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u != v").distinct()
-    edges = stage(edges, name)
+    edges = work.stage(edges, "edges")
     mark = None
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -317,7 +317,8 @@ def components(links: DataFrame, name: str = "component") -> DataFrame:
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u")
         small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").unionByName(low.select("u", F.col("m").alias("v")))
-        edges = stage(small.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), name)
+        before, edges = edges, work.stage(small.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
+        work.drop(before)
         now = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).collect()[0])
         if now == mark:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
@@ -334,12 +335,14 @@ def _apart(x: str, y: str, percent: int):
 def similar_groups(docs: DataFrame, percent: int = 85, n: int = 4) -> DataFrame:
     """doc_id, n_shingles, component_id of every row."""
     parts = task_count(docs)
-    rows = _signatures(docs, counted_tokens(docs, n), percent, n)
+    work = Workspace(docs.sparkSession, "jaccard-join")
+    signed = _signatures(docs, work, counted_tokens(docs, work, n), percent, n)
+    rows = work.stage(signed.select("doc_id", "n", "fp1", "fp2", "row"), "rows")
     linked = rows.where("doc_id IS NOT NULL AND n > 0")
-    classes = stage(linked.groupBy("fp1", "fp2").agg(F.min("row").alias("cid")), "classes")
-    sets = rows.join(classes, ["fp1", "fp2"]).where("row = cid")
+    classes = work.stage(linked.groupBy("fp1", "fp2").agg(F.min("row").alias("cid")), "classes")
+    sets = signed.where("doc_id IS NOT NULL AND n > 0").join(classes, ["fp1", "fp2"]).where("row = cid")
     facts = sets.select("cid", "doc_id", "fp1", "fp2", "n", "rare", "often")
-    found = stage(_groups(sets, parts), "members")
+    found = work.stage(_groups(sets, parts), "members")
 
     def of(kind: int, *names: str) -> DataFrame:
         return found.where(F.col("kind") == kind).select(*(F.col(c).alias(n) for c, n in zip(("x", "y", "c"), names)))
@@ -350,31 +353,32 @@ def similar_groups(docs: DataFrame, percent: int = 85, n: int = 4) -> DataFrame:
     large, small = (of(k, "cid", "_", "c").groupBy("cid").agg(F.sum("c").alias(n)) for k, n in ((IN_LARGE, "large"), (IN_SMALL, "small")))
     facts = facts.join(large, "cid", "left").join(small, "cid", "left").withColumn("large", F.coalesce("large", F.lit(0)) + F.col("often"))
     short = F.col("n") < enough
-    able = stage(facts.where(short | (F.coalesce("small", F.lit(0)) + F.col("large") > CLASSES)).drop("small"), "able")
+    able = work.stage(facts.where(short | (F.coalesce("small", F.lit(0)) + F.col("large") > CLASSES)).drop("small"), "able")
     a, b = (able.select(F.col("cid").alias(k), *(F.col(c).alias(f"{k}_{c}") for c in ("n", "rare", "large"))) for k in "ab")
 
     def with_facts(pairs: DataFrame) -> DataFrame:
         sized = pairs.join(a, "a").join(b, "b")
         return sized.where(100 * F.least("a_n", "b_n") >= percent * F.greatest("a_n", "b_n"))
 
+    work.drop(signed)
     direct = with_facts(of(PAIR, "a", "b", "c").groupBy("a", "b").agg(F.sum("c").alias("c"))).where(
         (F.least("a_n", "b_n") < enough) | (F.col("c") + F.least("a_large", "b_large") > CLASSES)
     ).select("a", "b")
     combined = with_facts(of(COMBINED, "a", "b").distinct()).where(~_apart("a_", "b_", percent)).select("a", "b")
-    groups = stage(of(GROUP, "gid", "cid", "paired").join(able.select("cid", "n", "rare"), "cid").withColumn("paired", F.col("paired") == 1), "groups")
+    groups = work.stage(of(GROUP, "gid", "cid", "paired").join(able.select("cid", "n", "rare"), "cid").withColumn("paired", F.col("paired") == 1), "groups")
 
     # Round one: the pairs of small groups, and every member of a large group
     # against its hub.
     hub = F.min(F.struct("rare", "cid")).alias("hub")
     stars = groups.join(groups.groupBy("gid").agg(hub), "gid").where("cid != hub.cid").select(
         F.greatest("cid", "hub.cid").alias("a"), F.least("cid", "hub.cid").alias("b"))
-    stars = stage(stars.unionByName(direct).unionByName(combined).distinct(), "candidates")
+    stars = work.stage(stars.unionByName(direct).unionByName(combined).distinct(), "candidates")
     wanted = stars.select(F.col("a").alias("cid")).unionByName(stars.select(F.col("b").alias("cid")))
     wanted = wanted.unionByName(groups.select("cid")).distinct().join(able, "cid")
-    wanted = stage(wanted.select("cid", "doc_id", "fp1", "fp2"), "wanted")
-    tokens = stage(_token_sets(docs, wanted, n), "token-sets")
-    checked = stage(_verified(stars, tokens, percent), "checked")
-    label = components(checked.where("linked"))
+    wanted = work.stage(wanted.select("cid", "doc_id", "fp1", "fp2"), "wanted")
+    tokens = work.stage(_token_sets(docs, wanted, n), "token-sets")
+    checked = work.stage(_verified(stars, tokens, percent), "checked")
+    label = components(checked.where("linked"), work)
 
     # Round two: members of one group that are still in different components.
     ends = [checked.select(F.col(x).alias("cid"), (1 - F.col("shared") / F.col("either")).alias("d"), F.col(y).alias("hub")) for x, y in ("ab", "ba")]
@@ -384,7 +388,7 @@ def similar_groups(docs: DataFrame, percent: int = 85, n: int = 4) -> DataFrame:
         F.coalesce("h.hub", "cid").alias("hub"), F.coalesce("h.d", F.lit(0.0)).alias("d"),
     )
     mixed = marked.groupBy("gid").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("m")).where("x != y AND m > 2").select("gid")
-    open_groups = stage(marked.join(mixed, "gid"), "open-groups")
+    open_groups = work.stage(marked.join(mixed, "gid"), "open-groups")
     a, b = open_groups.alias("a"), open_groups.alias("b")
     far, c = 1 - percent / 100 + 1e-9, F.col
     apart = c("a.paired") & _apart("a.", "b.", percent)
@@ -393,9 +397,9 @@ def similar_groups(docs: DataFrame, percent: int = 85, n: int = 4) -> DataFrame:
                   & ~((c("a.hub") == c("b.hub")) & (F.abs(c("a.d") - c("b.d")) > far)) & ~apart)
     rest = rest.select(c("a.cid").alias("a"), c("b.cid").alias("b")).distinct()
     done = checked.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    rest = stage(rest.join(done, ["a", "b"], "left_anti"), "rest")
+    rest = work.stage(rest.join(done, ["a", "b"], "left_anti"), "rest")
     links = checked.where("linked").select("a", "b").unionByName(_verified(rest, tokens, percent).where("linked").select("a", "b"))
-    label = components(links)
+    label = components(links, work)
 
     # Back to documents: the smallest doc_id of each component.
     member = linked.select("doc_id", "n", "row", "fp1", "fp2").join(classes, ["fp1", "fp2"])
@@ -403,4 +407,6 @@ def similar_groups(docs: DataFrame, percent: int = 85, n: int = 4) -> DataFrame:
     least = member.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     grouped = member.join(least, "root").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
     alone = rows.where("doc_id IS NULL OR n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
-    return grouped.unionByName(alone)
+    out = stage(grouped.unionByName(alone), "similar-groups")
+    work.drop()
+    return out

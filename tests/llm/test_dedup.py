@@ -7,6 +7,7 @@ import numpy as np
 from hypothesis import given, settings, strategies as st
 
 from shelfcast.llm import jaccard_join, suffix_dedup
+from shelfcast.llm.common import Workspace
 
 from .conftest import ODD_TEXTS
 
@@ -177,5 +178,5 @@ def test_index_finds_every_similar_pair():
 def test_components_of_a_long_chain(shipped):
     rows = [(i, i + 1) for i in range(100, 160)] + [(7, 3), (3, 9)]
     random.Random(1).shuffle(rows)
-    got = {r.node: r.root for r in jaccard_join.components(shipped.createDataFrame(rows, "a long, b long")).collect()}
+    got = {r.node: r.root for r in jaccard_join.components(shipped.createDataFrame(rows, "a long, b long"), Workspace(shipped, "t")).collect()}
     assert got == {**{i: 100 for i in range(101, 161)}, 7: 3, 9: 3}
