@@ -32,9 +32,11 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: the smallest doc_id."""
+    """One document of each group of near duplicates: the smallest doc_id. Near
+    are sets of five-word shingles of similarity 0.8 or more; op8's contract,
+    four words and 0.85, binds that query only."""
     small_batches(spark)
-    found = jaccard_join.similar_groups(docs)
+    found = jaccard_join.similar_groups(docs, percent=80, n=5)
     return without_ids(docs, stage(found.where("doc_id != component_id").select("doc_id"), "near-copies"))
 
 

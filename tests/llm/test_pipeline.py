@@ -46,3 +46,38 @@ def test_stages_take_an_empty_table(shipped, tmp_path):
     shipped.createDataFrame([], DOCS).write.parquet(f"{sf}/documents.parquet")
     shipped.createDataFrame([], "doc_id long, quality int").write.parquet(f"{sf}/labels.parquet")
     assert corpus_pipeline.run(shipped, sf).count() == 0
+
+
+def test_near_copies_are_five_word_sets_of_similarity_80(frame, shipped):
+    """The stage keeps the smallest doc_id of each group that brute force finds,
+    with pairs around the threshold."""
+    r = random.Random(4)
+    rows, added = [], [0, 1, 30, 36, 40, 42, 45, 48, 49, 50, 52, 60]
+    for k, more in enumerate(added):
+        base = [f"w{r.randint(0, 10**6)}" for _ in range(200)]
+        rows += [(10 * k, " ".join(base)), (10 * k + 1, " ".join(base + [f"x{r.randint(0, 10**6)}" for _ in range(more)]))]
+    base = [f"v{r.randint(0, 3000)}" for _ in range(120)]
+    for k in range(40):  # a group of near copies, most of them near one another
+        words = list(base)
+        for _ in range(r.randint(0, 3)):
+            words[r.randrange(len(words))] = f"e{r.randint(0, 10**6)}"
+        rows.append((1000 + k, " ".join(words)))
+    for k, n in enumerate((1, 4, 5, 6, 14, 20)):  # short texts, and one word more
+        base = [f"s{r.randint(0, 10**6)}" for _ in range(n)]
+        rows += [(2000 + 10 * k, " ".join(base)), (2001 + 10 * k, " ".join(base)), (2002 + 10 * k, " ".join(base + ["more"]))]
+    sets = []
+    for _, text in rows:
+        w = text.split()
+        sets.append({tuple(w[i : i + 5]) for i in range(len(w) - 4)} or {tuple(w)})
+    group = {i: {i} for i, _ in rows}
+    between = 0
+    for a in range(len(rows)):
+        for b in range(a):
+            alike = len(sets[a] & sets[b]) / len(sets[a] | sets[b])
+            between += 0.8 <= alike < 0.85
+            if alike >= 0.8 and group[rows[a][0]] is not group[rows[b][0]]:
+                joined = group[rows[a][0]] | group[rows[b][0]]
+                group.update(dict.fromkeys(joined, joined))
+    assert between >= 4
+    kept = corpus_pipeline.one_of_each_group(shipped, frame(rows, clash=False), "")
+    assert sorted(x.doc_id for x in kept.collect()) == sorted({min(g) for g in group.values()})
