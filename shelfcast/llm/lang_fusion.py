@@ -24,15 +24,16 @@ import re
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import column, map_arrow, stage, texts
+from .common import BROADCAST_IDS, column, map_arrow, stage, texts
 
 #: The text model is fitted on at most this many documents of each language,
-#: chosen by a hash of doc_id, and on the commonest languages up to a limit.
+#: chosen by a hash of doc_id, and on every language that a document is labelled
+#: with. Its table takes 64 kB for each.
 FIT_ROWS_PER_LANGUAGE = 1500
-MOST_LANGUAGES = 32
 GRAMS = 1 << 14
+_FLUSH = 3_000_000
 #: Trigrams overlap and follow each other closely, so a text counts as at most
 #: this many independent ones.
 MOST_EVIDENCE = 60.0
@@ -76,31 +77,55 @@ class TextModel:
         return ll - ll.max()
 
 
+def _fit_sample(docs: DataFrame, per_language: int) -> tuple[list, DataFrame]:
+    """The labelled languages with their document counts, and doc_id, lang of
+    the first ``per_language`` documents of each by the hash of doc_id. A
+    language's rows are cut by a histogram of the hash before they are ranked."""
+    known = docs.select("doc_id", "lang").where("lang IS NOT NULL AND lang != ''")
+    known = known.withColumn("h", F.xxhash64("doc_id")).withColumn("cell", F.shiftright("h", 52))
+    of = Window.partitionBy("lang").orderBy("cell")
+    cells = known.groupBy("lang", "cell").agg(F.count("*").alias("n")).withColumn("upto", F.sum("n").over(of))
+    first = F.col("upto") - F.col("n") < per_language
+    cut = stage(cells.groupBy("lang").agg(F.sum("n").alias("n"), F.max(F.when(first, F.col("cell"))).alias("last")), "languages")
+    few = known.join(F.broadcast(cut.select("lang", "last")), "lang").where("cell <= last")
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id"))
+    return cut.select("lang", "n").collect(), few.withColumn("rank", rank).where(F.col("rank") <= per_language).select("doc_id", "lang")
+
+
 def fit_text_model(docs: DataFrame, per_language: int = FIT_ROWS_PER_LANGUAGE) -> TextModel:
     """Fit on a bounded sample of the whole texts of documents with a ``lang``."""
-    known = docs.select("doc_id", "lang").where("lang IS NOT NULL AND lang != ''")
-    found = known.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES).collect()
+    found, chosen = _fit_sample(docs, per_language)
     languages = tuple(sorted(r.lang for r in found))
-    counts = np.zeros((GRAMS, len(languages)))
-    chosen = None
-    for i, name in enumerate(languages):
-        part = known.where(F.col("lang") == name).select("doc_id", F.lit(i).alias("y")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_language)
-        chosen = part if chosen is None else chosen.unionAll(part)
-    if chosen is not None:
-        picked = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-
-        def count(batches):
-            total = np.zeros((len(languages), GRAMS))
-            for b in batches:
-                for t, y in zip(texts(b), column(b, "y")):
-                    total[y] += np.bincount(grams(t), minlength=GRAMS)
-            yield {"y": range(len(languages)), "n": list(total)}
-
-        sums = map_arrow(picked, ["text", "y"], "y int, n array<double>", count)
-        for r in sums.select("y", F.posexplode("n").alias("g", "n")).where("n > 0").groupBy("y", "g").agg(F.sum("n").alias("n")).collect():
-            counts[r.g, r.y] = r.n
-    p = (counts + 0.5) / (counts.sum(0) + 0.5 * GRAMS)
-    return TextModel(languages, np.log(p).astype(np.float32))
+    if not languages:
+        return TextModel((), np.zeros((GRAMS, 0), np.float32))
+    if sum(min(r.n, per_language) for r in found) <= BROADCAST_IDS:
+        chosen = F.broadcast(chosen)
+    picked = docs.select("doc_id", "text").join(chosen, "doc_id")
+    number = {name: i for i, name in enumerate(languages)}
+
+    def count(batches):
+        def flush():
+            code, n = np.unique(np.concatenate(held), return_counts=True)
+            return {"y": code // GRAMS, "g": code % GRAMS, "n": n}
+
+        held, size = [], 0
+        for b in batches:
+            for t, name in zip(texts(b), column(b, "lang")):
+                held.append(grams(t) + number[name] * GRAMS)
+                size += len(held[-1])
+                if size >= _FLUSH:
+                    yield flush()
+                    held, size = [], 0
+        if held:
+            yield flush()
+
+    sums = map_arrow(picked, ["text", "lang"], "y int, g int, n long", count)
+    sums = sums.groupBy("y", "g").agg(F.sum("n").alias("n")).toArrow()
+    y, g, n = (sums.column(k).to_numpy() for k in ("y", "g", "n"))
+    p = np.full((GRAMS, len(languages)), 0.5, np.float32)
+    p[g, y] += n
+    p /= np.bincount(y, n, len(languages)) + 0.5 * GRAMS
+    return TextModel(languages, np.log(p, out=p))
 
 
 def text_evidence(rows: DataFrame, model: TextModel, is_page: bool) -> DataFrame:
@@ -124,10 +149,18 @@ def text_evidence(rows: DataFrame, model: TextModel, is_page: bool) -> DataFrame
     })
 
 
-def softmax(logs: Column) -> Column:
-    """An array of logarithms as shares."""
-    powers = F.transform(logs, lambda x: F.exp(x - F.array_max(logs)))
-    return F.transform(powers, lambda x: x / F.aggregate(powers, F.lit(0.0), lambda s, y: s + y))
+def matrix(batch, name: str, n: int) -> np.ndarray:
+    """A column of arrays of ``n`` numbers each, rows x n."""
+    return batch.column(batch.schema.get_field_index(name)).flatten().to_numpy(zero_copy_only=False).reshape(-1, n)
+
+
+def softmax(logs: np.ndarray) -> np.ndarray:
+    """Logarithms, rows x languages, as shares."""
+    powers = np.exp(logs - logs.max(1, keepdims=True))
+    return powers / powers.sum(1, keepdims=True)
+
+
+RESULT = "id long, host string, declared string, text_lang string, lang string, posterior double, accepted boolean"
 
 
 def fuse(scored: DataFrame, languages: tuple[str, ...]) -> DataFrame:
@@ -139,7 +172,13 @@ def fuse(scored: DataFrame, languages: tuple[str, ...]) -> DataFrame:
             "id", "host", "declared", F.lit(None).cast("string").alias("text_lang"),
             F.lit(None).cast("string").alias("lang"), F.lit(0.0).alias("posterior"), F.lit(False).alias("accepted"),
         )
-    rows = scored.select("id", "host", "domain", "suffix", "declared", "ll", softmax(F.col("ll")).alias("p"))
+    keys = ("host", "domain", "suffix", "declared")
+
+    def shares(batches):
+        for b in batches:
+            yield {**{c: column(b, c) for c in keys}, "p": list(softmax(matrix(b, "ll", n)))}
+
+    rows = map_arrow(scored, [*keys, "ll"], "host string, domain string, suffix string, declared string, p array<double>", shares)
 
     def total() -> Column:
         return F.array(*(F.sum(F.col("p")[i]) for i in range(n)))
@@ -147,40 +186,44 @@ def fuse(scored: DataFrame, languages: tuple[str, ...]) -> DataFrame:
     # The language mix of the whole table: one row, by the driver.
     whole = rows.agg(total().alias("s")).collect()[0].s
     mass = np.array([x or 0.0 for x in whole]) + 1.0
-    share = F.array(*(F.lit(float(x)) for x in mass / mass.sum()))
+    share = mass / mass.sum()
 
-    out = rows
-    for key in ("host", "domain", "suffix", "declared"):
-        sums = rows.where(F.col(key).isNotNull()).groupBy(key).agg(total().alias(f"{key}_s"), F.count("*").alias(f"{key}_n"))
-        out = out.join(sums, key, "left")
+    out = scored.select("id", *keys, "ll")
     none = F.array_repeat(F.lit(0.0), n)
+    for key in keys:
+        sums = rows.where(F.col(key).isNotNull()).groupBy(key).agg(total().alias(f"{key}_s"), F.count("*").alias(f"{key}_n"))
+        out = out.join(sums, key, "left").withColumns({
+            f"{key}_s": F.coalesce(f"{key}_s", none), f"{key}_n": F.coalesce(f"{key}_n", F.lit(0)),
+        })
 
-    def mixed(key: str, own: Column | None, above: Column) -> Column:
-        """The key's language mix, without the row's own part if that is given,
-        smoothed towards ``above``."""
-        total = F.coalesce(F.col(f"{key}_s"), none)
-        rows_there = F.coalesce(F.col(f"{key}_n"), F.lit(0))
-        if own is not None:
-            total = F.zip_with(total, own, lambda s, x: F.greatest(s - x, F.lit(0.0)))
-            rows_there = F.greatest(rows_there - 1, F.lit(0))
-        return F.zip_with(total, above, lambda s, x: (s + SMOOTH * x) / (rows_there + SMOOTH))
-
-    prior = mixed("host", F.col("p"), mixed("domain", F.col("p"), share))
-    # How often a suffix or declaration goes with the language, next to how often
-    # any does: its likelihood up to a factor shared by all languages.
-    seen = [F.zip_with(mixed(key, None, share), share, lambda x, y: x / y) for key in ("suffix", "declared")]
-    logs = F.col("ll")
-    for factor in (prior, *seen):
-        logs = F.zip_with(logs, factor, lambda x, y: x + F.log(y))
-    names = F.array(*map(F.lit, languages))
-    fused = out.select("id", "host", "declared", "ll", logs.alias("logs"))
-    best = 1 / F.aggregate("logs", F.lit(0.0), lambda s, x: s + F.exp(x - F.array_max("logs")))
-    return fused.select(
-        "id", "host", "declared",
-        F.when(F.array_min("ll") < 0, F.element_at(names, F.array_position("ll", F.lit(0.0)).cast("int"))).alias("text_lang"),
-        F.element_at(names, F.array_position("logs", F.array_max("logs")).cast("int")).alias("lang"),
-        best.alias("posterior"), (best >= ACCEPT).alias("accepted"),
-    )
+    def judge(batches):
+        for b in batches:
+            ll = matrix(b, "ll", n)
+            p = softmax(ll)
+
+            def mixed(key: str, own: np.ndarray | None, above: np.ndarray) -> np.ndarray:
+                """The key's language mix, without the row's own part if that is
+                given, smoothed towards ``above``."""
+                total, rows_there = matrix(b, f"{key}_s", n), np.array(column(b, f"{key}_n"))[:, None]
+                if own is not None:
+                    total, rows_there = np.maximum(total - own, 0), np.maximum(rows_there - 1, 0)
+                return (total + SMOOTH * above) / (rows_there + SMOOTH)
+
+            logs = ll + np.log(mixed("host", p, mixed("domain", p, share)))
+            # How often a suffix or declaration goes with the language, next to
+            # how often any does: its likelihood up to a factor shared by all.
+            for key in ("suffix", "declared"):
+                logs = logs + np.log(mixed(key, None, share) / share)
+            best = 1 / np.exp(logs - logs.max(1, keepdims=True)).sum(1)
+            yield {
+                **{c: column(b, c) for c in ("id", "host", "declared")},
+                "text_lang": [languages[k] if low < 0 else None for k, low in zip(ll.argmax(1), ll.min(1))],
+                "lang": [languages[k] for k in logs.argmax(1)],
+                "posterior": best, "accepted": best >= ACCEPT,
+            }
+
+    given = ["id", "host", "declared", "ll", *(f"{k}_{x}" for k in keys for x in "sn")]
+    return map_arrow(out, given, RESULT, judge)
 
 
 def identify_pages(pages: DataFrame, model: TextModel) -> DataFrame:

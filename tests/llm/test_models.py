@@ -232,6 +232,36 @@ def test_pages_get_the_language_of_their_evidence(frame, shipped):
     assert [(x.lang, x.accepted) for x in lang_fusion.identify_pages(pages.limit(1), none).collect()] == [(None, False)]
 
 
+def test_every_labelled_language_is_fitted(shipped, monkeypatch):
+    """More languages than one table of commonest ones would hold: pages of each
+    get its name, the rarest too, whatever batch sizes the counts are sent in."""
+    r = random.Random(6)
+    names = [f"l{k:02d}" for k in range(40)]
+    words = {name: ["".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(r.randint(3, 8))) for _ in range(12)] for name in names}
+    text = lambda name: " ".join(r.choice(words[name]) for _ in range(50))
+    rows = [(1000 * k + i, text(name), name) for k, name in enumerate(names) for i in range(3 if k in (7, 39) else 6)]
+    docs = shipped.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = lang_fusion.fit_text_model(docs)
+    assert model.languages == tuple(names)
+    monkeypatch.setattr(lang_fusion, "_FLUSH", 500)
+    assert np.array_equal(lang_fusion.fit_text_model(docs).log_p, model.log_p)
+    pages = [(k, None, f"<p>{text(name)}</p>") for k, name in enumerate(names)]
+    got = lang_fusion.identify_pages(shipped.createDataFrame(pages, "page_id long, url string, html string"), model).collect()
+    assert all(x.lang == x.text_lang == names[x.page_id] and x.accepted for x in got) and len(got) == 40
+
+
+def test_fit_sample_is_the_first_of_each_language_by_hash(shipped):
+    rows = [(i, "x", ["aa", "bb", "cc"][min(i % 7, 2)]) for i in range(700)] + [(5, "x", "aa"), (None, "x", "dd"), (9, "x", ""), (9, "x", None)]
+    docs = shipped.createDataFrame(rows, "doc_id long, text string, lang string")
+    found, chosen = lang_fusion._fit_sample(docs, 40)
+    assert {x.lang: x.n for x in found} == {"aa": 101, "bb": 100, "cc": 500, "dd": 1}
+    got = sorted(map(tuple, chosen.collect()), key=repr)
+    want = []
+    for name in ("aa", "bb", "cc", "dd"):
+        want += docs.where(F.col("lang") == name).orderBy(F.xxhash64("doc_id"), "doc_id").limit(40).select("doc_id", "lang").collect()
+    assert got == sorted(map(tuple, want), key=repr)
+
+
 # -- vectors --------------------------------------------------------------------
 
 
