@@ -7,11 +7,22 @@ that is smoothed towards its domain's and that towards the whole table's. The
 last three are grouped sums of the text posteriors over all rows, joined back;
 a row's own share is taken out of its host's and domain's sums first.
 
-A row is accepted if its best posterior reaches ``ACCEPT``.
+Next to the languages stands the hypothesis that the text is in none of them:
+``UNKNOWN`` is its prior, and its text likelihood is that of a background in
+which bytes follow each other at random, as often as in the fitted texts, mixed
+with an even share of every trigram. Host, suffix and declaration tell nothing
+about it. The background is also what each language's trigram counts are
+smoothed with, so a language of few documents is not told from it by what it
+has not been seen with. A document of the fitted sample is judged without its
+own trigrams.
+
+A row is accepted if its best language's posterior, of all languages and the
+unknown, reaches ``ACCEPT`` and there is evidence of any kind.
 
 Defined cases: null or empty text, address, host or declared language gives no
 evidence of that kind (a flat factor); without any, the row gets the table's
-most usual language with its share as posterior. A null id passes through.
+most usual language with its share as posterior, and is not accepted. ``lang``
+is the best language even where the unknown wins. A null id passes through.
 Repeated rows count once each. Without a labelled document there are no
 languages: lang is null, posterior 0, not accepted. Ties go to the language
 first in alphabetical order. Further columns are ignored.
@@ -41,6 +52,10 @@ MOST_EVIDENCE = 60.0
 #: flat share in the suffix and declaration likelihoods.
 SMOOTH = 4.0
 ACCEPT = 0.5
+#: The share of texts that are in no labelled language, before any is read.
+UNKNOWN = 0.01
+#: The even share within the background.
+EVEN = 0.5
 
 # Parts of a page that show no text.
 HIDDEN = re.compile(r"(?is)<(script|style|noscript|template)\b.*?</\1\s*>|<!--.*?-->")
@@ -52,29 +67,68 @@ def visible_text(page: str) -> str:
     return html.unescape(TAG.sub(" ", HIDDEN.sub(" ", page)))
 
 
+def lowered(text: str) -> np.ndarray:
+    """The bytes that are counted; blanks run together."""
+    return np.frombuffer(" ".join(["", *text.lower().split(), ""]).encode(), np.uint8)
+
+
+def buckets(a: np.ndarray, b: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """Bucket of each trigram of bytes."""
+    h = ((a << np.uint32(16)) | (b << np.uint32(8)) | c) * np.uint32(2654435761)
+    return (h >> np.uint32(18)).astype(np.int64)
+
+
+def is_letter(raw: np.ndarray) -> np.ndarray:
+    return ((raw >= 97) & (raw <= 122)) | (raw >= 128)
+
+
 def grams(text: str) -> np.ndarray:
-    """Buckets of the byte trigrams that touch a letter; blanks run together."""
-    raw = np.frombuffer(" ".join(["", *text.lower().split(), ""]).encode(), np.uint8).astype(np.uint32)
+    """Buckets of the byte trigrams that touch a letter."""
+    raw = lowered(text).astype(np.uint32)
     if len(raw) < 3:
         return np.zeros(0, np.int64)
-    letter = ((raw >= 97) & (raw <= 122)) | (raw >= 128)
-    a, b, c = raw[:-2], raw[1:-1], raw[2:]
-    h = ((a << np.uint32(16)) | (b << np.uint32(8)) | c) * np.uint32(2654435761)
-    return (h >> np.uint32(18)).astype(np.int64)[letter[:-2] | letter[1:-1] | letter[2:]]
+    letter = is_letter(raw)
+    return buckets(raw[:-2], raw[1:-1], raw[2:])[letter[:-2] | letter[1:-1] | letter[2:]]
+
+
+def background(byte_counts: np.ndarray) -> np.ndarray:
+    """The share of each bucket among trigrams of independent bytes that touch a
+    letter, mixed with the even share."""
+    f = (byte_counts + 1) / (byte_counts + 1).sum()
+    byte = np.arange(256, dtype=np.uint32)
+    letter = is_letter(byte)
+    share = np.zeros(GRAMS)
+    for a in byte:
+        touched = letter[a] | letter[:, None] | letter[None, :]
+        share += np.bincount(buckets(a, byte[:, None], byte[None, :]).ravel(), (f[a] * np.outer(f, f) * touched).ravel(), GRAMS)
+    return (1 - EVEN) * share / share.sum() + EVEN / GRAMS
 
 
 @dataclass(frozen=True)
 class TextModel:
     languages: tuple[str, ...]
     log_p: np.ndarray  # grams x languages
-
-    def log_likelihood(self, text: str) -> np.ndarray:
-        """Per language, up to a constant; zeros for a text without letters."""
+    log_background: np.ndarray  # grams
+    totals: np.ndarray  # trigrams of each language's sample
+    last: dict  # language -> the largest hash of a doc_id in its sample
+
+    def log_likelihood(self, text: str, own: str | None = None) -> tuple[np.ndarray, float | None]:
+        """Per language, up to a constant, and of the background next to the best
+        of them; zeros and None for a text without letters. ``own`` is the
+        language that the text itself was fitted for."""
         g = grams(text)
         if not len(g) or not self.languages:
-            return np.zeros(len(self.languages))
-        ll = self.log_p[g].mean(0) * min(len(g), MOST_EVIDENCE)
-        return ll - ll.max()
+            return np.zeros(len(self.languages)), None
+        weight = min(len(g), MOST_EVIDENCE)
+        log_p = self.log_p[g]
+        if own is not None:
+            k, even = self.languages.index(own), 0.5 * GRAMS
+            _, at, times = np.unique(g, return_inverse=True, return_counts=True)
+            least = even * np.exp(self.log_background[g])
+            others = np.maximum(np.exp(log_p[:, k]) * (self.totals[k] + even) - times[at], least)
+            log_p[:, k] = np.log(others / (max(self.totals[k] - len(g), 0) + even))
+        ll = log_p.mean(0) * weight
+        return ll - ll.max(), float(self.log_background[g].mean() * weight - ll.max())
 
 
 def _fit_sample(docs: DataFrame, per_language: int) -> tuple[list, DataFrame]:
@@ -96,22 +150,26 @@ def fit_text_model(docs: DataFrame, per_language: int = FIT_ROWS_PER_LANGUAGE) -
     """Fit on a bounded sample of the whole texts of documents with a ``lang``."""
     found, chosen = _fit_sample(docs, per_language)
     languages = tuple(sorted(r.lang for r in found))
+    chosen = stage(chosen, "fit-sample")
+    last = {r.lang: r.h for r in chosen.where("doc_id IS NOT NULL").groupBy("lang").agg(F.max(F.xxhash64("doc_id")).alias("h")).collect()}
     if not languages:
-        return TextModel((), np.zeros((GRAMS, 0), np.float32))
+        return TextModel((), np.zeros((GRAMS, 0), np.float32), np.zeros(GRAMS, np.float32), np.zeros(0), {})
     if sum(min(r.n, per_language) for r in found) <= BROADCAST_IDS:
         chosen = F.broadcast(chosen)
     picked = docs.select("doc_id", "text").join(chosen, "doc_id")
     number = {name: i for i, name in enumerate(languages)}
+    # Buckets of trigrams, and single bytes after them.
+    kinds = GRAMS + 256
 
     def count(batches):
         def flush():
             code, n = np.unique(np.concatenate(held), return_counts=True)
-            return {"y": code // GRAMS, "g": code % GRAMS, "n": n}
+            return {"y": code // kinds, "g": code % kinds, "n": n}
 
         held, size = [], 0
         for b in batches:
             for t, name in zip(texts(b), column(b, "lang")):
-                held.append(grams(t) + number[name] * GRAMS)
+                held.append(np.concatenate([grams(t), lowered(t).astype(np.int64) + GRAMS]) + number[name] * kinds)
                 size += len(held[-1])
                 if size >= _FLUSH:
                     yield flush()
@@ -122,25 +180,33 @@ def fit_text_model(docs: DataFrame, per_language: int = FIT_ROWS_PER_LANGUAGE) -
     sums = map_arrow(picked, ["text", "lang"], "y int, g int, n long", count)
     sums = sums.groupBy("y", "g").agg(F.sum("n").alias("n")).toArrow()
     y, g, n = (sums.column(k).to_numpy() for k in ("y", "g", "n"))
-    p = np.full((GRAMS, len(languages)), 0.5, np.float32)
+    single = g >= GRAMS
+    back = background(np.bincount(g[single] - GRAMS, n[single], 256))
+    y, g, n = y[~single], g[~single], n[~single]
+    p = np.repeat((0.5 * GRAMS * back).astype(np.float32)[:, None], len(languages), 1)
     p[g, y] += n
-    p /= np.bincount(y, n, len(languages)) + 0.5 * GRAMS
-    return TextModel(languages, np.log(p, out=p))
+    totals = np.bincount(y, n, len(languages))
+    p /= totals + 0.5 * GRAMS
+    return TextModel(languages, np.log(p, out=p), np.log(back).astype(np.float32), totals, last)
 
 
 def text_evidence(rows: DataFrame, model: TextModel, is_page: bool) -> DataFrame:
-    """id, host, domain, suffix, declared of ``rows``, and ``ll``: the text's log
-    likelihoods. ``rows`` has id, body, host, declared."""
+    """id, host, domain, suffix, declared of ``rows``, and ``ll`` and ``unknown``:
+    the text's log likelihoods. ``rows`` has id, body, host, declared, and the
+    hash of the id for documents that the model may have been fitted on."""
 
     def run(batches):
         for b in batches:
-            bodies = texts(b, "body")
+            found = []
+            for t, name, h in zip(texts(b, "body"), column(b, "declared"), column(b, "hash")):
+                fitted = h is not None and name in model.last and h <= model.last[name]
+                found.append(model.log_likelihood(visible_text(t) if is_page else t, name if fitted else None))
             yield {
                 **{c: column(b, c) for c in ("id", "host", "declared")},
-                "ll": [model.log_likelihood(visible_text(t) if is_page else t) for t in bodies],
+                "ll": [ll for ll, _ in found], "unknown": [u for _, u in found],
             }
 
-    scored = map_arrow(rows, ["id", "body", "host", "declared"], "id long, host string, declared string, ll array<double>", run)
+    scored = map_arrow(rows, ["id", "body", "host", "declared", "hash"], "id long, host string, declared string, ll array<double>, unknown double", run)
     labels = F.split("host", r"\.")
     dotted = F.col("host").contains(".")
     return scored.withColumns({
@@ -165,7 +231,8 @@ RESULT = "id long, host string, declared string, text_lang string, lang string,
 
 def fuse(scored: DataFrame, languages: tuple[str, ...]) -> DataFrame:
     """id, host, declared, text_lang, lang, posterior, accepted. ``scored``
-    should be staged: it is read for each of the sums and for the result."""
+    should be staged: it is read for each of the sums and for the result. Without
+    a column ``unknown``, rows are judged among the languages alone."""
     n = len(languages)
     if not n:
         return scored.select(
@@ -188,7 +255,9 @@ def fuse(scored: DataFrame, languages: tuple[str, ...]) -> DataFrame:
     mass = np.array([x or 0.0 for x in whole]) + 1.0
     share = mass / mass.sum()
 
-    out = scored.select("id", *keys, "ll")
+    open_set = "unknown" in scored.columns
+    of_text = ["ll", "unknown"] if open_set else ["ll"]
+    out = scored.select("id", *keys, *of_text)
     none = F.array_repeat(F.lit(0.0), n)
     for key in keys:
         sums = rows.where(F.col(key).isNotNull()).groupBy(key).agg(total().alias(f"{key}_s"), F.count("*").alias(f"{key}_n"))
@@ -214,15 +283,24 @@ def fuse(scored: DataFrame, languages: tuple[str, ...]) -> DataFrame:
             # how often any does: its likelihood up to a factor shared by all.
             for key in ("suffix", "declared"):
                 logs = logs + np.log(mixed(key, None, share) / share)
-            best = 1 / np.exp(logs - logs.max(1, keepdims=True)).sum(1)
+            top = logs.max(1)
+            every = np.exp(logs - top[:, None]).sum(1)
+            accepted = True
+            if open_set:
+                unknown = column(b, "unknown")
+                # The languages' priors add up to the rest.
+                odds = np.log(UNKNOWN / (1 - UNKNOWN)) + np.array([u or 0.0 for u in unknown])
+                every = every + np.exp(np.minimum(odds - top, 700))
+                accepted = np.array([any(x is not None for x in e) for e in zip(unknown, column(b, "host"), column(b, "declared"))], bool)
+            best = 1 / every
             yield {
                 **{c: column(b, c) for c in ("id", "host", "declared")},
                 "text_lang": [languages[k] if low < 0 else None for k, low in zip(ll.argmax(1), ll.min(1))],
                 "lang": [languages[k] for k in logs.argmax(1)],
-                "posterior": best, "accepted": best >= ACCEPT,
+                "posterior": best, "accepted": (best >= ACCEPT) & accepted,
             }
 
-    given = ["id", "host", "declared", "ll", *(f"{k}_{x}" for k in keys for x in "sn")]
+    given = ["id", "host", "declared", *of_text, *(f"{k}_{x}" for k in keys for x in "sn")]
     return map_arrow(out, given, RESULT, judge)
 
 
@@ -233,6 +311,7 @@ def identify_pages(pages: DataFrame, model: TextModel) -> DataFrame:
     rows = pages.select(
         F.col("page_id").alias("id"), F.col("html").alias("body"),
         F.when(host != "", host).alias("host"), F.when(declared != "", declared).alias("declared"),
+        F.lit(None).cast("long").alias("hash"),
     )
     return fuse(stage(text_evidence(rows, model, True), "page-evidence"), model.languages).withColumnRenamed("id", "page_id")
 
@@ -242,5 +321,6 @@ def identify_documents(docs: DataFrame, model: TextModel) -> DataFrame:
     rows = docs.select(
         F.col("doc_id").alias("id"), F.col("text").alias("body"), F.when(F.col("source") != "", F.col("source")).alias("host"),
         F.when(F.col("lang") != "", F.col("lang")).alias("declared"),
+        F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id")).alias("hash"),
     )
     return fuse(stage(text_evidence(rows, model, False), "doc-evidence"), model.languages).withColumnRenamed("id", "doc_id")

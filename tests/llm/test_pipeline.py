@@ -81,3 +81,27 @@ def test_near_copies_are_five_word_sets_of_similarity_80(frame, shipped):
     assert between >= 4
     kept = corpus_pipeline.one_of_each_group(shipped, frame(rows, clash=False), "")
     assert sorted(x.doc_id for x in kept.collect()) == sorted({min(g) for g in group.values()})
+
+
+def test_language_stage_drops_noise_and_foreign_texts(shipped):
+    """Whatever they are declared as, and with one labelled language too."""
+    r = random.Random(8)
+    alphabet = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+    noise = [" ".join("".join(r.choice(alphabet) for _ in range(r.randint(3, 12))) for _ in range(50)) for _ in range(4)]
+    german = ["der", "fluß", "geht", "über", "grüne", "hügel", "zwischen", "wäldern", "zurück", "pflügt"]
+    foreign = [
+        "Река медленно течёт под зелёными холмами и находит воду снова и снова среди камней",
+        "Ο ποταμός ρέει αργά κάτω από τους πράσινους λόφους και βρίσκει ξανά το νερό",
+        "Rzeka płynie powoli pod zielonymi wzgórzami i znów znajduje wodę wśród kamieni oraz trawy",
+    ]
+    markup = ['<div class="nav-item"><a href="/x?id=3">&nbsp;</a></div><span style="display:none">{}</span> <td colspan=2 onclick="go(1)">' * 2]
+    for two in (False, True):
+        rows = [(i, prose(r, r.randint(5, 120)), "en", f"s{i % 3}", 0) for i in range(80)]
+        if two:
+            rows += [(100 + i, " ".join(r.choice(german) for _ in range(60)), "de", "s4", 0) for i in range(20)]
+        rows += [(300, None, "en", "s0", 0), (301, "", None, "s1", 0)]
+        bad = [(200 + i, t, ["en", None][i % 2], f"s{i % 3}", 0) for i, t in enumerate(noise + foreign + markup)]
+        bad += [(400, None, None, None, 0), (401, " 12 ", "", "", 0)]
+        kept = corpus_pipeline.known_language(shipped, shipped.createDataFrame(rows + bad, DOCS), "").collect()
+        found = {x.doc_id for x in kept}
+        assert (found - {x[0] for x in rows}, {x[0] for x in rows} - found) == (set(), set())
