@@ -920,8 +920,8 @@ def q_t16_lag(spark, d):
 @register("t7_param_search")
 def q_t7(spark, d):
     from ..operators import ml
-    matrix, _, _, _ = _gbt_fit(spark, d)
-    grid = [{"max_iter": 5, "max_depth": 4}, {"max_iter": 5, "max_depth": 6}]
+    matrix, _, _ = ml.prepare_tabular(_pipe(spark, d).features, VAL_START, TEST_START)
+    grid = [{"max_iter": 300, "max_depth": depth} for depth in (4, 6, 8)]
     return ml.param_search(matrix.select("date", "store_nbr", "family", "features", "label"), grid, n_splits=5)
 
 

@@ -140,3 +140,20 @@ def test_lag_model_scores_every_test_row(spark):
     assert len(pred) == 32 and pred["predicted_sales"].notna().all()
     pred["truth"] = [10 * s + (20 if d.weekday() == 5 else 0) for s, d in zip(pred["store_nbr"], pred["date"])]
     assert (pred["predicted_sales"] - pred["truth"]).abs().max() < 2.0
+
+
+def test_parameter_search_fits_every_round(monkeypatch):
+    """The registered search hands over full fits, the original's depth among them."""
+    from types import SimpleNamespace
+
+    from shelfcast.operators import ml
+    from shelfcast.plans import registry
+
+    matrix = SimpleNamespace(select=lambda *columns: columns)
+    monkeypatch.setattr(registry, "_pipe", lambda spark, d: SimpleNamespace(features=None))
+    monkeypatch.setattr(ml, "prepare_tabular", lambda *args: (matrix, None, None))
+    monkeypatch.setattr(registry, "_gbt_fit", lambda spark, d: (matrix, None, None, None))
+    monkeypatch.setattr(ml, "param_search", lambda matrix, grid, n_splits: (grid, n_splits))
+    grid, folds = registry.q_t7(None, "")
+    assert folds == 5 and all(params["max_iter"] == 300 for params in grid)
+    assert 8 in {params["max_depth"] for params in grid}
