@@ -157,3 +157,9 @@ def test_parameter_search_fits_every_round(monkeypatch):
     grid, folds = registry.q_t7(None, "")
     assert folds == 5 and all(params["max_iter"] == 300 for params in grid)
     assert 8 in {params["max_depth"] for params in grid}
+
+
+def test_boosted_queries_fit_the_original_rounds():
+    from shelfcast.plans import registry
+
+    assert registry.GBT_QUERY_PARAMS == {"max_iter": 300, "max_depth": 8}
