@@ -57,6 +57,18 @@ class Workspace:
         self.made[id(out)] = (out, path)
         return out
 
+    def stage_parts(self, df: DataFrame, column: str, n: int, name: str) -> list[DataFrame]:
+        """``df`` written in one go, split by the integer ``column`` (0 to n - 1,
+        which goes): a table for each value, without a shuffle."""
+        path = f"{self.path}/{name}-{len(self.made)}"
+        df.write.partitionBy(column).parquet(path)
+        schema = df.drop(column).schema
+        # An empty part has no folder: it is read from the whole by its number.
+        whole = self.spark.read.schema(df.schema).parquet(path)
+        out = [whole.where(f"{column} = {k}").select(*schema.names) for k in range(n)]
+        self.made[id(whole)] = (whole, path)
+        return out
+
     def drop(self, *tables: DataFrame) -> None:
         """Delete the given tables of this workspace, or all of them."""
         paths = [self.made[id(t)][1] for t in tables] if tables else [self.path]
