@@ -1,26 +1,25 @@
 """Model matrices and Spark ML models.
 
-Boosted trees are ``pyspark.ml`` GBTRegressor (no L1/L2 leaf penalties, so
-numbers differ from other libraries by design); the sequence model is a
-linear regression on flattened per-series windows (the data flow of the
-recurrent nets: scale, window, fit, clip, score)."""
+Boosted trees are those of ``boosting`` (one pass a round over staged blocks of
+binned rows); the sequence model is a linear regression on flattened per-series
+windows (the data flow of the recurrent nets: scale, window, fit, clip, score)."""
 
 from __future__ import annotations
 
-import uuid
-from concurrent.futures import ThreadPoolExecutor
+import hashlib
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import array_to_vector
-from pyspark.ml.regression import GBTRegressor, LinearRegression
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.metrics import clip_zero, error_aggregates
-from ..session import ensure_checkpoint_dir, stage
-from .series import SERIES, expanding_folds, global_row_index, lag_features, rolling_features, sequence_windows
+from ..session import ensure_checkpoint_dir, path_exists
+from .boosting import VERSION, BoostedTrees, Boosting, fit, fit_many, make_blocks
+from .series import SERIES, fold_assignment, global_row_index, lag_features, rolling_features, sequence_windows
 
 TARGET = "sales"
 # Columns that are never model inputs.
@@ -193,45 +192,56 @@ def scoring_frame(features: DataFrame, horizon: int) -> DataFrame:
     return frame.where(F.col("id").isNotNull()).dropna(subset=horizon_feature_names(horizon))
 
 
-def fit_lag_model(features: DataFrame, val_start: str, horizon: int, **gbt_params) -> tuple[PipelineModel, DataFrame]:
+def fit_lag_model(features: DataFrame, val_start: str, horizon: int, params: Boosting = Boosting()) -> tuple[BoostedTrees, DataFrame]:
     """Boosted trees on the horizon-safe lag frame of the training rows
     (T9, T10): rows from ``val_start`` on are held out for validation.
-    Returns the fitted pipeline and the whole frame."""
+    Returns the fitted trees and the whole frame."""
     names = horizon_feature_names(horizon)
     rows = features.where(F.col("dataset_split") == "train").select(*SERIES, "date", F.col(TARGET).cast("double"))
     frame = (horizon_lag_frame(rows, horizon).dropna(subset=names + [TARGET])
              .withColumn("label", F.col(TARGET))
              .withColumn("is_val", F.col("date") >= F.lit(val_start).cast("date")))
-    pipe = Pipeline(stages=[VectorAssembler(inputCols=names, outputCol="features"), gbt(**gbt_params)])
-    return pipe.fit(frame.where(~F.col("is_val"))), frame
+    frame = frame.withColumn("features", feature_array(names))
+    return fit(frame, params), frame
 
 
-def score_lag_model(model: PipelineModel, features: DataFrame, horizon: int) -> DataFrame:
+def feature_array(names: list[str]):
+    """Columns as one array of doubles."""
+    return F.array(*[F.col(n).cast("double") for n in names])
+
+
+def score_lag_model(model: BoostedTrees, features: DataFrame, horizon: int) -> DataFrame:
     """Predictions for the unlabeled test rows (T16): date, store, family,
     predicted_sales clipped at zero (S10 layout) and the row id."""
-    pred = model.transform(scoring_frame(features, horizon))
+    pred = model.transform(scoring_frame(features, horizon).withColumn("features", feature_array(horizon_feature_names(horizon))))
     return pred.select("id", "date", *SERIES, clip_zero(F.col("prediction")).alias("predicted_sales"))
 
 
 # ------------------------------------------------------------ boosted trees
 
-def gbt(max_iter: int = 300, max_depth: int = 8, step: float = 0.05, subsample: float = 0.8,
-        col_sample: str = "0.8", seed: int = 42) -> GBTRegressor:
-    """Squared-error boosted trees (T10). Every round is kept: the original's
-    watch set is only logged, so it must not stop the fit early."""
-    return GBTRegressor(featuresCol="features", labelCol="label", maxIter=max_iter, maxDepth=max_depth,
-                        stepSize=step, subsamplingRate=subsample, featureSubsetStrategy=col_sample, seed=seed,
-                        lossType="squared")
+def fit_gbt(matrix: DataFrame, params: Boosting = Boosting()) -> BoostedTrees:
+    """Squared-error boosted trees (T10) on the rows of the matrix before the
+    validation period. Every round is kept: the original's watch set is only
+    logged, so it must not stop the fit early."""
+    return fit(matrix, params)
 
 
-def fit_gbt(matrix: DataFrame, **gbt_params):
-    """Boosted trees on the rows of the matrix before the validation period."""
-    return gbt(**gbt_params).fit(matrix.where(~F.col("is_val")))
+def watch_log(model: BoostedTrees, spark: SparkSession) -> DataFrame:
+    """RMSE on the training and the validation rows after each round."""
+    rows = [(i, float(a), float(b)) for i, (a, b) in enumerate(model.watch, 1)]
+    return spark.createDataFrame(rows, "round int, train_rmse double, validation_rmse double")
 
 
-def validation_curve(model, matrix: DataFrame) -> list[float]:
-    """Squared error on the validation rows after each round: the watch log."""
-    return list(model.evaluateEachIteration(matrix.where("is_val"), "squared"))
+def saved_model(spark: SparkSession, key: tuple, make) -> BoostedTrees:
+    """The model saved under ``key`` in the shared folder, made and saved if
+    there is none: one fit serves every query over the same input."""
+    base = ensure_checkpoint_dir(spark)
+    if not base:
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    path = f"{base.rstrip('/')}/models/{hashlib.sha256(repr((VERSION, key)).encode()).hexdigest()[:24]}"
+    if not path_exists(spark, f"{path}/settings/_SUCCESS"):
+        make().save(spark, path)
+    return BoostedTrees.load(spark, path)
 
 
 def evaluate_predictions(pred: DataFrame, group: str | None = None) -> DataFrame:
@@ -244,21 +254,14 @@ def evaluate_predictions(pred: DataFrame, group: str | None = None) -> DataFrame
 def split_metrics(model, matrix: DataFrame) -> DataFrame:
     """Train and validation metric rows (split, rmsle, mae, rmse, n_trees)."""
     pred = model.transform(matrix).withColumn("split", F.when(F.col("is_val"), "validation").otherwise("train"))
-    return evaluate_predictions(pred, "split").select("split", "rmsle", "mae", "rmse", F.lit(model.getNumTrees).alias("n_trees"))
+    return evaluate_predictions(pred, "split").select("split", "rmsle", "mae", "rmse", F.lit(model.n_trees).alias("n_trees"))
 
 
-def split_count_importance(model, feature_names: list[str], spark: SparkSession) -> DataFrame:
+def split_count_importance(model: BoostedTrees, feature_names: list[str], spark: SparkSession) -> DataFrame:
     """Number of splits per feature across all trees (T11), every feature
-    listed (missing -> 0, J11), ordered by importance (L4). The counts come
-    from the saved ensemble's node table, aggregated by Spark."""
-    base = ensure_checkpoint_dir(spark)
-    if not base:
-        raise RuntimeError("set spark.checkpoint.dir: split counts need a shared folder to save the model")
-    path = f"{base.rstrip('/')}/gbt-{uuid.uuid4().hex[:12]}"
-    model.write().overwrite().save(path)
-    nodes = spark.read.parquet(f"{path}/data")
-    counts = (nodes.where(F.col("nodeData.split.featureIndex") >= 0)
-              .groupBy(F.col("nodeData.split.featureIndex").alias("feature_index"))
+    listed (missing -> 0, J11), ordered by importance (L4)."""
+    used = [(int(f),) for t in model.trees for f in t.feature[t.split]]
+    counts = (spark.createDataFrame(used, "feature_index int").groupBy("feature_index")
               .agg(F.count(F.lit(1)).alias("importance")))
     names = spark.createDataFrame(list(enumerate(feature_names)), "feature_index int, feature string")
     return (names.join(counts, "feature_index", "left")
@@ -271,20 +274,21 @@ def top_features(importance: DataFrame, n: int = 20) -> DataFrame:
     return importance.orderBy(F.col("importance").desc(), "feature").limit(n)
 
 
-def score_test(features: DataFrame, model: PipelineModel, gbt_model) -> DataFrame:
+def score_test(features: DataFrame, model: PipelineModel, trees: BoostedTrees) -> DataFrame:
     """Predictions for the unlabeled test rows with the fitted matrix pipeline
     (fixed vocabulary) and trees (T16): date, store, family, predicted_sales."""
     rows = features.where(F.col("dataset_split") == "test")
     num, _ = feature_columns(rows)
     keys = rows.select(F.col("id").alias("_id"), *[F.col(c).alias(f"_k_{c}") for c in SERIES], "*")
     coerced = keys.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in num})
-    pred = gbt_model.transform(model.transform(coerced))
+    matrix = model.transform(coerced).select("_id", *[f"_k_{c}" for c in SERIES], "date", "features")
+    pred = trees.transform(matrix)
     return pred.select(F.col("_id").alias("id"), *[F.col(f"_k_{c}").alias(c) for c in SERIES], "date",
                        clip_zero(F.col("prediction")).alias("predicted_sales"))
 
 
 def save_model(model, path: str) -> str:
-    """Persist a fitted model."""
+    """Persist a fitted pipeline of encoders (S13); trees have their own ``save``."""
     model.write().overwrite().save(path)
     return path
 
@@ -293,40 +297,25 @@ def load_pipeline(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
-def param_search(matrix: DataFrame, grid: list[dict], n_splits: int = 5, parallelism: int = 4) -> DataFrame:
-    """Expanding-window folds over the rows in date order (W11) x parameter
-    grid; mean RMSLE per parameter set; the first strictly smallest wins (T7).
-    Returns one row per parameter set with ``best`` marking the winner.
+def param_search(matrix: DataFrame, grid: list[Boosting], n_splits: int = 5) -> DataFrame:
+    """Expanding-window folds over the rows in date order (W11) x settings;
+    mean RMSLE per setting; the first strictly smallest wins (T7). Returns one
+    row per setting with ``best`` marking the winner.
 
-    Each fit is a distributed job; the independent (parameters, fold) fits
-    are submitted from ``parallelism`` driver threads so the cluster runs
-    them side by side (as ``CrossValidator(parallelism=...)`` does)."""
+    All fits, settings x folds, are made side by side: each round is one pass
+    over the blocks for all of them."""
     spark = matrix.sparkSession
-    # total order (date, store, family): offsets per date, row numbers inside
-    # a date, so no window ever holds more than one day of rows
-    # every fit of the grid x folds loop scans this frame: write it once
-    # (lineage cut; a lost executor does not re-run the feature plan)
-    indexed = stage(global_row_index(matrix, ["store_nbr", "family"], ["date"]), "folds")
-    n = indexed.count()
-    tasks = [(pos, params, lo, hi) for pos, params in enumerate(grid)
-             for _, lo, hi in expanding_folds(n, n_splits)]
-
-    def fold_rmsle(task) -> float:
-        _, params, lo, hi = task
-        tr = indexed.where(F.col("row_index") < lo)
-        va = indexed.where((F.col("row_index") >= lo) & (F.col("row_index") < hi))
-        m = gbt(**params).fit(tr)
-        return evaluate_predictions(m.transform(va)).first()["rmsle"]
-
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        scores = list(pool.map(fold_rmsle, tasks))  # in task order
+    folds = fold_assignment(matrix, n_splits, ["store_nbr", "family"], ["date"])
+    coded = folds.select("features", "label", F.coalesce(F.col("test_fold") + 1, F.lit(0)).alias("_code"))
+    blocks = make_blocks(coded, "features", "label", "_code")
+    models = iter(fit_many(blocks, [(p, k) for p in grid for k in range(n_splits)]))
     results = []
-    for pos, params in enumerate(grid):
-        mine = [sc for (p, *_), sc in zip(tasks, scores) if p == pos]
-        results.append((pos, str(params), float(sum(mine) / len(mine))))
-    df = spark.createDataFrame(results, "position int, params string, mean_rmsle double")
+    for pos, p in enumerate(grid):
+        scores = [next(models).test_rmsle for _ in range(n_splits)]
+        results.append((pos, p.depth, p.rounds, p.rate, n_splits, sum(scores) / n_splits))
+    df = spark.createDataFrame(results, "position int, depth int, rounds int, rate double, folds int, mean_rmsle double")
     best = df.agg(F.min_by("position", F.struct("mean_rmsle", "position")).alias("_b"))
-    return df.crossJoin(best).withColumn("best", F.col("position") == F.col("_b")).drop("_b")
+    return df.crossJoin(F.broadcast(best)).withColumn("best", F.col("position") == F.col("_b")).drop("_b")
 
 
 # ------------------------------------------------------------ sequence model

@@ -57,8 +57,7 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     """Use the session's checkpoint folder; only when it is unset on a local
     master (local runs and tests) set a fresh scratch folder. Never overrides
     a cluster setting, and never points a cluster at a machine-local folder:
-    on a cluster without the setting the result is None and ``stage`` keeps
-    plans lazy."""
+    on a cluster without the setting the result is None, and ``stage`` raises."""
     current = checkpoint_dir(spark)
     if current:
         return current
@@ -104,6 +103,12 @@ def ship_package(spark: SparkSession) -> None:
     sc._shelfcast_shipped = True
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` is there, in any store that Spark reads."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
+
+
 def input_version(spark: SparkSession, folder: str) -> tuple:
     """Names, sizes and times of the tables in ``folder`` (and of their parts),
     in any store that Spark reads: changes when the input does."""

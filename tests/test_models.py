@@ -6,7 +6,8 @@ import datetime as dt
 import numpy as np
 from pyspark.sql import functions as F
 
-from shelfcast.operators import ml, models
+from shelfcast.operators import boosting, ml, models
+from shelfcast.operators.boosting import Boosting
 
 
 def _series(spark, values, store=1, family="A", extra=None):
@@ -81,17 +82,75 @@ def test_seasonal_ar_bands_widen_with_the_step():
     assert np.allclose(spread / spread[0], np.sqrt(np.arange(1, 10)), rtol=1e-6)
 
 
-def test_boosted_trees_keep_every_round(spark):
-    rng = np.random.default_rng(2)
-    x = rng.normal(size=(400, 2))
-    rows = [(float(a), float(b), float(a * b + rng.normal(0, 0.1)), i >= 300) for i, (a, b) in enumerate(x)]
-    df = spark.createDataFrame(rows, "a double, b double, label double, is_val boolean")
-    from pyspark.ml.feature import VectorAssembler
-    m = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(df)
-    model = ml.fit_gbt(m, max_iter=25, max_depth=3)
-    assert model.getNumTrees == 25
-    curve = ml.validation_curve(model, m)
-    assert len(curve) == 25 and curve[-1] < curve[0]
+def _matrix(spark, n=400, seed=2):
+    rng = np.random.default_rng(seed)
+    x = rng.normal(size=(n, 3))
+    x[:, 2] = x[:, 2] > 0
+    y = x[:, 0] * x[:, 1] + 3 * x[:, 2] + 5 + rng.normal(0, 0.1, n)
+    rows = [([float(v) for v in r], float(t), i >= n * 3 // 4) for i, (r, t) in enumerate(zip(x, y))]
+    return spark.createDataFrame(rows, "features array<double>, label double, is_val boolean")
+
+
+def test_boosted_trees_keep_every_round(spark, tmp_path):
+    m = _matrix(spark)
+    model = ml.fit_gbt(m, Boosting(rounds=40, depth=3, rate=0.2))
+    assert model.n_trees == 40
+    log = ml.watch_log(model, spark).orderBy("round").collect()
+    assert [r.round for r in log] == list(range(1, 41)) and log[-1].validation_rmse < 0.5 * log[0].validation_rmse
+    # The stored trees give the predictions that the rounds ended with.
+    loaded = boosting.BoostedTrees.load(spark, model.save(spark, str(tmp_path / "m")))
+    assert loaded.params == model.params and loaded.watch == model.watch
+    for trees in (model, loaded):
+        got = trees.transform(m).groupBy("is_val").agg(F.sqrt(F.avg(F.pow(F.col("label") - F.col("prediction"), 2))).alias("e"))
+        errors = {r.is_val: r.e for r in got.collect()}
+        assert abs(errors[False] - log[-1].train_rmse) < 1e-4 and abs(errors[True] - log[-1].validation_rmse) < 1e-4
+
+
+def test_boosted_trees_on_several_blocks(spark, monkeypatch):
+    monkeypatch.setattr(boosting, "BLOCK_ROWS", 90)
+    monkeypatch.setattr(boosting, "CHECKPOINT_ROUNDS", 6)
+    monkeypatch.setattr(boosting, "REPLAYED", 4)
+    m = _matrix(spark, 1200)
+    blocks = boosting.make_blocks(m.withColumn("c", F.col("is_val").cast("int")), "features", "label", "c")
+    sizes = [r["rows"] for r in blocks.table.collect()]
+    assert sum(sizes) == 1200 and max(sizes) <= 90 and len(sizes) > 10
+    deep, shallow = boosting.fit_many(blocks, [(Boosting(rounds=60, depth=4, rate=0.2), 0), (Boosting(rounds=20, depth=1), 0)])
+    assert (deep.n_trees, shallow.n_trees, len(deep.watch), len(shallow.watch)) == (60, 20, 60, 20)
+    assert deep.watch[-1][1] < 0.6 < shallow.watch[-1][1]
+    sle = deep.transform(m.where("is_val")).agg(F.sqrt(F.avg(F.pow(F.log1p("label") - F.log1p(F.greatest("prediction", F.lit(0.0))), 2)))).first()[0]
+    assert abs(sle - deep.test_rmsle) < 1e-4
+
+
+def test_split_search_finds_the_best_split():
+    rng = np.random.default_rng(5)
+    binned = rng.integers(0, 6, (4, 300)).astype(np.uint8)
+    g = rng.normal(size=300) + (binned[2] > 3) * 2 - (binned[1] > 1)
+    p = Boosting(depth=2, row_sample=1.0, column_sample=1.0, l1=0.1, l2=1.0)
+
+    def best(rows):
+        def score(part):
+            return max(abs(g[part].sum()) - p.l1, 0) ** 2 / (len(part) + p.l2)
+
+        options = [(score(rows[binned[f, rows] <= b]) + score(rows[binned[f, rows] > b]) - score(rows), -f, -b)
+                   for f in range(4) for b in range(5) if 0 < (binned[f, rows] <= b).sum() < len(rows)]
+        _, f, b = max(options)
+        return -f, -b
+
+    t = boosting.grow(binned, g, np.full(4, 6), p, np.random.default_rng(0))
+    rows = np.arange(300)
+    assert (t.feature[0], t.bin[0]) == best(rows) and t.split.all()
+    right = binned[t.feature[0]] > t.bin[0]
+    for child, part in ((1, rows[~right]), (2, rows[right])):
+        assert (t.feature[child], t.bin[child]) == best(part)
+
+
+def test_missing_values_and_constant_labels(spark):
+    rows = [([float(i % 5), None if i % 3 == 0 else 1.0], float(10 * (i % 3 == 0)), False) for i in range(200)]
+    df = spark.createDataFrame(rows, "features array<double>, label double, is_val boolean")
+    model = ml.fit_gbt(df, Boosting(rounds=80, depth=2, rate=0.3, column_sample=1.0))
+    assert max(abs(r.prediction - r.label) for r in model.transform(df).collect()) < 0.5
+    same = ml.fit_gbt(df.withColumn("label", F.lit(4.0)), Boosting(rounds=3, depth=2))
+    assert {r.prediction for r in same.transform(df).collect()} == {4.0}
 
 
 def test_vocabulary_fixed_for_test_rows(spark):
@@ -113,13 +172,23 @@ def test_minmax_constant_column_is_zero(spark):
 
 
 def test_gbt_split_importance_counts(spark):
-    rows = [(float(i % 10), float(i % 3), float(i % 10) * 2.0) for i in range(200)]
-    df = spark.createDataFrame(rows, "a double, b double, label double")
-    from pyspark.ml.feature import VectorAssembler
-    m = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(df)
-    model = ml.gbt(max_iter=3, max_depth=2, subsample=1.0, col_sample="all").fit(m)
-    imp = {r.feature: r.importance for r in ml.split_count_importance(model, ["a", "b"], spark).collect()}
-    assert imp["a"] > 0 and set(imp) == {"a", "b"}
+    rows = [([float(i % 10), float(i % 3), 1.0], float(i % 10) * 2.0, False) for i in range(200)]
+    df = spark.createDataFrame(rows, "features array<double>, label double, is_val boolean")
+    model = ml.fit_gbt(df, Boosting(rounds=3, depth=2, row_sample=1.0, column_sample=1.0))
+    imp = {r.feature: r.importance for r in ml.split_count_importance(model, ["a", "b", "c"], spark).collect()}
+    assert imp["a"] > 0 and imp["c"] == 0 and set(imp) == {"a", "b", "c"}
+    assert sum(imp.values()) == sum(int(t.split.sum()) for t in model.trees)
+
+
+def test_parameter_search_over_folds(spark):
+    rng = np.random.default_rng(3)
+    start = dt.date(2001, 1, 1)
+    rows = [(start + dt.timedelta(days=d), s, "A", [float(d % 7), float(s)], float((d % 7) * s + rng.random())) for d in range(120) for s in (1, 2, 3)]
+    m = spark.createDataFrame(rows, "date date, store_nbr int, family string, features array<double>, label double")
+    grid = [Boosting(rounds=25, depth=1, rate=0.2), Boosting(rounds=25, depth=4, rate=0.2), Boosting(rounds=25, depth=4, rate=0.2)]
+    out = ml.param_search(m, grid, n_splits=3).orderBy("position").collect()
+    assert [r.best for r in out] == [False, True, False] or out[1].mean_rmsle != out[2].mean_rmsle
+    assert out[1].mean_rmsle < out[0].mean_rmsle and {r.folds for r in out} == {3} and sum(r.best for r in out) == 1
 
 
 def test_lag_model_scores_every_test_row(spark):
@@ -135,7 +204,7 @@ def test_lag_model_scores_every_test_row(spark):
             rows.append((store * 1000 + i, d, split, store, "A", sales))
     feats = spark.createDataFrame(rows, "id long, date date, dataset_split string, store_nbr int, family string,"
                                         " sales double")
-    model, _ = ml.fit_lag_model(feats, "2001-06-01", 16, max_iter=30, max_depth=4)
+    model, _ = ml.fit_lag_model(feats, "2001-06-01", 16, Boosting(rounds=60, depth=4, rate=0.2))
     pred = ml.score_lag_model(model, feats, 16).toPandas()
     assert len(pred) == 32 and pred["predicted_sales"].notna().all()
     pred["truth"] = [10 * s + (20 if d.weekday() == 5 else 0) for s, d in zip(pred["store_nbr"], pred["date"])]
@@ -144,22 +213,16 @@ def test_lag_model_scores_every_test_row(spark):
 
 def test_parameter_search_fits_every_round(monkeypatch):
     """The registered search hands over full fits, the original's depth among them."""
-    from types import SimpleNamespace
-
-    from shelfcast.operators import ml
     from shelfcast.plans import registry
 
-    matrix = SimpleNamespace(select=lambda *columns: columns)
-    monkeypatch.setattr(registry, "_pipe", lambda spark, d: SimpleNamespace(features=None))
-    monkeypatch.setattr(ml, "prepare_tabular", lambda *args: (matrix, None, None))
-    monkeypatch.setattr(registry, "_gbt_fit", lambda spark, d: (matrix, None, None, None))
+    monkeypatch.setattr(registry, "_matrix", lambda spark, d: ("matrix", None, None))
     monkeypatch.setattr(ml, "param_search", lambda matrix, grid, n_splits: (grid, n_splits))
     grid, folds = registry.q_t7(None, "")
-    assert folds == 5 and all(params["max_iter"] == 300 for params in grid)
-    assert 8 in {params["max_depth"] for params in grid}
+    assert folds == 5 and all(params.rounds == 300 for params in grid)
+    assert 8 in {params.depth for params in grid}
 
 
 def test_boosted_queries_fit_the_original_rounds():
     from shelfcast.plans import registry
 
-    assert registry.GBT_QUERY_PARAMS == {"max_iter": 300, "max_depth": 8}
+    assert registry.GBT == Boosting(rounds=300, depth=8, rate=0.05, row_sample=0.8, column_sample=0.8, l1=0.1, l2=1.0)
