@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from ..functions.metrics import clip_zero, error_aggregates, extended_aggregates, residual
 from ..functions.stats import histogram_bin, inverse_normal
+from .common import checked_broadcast
+from .quantiles import exact_quantiles
 
 KEY = ["date", "store_nbr", "family"]
 
@@ -190,35 +192,35 @@ def density_curve(df: DataFrame, value: str, grid_points: int = 200, fine_bins:
             .groupBy("x").agg((F.sum(F.col("_c") * k) / F.first("_n")).alias("density")))
 
 
-def box_stats(df: DataFrame, group: str, value: str, accuracy: int | None = 10000) -> DataFrame:
+def box_stats(df: DataFrame, group: str, value: str) -> DataFrame:
     """Quartiles, whiskers (most extreme values within 1.5 IQR) and outlier
-    count per group (A19). By default the quartiles are percentile_approx
-    sketches, whose size per group is bounded whatever the group holds;
-    ``accuracy=None`` asks for exact quartiles, whose buffer grows with the
-    distinct values of a group (fine for integral measures)."""
-    if accuracy is None:
-        q = F.percentile(value, [0.25, 0.5, 0.75])
-    else:
-        q = F.percentile_approx(value, [0.25, 0.5, 0.75], accuracy)
-    quart = df.groupBy(group).agg(q.alias("_q"))
-    j = df.join(quart, group)
-    q1, q3 = F.col("_q")[0], F.col("_q")[2]
+    count per group (A19). The quartiles are exact and found in bounded memory;
+    their table has one row per group."""
+    quart = exact_quantiles(df, value, [0.25, 0.5, 0.75], group).withColumnRenamed(group, "_group")
+    j = df.select(group, value).join(checked_broadcast(quart), F.col(group).eqNullSafe(F.col("_group")))
+    q1, q3 = F.col("quantiles")[0], F.col("quantiles")[2]
     lo, hi = q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1)
     v = F.col(value)
     return j.groupBy(group).agg(
-        F.first(q1).alias("q1"), F.first(F.col("_q")[1]).alias("median"), F.first(q3).alias("q3"),
+        F.first(q1).alias("q1"), F.first(F.col("quantiles")[1]).alias("median"), F.first(q3).alias("q3"),
         F.min(F.when(v >= lo, v)).alias("whisker_low"),
         F.max(F.when(v <= hi, v)).alias("whisker_high"),
         F.count_if((v < lo) | (v > hi)).alias("outliers"),
     )
 
 
-def qq_points(df: DataFrame, value: str, points: int = 99, accuracy: int = 10000) -> DataFrame:
-    """Normal Q-Q pairs (A20): sample quantiles on a fixed probability grid
-    against the standard normal quantiles of the same grid."""
+def top_groups(df: DataFrame, group: str, value: str, n: int) -> DataFrame:
+    """The rows of the ``n`` groups with the largest sums of ``value``: the
+    groups that a box report of the top n is about (A9, A19)."""
+    return df.join(F.broadcast(top_n(df, group, value, n).select(group)), group, "left_semi")
+
+
+def qq_points(df: DataFrame, value: str, points: int = 99) -> DataFrame:
+    """Normal Q-Q pairs (A20): exact sample quantiles on a fixed probability
+    grid against the standard normal quantiles of the same grid."""
     probs = [(i + 0.5) / points for i in range(points)]
-    q = df.agg(F.percentile_approx(value, probs, accuracy).alias("_q"))
-    return q.select(F.posexplode("_q").alias("i", "sample_quantile")).select(
+    q = exact_quantiles(df, value, probs)
+    return q.select(F.posexplode("quantiles").alias("i", "sample_quantile")).select(
         "i", (F.col("i") + 0.5) / points, "sample_quantile"
     ).toDF("i", "p", "sample_quantile").withColumn("theoretical_quantile", inverse_normal(F.col("p")))
 

@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from ..functions.metrics import clip_zero, error_aggregates
 from ..session import ensure_checkpoint_dir, path_exists
 from .boosting import VERSION, BoostedTrees, Boosting, fit, fit_many, make_blocks
-from .series import SERIES, fold_assignment, global_row_index, lag_features, rolling_features, sequence_windows
+from .series import SERIES, fold_assignment, lag_features, positional_split, rolling_features, sequence_windows
 
 TARGET = "sales"
 # Columns that are never model inputs.
@@ -141,9 +141,8 @@ def lag_matrix(frame: DataFrame, train_share: float = 0.8) -> tuple[DataFrame, P
     rows = frame.withColumns({f"{c}_key": F.col(c).cast("string") for c in LAG_CATEGORICAL})
     rows = rows.withColumns({c: F.col(c).cast("double") for c in num}).withColumn("label", F.col(TARGET).cast("double"))
     model = tabular_pipeline(num, [f"{c}_key" for c in LAG_CATEGORICAL]).fit(rows)
-    indexed = global_row_index(model.transform(rows), list(SERIES), ["date"])
-    n = F.broadcast(rows.agg(F.floor(F.count(F.lit(1)) * train_share).alias("_cut")))
-    matrix = indexed.crossJoin(n).withColumn("is_val", F.col("row_index") >= F.col("_cut")).drop("_cut")
+    split = positional_split(model.transform(rows), ["date"], train_share)
+    matrix = split.withColumn("is_val", F.col("split") == "val").drop("split")
     return matrix, model, expanded_names(model, num, [f"{c}_key" for c in LAG_CATEGORICAL])
 
 

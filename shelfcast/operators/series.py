@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import stage
+
 SERIES = ["store_nbr", "family"]
 
 
@@ -92,42 +94,39 @@ def expanding_folds(n: int, k: int) -> list[tuple[int, int, int]]:
     return [(i, first + i * size, first + (i + 1) * size) for i in range(k)]
 
 
+def indexed_rows(df: DataFrame, order: list[str], partition: list[str] = SERIES) -> tuple[DataFrame, int]:
+    """0-based position ``row_index`` of each row in the total order
+    (``partition`` then ``order``), and the number of rows (W10).
+
+    Rows are partitioned by range and sorted inside a partition, so a row's
+    number is its place in its partition plus the rows of the partitions before
+    it. The ordered rows are written once with both parts of that number; what
+    the driver sees is one count per partition. No window is involved."""
+    keys = [*partition, *order]
+    placed = df.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("_id", F.monotonically_increasing_id())
+    placed = stage(placed, "ordered")
+    # The id holds the partition above 33 bits of the place inside it.
+    part, place = F.shiftright("_id", 33).cast("int"), F.col("_id").bitwiseAND((1 << 33) - 1)
+    n, starts = 0, []
+    for r in placed.groupBy(part.alias("part")).count().orderBy("part").collect():
+        starts.append((r["part"], n))
+        n += r["count"]
+    offsets = df.sparkSession.createDataFrame(starts, "_part int, _start long")
+    numbered = placed.join(F.broadcast(offsets), part == F.col("_part")).withColumn("row_index", F.col("_start") + place)
+    return numbered.drop("_id", "_part", "_start"), n
+
+
 def global_row_index(df: DataFrame, order: list[str], partition: list[str] = SERIES) -> DataFrame:
-    """0-based position of each row in the total order (``partition`` then
-    ``order``), without a single-partition window over the rows: a per-key
-    count table gives each key's offset (prefix sums first over the distinct
-    values of the first key, then inside each of them), then a row_number
-    inside the key (W10)."""
-    running = (Window.unboundedPreceding, Window.currentRow)
-    counts = df.groupBy(*partition).agg(F.count(F.lit(1)).alias("_n"))
-    head, rest = partition[0], partition[1:]
-    # level 1: one row per value of the first key (stores, dates); the only
-    # window without a partition runs over this table
-    head_counts = counts.groupBy(head).agg(F.sum("_n").alias("_hn"))
-    head_off = head_counts.select(
-        head, (F.sum("_hn").over(Window.orderBy(head).rowsBetween(*running)) - F.col("_hn")).alias("_ho"))
-    # level 2: the remaining keys, partitioned by the first one
-    if rest:
-        inner = F.sum("_n").over(Window.partitionBy(head).orderBy(*rest).rowsBetween(*running)) - F.col("_n")
-    else:
-        inner = F.lit(0).cast("bigint")
-    offsets = counts.join(head_off, head).select(*partition, (F.col("_ho") + inner).alias("_offset"))
-    rn = F.row_number().over(Window.partitionBy(*partition).orderBy(*order)) - 1
-    return df.join(offsets, partition).withColumn("row_index", F.col("_offset") + rn).drop("_offset")
+    """``df`` with the row_index of ``indexed_rows``."""
+    return indexed_rows(df, order, partition)[0]
 
 
 def positional_split(df: DataFrame, order: list[str], fraction: float = 0.8,
                      partition: list[str] = SERIES) -> DataFrame:
     """First ``fraction`` of rows in the (partition, order) total order -> train,
     rest -> val, as int(n * fraction) like the original (W10)."""
-    indexed = global_row_index(df, order, partition)
-    total = F.broadcast(df.agg(F.count(F.lit(1)).alias("_total")))
-    return (
-        indexed.crossJoin(total)
-        .withColumn("split", F.when(F.col("row_index") < F.floor(F.col("_total") * fraction), "train")
-                    .otherwise("val"))
-        .drop("_total")
-    )
+    indexed, n = indexed_rows(df, order, partition)
+    return indexed.withColumn("split", F.when(F.col("row_index") < int(n * fraction), "train").otherwise("val"))
 
 
 # --------------------------------------------------------- series features
@@ -219,12 +218,9 @@ def fold_assignment(df: DataFrame, k: int, order: list[str], partition: list[str
     """Expanding-window fold of every row (W11) over the (partition, order)
     total order: ``test_fold`` is the fold whose test block holds the row
     (null for the leading train-only block); fold f trains on every row
-    before its block. Uses the distributed row index of ``global_row_index``."""
-    indexed = global_row_index(df, order, partition)
-    n = F.broadcast(df.agg(F.count(F.lit(1)).alias("_n")))
-    size = F.floor(F.col("_n") / (k + 1))
-    first = F.col("_n") - size * k
-    return (indexed.crossJoin(n)
-            .withColumn("test_fold", F.when(F.col("row_index") >= first,
-                                            F.floor((F.col("row_index") - first) / size).cast("int")))
-            .drop("_n"))
+    before its block. Uses the distributed row index of ``indexed_rows``."""
+    indexed, n = indexed_rows(df, order, partition)
+    folds = expanding_folds(n, k)
+    first, size = folds[0][1], folds[0][2] - folds[0][1]
+    fold = F.floor((F.col("row_index") - first) / size).cast("int")
+    return indexed.withColumn("test_fold", F.when(F.col("row_index") >= first, fold))

@@ -17,12 +17,13 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import types as T
 
 from ..checks.duckdb_sql import sql
+from ..functions import stats
 from ..operators import clean, evaluate, features as feat, forecast, quality, series
 from ..operators.boosting import Boosting
 from ..session import ensure_checkpoint_dir, input_version, stage
 from ..sources import sinks
 from ..sources.adapter import load_sources
-from ..sources.readers import DEFAULT_FILES, read_sources
+from ..sources.readers import DEFAULT_FILES, metrics_for_model, read_sources
 from .pipeline import TEST_START, VAL_START, pipeline_for, write_run
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -652,7 +653,7 @@ def q_a19(spark, d):
     p = _pipe(spark, d)
     pairs = _pairs(spark, d).join(p.cleaned.stores.select("store_nbr", "type"), "store_nbr")
     # predictions are whole units here, so exact quartiles keep a small buffer
-    return evaluate.box_stats(pairs, "type", "prediction", accuracy=None)
+    return evaluate.box_stats(pairs, "type", "prediction")
 
 
 @register("p24_residuals", _PRED_SQL + """
@@ -999,7 +1000,26 @@ def q_a18(spark, d):
     return evaluate.density_curve(forecast.submission(p.features, p.cleaned.test), "sales")
 
 
-@register("a20_qq_points")
+def _poly_sql(coefs: list[float], x: str) -> str:
+    out = f"({coefs[0]!r})::DOUBLE"
+    for c in coefs[1:]:
+        out = f"({out} * {x} + ({c!r})::DOUBLE)"
+    return out
+
+
+_NORMAL_SQL = f"""
+CASE WHEN p < {stats._P_LOW!r} THEN {_poly_sql(stats._C, "sqrt(-2 * ln(p))")} / ({_poly_sql(stats._D, "sqrt(-2 * ln(p))")} * sqrt(-2 * ln(p)) + 1)
+  WHEN p > 1 - {stats._P_LOW!r}::DOUBLE
+  THEN -{_poly_sql(stats._C, "sqrt(-2 * ln(1 - p))")} / ({_poly_sql(stats._D, "sqrt(-2 * ln(1 - p))")} * sqrt(-2 * ln(1 - p)) + 1)
+  ELSE {_poly_sql(stats._A, "((p - 0.5) * (p - 0.5))")} * (p - 0.5) / ({_poly_sql(stats._B, "((p - 0.5) * (p - 0.5))")} * ((p - 0.5) * (p - 0.5)) + 1) END
+"""
+
+
+@register("a20_qq_points", _PRED_SQL + f"""
+, q AS (SELECT quantile_cont(prediction - actual, [(i + 0.5::DOUBLE) / 99 FOR i IN range(99)]) AS q FROM pairs),
+s AS (SELECT CAST(i AS INTEGER) AS i, (i + 0.5::DOUBLE) / 99 AS p, q[i + 1] AS sample_quantile FROM q, range(99) r(i))
+SELECT i, p, sample_quantile, {_NORMAL_SQL} AS theoretical_quantile FROM s
+""", ("p", "sample_quantile", "theoretical_quantile"))
 def q_a20(spark, d):
     return evaluate.qq_points(evaluate.with_residual(_pairs(spark, d)), "residual")
 
@@ -1073,3 +1093,93 @@ SELECT date AS ds, sales AS y, CAST(onpromotion AS DOUBLE) AS onpromotion, oil_p
 def q_p22(spark, d):
     return evaluate.model_frame(_pipe(spark, d).features.where(F.col("dataset_split") == "train"),
                                 ["onpromotion", "oil_price", "dcoilwtico_lag"])
+
+
+# ------------------------------------------------------------- metric store
+
+def _sn_rows(period: int, name: str) -> str:
+    """The per-series rows that ``_sn_sql`` averages."""
+    text = _sn_sql(period, name, 0)
+    inner = text[text.index("FROM (") + len("FROM (") : text.rindex(")")]
+    return f"SELECT '{name}' AS model, * FROM ({inner})"
+
+
+@register("s6_s11_metric_store", f"""
+WITH r AS ({_sn_rows(7, 'SeasonalNaive7')} UNION ALL {_sn_rows(14, 'SeasonalNaive14')})
+SELECT model, store_nbr, family, rmsle, rmse, mae, CASE WHEN model = 'SeasonalNaive14' THEN 14 END AS season_days FROM r
+""", ("rmsle", "rmse", "mae"))
+def q_metric_store(spark, d):
+    """Two models' rows in one store, each written twice, the second model with
+    a column that the first lacks; read back by model."""
+    f = _pipe(spark, d).features
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/metrics-{uuid.uuid4().hex[:12]}"
+    weekly = stage(forecast.baseline_backtest(f, VAL_START, TEST_START, 7).select("store_nbr", "family", "rmsle", "rmse", "mae"), "weekly")
+    longer = forecast.baseline_backtest(f, VAL_START, TEST_START, 14).select("store_nbr", "family", "rmsle", "rmse", "mae", F.lit(14).alias("season_days"))
+    sinks.append_metrics(weekly.limit(1), path, "SeasonalNaive7")  # an earlier, shorter run
+    for name, rows in (("SeasonalNaive7", weekly), ("SeasonalNaive14", stage(longer, "longer"))):
+        for _ in range(2):
+            sinks.append_metrics(rows, path, name)
+    store = sinks.read_store(spark, path)
+    both = metrics_for_model(store, "SeasonalNaive7").unionByName(metrics_for_model(store, "SeasonalNaive14"))
+    return both.select("model", "store_nbr", "family", "rmsle", "rmse", "mae", "season_days")
+
+
+@register("s9_experiment_log", _T4_SQL + """
+SELECT 'backtest' AS experiment, 'seasonal_naive' AS model, '7' AS period, metric, value FROM (
+  SELECT avg(rmsle) AS rmsle, avg(mae) AS mae, avg(rmse) AS rmse FROM res) UNPIVOT (value FOR metric IN (rmsle, mae, rmse))
+""", ("value",))
+def q_experiment_log(spark, d):
+    """An experiment logged twice is one record."""
+    res = forecast.baseline_backtest(_pipe(spark, d).features, VAL_START, TEST_START)
+    found = res.agg(*[F.avg(c).alias(c) for c in ("rmsle", "mae", "rmse")]).first().asDict()
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/experiments-{uuid.uuid4().hex[:12]}"
+    for _ in range(2):
+        sinks.log_experiment(spark, path, "backtest", "seasonal_naive", {"period": 7}, found, 1.0)
+    log = sinks.read_store(spark, path)
+    return log.select("experiment", "model", F.col("params")["period"].alias("period"), F.explode("metrics").alias("metric", "value"))
+
+
+@register("a9_top_families_predicted", _PRED_SQL + """
+SELECT family, SUM(prediction) AS total FROM pairs GROUP BY family ORDER BY total DESC, family LIMIT 10
+""", ("total",))
+def q_a9_predicted(spark, d):
+    return evaluate.top_n(_pairs(spark, d), "family", "prediction", 10)
+
+
+@register("a17_residual_histogram", _PRED_SQL + """
+, v AS (SELECT prediction - actual AS r FROM pairs),
+st AS (SELECT MIN(r) AS lo, MAX(r) AS hi, avg(r) AS m FROM v),
+b AS (SELECT CAST(CASE WHEN hi = lo THEN 1 ELSE least(floor((r - lo) / (hi - lo) * 50) + 1, 50) END AS INTEGER) AS bin, lo, hi, m FROM v, st)
+SELECT bin, any_value(lo) + (bin - 1) * (any_value(hi) - any_value(lo)) / 50 AS bin_start, COUNT(*) AS count, any_value(m) AS mean_value
+FROM b GROUP BY bin
+""", ("bin_start", "mean_value"))
+def q_a17_residual(spark, d):
+    return evaluate.histogram(evaluate.with_residual(_pairs(spark, d)), "residual")
+
+
+@register("a19_box_top_families", """
+WITH j AS (SELECT family, COALESCE(TRY_CAST(sales AS DOUBLE), 0.0) AS sales FROM features WHERE dataset_split = 'train'),
+top AS (SELECT family FROM j GROUP BY family ORDER BY SUM(sales) DESC, family LIMIT 3),
+k AS (SELECT * FROM j WHERE family IN (SELECT family FROM top)),
+q AS (SELECT family, quantile_cont(sales, 0.25) AS q1, quantile_cont(sales, 0.5) AS median, quantile_cont(sales, 0.75) AS q3 FROM k GROUP BY family)
+SELECT q.family, q.q1, q.median, q.q3,
+  MIN(CASE WHEN k.sales >= q.q1 - 1.5 * (q.q3 - q.q1) THEN k.sales END) AS whisker_low,
+  MAX(CASE WHEN k.sales <= q.q3 + 1.5 * (q.q3 - q.q1) THEN k.sales END) AS whisker_high,
+  COUNT(*) FILTER (WHERE k.sales < q.q1 - 1.5 * (q.q3 - q.q1) OR k.sales > q.q3 + 1.5 * (q.q3 - q.q1)) AS outliers
+FROM k JOIN q ON k.family = q.family GROUP BY q.family, q.q1, q.median, q.q3
+""", ("q1", "median", "q3", "whisker_low", "whisker_high"))
+def q_a19_top(spark, d):
+    return evaluate.box_stats(evaluate.top_groups(_train_rows(spark, d), "family", "sales", 3), "family", "sales")
+
+
+_FAMILIES = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
+
+
+@register("l6_store_family_matrix", f"""
+SELECT store_nbr, {', '.join(f"avg(sales) FILTER (family = '{x}') AS {x}" for x in _FAMILIES)}
+FROM (SELECT store_nbr, family, COALESCE(TRY_CAST(sales AS DOUBLE), 0.0) AS sales FROM features WHERE dataset_split = 'train')
+GROUP BY store_nbr ORDER BY store_nbr LIMIT 20
+""", _FAMILIES)
+def q_l6(spark, d):
+    """The first 20 stores of the store x family matrix, wide."""
+    return evaluate.pivot_matrix(evaluate.mean_matrix_long(_train_rows(spark, d))).orderBy("store_nbr").limit(20)

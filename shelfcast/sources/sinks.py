@@ -54,11 +54,25 @@ def experiment_record(spark: SparkSession, experiment: str, model: str, params:
     return spark.createDataFrame([row], EXPERIMENT_SCHEMA)
 
 
+def _replace_partitions(df: DataFrame, path: str, keys: list[str]) -> str:
+    """Write rows into the partitions of their ``keys``: the partitions that
+    occur in ``df`` are replaced whole, all others stay as they are. New columns
+    are allowed; readers merge the schemas of the partitions."""
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path)
+    return path
+
+
+def read_store(spark: SparkSession, path: str) -> DataFrame:
+    """A metric or experiment store; columns that a partition lacks are null."""
+    return spark.read.option("mergeSchema", True).parquet(path)
+
+
 def log_experiment(spark: SparkSession, table_path: str, experiment: str, model: str, params: dict,
                    metrics: dict, runtime_seconds: float, extra: dict | None = None) -> DataFrame:
-    """Append one experiment row to the experiments table."""
+    """The row of this (experiment, model) in the experiments table (S9). A
+    second run of the same experiment replaces its row."""
     rec = experiment_record(spark, experiment, model, params, metrics, runtime_seconds, extra)
-    rec.write.mode("append").parquet(table_path)
+    _replace_partitions(rec, table_path, ["experiment", "model"])
     return rec
 
 
@@ -70,6 +84,6 @@ def write_predictions(pred: DataFrame, path: str, fmt: str = "csv") -> str:
 
 
 def append_metrics(metrics: DataFrame, path: str, model: str) -> str:
-    """Metric sink (S11): rows appended to one metrics table partitioned by model."""
-    metrics.withColumn("model", F.lit(model)).write.mode("append").partitionBy("model").parquet(path)
-    return path
+    """Metric sink (S11): the rows of ``model`` in one metrics table
+    partitioned by model. A rerun replaces the model's own rows."""
+    return _replace_partitions(metrics.withColumn("model", F.lit(model)), path, ["model"])
