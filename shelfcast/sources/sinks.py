@@ -69,10 +69,12 @@ def read_store(spark: SparkSession, path: str) -> DataFrame:
 
 def log_experiment(spark: SparkSession, table_path: str, experiment: str, model: str, params: dict,
                    metrics: dict, runtime_seconds: float, extra: dict | None = None) -> DataFrame:
-    """The row of this (experiment, model) in the experiments table (S9). A
-    second run of the same experiment replaces its row."""
+    """The row of one run in the experiments table (S9). A run is told by
+    experiment, model and parameters (``run``, a digest of them): running the
+    same again replaces its row, other parameters add one."""
     rec = experiment_record(spark, experiment, model, params, metrics, runtime_seconds, extra)
-    _replace_partitions(rec, table_path, ["experiment", "model"])
+    said = "\n".join(f"{k}={v}" for k, v in sorted(params.items()))
+    _replace_partitions(rec.withColumn("run", F.md5(F.lit(said))), table_path, ["experiment", "model", "run"])
     return rec
 
 
