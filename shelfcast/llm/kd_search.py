@@ -155,12 +155,15 @@ def _exact(*matrices: np.ndarray) -> list[np.ndarray]:
 
 def top_k(embeddings: DataFrame, is_query, k: int = 20) -> DataFrame:
     """query_id, rank, vec_id, score: for each row that satisfies the condition
-    ``is_query`` on vec_id, its k highest scores among all other rows."""
+    ``is_query`` on vec_id, its k highest scores among all other rows. Rows whose
+    vector is null or holds null or non-finite components go first; of the rest,
+    rows that share a vec_id count as one, the one with the smallest vector."""
+    finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     spark = embeddings.sparkSession
     batch_rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
     rows = (
-        embeddings.select("vec_id", "embedding").where("vec_id IS NOT NULL AND embedding IS NOT NULL")
+        embeddings.select("vec_id", "embedding").where("vec_id IS NOT NULL AND embedding IS NOT NULL").where(finite)
         .repartition(parts, "vec_id").groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
         .withColumn("is_query", is_query)
     )

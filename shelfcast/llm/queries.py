@@ -101,10 +101,9 @@ ORACLE: dict[str, str] = {
     "op2_kd_top_k": """
 WITH v AS (
   SELECT vec_id, min(embedding) AS e FROM embeddings
-  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL GROUP BY vec_id),
-w AS (
-  SELECT vec_id, list_transform(e, lambda x: floor(64 * CAST(x AS DOUBLE))) AS e FROM v
-  WHERE len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+  GROUP BY vec_id),
+w AS (SELECT vec_id, list_transform(e, lambda x: floor(64 * CAST(x AS DOUBLE))) AS e FROM v),
 s AS (
   SELECT q.vec_id AS query_id, b.vec_id AS vec_id,
     CAST(coalesce(list_sum(list_transform(list_zip(q.e, b.e), lambda p: p[1] * p[2])), 0) AS BIGINT) AS score
