@@ -131,32 +131,36 @@ class TextModel:
         return ll - ll.max(), float(self.log_background[g].mean() * weight - ll.max())
 
 
-def _fit_sample(docs: DataFrame, per_language: int) -> tuple[list, DataFrame]:
-    """The labelled languages with their document counts, and doc_id, lang of
-    the first ``per_language`` documents of each by the hash of doc_id. A
-    language's rows are cut by a histogram of the hash before they are ranked."""
-    known = docs.select("doc_id", "lang").where("lang IS NOT NULL AND lang != ''")
+def _fit_sample(docs: DataFrame, per_language: int) -> tuple[dict[str, int], DataFrame]:
+    """The labelled languages with their rows, and doc_id, lang of the first
+    ``per_language`` documents of each by the hash of doc_id: each id once, null
+    ids not at all. A language's ids are cut by a histogram of the hash before
+    they are ranked."""
+    named = docs.select("doc_id", "lang").where("lang IS NOT NULL AND lang != ''")
+    rows = {r.lang: r.n for r in named.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    known = named.where("doc_id IS NOT NULL").distinct()
     known = known.withColumn("h", F.xxhash64("doc_id")).withColumn("cell", F.shiftright("h", 52))
     of = Window.partitionBy("lang").orderBy("cell")
     cells = known.groupBy("lang", "cell").agg(F.count("*").alias("n")).withColumn("upto", F.sum("n").over(of))
     first = F.col("upto") - F.col("n") < per_language
-    cut = stage(cells.groupBy("lang").agg(F.sum("n").alias("n"), F.max(F.when(first, F.col("cell"))).alias("last")), "languages")
-    few = known.join(F.broadcast(cut.select("lang", "last")), "lang").where("cell <= last")
+    cut = stage(cells.groupBy("lang").agg(F.max(F.when(first, F.col("cell"))).alias("last")), "languages")
+    few = known.join(F.broadcast(cut), "lang").where("cell <= last")
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id"))
-    return cut.select("lang", "n").collect(), few.withColumn("rank", rank).where(F.col("rank") <= per_language).select("doc_id", "lang")
+    return rows, few.withColumn("rank", rank).where(F.col("rank") <= per_language).select("doc_id", "lang")
 
 
 def fit_text_model(docs: DataFrame, per_language: int = FIT_ROWS_PER_LANGUAGE) -> TextModel:
     """Fit on a bounded sample of the whole texts of documents with a ``lang``."""
     found, chosen = _fit_sample(docs, per_language)
-    languages = tuple(sorted(r.lang for r in found))
+    languages = tuple(sorted(found))
     chosen = stage(chosen, "fit-sample")
-    last = {r.lang: r.h for r in chosen.where("doc_id IS NOT NULL").groupBy("lang").agg(F.max(F.xxhash64("doc_id")).alias("h")).collect()}
+    last = {r.lang: r.h for r in chosen.groupBy("lang").agg(F.max(F.xxhash64("doc_id")).alias("h")).collect()}
     if not languages:
         return TextModel((), np.zeros((GRAMS, 0), np.float32), np.zeros(GRAMS, np.float32), np.zeros(0), {})
-    if sum(min(r.n, per_language) for r in found) <= BROADCAST_IDS:
+    if sum(min(n, per_language) for n in found.values()) <= BROADCAST_IDS:
         chosen = F.broadcast(chosen)
-    picked = docs.select("doc_id", "text").join(chosen, "doc_id")
+    # By language too: rows of one id in two languages each speak for their own.
+    picked = docs.select("doc_id", "lang", "text").join(chosen, ["doc_id", "lang"])
     number = {name: i for i, name in enumerate(languages)}
     # Buckets of trigrams, and single bytes after them.
     kinds = GRAMS + 256

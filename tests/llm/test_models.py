@@ -254,23 +254,34 @@ def test_fit_sample_is_the_first_of_each_language_by_hash(shipped):
     rows = [(i, "x", ["aa", "bb", "cc"][min(i % 7, 2)]) for i in range(700)] + [(5, "x", "aa"), (None, "x", "dd"), (9, "x", ""), (9, "x", None)]
     docs = shipped.createDataFrame(rows, "doc_id long, text string, lang string")
     found, chosen = lang_fusion._fit_sample(docs, 40)
-    assert {x.lang: x.n for x in found} == {"aa": 101, "bb": 100, "cc": 500, "dd": 1}
+    assert found == {"aa": 101, "bb": 100, "cc": 500, "dd": 1}
     got = sorted(map(tuple, chosen.collect()), key=repr)
     want = []
-    for name in ("aa", "bb", "cc", "dd"):
-        want += docs.where(F.col("lang") == name).orderBy(F.xxhash64("doc_id"), "doc_id").limit(40).select("doc_id", "lang").collect()
+    for name in ("aa", "bb", "cc"):
+        ids = docs.where((F.col("lang") == name) & F.col("doc_id").isNotNull()).select("doc_id", "lang").distinct()
+        want += ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(40).collect()
     assert got == sorted(map(tuple, want), key=repr)
 
 
+def test_repeated_rows_are_fitted_once_each(shipped):
+    text = "ein kleiner text mit worten"
+    schema = "doc_id long, text string, lang string"
+    one = lang_fusion.fit_text_model(shipped.createDataFrame([(1, text, "de"), (2, "other words here", "en")], schema))
+    rows = [(1, text, "de")] * 10 + [(1, "words of one id", "en"), (2, "other words here", "en"), (None, text * 3, "de")]
+    many = lang_fusion.fit_text_model(shipped.createDataFrame(rows, schema))
+    assert many.totals[0] == 10 * one.totals[0]
+    assert many.totals[1] == one.totals[1] + len(lang_fusion.grams("words of one id"))
+
+
 # -- vectors --------------------------------------------------------------------
 
 
 def brute_top(rows, k, is_query):
     held = {}
     for i, v in rows:
-        if i is not None and v is not None:
-            held[i] = min(held.get(i, v), v, key=lambda x: [(-math.inf, -math.inf) if y is None else (1, math.inf if math.isnan(y) else y) for y in x])
-    vec = {i: [math.floor(64 * float(np.float32(x))) for x in v] for i, v in held.items() if None not in v and all(map(math.isfinite, v))}
+        if i is not None and v is not None and None not in v and all(map(math.isfinite, v)):
+            held[i] = min(held.get(i, v), v)
+    vec = {i: [math.floor(64 * float(np.float32(x))) for x in v] for i, v in held.items()}
     out = []
     for q in filter(is_query, vec):
         s = sorted((-sum(a * b for a, b in zip(vec[q], vec[i])), i) for i in vec if i != q and len(vec[i]) == len(vec[q]))
@@ -287,6 +298,8 @@ def test_top_k_equals_brute_force(shipped, monkeypatch, leaf):
     rows = [(i, [float(x) for x in np.round(rng.normal(0, 0.3, 4), 1)]) for i in range(250)]  # coarse, so scores tie
     rows += [(300 + i, [float(x) for x in rng.normal(size=3)]) for i in range(3)]
     rows += [(400, None), (401, [1.0, None, 0.0, 0.0]), (402, [math.nan, 0.0, 0.0, 0.0]), (403, [math.inf, 0.0, 0.0, 0.0]), (404, []), (405, []), (None, [1.0] * 4), rows[10], (20, [9.0] * 4)]
+    # Rows that take no part do not stand in for a valid row of their id.
+    rows += [(15, [None] * 4), (16, [math.nan] * 4), (17, [-math.inf] * 4), (18, None)]
     df = shipped.createDataFrame(rows, "vec_id long, embedding array<float>").withColumn("score", F.lit("x"))
     got = kd_search.top_k(df, F.col("vec_id") % 5 == 0, 6).collect()
     assert sorted(map(tuple, got)) == brute_top(rows, 6, lambda i: i % 5 == 0)
