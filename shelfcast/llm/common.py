@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -77,6 +78,16 @@ class Workspace:
             where.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def release_memory() -> None:
+    """Give memory that is free within this process back to the system. Python
+    workers serve one stage after the other, and what an earlier stage needed
+    stays with them otherwise."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def map_arrow(df: DataFrame, columns: list, schema: str, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[dict]]) -> DataFrame:
     """``mapInArrow`` over ``columns``; ``fn`` yields dicts of column -> values
     (lists or numpy arrays) that are turned into batches of ``schema``."""
@@ -88,6 +99,8 @@ def map_arrow(df: DataFrame, columns: list, schema: str, fn: Callable[[Iterator[
             yield pa.RecordBatch.from_arrays(
                 [pa.array(part[f.name], type=f.type) for f in out], schema=out
             )
+        part = None
+        release_memory()
 
     return picked.mapInArrow(run, schema)
 

@@ -187,7 +187,9 @@ def _signatures(docs: DataFrame, work: Workspace, counted, percent: int, n: int)
 
     signed = map_arrow(docs, ["doc_id", "text"], "doc_id long, n long, fp1 long, fp2 long, rare long, often long, singles binary, pairs binary", run)
     # Numbered once written, so that a row keeps its number however often it is read.
-    return work.stage(signed.withColumn("row", F.monotonically_increasing_id()), "signatures")
+    written = work.stage(signed.withColumn("row", F.monotonically_increasing_id()), "signatures")
+    spread.destroy()
+    return written
 
 
 #: Index groups of up to so many sets are listed as pairs.

@@ -42,7 +42,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .common import column, free_name, map_arrow, stage
+from .common import column, free_name, map_arrow, release_memory, stage
 from .exchange import by_bucket, decode, encode, gather, task_count
 
 LENGTH = 100
@@ -50,8 +50,11 @@ GRAM = 32
 #: An anchor met this often (by the reports of all tasks) has its windows sent
 #: one by one; the most frequent 65,536 are, so the list has a bound.
 HOT, MOST_HOT = 20_000, 1 << 16
-_PIECE = 1 << 20
-_FLUSH = 2_000_000
+#: Bytes laid end to end at a time (up to twice that), and bits that a place in them takes.
+_PIECE, _PLACE_BITS = 1 << 18, 21
+_FLUSH = 400_000
+#: Suffixes that a task sorts at a time.
+_RUN_ROWS = 150_000
 _SIGN = 1 << 63
 _M = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5], np.uint64)
 
@@ -73,8 +76,10 @@ def anchors(raw: bytes, starts: np.ndarray, ends: np.ndarray, length: int = LENG
         h *= _M[k]
     h ^= h >> np.uint64(32)
     # The place breaks ties, so the leftmost of equal grams is the anchor.
-    bits = np.uint64(max(1, n.bit_length()))
-    low = (np.uint64(1) << bits) - np.uint64(1)
+    # As many bits of the hash decide in every block, whatever its length.
+    if n >> _PLACE_BITS:
+        raise ValueError("a block is too long")
+    low = np.uint64((1 << _PLACE_BITS) - 1)
     keyed = (h & ~low) | np.arange(n, dtype=np.uint64)
     full = -(-n // width) * width
     grid = np.full(full, np.iinfo(np.uint64).max, np.uint64)
@@ -100,7 +105,7 @@ def anchors(raw: bytes, starts: np.ndarray, ends: np.ndarray, length: int = LENG
 
 
 def pieces(docs: list[tuple[int, bytes]], length: int) -> Iterator[tuple[bytes, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """Documents laid end to end in blocks of about a MB: the bytes, and each
+    """Documents laid end to end in blocks of _PIECE bytes or more: the bytes, and each
     part's start, end, document number and offset in its document. Long
     documents are cut so that every window lies in one part."""
     held, size = [], 0
@@ -152,6 +157,7 @@ def _candidates(docs: DataFrame, parts: int, length: int) -> DataFrame:
             more = by_bucket(_doc_bucket(d, buckets).astype(np.int64) + buckets, d, p)
             return {k: out[k] + more[k] for k in out}
 
+        release_memory()
         held, size = [], 0
         for b in batches:
             rows = [(d, (t or "").encode()) for d, t in zip(column(b, "doc_id"), column(b, "text"))]
@@ -173,6 +179,7 @@ def _candidates(docs: DataFrame, parts: int, length: int) -> DataFrame:
             for x in blobs:
                 yield tuple(decode(x, 2))
             return
+        release_memory()
         h, doc, place, count = (np.concatenate(v) for v in zip(*(decode(x, 4) for x in blobs)))
         order = np.argsort(h, kind="stable")
         h, doc, place, count = h[order], doc[order], place[order], count[order]
@@ -412,6 +419,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
             more = _spans_by_doc(repeats, buckets)
             return {"bucket": out["bucket"] + [b + buckets for b in more["bucket"]], "blob": out["blob"] + more["blob"]}
 
+        release_memory()
         for b in batches:
             for doc, text, where in zip(column(b, "doc_id"), column(b, "text"), column(b, "places")):
                 raw, doc = text.encode(), doc + _SIGN
@@ -433,7 +441,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
                         key = (text_from, hi + length - at, xxhash.xxh3_64_intdigest(gram) % buckets)
                         own.setdefault(key, []).append((doc, at, tie))
                     size += 1
-                if size >= 300_000:
+                if size >= _RUN_ROWS:
                     yield flush()
                     own, size = {}, 0
         if size:

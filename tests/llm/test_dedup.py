@@ -69,6 +69,20 @@ def test_long_documents_are_cut_into_parts(frame, monkeypatch):
     assert seen == sum(max(0, len(b) - 99) for _, b in docs)
 
 
+def test_a_window_has_its_anchor_in_blocks_of_any_length():
+    r = random.Random(4)
+    whole = bytes(r.choice(b"ab ") for _ in range(3000))
+
+    def chosen(raw):
+        h, lo, hi, at = suffix_dedup.anchors(raw, np.array([0]), np.array([len(raw)]))
+        return {(i, int(a)): int(x) for x, first, last, a in zip(h, lo, hi, at) for i in range(first, last + 1)}
+
+    found = chosen(whole)
+    for start, end in ((0, 150), (700, 1100), (2000, 3000)):
+        part = {(i + start, a + start): x for (i, a), x in chosen(whole[start:end]).items()}
+        assert part.items() <= found.items()
+
+
 def test_kept_texts_follow_the_spans(frame):
     rows = [(1, "α" * 60 + "0123456789" * 12), (2, "β " + "0123456789" * 12 + " ende"), (3, None)]
     docs = frame(rows)
