@@ -20,16 +20,16 @@ MANUAL = {
     "S3": (["t18_feature_dataset"], "sources.readers.read_feature_table; plans.pipeline.run_staged",
            "types persist in Parquet; test_sinks asserts PushedFilters"),
     "S5": ([], "sources.readers.read_optional", "tests/test_sinks.py"),
-    "S6": ([], "sources.readers.metrics_for_model", "tests/test_sinks.py"),
+    "S6": (["s6_s11_metric_store"], "sources.readers.metrics_for_model", "tests/test_sinks.py"),
     "S7": ([], "sources.sinks.write_table", "tests/test_sinks.py"),
     "S8": ([], "sources.sinks.write_json_rows", "tests/test_sinks.py"),
-    "S9": ([], "sources.sinks.log_experiment", "tests/test_sinks.py"),
+    "S9": (["s9_experiment_log"], "sources.sinks.log_experiment", "tests/test_sinks.py"),
     "S10": (["t6_submission", "t16_lag_model_predictions"], "sources.sinks.write_predictions", "tests/test_sinks.py"),
-    "S11": ([], "sources.sinks.append_metrics", "tests/test_sinks.py"),
+    "S11": (["s6_s11_metric_store"], "sources.sinks.append_metrics", "tests/test_sinks.py"),
     "S12": (["a23_t17_metric_comparison", "l5_best_model", "a12_best_worst_families"],
             "operators.evaluate.compare_models, best_model, best_worst",
             "report tables; Markdown rendering is left to the caller"),
-    "S13": ([], "operators.ml.save_model, load_pipeline", "tests/test_sinks.py"),
+    "S13": (["t11_l4_split_importance", "t16_gbt_test_predictions"], "operators.ml.saved_model, save_model, load_pipeline", "tests/test_sinks.py, tests/test_models.py"),
     "S14": ([], "operators.quality.lineage", "tests/test_sinks.py"),
     "P5": (["g4_w1_w4_clean_oil", "p22_model_frame", "t16_gbt_test_predictions"],
            "operators.clean.clean_oil; evaluate.model_frame; ml.score_test", ""),
@@ -54,10 +54,10 @@ MANUAL = {
     "J7": (["u1_j8_integrated_dataset"], "operators.features.integrate", ""),
     "J11": (["t11_l4_split_importance"], "operators.ml.split_count_importance", ""),
     "J12": (["t14_additive_forecasts"], "operators.models.additive_forecasts",
-            "future regressors come from the feature table, which joined oil by date (J6)"),
+            "partial: future regressors come from the feature table, which joined oil by date (J6)"),
     "W13": (["t18_feature_dataset"], "operators.features.build_features", ""),
     "L1": (["s4_head_rows"], "sources.sinks.write_predictions; readers.head_rows", "orderBy only at the sink"),
-    "L6": (["a11_metric_matrix", "a10_store_family_means"], "operators.evaluate.metric_matrix_long, pivot_matrix", ""),
+    "L6": (["l6_store_family_matrix", "a11_metric_matrix", "a10_store_family_means"], "operators.evaluate.metric_matrix_long, pivot_matrix", ""),
     "U3": (["u3_t9_scoring_frame", "t16_lag_model_predictions"], "operators.ml.prepend_history, scoring_frame", ""),
     "F9": (["t18_feature_dataset", "p1_p4_typed_stores"], "functions.text; operators.features.build_features", ""),
     "F10": (["a14_metrics_by_family", "a15_extended_metrics"], "functions.metrics", ""),
