@@ -121,6 +121,24 @@ def texts(batch: pa.RecordBatch, column: str = "text") -> list[str]:
     return [t or "" for t in batch.column(batch.schema.get_field_index(column)).to_pylist()]
 
 
+def text_array(batch: pa.RecordBatch, column: str = "text") -> pa.Array:
+    """The texts of a batch in Arrow; null counts as empty."""
+    return batch.column(batch.schema.get_field_index(column)).fill_null("")
+
+
+def joined(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    """Batches in order, short ones put together up to about ``size`` bytes."""
+    held, n = [], 0
+    for b in batches:
+        if held and n + b.nbytes > size:
+            yield pa.concat_batches(held)
+            held, n = [], 0
+        held.append(b)
+        n += b.nbytes
+    if held:
+        yield pa.concat_batches(held)
+
+
 def column(batch: pa.RecordBatch, name: str) -> list:
     return batch.column(batch.schema.get_field_index(name)).to_pylist()
 

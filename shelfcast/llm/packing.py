@@ -25,8 +25,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from .common import column, map_arrow, stage, texts
-from .tokens import encoder
+from .common import column, joined, map_arrow, stage, text_array
+from .tokens import BLOCK, encoder
 
 SIZE = 2048
 END_ID = 0
@@ -38,9 +38,9 @@ def token_pieces(docs: DataFrame, vocabulary: str, size: int = SIZE, end_id: int
 
     def run(batches):
         enc, end = encoder(vocabulary, False), np.array([end_id], "<u4").tobytes()
-        for b in batches:
+        for b in joined(batches, BLOCK):
             rows: dict[str, list] = {n: [] for n in ("doc_id", "piece", "start", "length", "ids_crc32")}
-            for doc, ids in zip(column(b, "doc_id"), enc.encode(texts(b))):
+            for doc, ids in zip(column(b, "doc_id"), enc.encode(text_array(b))):
                 ids += end
                 for k, lo in enumerate(range(0, len(ids), 4 * size)):
                     part = ids[lo : lo + 4 * size]

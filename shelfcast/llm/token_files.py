@@ -29,8 +29,8 @@ import numpy as np
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import column, map_arrow, scratch, texts
-from .tokens import encoder
+from .common import column, joined, map_arrow, scratch, text_array
+from .tokens import BLOCK, encoder
 
 SHARD_BYTES = 4 << 20
 SHARD = (
@@ -142,8 +142,8 @@ def write(docs: DataFrame, path: str, vocabulary: str, byte_level: bool = True,
             shard = make_shard(rows, part, seg, start, width)
             return shard["n_ids"], {k: [v] for k, v in shard.items()}
 
-        for b in batches:
-            for doc, ids in zip(column(b, "doc_id"), enc.encode(texts(b))):
+        for b in joined(batches, BLOCK):
+            for doc, ids in zip(column(b, "doc_id"), enc.encode(text_array(b))):
                 # Documents that share a key stay in one shard.
                 if size >= 2 * shard_bytes and doc != rows[-1][0]:
                     n, out = flush()

@@ -1,11 +1,14 @@
 """Whole texts to token ids with the tokenizers library, each distinct run of
 non-blank characters encoded once per worker.
 
+Arrow splits a block of texts and numbers its distinct chunks, so Python sees
+each chunk of a block once, and a text's ids are gathered by number.
+
 White space never joins two pieces of either public tokenizer's pre-tokenizer:
 every piece is either inside one chunk, a run of white space and the non-blank
 characters after it, or inside the white space alone. So a text's ids are its
 chunks' ids in a row, and a chunk that was met before costs one dictionary
-lookup. The library still makes every id.
+lookup a block. The library still makes every id.
 """
 
 from __future__ import annotations
@@ -13,14 +16,18 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections.abc import Iterator
+from itertools import chain, filterfalse
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 # The Unicode white space characters.
 WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 LED_CHUNK = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
 BARE_CHUNK = re.compile(f"[^{WHITE}]+")
-UNUSUAL = re.compile(r"[^\S \n]")
+# Texts whose words are not all apart by one blank or one line feed.
+UNUSUAL = f"  | \n|\n |\n\n|^[ \n]|[ \n]$|^$|[\t\x0b-\r\x1c-\x1f{WHITE[4:]}]"
 # Fixed value: letters or digits, then ASCII marks other than the apostrophe,
 # which may begin a contraction. Either tokenizer's pattern cuts between the two.
 MARKED = re.compile(r"([^\W_]+)([!-&(-/:-@\[-^`{-~]+)")
@@ -35,23 +42,8 @@ def bare_chunks(text: str) -> list[str]:
 def led_chunks(text: str) -> list:
     """Chunk keys: ``w`` for the chunk of one space and w, a tuple for the chunk
     at the start of a text, and else the chunk with its white space."""
-    if not text:
-        return []
-    plain = not (
-        UNUSUAL.search(text) or "  " in text or " \n" in text or "\n " in text or "\n\n" in text
-        or text[0] in " \n" or text[-1] in " \n"
-    )
-    if plain:
-        lines = text.split("\n")
-        out: list = lines[0].split(" ")
-        out[0] = (out[0],)
-        for line in lines[1:]:
-            words = line.split(" ")
-            words[0] = "\n" + words[0]
-            out += words
-        return out
     chunks: list = LED_CHUNK.findall(text)
-    if chunks[0][0] not in _BLANKS:
+    if chunks and chunks[0][0] not in _BLANKS:
         chunks[0] = (chunks[0],)
     return [c[1:] if type(c) is str and c[0] == " " and len(c) > 1 and not BLANK_SECOND.match(c) else c for c in chunks]
 
@@ -64,42 +56,29 @@ class RecentCache:
     ``size`` new ones are forgotten, and long keys at once."""
 
     def __init__(self, size: int):
-        self.size, self.young, self.old = size, {}, {}
+        self.size, self.young, self.old, self.long = size, {}, {}, []
 
     def complete(self, keys: list[list], make) -> dict:
         """A dictionary that holds every key of the lists ``keys``;
         ``make(list)`` gives the values of the unknown ones. It is good until
         the next call."""
+        for k in self.long:
+            del self.young[k]
+        self.long = []
         if len(self.young) > self.size:
             self.old, self.young = self.young, {}
         young, old = self.young, self.old
-        missing = set().union(*keys).difference(young)
-        for k in missing.intersection(old) if old else ():
+        missing = set(filterfalse(young.__contains__, chain.from_iterable(keys)))
+        for k in [k for k in missing if k in old] if old else ():
             young[k] = old[k]
             missing.discard(k)
         if missing:
-            new = make(list(missing))
-            long = {k: v for k, v in new.items() if len(k) > 40}
-            if long:
-                for k in long:
-                    del new[k]
-                young.update(new)
-                return _Both(long, young)
-            young.update(new)
+            young.update(make(list(missing)))
+            # What ``make`` gives beyond what was asked, it gives in short keys.
+            self.long = [k for k in missing if len(k) > 40]
         return young
 
 
-class _Both(dict):
-    """A few values of its own before those of another dictionary."""
-
-    def __init__(self, own: dict, rest: dict):
-        super().__init__(own)
-        self.rest = rest
-
-    def __missing__(self, key):
-        return self.rest[key]
-
-
 def blocks(texts: list[str], size: int) -> Iterator[list[str]]:
     """The texts in order, in lists of about ``size`` characters."""
     block, held = [], 0
@@ -113,6 +92,37 @@ def blocks(texts: list[str], size: int) -> Iterator[list[str]]:
         yield block
 
 
+def slices(texts: pa.Array, size: int) -> Iterator[pa.Array]:
+    """The texts in order, in arrays of about ``size`` bytes, or of one text."""
+    held = np.cumsum(pc.binary_length(texts).to_numpy().astype(np.int64))
+    lo = 0
+    while lo < len(texts):
+        hi = max(lo + 1, int(np.searchsorted(held, (held[lo - 1] if lo else 0) + size, "right")))
+        yield texts.slice(lo, hi - lo)
+        lo = hi
+
+
+def numbered(lists: pa.ListArray, without_first: bool = False) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """The distinct strings of ``lists`` but the empty one, the numbers of all in
+    a row, and where each list begins in it (with the end of the last). The first
+    of each list may be left out; no list is empty."""
+    words, begins = lists.flatten(), np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy().astype(np.int64))])
+    if without_first:
+        rest = np.ones(len(words), bool)
+        rest[begins[:-1]] = False
+        words, begins = words.filter(pa.array(rest)), begins - np.arange(len(begins))
+    found = words.dictionary_encode()
+    words, numbers = found.dictionary.to_numpy(zero_copy_only=False).tolist(), found.indices.to_numpy()
+    if "" in words:
+        empty = words.index("")
+        full = numbers != empty
+        begins = np.concatenate([[0], np.cumsum(full)])[begins]
+        numbers = numbers[full]
+        numbers = numbers - (numbers > empty)
+        del words[empty]
+    return words, numbers, begins
+
+
 class TextEncoder:
     """Ids of whole texts as little-endian unsigned 32-bit bytes."""
 
@@ -125,7 +135,6 @@ class TextEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.chunks = led_chunks if byte_level else bare_chunks
         self.byte_level = byte_level
         self.cache = RecentCache(cache)
         names = self.tokenizer.get_vocab(with_added_tokens=False)
@@ -151,56 +160,116 @@ class TextEncoder:
     def encode_chunks(self, keys: list) -> dict:
         """Ids of each distinct chunk. Letters before closing marks are a piece
         of their own, so a chunk of both is put together from its two parts."""
-        young, parts, odd, whole = self.cache.young, {}, [], set()
+        young, lower = self.cache.young, not self.byte_level
+        whole, tails, odd, two, same = set(), set(), [], [], []
         for k in keys:
-            if type(k) is tuple or k[0] in _BLANKS or "<|" in k:
+            if type(k) is tuple:
                 odd.append(k)
                 continue
-            m = MARKED.fullmatch(k) if self.byte_level or "İ" not in k else None  # its lower case ends in a mark
+            ascii_only, m = k.isascii(), None
+            if not (ascii_only and k.isalpha()):
+                if k[0] in _BLANKS or "<|" in k or not ascii_only and INNER_BLANK.search(k):
+                    odd.append(k)
+                    continue
+                if not lower or "İ" not in k:  # its lower case ends in a mark
+                    m = MARKED.fullmatch(k)
             base, tail = m.groups() if m else (k, "")
-            if not self.byte_level and base.isascii():
+            if lower and (ascii_only or base.isascii()):
                 base = base.lower()
-            parts[k] = base, tail
-            if base not in young:
-                whole.add(base)
-            if tail and (tail,) not in young:
-                odd.append((tail,))
+            whole.add(base)
+            if tail:
+                tails.add((tail,))
+                two.append((k, base, (tail,)))
+            elif base != k:
+                same.append((k, base))
         out: dict = {}
-        self._alone(odd, out)
-        self._rows(list(whole), out)
-        for k, (base, tail) in parts.items():
-            ids = out.get(base) or young[base]
-            out[k] = ids + (out.get((tail,)) or young[(tail,)]) if tail else ids
+        self._alone(odd + [t for t in tails if t not in young], out)
+        self._rows(list(filterfalse(young.__contains__, whole)), out)
+        for k, base in same:
+            out[k] = out.get(base) or young[base]
+        for k, base, tail in two:
+            out[k] = (out.get(base) or young[base]) + (out.get(tail) or young[tail])
         return out
 
     def _rows(self, plain: list, out: dict) -> None:
-        """Chunks of one blank and a word, encoded many to a call and told apart
+        """Chunks of one blank and a word, encoded many to a row and told apart
         by the bytes that their tokens cover."""
-        for lo in range(0, len(plain), 64):
-            group = plain[lo : lo + 64]
-            row = (" " if self.byte_level else "") + " ".join(group)
-            ids = np.array(self.tokenizer.encode_batch_fast([row], add_special_tokens=False)[0].ids, "<u4")
-            ends = np.cumsum(np.fromiter(map(self._bytes, group), np.int64, len(group)))
-            covered = np.cumsum(self.token_bytes[ids])
-            cut = np.searchsorted(covered, ends)
-            if not len(ids) or cut[-1] >= len(ids) or not np.array_equal(covered[cut], ends):
-                self._alone(group, out)
-                continue
+        lead = " " if self.byte_level else ""
+        for words in (list(filter(str.isascii, plain)), list(filterfalse(str.isascii, plain))):
+            for lo in range(0, len(words), 1024):
+                some = words[lo : lo + 1024]
+                rows = [some[i : i + 16] for i in range(0, len(some), 16)]
+                found = self.tokenizer.encode_batch_fast([lead + " ".join(r) for r in rows], add_special_tokens=False)
+                self._cut(rows, [e.ids for e in found], out)
+
+    def _cut(self, rows: list[list[str]], row_ids: list[list[int]], out: dict) -> None:
+        """The ids of each word of rows of words. Rows that do not come out even
+        are looked at in halves, and the last one word by word."""
+        words = list(chain.from_iterable(rows))
+        ids = np.array(list(chain.from_iterable(row_ids)), "<u4")
+        if words[0].isascii():
+            ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + self.byte_level)
+        else:
+            ends = np.cumsum(np.fromiter(map(self._bytes, words), np.int64, len(words)))
+        covered = np.cumsum(self.token_bytes[ids])
+        cut = np.searchsorted(covered, ends)
+        if cut[-1] == len(ids) - 1 and np.array_equal(covered[cut], ends):
             raw, at = ids.tobytes(), 0
-            for k, end in zip(group, (4 * cut + 4).tolist()):
+            for k, end in zip(words, (4 * cut + 4).tolist()):
                 out[k] = raw[at:end]
                 at = end
-
-    def encode(self, texts: list[str]) -> Iterator[bytes]:
-        """Ids of each text, in order. Texts are handled in blocks of about a
-        million characters, so memory does not grow with the list."""
-        for block in blocks(texts, 1_000_000):
-            split = [self.chunks(t) for t in block]
-            known = self.cache.complete(split, self.encode_chunks)
-            for s in split:
-                yield b"".join(map(known.__getitem__, s))
-
-
+        elif len(rows) == 1:
+            self._alone(words, out)
+        else:
+            half = len(rows) // 2
+            self._cut(rows[:half], row_ids[:half], out)
+            self._cut(rows[half:], row_ids[half:], out)
+
+    def encode(self, texts: list[str] | pa.Array) -> Iterator[bytes]:
+        """Ids of each text, in order. Texts are handled in blocks of a few
+        million bytes, so memory does not grow with the list."""
+        for block in slices(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()), BLOCK):
+            if not self.byte_level:
+                yield from self._gather(*numbered(pc.ascii_split_whitespace(block)))
+                continue
+            unusual = pc.match_substring_regex(block, UNUSUAL)
+            plain = self._led(block.filter(pc.invert(unusual)))
+            for text, odd in zip(block, unusual.to_pylist()):
+                if not odd:
+                    yield next(plain)
+                    continue
+                keys = led_chunks(text.as_py())
+                known = self.cache.complete([keys], self.encode_chunks)
+                yield b"".join(map(known.__getitem__, keys))
+
+    def _led(self, block: pa.Array) -> Iterator[bytes]:
+        """Ids of texts whose words are apart by one blank or one line feed."""
+        lists = pc.split_pattern(pc.replace_substring(block, "\n", " \n"), " ")
+        first = [(w,) for w in pc.list_element(lists, 0).to_pylist()] if len(block) else []
+        known = dict(zip(first, map(self.cache.complete([first], self.encode_chunks).__getitem__, first)))
+        for w, rest in zip(first, self._gather(*numbered(lists, without_first=True))):
+            yield known[w] + rest
+
+    def _gather(self, chunks: list[str], numbers: np.ndarray, begins: np.ndarray) -> Iterator[bytes]:
+        """For each list of chunk numbers the ids of its chunks."""
+        known = self.cache.complete([chunks], self.encode_chunks)
+        made = list(map(known.__getitem__, chunks))
+        size = np.fromiter(map(len, made), np.int64, len(made)) // 4
+        ids, start = np.frombuffer(b"".join(made), "<u4"), np.cumsum(size) - size
+        for first in range(0, len(begins) - 1, 64):
+            # Some texts at a time, so that the working arrays stay short.
+            ends = begins[first : first + 65]
+            some = numbers[ends[0] : ends[-1]]
+            n = size[some]
+            place = np.concatenate([[0], np.cumsum(n)])
+            raw = ids[np.repeat(start[some] - place[:-1], n) + np.arange(place[-1])].tobytes()
+            cuts = (4 * place[ends - ends[0]]).tolist()
+            yield from map(raw.__getitem__, map(slice, cuts[:-1], cuts[1:]))
+
+
+#: Bytes of text that are split and numbered at once.
+BLOCK = 12_000_000
+INNER_BLANK = re.compile(f"[{WHITE}]")
 _BLANKS = frozenset(c for c in map(chr, range(0x3001)) if LED_CHUNK.match(c) and not BARE_CHUNK.match(c))
 _ENCODERS: dict = {}
 
