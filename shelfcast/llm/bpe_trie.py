@@ -26,14 +26,19 @@ import unicodedata
 from hashlib import sha256
 from operator import itemgetter
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 
-from .common import column, map_arrow, texts
-from .tokens import RecentCache, bare_chunks, blocks
+from .common import column, joined, map_arrow, text_array
+from .tokens import BLOCK, INNER_BLANK, RecentCache, bare_chunks, numbered, slices
 
 # Fixed value: the pattern of the vocabulary file's pre-tokenizer.
 PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+# Its matches in a word that ends in marks, other than the apostrophe.
+WORD_AND_MARKS = re.compile(r"([a-z]+)([!-&(-/:-@\[-`{-~]+)")
 END = "</w>"
 
 
@@ -57,6 +62,7 @@ class TrieBPE:
         self.longest = max(map(len, self.ids))
         special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.names |= {i: t for t, i in special.items()}
+        self.numerals = {i: str(i) for i in self.names}
         self.special = special
         self.special_cut = re.compile("(" + "|".join(map(re.escape, sorted(special, key=len, reverse=True))) + ")")
         self.alphabet = byte_alphabet()
@@ -153,41 +159,64 @@ class TrieBPE:
     def words(self, chunk: str) -> list[str]:
         """The words of a chunk without white space or special tokens."""
         if chunk.isascii() and chunk.isprintable():
-            return [chunk.lower()] if chunk.isalpha() else PIECE.findall(chunk.lower())
+            chunk = chunk.lower()
+            if chunk.isalpha():
+                return [chunk]
+            m = WORD_AND_MARKS.fullmatch(chunk)
+            return list(m.groups()) if m else PIECE.findall(chunk)
+        if INNER_BLANK.search(chunk):
+            return [w for part in bare_chunks(chunk) for w in self.words(part)]
         norm = unicodedata.normalize("NFC", chunk)
         norm = "".join(map(str.lower, norm)) if "Σ" in norm else norm.lower()
         return [
             w if w.isascii() and w.isprintable() else "".join(map(self.alphabet.__getitem__, w.encode())) for w in PIECE.findall(norm)
         ]
 
-    def encode_chunks(self, chunks: list[str]) -> dict[str, list[int]]:
-        split = {}
+    def spelled(self, ids: list[int]) -> tuple[int, str, str]:
+        """The number of tokens, the ids, and the decoded text: as the vocabulary
+        file has no decoder, the tokens joined by blanks."""
+        return len(ids), " ".join(map(self.numerals.__getitem__, ids)), " ".join(map(self.names.__getitem__, ids))
+
+    def spelled_words(self, words: list[str]) -> dict[str, tuple[int, str, str]]:
+        return {w: self.spelled(ids) for w, ids in self.encode_words(words).items()}
+
+    def spelled_chunks(self, chunks: list[str]) -> dict[str, tuple[int, str, str]]:
+        out, split, cut = {}, {}, {}
         for c in chunks:
             if "<|" in c:
                 parts = self.special_cut.split(c)
-                split[c] = [x for i, p in enumerate(parts) for x in ([self.special[p]] if i % 2 else self.words(p))]
+                cut[c] = [x for i, p in enumerate(parts) for x in ([self.special[p]] if i % 2 else self.words(p))]
+                split[c] = [w for w in cut[c] if type(w) is str]
             else:
                 split[c] = self.words(c)
-        words = [[w for w in ws if type(w) is str] for ws in split.values()]
-        known = self.word_ids.complete(words, self.encode_words)
-        return {c: [t for w in ws for t in (known[w] if type(w) is str else (w,))] for c, ws in split.items()}
-
-    def decode(self, ids: list[int]) -> str:
-        """As the vocabulary file has no decoder: the tokens joined by blanks."""
-        return " ".join(map(self.names.__getitem__, ids))
+        known = self.word_ids.complete(list(split.values()), self.spelled_words)
+        for c, ws in split.items():
+            if c in cut:
+                got = [known[w] if type(w) is str else self.spelled([w]) for w in cut[c]]
+            elif len(ws) == 1:
+                out[c] = known[ws[0]]
+                continue
+            else:
+                got = [known[w] for w in ws]
+            n, ids, names = zip(*got) if got else ((), (), ())
+            out[c] = sum(n), " ".join(ids), " ".join(names)
+        return out
 
-    def encode(self, batch: list[str]):
+    def encode(self, batch: list[str] | pa.Array):
         """For each text: the number of tokens, the ids and the decoded text,
         the last two as strings joined by blanks."""
-        for block in blocks(batch, 2_000_000):
-            split = [bare_chunks(t) for t in block]
-            known = self.cache.complete(split, self.spelled_chunks)
-            for s in split:
-                got = list(map(known.__getitem__, s))
-                yield sum(map(_count, got)), " ".join(map(_ids, got)), " ".join(map(_decoded, got))
-
-    def spelled_chunks(self, chunks: list[str]) -> dict[str, tuple[int, str, str]]:
-        return {c: (len(ids), " ".join(map(str, ids)), self.decode(ids)) for c, ids in self.encode_chunks(chunks).items()}
+        for block in slices(batch if isinstance(batch, pa.Array) else pa.array(batch, pa.string()), BLOCK):
+            chunks, numbers, begins = numbered(pc.ascii_split_whitespace(block))
+            known = self.cache.complete([chunks], self.spelled_chunks)
+            made = list(map(known.__getitem__, chunks))
+            count = np.fromiter(map(_count, made), np.int64, len(made))
+            ids, names = list(map(_ids, made)), list(map(_decoded, made))
+            for lo, hi in zip(begins[:-1].tolist(), begins[1:].tolist()):
+                of = numbers[lo:hi].tolist()
+                # A chunk of white space alone has no token and adds no blank.
+                if not count[numbers[lo:hi]].all():
+                    of = [k for k in of if count[k]]
+                yield int(count[numbers[lo:hi]].sum()), " ".join(map(ids.__getitem__, of)), " ".join(map(names.__getitem__, of))
 
 
 _count, _ids, _decoded = map(itemgetter, range(3))
@@ -206,8 +235,8 @@ def encode_decode(docs: DataFrame, vocabulary: str) -> DataFrame:
 
     def run(batches):
         bpe = model(vocabulary)
-        for b in batches:
-            rows = [(n, sha256(i.encode()).hexdigest(), sha256(d.encode()).hexdigest()) for n, i, d in bpe.encode(texts(b))]
+        for b in joined(batches, BLOCK):
+            rows = [(n, sha256(i.encode()).hexdigest(), sha256(d.encode()).hexdigest()) for n, i, d in bpe.encode(text_array(b))]
             yield {
                 "doc_id": column(b, "doc_id"), "n_tokens": [r[0] for r in rows],
                 "ids_sha256": [r[1] for r in rows], "decoded_sha256": [r[2] for r in rows],
