@@ -39,10 +39,11 @@ SHARD = (
 )
 
 
-def mix(keys: np.ndarray, seed: int) -> np.ndarray:
-    """64-bit hashes of 64-bit keys."""
+def mix(keys: np.ndarray, seed: int | np.ndarray) -> np.ndarray:
+    """64-bit hashes of 64-bit keys, by one seed or a seed for each."""
     with np.errstate(over="ignore"):
-        x = keys.astype(np.uint64) + np.uint64((seed * 0x9E3779B97F4A7C15 + 0x632BE59BD9B4E019) % 2**64)
+        seed = np.asarray(seed).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(0x632BE59BD9B4E019)
+        x = keys.astype(np.uint64) + seed
         x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
         x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
         return x ^ (x >> np.uint64(31))
@@ -50,24 +51,28 @@ def mix(keys: np.ndarray, seed: int) -> np.ndarray:
 
 def build_index(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Displacements of the buckets, and the slot of each of the distinct keys:
-    0 .. n-1, each once."""
+    0 .. n-1, each once. A bucket of one key takes a slot that is left at the
+    end, and has it as its displacement, as -1 - slot."""
     n = len(keys)
     m = max(1, n // 3)
     bucket = (mix(keys, 1) % np.uint64(m)).astype(np.int64)
-    seeds, slots, free = np.zeros(m, np.uint32), np.zeros(n, np.int64), np.ones(n, bool)
+    seeds, slots, free = np.zeros(m, np.int32), np.zeros(n, np.int64), np.ones(n, bool)
     order = np.argsort(bucket, kind="stable")
-    ends = np.cumsum(np.bincount(bucket, minlength=m))
-    for b in np.argsort(-np.bincount(bucket, minlength=m), kind="stable").tolist():
-        members = order[(ends[b - 1] if b else 0) : ends[b]]
-        if not len(members):
-            break
-        seed = 2
-        while True:
-            at = (mix(keys[members], seed) % np.uint64(n)).astype(np.int64)
-            if free[at].all() and len(set(at.tolist())) == len(at):
-                break
-            seed += 1
-        seeds[b], slots[members], free[at] = seed, at, False
+    sizes = np.bincount(bucket, minlength=m)
+    ends = np.cumsum(sizes)
+    for b in np.argsort(-sizes, kind="stable")[: np.count_nonzero(sizes > 1)].tolist():
+        members = order[ends[b] - sizes[b] : ends[b]]
+        seed, tries, found = 2, 16, None
+        while found is None:
+            at = (mix(keys[members], np.arange(seed, seed + tries)[:, None]) % np.uint64(n)).astype(np.int64)
+            fits = np.flatnonzero(free[at].all(axis=1)).tolist()
+            found = next((t for t in fits if len(set(at[t].tolist())) == len(members)), None)
+            if found is None:
+                seed, tries = seed + tries, min(2 * tries, 1024)
+        seeds[b], slots[members], free[at[found]] = seed + found, at[found], False
+    single = np.flatnonzero(sizes == 1)
+    left = np.flatnonzero(free)
+    seeds[single], slots[order[ends[single] - 1]] = -1 - left, left
     return seeds, slots
 
 
@@ -85,7 +90,7 @@ def make_shard(rows: list[tuple[int, bytes]], part: int, seg: int, start: int, w
     return {
         "part": part, "seg": seg, "start_in_part": start, "n_ids": len(ids), "width": width,
         "payload": ids.astype(f"<u{width}").tobytes(), "doc_ids": keys.astype("<i8").tobytes(),
-        "seeds": seeds.astype("<u4").tobytes(), "prints": prints.astype("<u4").tobytes(),
+        "seeds": seeds.astype("<i4").tobytes(), "prints": prints.astype("<u4").tobytes(),
         "slots": place.astype("<i8").tobytes(), "lengths": lengths.astype("<i8").tobytes(),
     }
 
@@ -95,7 +100,7 @@ class Shard:
 
     def __init__(self, row: dict):
         self.doc_ids = np.frombuffer(row["doc_ids"], "<i8")
-        self.seeds, self.prints = np.frombuffer(row["seeds"], "<u4"), np.frombuffer(row["prints"], "<u4")
+        self.seeds, self.prints = np.frombuffer(row["seeds"], "<i4"), np.frombuffer(row["prints"], "<u4")
         self.slots = np.frombuffer(row["slots"], "<i8").reshape(-1, 3)
         self.lengths = np.frombuffer(row["lengths"], "<i8")
         self.ids = np.frombuffer(row["payload"], f"<u{row['width']}")
@@ -106,11 +111,7 @@ class Shard:
         if not n:
             return np.full(len(keys), -1)
         seeds = self.seeds[(mix(keys, 1) % np.uint64(len(self.seeds))).astype(np.int64)]
-        with np.errstate(over="ignore"):
-            at = np.zeros(len(keys), np.int64)
-            for s in np.unique(seeds).tolist():
-                sel = seeds == s
-                at[sel] = (mix(keys[sel], s) % np.uint64(n)).astype(np.int64)
+        at = np.where(seeds < 0, -1 - seeds.astype(np.int64), (mix(keys, seeds) % np.uint64(n)).astype(np.int64))
         return np.where(self.prints[at] == (mix(keys, 0) >> np.uint64(32)).astype(np.uint32), at, -1)
 
     def find(self, keys: np.ndarray) -> Iterator[tuple[int, int, np.ndarray]]:
