@@ -31,6 +31,8 @@ UNUSUAL = f"  | \n|\n |\n\n|^[ \n]|[ \n]$|^$|[\t\x0b-\r\x1c-\x1f{WHITE[4:]}]"
 # Fixed value: letters or digits, then ASCII marks other than the apostrophe,
 # which may begin a contraction. Either tokenizer's pattern cuts between the two.
 MARKED = re.compile(r"([^\W_]+)([!-&(-/:-@\[-^`{-~]+)")
+LETTERS_MARKED = re.compile(r"([A-Za-z]+)([!-&(-/:-;=-@\[-^`{-~]*)")
+LINE_FEED = ("\n",)
 CONTROL_BLANK = re.compile("[\x1c-\x1f]")
 
 
@@ -162,9 +164,14 @@ class TextEncoder:
         of their own, so a chunk of both is put together from its two parts."""
         young, lower = self.cache.young, not self.byte_level
         whole, tails, odd, two, same = set(), set(), [], [], []
+        firsts, fed = {k for k in keys if type(k) is tuple}, []
         for k in keys:
             if type(k) is tuple:
-                odd.append(k)
+                continue
+            if k[0] == "\n" and not INNER_BLANK.search(k, 1) and len(k) > 1:
+                # The line feed is a piece of its own before a word.
+                fed.append((k, (k[1:],)))
+                firsts.update(((k[1:],), LINE_FEED))
                 continue
             ascii_only, m = k.isascii(), None
             if not (ascii_only and k.isalpha()):
@@ -182,13 +189,27 @@ class TextEncoder:
                 two.append((k, base, (tail,)))
             elif base != k:
                 same.append((k, base))
+        letters = set()
+        for k in filterfalse(young.__contains__, firsts):
+            m = LETTERS_MARKED.fullmatch(k[0]) if self.byte_level else None
+            if not m:
+                odd.append(k)
+                continue
+            base, tail = m.groups()
+            letters.add(base)
+            if tail:
+                tails.add((tail,))
+                two.append((k, (base,), (tail,)))
         out: dict = {}
         self._alone(odd + [t for t in tails if t not in young], out)
+        self._firsts([w for w in letters if (w,) not in young], out)
         self._rows(list(filterfalse(young.__contains__, whole)), out)
         for k, base in same:
             out[k] = out.get(base) or young[base]
         for k, base, tail in two:
             out[k] = (out.get(base) or young[base]) + (out.get(tail) or young[tail])
+        for k, word in fed:
+            out[k] = (out.get(LINE_FEED) or young[LINE_FEED]) + (out.get(word) or young[word])
         return out
 
     def _rows(self, plain: list, out: dict) -> None:
@@ -200,11 +221,28 @@ class TextEncoder:
                 some = words[lo : lo + 1024]
                 rows = [some[i : i + 16] for i in range(0, len(some), 16)]
                 found = self.tokenizer.encode_batch_fast([lead + " ".join(r) for r in rows], add_special_tokens=False)
-                self._cut(rows, [e.ids for e in found], out)
-
-    def _cut(self, rows: list[list[str]], row_ids: list[list[int]], out: dict) -> None:
+                self._cut(rows, [e.ids for e in found], out, self._alone)
+
+    def _firsts(self, words: list, out: dict) -> None:
+        """Words of ASCII letters without a blank before them: lines of a row,
+        whose line feeds are single tokens."""
+
+        def ended(words, out):
+            for w, e in zip(words, self.tokenizer.encode_batch_fast([w + "\n" for w in words], add_special_tokens=False)):
+                out[w] = np.array(e.ids, "<u4").tobytes()
+
+        lines: dict = {}
+        for lo in range(0, len(words), 1024):
+            some = words[lo : lo + 1024]
+            rows = [some[i : i + 16] for i in range(0, len(some), 16)]
+            found = self.tokenizer.encode_batch_fast(["\n".join(r) + "\n" for r in rows], add_special_tokens=False)
+            self._cut(rows, [e.ids for e in found], lines, ended)
+        for w, ids in lines.items():
+            out[w,] = ids[:-4]
+
+    def _cut(self, rows: list[list[str]], row_ids: list[list[int]], out: dict, alone) -> None:
         """The ids of each word of rows of words. Rows that do not come out even
-        are looked at in halves, and the last one word by word."""
+        are looked at in halves, and the last one word by word, by ``alone``."""
         words = list(chain.from_iterable(rows))
         ids = np.array(list(chain.from_iterable(row_ids)), "<u4")
         if words[0].isascii():
@@ -219,11 +257,11 @@ class TextEncoder:
                 out[k] = raw[at:end]
                 at = end
         elif len(rows) == 1:
-            self._alone(words, out)
+            alone(words, out)
         else:
             half = len(rows) // 2
-            self._cut(rows[:half], row_ids[:half], out)
-            self._cut(rows[half:], row_ids[half:], out)
+            self._cut(rows[:half], row_ids[:half], out, alone)
+            self._cut(rows[half:], row_ids[half:], out, alone)
 
     def encode(self, texts: list[str] | pa.Array) -> Iterator[bytes]:
         """Ids of each text, in order. Texts are handled in blocks of a few

@@ -37,6 +37,26 @@ def test_encoder_equals_the_library(path, byte_level):
     assert [np.frombuffer(x, "<u4").tolist() for x in enc.encode(texts)] == [ids_of(path, t) for t in texts]
 
 
+def test_words_after_line_feeds_and_at_the_start():
+    words = ["Word", "word.", "it's", "'s", "x,", "a1", "é", "don't!", "<|endoftext|>", "_", "A" * 50, "end)"]
+    r = random.Random(8)
+    texts = ["\n".join(" ".join(r.choices(words, k=r.randint(1, 3))) for _ in range(r.randint(1, 6))) for _ in range(400)]
+    for path, byte_level in ((BYTE, True), (WORD, False)):
+        enc = tokens.TextEncoder(path, byte_level, cache=20)
+        assert [np.frombuffer(x, "<u4").tolist() for x in enc.encode(texts)] == [ids_of(path, t) for t in texts]
+
+
+def test_short_batches_are_joined_in_order():
+    import pyarrow as pa
+
+    from shelfcast.llm.common import joined
+
+    batches = [pa.record_batch({"x": ["a" * n] * 3}) for n in (1, 500, 2, 9000, 1, 1)]
+    out = list(joined(iter(batches), 2000))
+    assert [v for b in out for v in b.column(0).to_pylist()] == [v for b in batches for v in b.column(0).to_pylist()]
+    assert len(out) == 3 and not list(joined(iter([]), 10))
+
+
 MODEL = bpe_trie.TrieBPE(WORD, cache=500)
 
 
@@ -74,6 +94,9 @@ def test_perfect_hash_is_minimal_and_perfect():
         keys = np.random.default_rng(n).choice(10**12, n, replace=False) - 10**6
         seeds, slots = token_files.build_index(keys)
         assert sorted(slots.tolist()) == list(range(n))
+        row = token_files.make_shard([(int(k), bytes(4)) for k in np.sort(keys)], 0, 0, 0, 2)
+        shard = token_files.Shard(row)
+        assert sorted(shard.slot(keys).tolist()) == list(range(n)) if n else True
 
 
 def test_token_files_round_trip(frame, shipped):
