@@ -971,6 +971,50 @@ def q_t12(spark, d):
     return ml.evaluate_predictions(pred, "split")
 
 
+# Orders with at most one lag, whose least squares SQL has as regr_slope.
+_ONE_LAG_ORDERS = [(p, d, P, D) for p, P in ((0, 0), (1, 0), (0, 1)) for d in (0, 1) for D in (0, 1)]
+
+
+def _order_fits_sql() -> str:
+    """The AIC search over ``_ONE_LAG_ORDERS`` on the common sample."""
+    def z(k: int, d: int, D: int) -> str:
+        terms = {k: 1}
+        for step in [1] * d + [7] * D:
+            terms = {j: terms.get(j, 0) - terms.get(j - step, 0) for j in {*terms, *(j + step for j in terms)}}
+        return "(" + " + ".join(f"({c}) * y{j}" for j, c in sorted(terms.items())) + ")"
+
+    fits = []
+    for pos, (p, d, P, D) in enumerate(_ONE_LAG_ORDERS):
+        z0, zk = z(0, d, D), z(7 if P else 1, d, D)
+        if p + P:
+            slope = f"coalesce(regr_slope({z0}, {zk}), 0.0)"
+            rss = f"var_pop({z0}) * count(*) - pow({slope}, 2) * var_pop({zk}) * count(*)"
+        else:
+            slope, rss = "0.0", f"var_pop({z0}) * count(*)"
+        fits.append(f"SELECT store_nbr, family, {pos} AS position, {p} AS p, {d} AS d, {P} AS P_s, {D} AS D_s, count(*) AS n, "
+                    f"avg({z0}) - {slope} * avg({zk}) AS intercept, {slope} AS slope, "
+                    f"greatest({rss}, 1e-12 * sum(y0 * y0), 1e-12) AS rss FROM lagged GROUP BY 1, 2")
+    return (f"WITH h AS (SELECT store_nbr, family, date, sales - avg(sales) OVER (PARTITION BY store_nbr, family) AS y0 "
+            f"FROM tf WHERE date < DATE '{VAL_START}'), "
+            f"lagged AS (SELECT * FROM (SELECT *, {', '.join(f'lag(y0, {k}) OVER w AS y{k}' for k in range(1, 16))} FROM h "
+            "WINDOW w AS (PARTITION BY store_nbr, family ORDER BY date)) WHERE y15 IS NOT NULL), "
+            f"fits AS ({' UNION ALL '.join(fits)}), "
+            "scored AS (SELECT *, n * ln(rss / n) + 2 * (1 + p + P_s) AS aic FROM fits WHERE n > 2 + p + P_s) "
+            "SELECT store_nbr, family, p, d, P_s, D_s, n, intercept, slope, aic, "
+            "row_number() OVER (PARTITION BY store_nbr, family ORDER BY aic, position) = 1 AS best FROM scored")
+
+
+@register("t13_order_search", _order_fits_sql(), ("intercept", "slope", "aic"))
+def q_t13_orders(spark, d):
+    from ..operators import models
+    tf = forecast.training_frame(_pipe(spark, d).features)
+    fits = stage(models.order_fits(models.lag_moments(tf, VAL_START, TEST_START, grid=_ONE_LAG_ORDERS), grid=_ONE_LAG_ORDERS), "order-fits")
+    best = models.best_orders(fits).select("store_nbr", "family", F.col("position").alias("_best"))
+    return fits.where(F.col("aic").isNotNull()).join(best, ["store_nbr", "family"]).select(
+        "store_nbr", "family", "p", "d", "P_s", "D_s", "n", F.col("coef")[0].alias("intercept"),
+        F.coalesce(F.get("coef", F.lit(1)), F.lit(0.0)).alias("slope"), "aic", (F.col("position") == F.col("_best")).alias("best"))
+
+
 @register("t13_seasonal_ar_forecasts")
 def q_t13(spark, d):
     from ..operators import models

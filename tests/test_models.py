@@ -24,23 +24,55 @@ def _series(spark, values, store=1, family="A", extra=None):
     return spark.createDataFrame(rows, schema)
 
 
-def test_seasonal_ar_recovers_periodic_forecast():
-    y = np.tile(np.array([1.0, 5.0, 2.0, 8.0, 3.0, 9.0, 4.0]), 20)
-    fc, order, aic, sd = models.seasonal_ar_forecast(y, 14, 7)
-    assert np.allclose(fc, np.tile(y[-7:], 2), atol=1e-6)
-
-
-def test_seasonal_ar_recovers_ar_coefficient():
-    rng = np.random.default_rng(0)
-    y = np.zeros(600)
-    for t in range(1, 600):
-        y[t] = 10 + 0.7 * (y[t - 1] - 10) + rng.normal(0, 1)
-    y += 10
-    fc, order, _, _ = models.seasonal_ar_forecast(y, 1, 7, grid=[(1, 0, 0, 0)])
-    z = y[-1]
-    # one-step forecast follows the fitted slope: close to mean + 0.7 (z - mean)
-    mean = y.mean()
-    assert abs(fc[0] - (mean + 0.7 * (z - mean))) < 0.5
+def _brute_force_order(y, order, s, loss):
+    """Least squares of one order on the rows after the first ``loss``."""
+    p, d, P, D = order
+    z = y.astype(float)
+    for step in [s] * D + [1] * d:
+        z = z[step:] - z[:-step]
+    lags = list(range(1, p + 1)) + [s * k for k in range(1, P + 1)]
+    at = np.arange(loss, len(y)) - (len(y) - len(z))
+    X = np.column_stack([np.ones(len(at))] + [z[at - lag] for lag in lags])
+    coef, *_ = np.linalg.lstsq(X, z[at], rcond=None)
+    rss = np.sum((z[at] - X @ coef) ** 2)
+    return coef, rss, len(at) * np.log(rss / len(at)) + 2 * X.shape[1]
+
+
+def test_orders_solved_from_lag_moments_equal_least_squares(spark):
+    rng = np.random.default_rng(4)
+    y = 500 + np.cumsum(rng.normal(0, 3, 150)) + np.tile(rng.normal(0, 20, 7), 22)[:150]
+    df = _series(spark, y).unionByName(_series(spark, y[:20], store=2))
+    fits = models.order_fits(models.lag_moments(df, "2030-01-01", "2030-02-01"))
+    rows = fits.collect()
+    assert len(rows) == 2 * len(models.ORDER_GRID)
+    best = {}
+    for r in rows:
+        if r.store_nbr == 2:  # five rows of the common sample: the larger orders are not fitted
+            assert r.n == 5 and (r.aic is None) == (1 + r.p + r.P_s >= 4)
+            continue
+        order = (r.p, r.d, r.P_s, r.D_s)
+        coef, rss, aic = _brute_force_order(y - y.mean(), order, 7, 15)
+        assert r.n == 135 and np.allclose(r.coef, coef, atol=1e-6) and abs(r.rss / rss - 1) < 1e-8 and abs(r.aic - aic) < 1e-6
+        best[order] = aic
+    got = models.best_orders(fits).where("store_nbr = 1").first()
+    assert (got.p, got.d, got.P_s, got.D_s) == min(best, key=best.get)
+
+
+def test_paths_follow_the_differenced_recursion():
+    """Forecast and spread of the polynomial recursion against differencing,
+    recursing and summing up again by hand."""
+    rng = np.random.default_rng(1)
+    y = np.cumsum(rng.normal(0, 1, 40))
+    coef = np.array([[0.3, 0.5, -0.2]])
+    fc, sd = models.forecast_paths(y[None, -16:], coef, (1, 1, 1, 1), np.array([2.0]), 9, 7)
+    z = y[7:] - y[:-7]
+    z, full = list(z[1:] - z[:-1]), list(y)
+    for _ in range(9):
+        z.append(0.3 + 0.5 * z[-1] - 0.2 * z[-7])
+        full.append(z[-1] + full[-1] + full[-7] - full[-8])
+    assert np.allclose(fc[0], full[40:])
+    walk = models.forecast_paths(y[None, -16:], np.array([[0.0]]), (0, 1, 0, 0), np.array([1.0]), 9, 7)[1]
+    assert np.allclose(walk[0], np.sqrt(np.arange(1, 10))) and abs(sd[0, 0] - 2.0) < 1e-12 and (np.diff(sd[0]) > 0).all()
 
 
 def test_sarima_forecasts_all_series(spark):
@@ -75,13 +107,6 @@ def test_additive_model_follows_a_trend_break(spark):
     assert len(j) == 20 and max(abs(r.yhat - r.sales) / r.sales for r in j) < 0.01
 
 
-def test_seasonal_ar_bands_widen_with_the_step():
-    rng = np.random.default_rng(1)
-    walk = np.cumsum(rng.normal(0, 1, 400)) + 100
-    _, _, _, spread = models.seasonal_ar_forecast(walk, 9, 7, grid=[(0, 1, 0, 0)])
-    assert np.allclose(spread / spread[0], np.sqrt(np.arange(1, 10)), rtol=1e-6)
-
-
 def _matrix(spark, n=400, seed=2):
     rng = np.random.default_rng(seed)
     x = rng.normal(size=(n, 3))
