@@ -20,6 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import checked_broadcast
 from .series import SERIES
 
 FORECAST_SCHEMA = ("store_nbr int, family string, date date, yhat double, yhat_lower double, "
@@ -235,34 +236,83 @@ FORECAST_SCHEMA_COLS = [c.split()[0] for c in FORECAST_SCHEMA.split(", ")]
 
 # ------------------------------------------------------------------ T14
 
-def _design(t: np.ndarray, doy: np.ndarray, dow: np.ndarray, changepoints: np.ndarray,
-            extra: np.ndarray) -> np.ndarray:
-    cols = [np.ones_like(t), t]
-    cols += [np.maximum(t - c, 0.0) for c in changepoints]
-    for k in range(1, 4):  # weekly Fourier terms
-        cols += [np.sin(2 * np.pi * k * dow / 7), np.cos(2 * np.pi * k * dow / 7)]
-    for k in range(1, 11):  # yearly Fourier terms
-        cols += [np.sin(2 * np.pi * k * doy / 365.25), np.cos(2 * np.pi * k * doy / 365.25)]
-    return np.column_stack(cols + [extra[:, i] for i in range(extra.shape[1])])
+def future_frame(rows: DataFrame, oil: DataFrame, value: str = "dcoilwtico") -> DataFrame:
+    """Rows to fit or forecast with the oil price of their date beside them
+    (J12, a left join: dates without a price keep a null). Repeated dates of
+    ``oil`` are averaged first, so no row is multiplied. One row a calendar day
+    is broadcast once its count is checked."""
+    daily = oil.groupBy("date").agg(F.avg(F.col(value).try_cast("double")).alias(value))
+    return rows.join(checked_broadcast(daily), "date", "left")
+
+
+def holiday_days(holiday_frame: DataFrame) -> DataFrame:
+    """Names of each day's holidays and their prior scales (1 where T15 gives
+    none; the largest where the rows of one name differ): one row a day."""
+    names = holiday_frame.where(F.col("holiday").isNotNull() & F.col("ds").isNotNull())
+    scale = F.max(F.coalesce("scale", F.lit(1.0))).over(Window.partitionBy("holiday"))
+    named = F.sort_array(F.collect_set(F.struct("holiday", "prior")))
+    days = names.select("holiday", F.col("ds").alias("date"), scale.alias("prior")).groupBy("date").agg(named.alias("_n"))
+    return days.select("date", F.col("_n.holiday").alias("holiday_names"), F.col("_n.prior").alias("holiday_priors"))
+
+
+def _fourier(x: np.ndarray, period: float, order: int) -> list[np.ndarray]:
+    return [f(2 * np.pi * k * x / period) for k in range(1, order + 1) for f in (np.sin, np.cos)]
+
+
+def _named_columns(names: list, priors: list, n_hist: int) -> tuple[list[np.ndarray], list[float]]:
+    """A 0/1 column for each holiday that the history has, and its prior."""
+    at: dict[str, list[int]] = {}
+    prior: dict[str, float] = {}
+    for i, (day, scales) in enumerate(zip(names, priors)):
+        for name, scale in zip(day if day is not None else (), scales if scales is not None else ()):
+            at.setdefault(name, []).append(i)
+            prior[name] = scale
+    cols, scales = [], []
+    for name in sorted(at):
+        if at[name][0] < n_hist:
+            col = np.zeros(len(names))
+            col[at[name]] = 1.0
+            cols.append(col)
+            scales.append(prior[name])
+    return cols, scales
+
+
+def trend_break_variance(slopes: np.ndarray, ahead: np.ndarray, per_unit: float) -> np.ndarray:
+    """Variance of the trend ``ahead`` of the history, if slopes go on changing
+    ``per_unit`` times a unit of time by Laplace steps as large as the fitted
+    ones: a step at u adds (ahead - u) * step, so the sum is
+    per_unit * 2 * mean|step|^2 * ahead^3 / 3."""
+    if len(slopes) == 0:
+        return np.zeros(len(ahead))
+    return per_unit * 2 * np.mean(np.abs(slopes)) ** 2 * np.maximum(ahead, 0.0) ** 3 / 3
 
 
 def additive_forecasts(frame: DataFrame, val_start: str, test_start: str,
                        regressors: tuple[str, ...] = ("onpromotion", "oil_price", "transactions"),
-                       holidays: tuple[str, ...] = ("is_holiday", "is_event", "is_additional", "is_bridge"),
-                       n_changepoints: int = 25, changepoint_scale: float = 0.05,
-                       seasonality_scale: float = 10.0, z: float = 1.96) -> DataFrame:
+                       holidays: tuple[str, ...] = (), holiday_frame: DataFrame | None = None,
+                       n_changepoints: int = 25, weekly_order: int = 3, yearly_order: int = 10,
+                       changepoint_scale: float = 0.05, seasonality_scale: float = 10.0,
+                       holiday_scale: float = 10.0, z: float = 1.96) -> DataFrame:
     """Additive model per series (T14): trend with hinge changepoints over the
-    first 80 % of the history, weekly and yearly Fourier seasonality, holiday
-    indicators, regressors (absent -> 0, future gaps forward/back filled),
-    fitted by ridge regression. A coefficient's penalty is the noise variance
-    over its squared prior scale, so a longer history outweighs the prior; the
-    variance is taken from the residuals of the fit before."""
+    first 80 % of the history, weekly and yearly Fourier seasonality, named
+    holidays (``holiday_frame`` as T15 gives it, joined by date; a name's prior
+    scale is ``holiday_scale`` times its own, so 0.5 for local ones), indicator
+    columns (``holidays``) and regressors (absent -> 0, future gaps
+    forward/back filled), fitted by ridge regression. A coefficient's penalty is
+    the noise variance over its squared prior scale, so a longer history
+    outweighs the prior; the variance is taken from the residuals of the fit before.
+
+    Bands are z standard errors: noise, variance of the coefficients and
+    breaks of the trend to come, so they widen with the horizon. History rows
+    without sales are left out; series with fewer than 14 give no rows."""
     vs, ts = pd.Timestamp(val_start).date(), pd.Timestamp(test_start).date()
     cols = list(regressors) + list(holidays)
     present = [c for c in cols if c in frame.columns]
     sel = frame.select(*SERIES, "date", "sales",
                        *[F.col(c).cast("double").alias(c) for c in present],
                        *[F.lit(0.0).alias(c) for c in cols if c not in present])
+    if holiday_frame is not None:
+        sel = sel.join(checked_broadcast(holiday_days(holiday_frame)), "date", "left")
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("date")
@@ -271,32 +321,38 @@ def additive_forecasts(frame: DataFrame, val_start: str, test_start: str,
         fut = pdf[(pdf["date"] >= vs) & (pdf["date"] < ts)]
         if len(fut) == 0 or len(hist) < 14:
             return pd.DataFrame(columns=FORECAST_SCHEMA_COLS)
-        dates = pd.to_datetime(pd.concat([hist["date"], fut["date"]]))
-        t0, span = dates.iloc[0], max((dates.iloc[len(hist) - 1] - dates.iloc[0]).days, 1)
+        both, n = pd.concat([hist, fut]), len(hist)
+        dates = pd.to_datetime(both["date"])
+        t0, span = dates.iloc[0], max((dates.iloc[n - 1] - dates.iloc[0]).days, 1)
         t = ((dates - t0).dt.days / span).to_numpy(dtype=float)
-        cps = np.linspace(0, 0.8, n_changepoints + 2)[1:-1]
-        extra = pd.concat([hist[cols], fut[cols]]).to_numpy(dtype=float)
-        mu, sd = extra[: len(hist)].mean(0), extra[: len(hist)].std(0)
+        breaks = np.linspace(0, 0.8, n_changepoints + 2)[1:-1]
+        extra = both[cols].to_numpy(dtype=float)
+        mu, sd = (extra[:n].mean(0), extra[:n].std(0)) if cols else (0.0, 1.0)
         extra = (extra - mu) / np.where(sd > 0, sd, 1.0)
-        X = _design(t, dates.dt.dayofyear.to_numpy(float), dates.dt.dayofweek.to_numpy(float), cps, extra)
-        Xh, Xf = X[: len(hist)], X[len(hist):]
+        named, scales = [], []
+        if "holiday_names" in both:
+            named, scales = _named_columns(both["holiday_names"].to_list(), both["holiday_priors"].to_list(), n)
+        seasonal = (_fourier(dates.dt.dayofweek.to_numpy(float), 7, weekly_order)
+                    + _fourier(dates.dt.dayofyear.to_numpy(float), 365.25, yearly_order))
+        X = np.column_stack([np.ones_like(t), t, *[np.maximum(t - c, 0.0) for c in breaks], *seasonal, *named, extra])
+        prior = np.concatenate([  # one over the squared scale; none for level and slope
+            [0.0, 0.0], np.full(len(breaks), changepoint_scale ** -2), np.full(len(seasonal), seasonality_scale ** -2),
+            [(holiday_scale * s) ** -2 for s in scales], np.full(len(cols), holiday_scale ** -2)])
+        Xh, Xf = X[:n], X[n:]
         y = hist["sales"].to_numpy(dtype=float)
         scale = max(np.abs(y).max(), 1.0)
-        prior = np.zeros(X.shape[1])  # one over the squared scale; none for level and slope
-        prior[2: 2 + len(cps)] = changepoint_scale ** -2
-        prior[2 + len(cps):] = seasonality_scale ** -2
-        variance = 0.01
+        gram, cross, variance = Xh.T @ Xh, Xh.T @ (y / scale), 0.01
         for _ in range(8):
-            lhs = Xh.T @ Xh + np.diag(variance * prior + 1e-10)
-            coef = np.linalg.solve(lhs, Xh.T @ (y / scale))
+            lhs = gram + np.diag(variance * prior)
+            coef = np.linalg.solve(lhs, cross)
             variance = max(float(np.mean((y / scale - Xh @ coef) ** 2)), 1e-12)
-        coef = coef * scale
-        resid_sd = float(np.std(y - Xh @ coef))
-        yhat = Xf @ coef
+        spread = variance * (1 + np.einsum("ij,ji->i", Xf, np.linalg.solve(lhs, Xf.T)))
+        spread += trend_break_variance(coef[2: 2 + len(breaks)], t[n:] - t[n - 1], len(breaks) / 0.8)
+        yhat, half = Xf @ coef * scale, z * np.sqrt(spread) * scale
         return pd.DataFrame({
             "store_nbr": pdf["store_nbr"].iloc[0], "family": pdf["family"].iloc[0], "date": fut["date"].values,
-            "yhat": np.maximum(yhat, 0.0), "yhat_lower": np.maximum(yhat - z * resid_sd, 0.0),
-            "yhat_upper": np.maximum(yhat + z * resid_sd, 0.0), "order_label": "additive", "aic": float("nan"),
+            "yhat": np.maximum(yhat, 0.0), "yhat_lower": np.maximum(yhat - half, 0.0),
+            "yhat_upper": np.maximum(yhat + half, 0.0), "order_label": "additive", "aic": float("nan"),
         })
 
     return sel.groupBy(*SERIES).applyInPandas(fit, FORECAST_SCHEMA)

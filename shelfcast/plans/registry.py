@@ -1023,12 +1023,55 @@ def q_t13(spark, d):
     return models.forecast_metrics(fc, tf)
 
 
+def _additive_rows(spark, d) -> DataFrame:
+    """Train rows with their date's raw oil price (J12), the additive model's
+    input for history and future alike."""
+    from ..operators import models
+    p = _pipe(spark, d)
+    rows = p.features.where(F.col("dataset_split") == "train").select(
+        "date", "store_nbr", "family", "sales", "onpromotion", "transactions")
+    return models.future_frame(rows, p.sources.oil)
+
+
+@register("j12_future_frame_with_oil", f"""
+SELECT f.date, f.store_nbr, f.family, f.onpromotion, o.dcoilwtico FROM features f
+LEFT JOIN (SELECT date, avg(dcoilwtico) AS dcoilwtico FROM oil_raw GROUP BY date) o ON f.date = o.date
+WHERE f.dataset_split = 'train' AND f.date >= DATE '{VAL_START}' AND f.date < DATE '{TEST_START}'
+""", ("dcoilwtico",))
+def q_j12(spark, d):
+    val = (F.col("date") >= F.lit(VAL_START).cast("date")) & (F.col("date") < F.lit(TEST_START).cast("date"))
+    return _additive_rows(spark, d).where(val).select("date", "store_nbr", "family", "onpromotion", "dcoilwtico")
+
+
+def _additive(spark, d) -> DataFrame:
+    from ..operators import models
+    return models.additive_forecasts(_additive_rows(spark, d), VAL_START, TEST_START, ("onpromotion", "dcoilwtico", "transactions"),
+                                     holiday_frame=forecast.prophet_holiday_frame(_pipe(spark, d).sources.holidays))
+
+
 @register("t14_additive_forecasts")
 def q_t14(spark, d):
+    return _additive(spark, d).select("store_nbr", "family", "date", "yhat", "yhat_lower", "yhat_upper")
+
+
+@register("t14_straight_line", f"""
+WITH h AS (SELECT store_nbr, family, count(*) AS n, regr_slope(sales, x) AS b, regr_intercept(sales, x) AS a,
+  greatest(sqrt((var_pop(sales) - pow(regr_slope(sales, x), 2) * var_pop(x))), 1e-6 * greatest(max(abs(sales)), 1)) AS sd,
+  avg(x) AS mx, var_pop(x) AS vx
+  FROM (SELECT *, date - DATE '2000-01-01' AS x FROM tf WHERE date < DATE '{VAL_START}') GROUP BY 1, 2 HAVING count(*) >= 14),
+f AS (SELECT store_nbr, family, date, date - DATE '2000-01-01' AS x FROM tf
+  WHERE date >= DATE '{VAL_START}' AND date < DATE '{TEST_START}'),
+p AS (SELECT f.store_nbr, f.family, f.date, a + b * x AS v,
+  1.96 * sd * sqrt(1 + 1.0 / n + pow(x - mx, 2) / (n * vx)) AS half
+  FROM f JOIN h ON f.store_nbr = h.store_nbr AND f.family = h.family)
+SELECT store_nbr, family, date, greatest(v, 0) AS yhat, greatest(v - half, 0) AS yhat_lower, greatest(v + half, 0) AS yhat_upper FROM p
+""", ("yhat", "yhat_lower", "yhat_upper"))
+def q_t14_line(spark, d):
+    """The model with its trend alone: a straight line and its prediction band."""
     from ..operators import models
-    f = _pipe(spark, d).features.where(F.col("dataset_split") == "train")
-    fc = models.additive_forecasts(f, VAL_START, TEST_START)
-    return fc.select("store_nbr", "family", "date", "yhat", "yhat_lower", "yhat_upper")
+    tf = forecast.training_frame(_pipe(spark, d).features)
+    line = models.additive_forecasts(tf, VAL_START, TEST_START, (), n_changepoints=0, weekly_order=0, yearly_order=0)
+    return line.select("store_nbr", "family", "date", "yhat", "yhat_lower", "yhat_upper")
 
 
 @register("a18_density_curve", _T6_SQL + """

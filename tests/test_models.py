@@ -107,6 +107,50 @@ def test_additive_model_follows_a_trend_break(spark):
     assert len(j) == 20 and max(abs(r.yhat - r.sales) / r.sales for r in j) < 0.01
 
 
+def test_named_holidays_have_their_own_effect_and_prior(spark):
+    """Two names on different days get their own sizes; the local one is held
+    closer to zero by its smaller prior. A day with both adds them up."""
+    rng = np.random.default_rng(3)
+    n, start = 400, dt.date(2015, 1, 1)
+    y = 100 + rng.normal(0, 2, n)
+    fair, feast = [50, 150, 250, 385], [90, 190, 290, 390]
+    y[fair] += 30
+    y[feast] += 30
+    both = 395
+    y[both] += 60
+    day = lambda i: start + dt.timedelta(days=i)
+    rows = [("Fair", day(i), 0.5) for i in fair + [both]] + [("Feast", day(i), None) for i in feast + [both]]
+    hol = spark.createDataFrame(rows + [(None, day(5), None), ("Unseen", day(398), None)], "holiday string, ds date, scale double")
+    args = dict(regressors=(), holiday_frame=hol, n_changepoints=0, weekly_order=0, yearly_order=0)
+    df = _series(spark, y)
+    wide = {r.date: r.yhat for r in models.additive_forecasts(df, day(380).isoformat(), "2030-01-01", **args).collect()}
+    assert len(wide) == 20 and abs(wide[day(385)] - 130) < 5 and abs(wide[day(390)] - 130) < 5 and abs(wide[day(both)] - 160) < 8
+    assert abs(wide[day(398)] - 100) < 2  # a holiday that the history does not have changes nothing
+    tight = {r.date: r.yhat for r in models.additive_forecasts(df, day(380).isoformat(), "2030-01-01", holiday_scale=0.02, **args).collect()}
+    assert 100 < tight[day(385)] < tight[day(390)] < 130
+
+
+def test_additive_bands_widen_with_the_horizon(spark):
+    t = np.arange(400)
+    y = 200 + 0.8 * np.abs(t % 160 - 80) + np.random.default_rng(8).normal(0, 2, 400)
+    vs = (dt.date(2015, 1, 1) + dt.timedelta(days=340)).isoformat()
+    fc = models.additive_forecasts(_series(spark, y), vs, "2030-01-01", regressors=(), weekly_order=0, yearly_order=0)
+    half = [r.yhat_upper - r.yhat for r in fc.orderBy("date").collect()]
+    assert len(half) == 60 and (np.diff(half) > 0).all() and half[-1] > 1.5 * half[0]
+    # Steps of size b at a rate r: simulated variance of the trend against the closed form.
+    rng = np.random.default_rng(0)
+    rate, b, ahead = 30.0, 0.2, 0.5
+    sums = [sum((ahead - u) * rng.laplace(0, b) for u in rng.uniform(0, ahead, rng.poisson(rate * ahead))) for _ in range(20000)]
+    assert abs(np.var(sums) / models.trend_break_variance(np.full(9, b), np.array([ahead]), rate)[0] - 1) < 0.1
+
+
+def test_future_frame_keeps_every_row(spark):
+    day = dt.date(2015, 1, 1)
+    oil = spark.createDataFrame([(day, 40.0), (day, 50.0)], "date date, dcoilwtico double")
+    got = models.future_frame(_series(spark, [1.0, 2.0]), oil).orderBy("date").collect()
+    assert [r.dcoilwtico for r in got] == [45.0, None]
+
+
 def _matrix(spark, n=400, seed=2):
     rng = np.random.default_rng(seed)
     x = rng.normal(size=(n, 3))
