@@ -36,24 +36,34 @@ def _step(role_is_target: Column, partition: list[str]) -> Column:
     return F.when(role_is_target, F.sum(role_is_target.cast("int")).over(w))
 
 
-def seasonal_naive_frame(rows: DataFrame, fit_col: str, target_col: str, value: str,
+def seasonal_naive_masks(rows: DataFrame, masks: dict[str, tuple[str, str]], value: str,
                          period: int = 7, partition: list[str] = SERIES) -> DataFrame:
-    """Every input row with ``_step`` (its position among the group's rows to
-    forecast), ``_n_fit`` (fit rows in its group) and ``prediction`` (null
-    unless it is a row to forecast of a group with at least ``period`` fit
-    rows; the original raises for shorter series and its callers skip them)."""
-    fit, tgt = F.col(fit_col), F.col(target_col)
+    """Every input row once, with the forecasts of several splits beside each
+    other. ``masks`` gives for each suffix its fit and target flag; added for it
+    are ``_step`` (position among the group's rows to forecast), ``_n_fit`` (fit
+    rows in the group) and ``prediction`` (null unless it is a row to forecast
+    of a group with at least ``period`` fit rows; the original raises for shorter
+    series and its callers skip them). All splits share the same three windows."""
     whole = Window.partitionBy(*partition)
-    ranked = rows.withColumns({"_back": _season_pick(fit, partition), "_step": _step(tgt, partition)})
-    # at most `period` values per group: a bounded gather
-    last = F.collect_list(F.when(F.col("_back") <= period,
-                                 F.struct(F.col("_back"), F.col(value).alias("v")))).over(whole)
-    gathered = ranked.withColumns({"_last": last, "_n_fit": F.count_if(fit).over(whole)})
-    # chronological order: the oldest of the last `period` values first
-    season = F.reverse(F.transform(F.sort_array("_last"), lambda x: x["v"]))
-    pred = F.when(tgt & (F.col("_n_fit") >= period),
-                  F.element_at(season, ((F.col("_step") - 1) % period + 1).cast("int")))
-    return gathered.withColumn("prediction", pred).drop("_back", "_last")
+    places, facts, preds = {}, {}, {}
+    for k, (fit_col, target_col) in masks.items():
+        fit, tgt = F.col(fit_col), F.col(target_col)
+        places |= {f"_back{k}": _season_pick(fit, partition), f"_step{k}": _step(tgt, partition)}
+        # at most `period` values per group: a bounded gather
+        last = F.collect_list(F.when(F.col(f"_back{k}") <= period, F.struct(F.col(f"_back{k}"), F.col(value).alias("v")))).over(whole)
+        facts |= {f"_last{k}": last, f"_n_fit{k}": F.count_if(fit).over(whole)}
+        # chronological order: the oldest of the last `period` values first
+        season = F.reverse(F.transform(F.sort_array(f"_last{k}"), lambda x: x["v"]))
+        preds[f"prediction{k}"] = F.when(tgt & (F.col(f"_n_fit{k}") >= period),
+                                         F.element_at(season, ((F.col(f"_step{k}") - 1) % period + 1).cast("int")))
+    out = rows.withColumns(places).withColumns(facts).withColumns(preds)
+    return out.drop(*[f"{c}{k}" for k in masks for c in ("_back", "_last")])
+
+
+def seasonal_naive_frame(rows: DataFrame, fit_col: str, target_col: str, value: str,
+                         period: int = 7, partition: list[str] = SERIES) -> DataFrame:
+    """Every input row with ``_step``, ``_n_fit`` and ``prediction`` of one split."""
+    return seasonal_naive_masks(rows, {"": (fit_col, target_col)}, value, period, partition)
 
 
 def seasonal_naive(rows: DataFrame, fit_col: str, target_col: str, value: str,
@@ -127,22 +137,27 @@ def backtest_summary(results: DataFrame, metric: str = "rmsle") -> DataFrame:
 def rolling_validation(features: DataFrame, n_splits: int = 3, val_days: int = 31,
                        min_train_days: int = 365, period: int = 7, strict: bool = False) -> DataFrame:
     """Seasonal naive over rolling-origin splits of every series (T5): one row
-    per (series, split) with the train end, validation bounds and metrics."""
-    from .series import rolling_origin_split
-
-    rows = rolling_origin_split(training_frame(features), n_splits, val_days, min_train_days, strict)
-    part = SERIES + ["split"]
-    frame = _scored(seasonal_naive_frame(rows, "is_train", "is_val", "sales", period, part), "sales")
-    forecast_date = F.when(F.col("prediction").isNotNull(), F.col("date"))
-    per_split = frame.groupBy(*part).agg(
-        F.max(F.when(F.col("is_train"), F.col("date"))).alias("train_end"),
-        F.min(forecast_date).alias("val_start"),
-        F.max(forecast_date).alias("val_end"),
-        *error_aggregates("_y", "prediction", "rmsle_only"),
-        F.count("prediction").alias("_n_pred"),
-    )
-    return per_split.where(F.col("_n_pred") > 0).select(
-        *part, "train_end", "val_start", "val_end", "rmsle", "rmse", "mae")
+    per (series, split) with the train end, validation bounds and metrics. The
+    splits are flags beside each row, scored by conditional aggregates, so rows
+    are not repeated; only the finished metrics are laid out by split."""
+    from .series import rolling_origin_masks
+
+    rows = rolling_origin_masks(training_frame(features), n_splits, val_days, strict)
+    ks = range(n_splits)
+    frame = seasonal_naive_masks(rows, {str(k): (f"is_train{k}", f"is_val{k}") for k in ks}, "sales", period)
+    # truth kept only where a forecast exists
+    frame = frame.withColumns({f"_y{k}": F.when(F.col(f"prediction{k}").isNotNull(), F.col("sales")) for k in ks})
+    names = ["train_end", "val_start", "val_end", "rmsle", "rmse", "mae"]
+    aggs = []
+    for k in ks:
+        forecast_date = F.when(F.col(f"_y{k}").isNotNull(), F.col("date"))
+        aggs += [F.max(F.when(F.col(f"is_train{k}"), F.col("date"))).alias(f"train_end{k}"),
+                 F.min(forecast_date).alias(f"val_start{k}"), F.max(forecast_date).alias(f"val_end{k}"),
+                 *error_aggregates(f"_y{k}", f"prediction{k}", "rmsle_only", tuple(f"{m}{k}" for m in names[3:])),
+                 F.count_if(f"is_train{k}").alias(f"_n_train{k}"), F.count(f"prediction{k}").alias(f"_n_pred{k}")]
+    splits = F.array(*[F.struct(F.lit(k).alias("split"), *[F.col(f"{c}{k}").alias(c) for c in [*names, "_n_train", "_n_pred"]]) for k in ks])
+    out = frame.groupBy(*SERIES).agg(*aggs).select(*SERIES, F.inline(splits))
+    return out.where((F.col("_n_train") >= min_train_days) & (F.col("_n_pred") > 0)).select(*SERIES, "split", *names)
 
 
 def rolling_summary(per_split: DataFrame) -> DataFrame:

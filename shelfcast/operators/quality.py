@@ -1,9 +1,11 @@
 """Data-quality profile and lineage.
 
 A profile is one aggregate pass over a table: row count, missing count per
-column (null, or NaN for floating columns), duplicate key rows (rows minus
-distinct key groups; null keys compare equal as in a group-by) and the date
-range. Results are long rows, so profiles of many tables union into one
+column (null, or NaN for floating columns) and the date range; duplicate key
+rows (rows minus distinct key groups; null keys compare equal as in a group-by)
+are a second aggregate that reads the key columns alone. Counters observed on
+the writes of the tables would save the first pass, but a stage that runs again
+after a lost executor counts its rows again, so they are not used. Results are long rows, so profiles of many tables union into one
 report table."""
 
 from __future__ import annotations
@@ -34,9 +36,6 @@ def profile_table(df: DataFrame, keys: list[str] | None = None, section: str = "
         aggs += [F.date_format(F.min("date"), "yyyy-MM-dd").alias("_dmin"),
                  F.date_format(F.max("date"), "yyyy-MM-dd").alias("_dmax")]
     stats = df.agg(*aggs)
-    if keys:
-        groups = df.groupBy(*keys).agg(F.lit(1).alias("_g")).agg(F.count(F.lit(1)).alias("_groups"))
-        stats = stats.crossJoin(groups)
     entries = [F.struct(F.lit("rows").alias("metric"), F.lit(None).cast("string").alias("column_name"),
                         F.col("_rows").cast("bigint").alias("value"), F.lit(None).cast("string").alias("text"))]
     for i, f in enumerate(fields):
@@ -45,33 +44,37 @@ def profile_table(df: DataFrame, keys: list[str] | None = None, section: str = "
         entries.append(F.struct(F.lit("missing").alias("metric"), F.lit(f.name).alias("column_name"),
                                 F.col(f"_m{i}").cast("bigint").alias("value"),
                                 F.lit(None).cast("string").alias("text")))
-    if keys:
-        entries.append(F.struct(F.lit("duplicate_key_rows").alias("metric"),
-                                F.lit(",".join(keys)).alias("column_name"),
-                                (F.col("_rows") - F.col("_groups")).cast("bigint").alias("value"),
-                                F.lit(None).cast("string").alias("text")))
     if has_date:
         for m, c in (("date_min", "_dmin"), ("date_max", "_dmax")):
             entries.append(F.struct(F.lit(m).alias("metric"), F.lit("date").alias("column_name"),
                                     F.lit(None).cast("bigint").alias("value"), F.col(c).alias("text")))
-    return stats.select(F.explode(F.array(*entries)).alias("e")).select(
-        F.lit(section).alias("section"), F.lit(table_name).alias("table_name"), "e.*")
+    names = F.lit(section).alias("section"), F.lit(table_name).alias("table_name")
+    out = stats.select(*names, F.inline(F.array(*entries)))
+    if keys:
+        repeats = df.groupBy(*keys).agg((F.count(F.lit(1)) - 1).alias("_more")).agg(F.coalesce(F.sum("_more"), F.lit(0)).alias("_n"))
+        out = out.unionByName(repeats.select(
+            *names, F.lit("duplicate_key_rows").alias("metric"), F.lit(",".join(keys)).alias("column_name"),
+            F.col("_n").cast("bigint").alias("value"), F.lit(None).cast("string").alias("text")))
+    return out
+
+
+# The keys each table is checked for.
+RAW_KEYS = {"train": ["id"], "test": ["id"], "stores": ["store_nbr"], "oil": ["date"],
+            "holidays": None, "transactions": ["date", "store_nbr"]}
+CLEAN_KEYS = {"train": ["date", "store_nbr", "family"], "test": ["id"], "oil": ["date"],
+              "holidays": None, "transactions": ["date", "store_nbr"],
+              "holiday_features": ["date", "store_nbr"]}
+OUTPUT_KEYS = ["date", "store_nbr", "family", "dataset_split"]
 
 
 def quality_report(raw: dict[str, DataFrame], cleaned: dict[str, DataFrame],
                    integrated: DataFrame, features: DataFrame, counters: DataFrame | None = None) -> DataFrame:
     """Profiles of the raw, cleaned and output tables as one long table (A3),
     with the cleaning counters appended as section ``transformations``."""
-    raw_keys = {"train": ["id"], "test": ["id"], "stores": ["store_nbr"], "oil": ["date"],
-                "holidays": None, "transactions": ["date", "store_nbr"]}
-    clean_keys = {"train": ["date", "store_nbr", "family"], "test": ["id"], "oil": ["date"],
-                  "holidays": None, "transactions": ["date", "store_nbr"],
-                  "holiday_features": ["date", "store_nbr"]}
-    out_keys = ["date", "store_nbr", "family", "dataset_split"]
-    parts = [profile_table(raw[k], v, "raw_tables", k) for k, v in raw_keys.items() if k in raw]
-    parts += [profile_table(cleaned[k], v, "cleaned_tables", k) for k, v in clean_keys.items() if k in cleaned]
-    parts.append(profile_table(integrated, out_keys, "outputs", "integrated_dataset"))
-    parts.append(profile_table(features, out_keys, "outputs", "feature_dataset"))
+    parts = [profile_table(raw[k], v, "raw_tables", k) for k, v in RAW_KEYS.items() if k in raw]
+    parts += [profile_table(cleaned[k], v, "cleaned_tables", k) for k, v in CLEAN_KEYS.items() if k in cleaned]
+    parts.append(profile_table(integrated, OUTPUT_KEYS, "outputs", "integrated_dataset"))
+    parts.append(profile_table(features, OUTPUT_KEYS, "outputs", "feature_dataset"))
     if counters is not None:
         parts.append(counters.select(
             F.lit("transformations").alias("section"), F.col("step").alias("table_name"), "metric",

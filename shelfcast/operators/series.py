@@ -84,6 +84,20 @@ def rolling_origin_split(df: DataFrame, n_splits: int = 3, val_days: int = 31,
     return tagged.withColumn("n_train", n_train).where(F.col("n_train") >= min_train_days)
 
 
+def rolling_origin_masks(df: DataFrame, n_splits: int = 3, val_days: int = 31, strict: bool = False) -> DataFrame:
+    """Every row once, with ``is_train<k>`` / ``is_val<k>`` of each
+    rolling-origin split k: the bounds of ``rolling_origin_split`` as flags. Rows
+    after a split's end have both false; splits with few training rows are kept."""
+    d, last = F.col("date"), F.col("_last")
+    flags = {}
+    for k in range(n_splits):
+        val_end = F.date_sub(last, (n_splits - 1 - k) * val_days)
+        val_start = F.date_sub(val_end, val_days)
+        flags |= {f"is_train{k}": d <= val_start,
+                  f"is_val{k}": ((d > val_start) if strict else (d >= val_start)) & (d <= val_end)}
+    return df.withColumn("_last", F.max("date").over(Window.partitionBy(*SERIES))).withColumns(flags).drop("_last")
+
+
 def expanding_folds(n: int, k: int) -> list[tuple[int, int, int]]:
     """(fold, test_start, test_end_exclusive) of k expanding-window folds over
     n ordered rows: fold size n // (k+1), tests end at n (W11)."""

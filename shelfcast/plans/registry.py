@@ -189,7 +189,7 @@ def q_a1(spark, d):
     return _pipe(spark, d).cleaned.holiday_features
 
 
-@register("a4_cleaning_counters", """
+_COUNTERS_SQL = """
 SELECT step, metric, CAST(value AS BIGINT) AS value FROM (
 SELECT 'train' AS step, 'rows_before' AS metric, (SELECT COUNT(*) FROM train_raw) AS value
 UNION ALL SELECT 'train', 'rows_after', (SELECT COUNT(*) FROM grid)
@@ -201,7 +201,10 @@ UNION ALL SELECT 'holidays', 'rows_after', (SELECT COUNT(*) FROM hol_c)
 UNION ALL SELECT 'holidays', 'transferred_removed', (SELECT COUNT(*) FROM hol_raw) - (SELECT COUNT(*) FROM hol_c)
 UNION ALL SELECT 'transactions', 'rows_after_reindex', (SELECT COUNT(*) FROM tx_c)
 UNION ALL SELECT 'transactions', 'missing_original', (SELECT SUM(transactions_missing_original) FROM tx_c))
-""")
+"""
+
+
+@register("a4_cleaning_counters", _COUNTERS_SQL)
 def q_a4(spark, d):
     return clean.transformation_counters(_pipe(spark, d).cleaned)
 
@@ -252,21 +255,28 @@ def q_calendar(spark, d):
 
 # ------------------------------------------------------------------- quality
 
-_PROFILE_KEYS = ["date", "store_nbr", "family", "dataset_split"]
-_PROFILE_SQL = "\nUNION ALL\n".join(
-    ["SELECT 'rows' AS metric, CAST(NULL AS VARCHAR) AS column_name, CAST(COUNT(*) AS BIGINT) AS value, "
-     "CAST(NULL AS VARCHAR) AS text FROM features",
-     f"SELECT 'duplicate_key_rows', '{','.join(_PROFILE_KEYS)}', CAST(COUNT(*) - (SELECT COUNT(*) FROM (SELECT DISTINCT "
-     f"{', '.join(_PROFILE_KEYS)} FROM features)) AS BIGINT), NULL FROM features"]
-    + [f"SELECT 'column', '{c}', CAST({i} AS BIGINT), NULL" for i, c in enumerate(feat.FEATURE_COLUMNS)]
-    + [f"SELECT 'missing', '{c}', CAST(COUNT(*) - COUNT({c}) AS BIGINT), NULL FROM features" for c in feat.FEATURE_COLUMNS]
-    + [f"SELECT '{m}', 'date', NULL, strftime({f}(date), '%Y-%m-%d') FROM features"
-       for m, f in (("date_min", "MIN"), ("date_max", "MAX"))])
+def _profile_sql(view: str, columns: list[str], keys: list[str] | None, section: str, table: str) -> str:
+    head = f"SELECT '{section}' AS section, '{table}' AS table_name, "
+    rows = [head + "'rows' AS metric, CAST(NULL AS VARCHAR) AS column_name, CAST(COUNT(*) AS BIGINT) AS value, "
+            f"CAST(NULL AS VARCHAR) AS text FROM {view}"]
+    if keys:
+        rows.append(head + f"'duplicate_key_rows', '{','.join(keys)}', CAST(COUNT(*) - (SELECT COUNT(*) FROM (SELECT DISTINCT "
+                    f"{', '.join(keys)} FROM {view})) AS BIGINT), NULL FROM {view}")
+    rows += [head + f"'column', '{c}', CAST({i} AS BIGINT), NULL" for i, c in enumerate(columns)]
+    rows += [head + f"'missing', '{c}', CAST(COUNT(*) - COUNT({c}) AS BIGINT), NULL FROM {view}" for c in columns]
+    if "date" in columns:
+        rows += [head + f"'{m}', 'date', NULL, strftime({f}(date), '%Y-%m-%d') FROM {view}"
+                 for m, f in (("date_min", "MIN"), ("date_max", "MAX"))]
+    return "\nUNION ALL\n".join(rows)
+
+
+_PROFILE_SQL = ("SELECT metric, column_name, value, text FROM ("
+                + _profile_sql("features", feat.FEATURE_COLUMNS, quality.OUTPUT_KEYS, "", "") + ") q")
 
 
 @register("a2_profile_features", _PROFILE_SQL)
 def q_a2(spark, d):
-    prof = quality.profile_table(_pipe(spark, d).features, keys=_PROFILE_KEYS)
+    prof = quality.profile_table(_pipe(spark, d).features, keys=quality.OUTPUT_KEYS)
     return prof.select("metric", "column_name", "value", "text")
 
 
@@ -1133,7 +1143,34 @@ def q_w12(spark, d):
     return win.withColumns({**seen("sales", 0), **seen("promo", 1)}).drop("window")
 
 
-@register("a3_quality_report")
+# The report's tables in SQL: view, columns in order.
+_RAW_TABLES = {
+    "train": ("train_raw", "id date store_nbr family sales onpromotion"),
+    "test": ("test_raw", "id date store_nbr family onpromotion"),
+    "stores": ("stores_raw", "store_nbr city state type cluster"),
+    "oil": ("oil_raw", "date dcoilwtico"),
+    "holidays": ("hol_raw", "date type locale locale_name description transferred"),
+    "transactions": ("tx_raw", "date store_nbr transactions"),
+}
+_CLEAN_TABLES = {
+    "train": ("grid", "date store_nbr family id sales onpromotion is_generated_row"),
+    "test": ("test_raw", "id date store_nbr family onpromotion"),
+    "oil": ("oil_c", "date oil_price oil_missing_original oil_price_change_1 oil_price_ma_7 oil_price_ma_28"),
+    "holidays": ("hol_c", "date type locale locale_name description transferred holiday_type holiday_locale holiday_description "
+                          "is_holiday is_event is_additional is_bridge is_work_day"),
+    "transactions": ("tx_c", "date store_nbr transactions transactions_missing_original"),
+    "holiday_features": ("hol_feat", "date store_nbr holiday_count is_national_holiday is_regional_holiday is_local_holiday "
+                                     "is_holiday is_event is_additional is_bridge is_work_day holiday_names"),
+}
+_REPORT_SQL = "\nUNION ALL\n".join(
+    [_profile_sql(v, c.split(), quality.RAW_KEYS[k], "raw_tables", k) for k, (v, c) in _RAW_TABLES.items()]
+    + [_profile_sql(v, c.split(), quality.CLEAN_KEYS[k], "cleaned_tables", k) for k, (v, c) in _CLEAN_TABLES.items()]
+    + [_profile_sql("integrated", feat.INTEGRATED_COLUMNS, quality.OUTPUT_KEYS, "outputs", "integrated_dataset"),
+       _profile_sql("features", feat.FEATURE_COLUMNS, quality.OUTPUT_KEYS, "outputs", "feature_dataset"),
+       f"SELECT 'transformations', step, metric, NULL, value, NULL FROM ({_COUNTERS_SQL}) c"])
+
+
+@register("a3_quality_report", _REPORT_SQL)
 def q_a3(spark, d):
     p = _pipe(spark, d)
     c = p.cleaned

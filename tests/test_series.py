@@ -99,3 +99,38 @@ def test_global_row_index_matches_total_order(spark):
         want = {(r[0], r[1], r[2]): i for i, r in enumerate(
             sorted(rows, key=lambda r: tuple(r[["date", "store_nbr", "family"].index(c)] for c in key)))}
         assert got == want, (order, partition)
+
+
+def test_profiles_of_empty_tables(spark):
+    df = spark.createDataFrame([], "k string, date date")
+    table = quality.profile_table(df, ["k"], "s", "t")
+    prof = {(r.metric, r.column_name): r for r in table.collect()}
+    assert prof[("rows", None)].value == prof[("duplicate_key_rows", "k")].value == prof[("missing", "k")].value == 0
+    assert prof[("date_min", "date")].text is None and prof[("rows", None)].table_name == "t"
+    plan = table._jdf.queryExecution().toString()
+    assert "Cartesian" not in plan and "NestedLoop" not in plan
+
+
+def test_rolling_masks_score_as_the_repeated_rows_do(spark):
+    """The splits as flags against one backtest for each split's own rows."""
+    from shelfcast.functions.metrics import error_aggregates
+
+    rows = [(dt.date(2013, 1, 1) + dt.timedelta(days=i), s, "A", "train", float((i * 7 + s * i * i) % 23))
+            for s, n in ((1, 480), (2, 440), (3, 30)) for i in range(n) if (i + s) % 11]
+    feats = spark.createDataFrame(rows, "date date, store_nbr int, family string, dataset_split string, sales double")
+    for strict in (False, True):
+        got = forecast.rolling_validation(feats, 3, 31, 300, strict=strict)
+        want = []
+        split = series.rolling_origin_split(forecast.training_frame(feats), 3, 31, 300, strict)
+        for k in range(3):
+            fc, _ = forecast.seasonal_naive(split.where(F.col("split") == k), "is_train", "is_val", "sales")
+            want += fc.groupBy("store_nbr").agg(F.min("date").alias("lo"), F.max("date").alias("hi"),
+                                                *error_aggregates("sales", "prediction")).selectExpr("*", f"{k} AS split").collect()
+        key = lambda r: (r.store_nbr, r.split)
+        a, b = sorted(got.collect(), key=key), sorted(want, key=key)
+        assert len(a) == len(b) == 6
+        for x, y in zip(a, b):
+            assert key(x) == key(y) and (x.val_start, x.val_end) == (y.lo, y.hi)
+            assert all(abs(x[m] - y[m]) < 1e-9 for m in ("rmsle", "rmse", "mae"))
+    plan = got._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    assert plan.count("Exchange") == 1 and plan.index("Generate") < plan.index("Aggregate")
