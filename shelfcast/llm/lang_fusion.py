@@ -23,7 +23,8 @@ Defined cases: null or empty text, address, host or declared language gives no
 evidence of that kind (a flat factor); without any, the row gets the table's
 most usual language with its share as posterior, and is not accepted. ``lang``
 is the best language even where the unknown wins. A null id passes through.
-Repeated rows count once each. Without a labelled document there are no
+Repeated rows count once each. Pages of unclosed marks are read in linear
+time. Without a labelled document there are no
 languages: lang is null, posterior 0, not accepted. Ties go to the language
 first in alphabetical order. Further columns are ignored.
 """
@@ -32,6 +33,7 @@ from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_left
 from dataclasses import dataclass
 
 import numpy as np
@@ -58,13 +60,46 @@ UNKNOWN = 0.01
 EVEN = 0.5
 
 # Parts of a page that show no text.
-HIDDEN = re.compile(r"(?is)<(script|style|noscript|template)\b.*?</\1\s*>|<!--.*?-->")
-TAG = re.compile(r"(?s)<[^>]*>")
-PAGE_LANG = r"(?is)<html\b[^>]*?\blang\s*=\s*[\"']?([a-z]{2,3})"
+HIDDEN = ("script", "style", "noscript", "template")
+MARK = re.compile(rf"(?i)<({'|'.join(HIDDEN)})\b|</({'|'.join(HIDDEN)})\s*>|(<!)(?=--)|-->")
+TAG = re.compile(r"<[^>]*>")
+#: An opening tag ends at the next mark, so a page of unclosed ones is read once.
+PAGE_LANG = r"(?is)<html\b[^<>]*?\blang\s*=\s*[\"']?([a-z]{2,3})"
+
+
+def without_hidden(page: str) -> str:
+    """The page less its hidden elements and comments, each from its opening
+    mark to the first closing one after it; an opening mark that is never
+    closed hides nothing. The marks are found once, whatever the page holds."""
+    opening: list[tuple[int, int, str]] = []
+    starts: dict[str, list[int]] = {}
+    ends: dict[str, list[int]] = {}
+    for m in MARK.finditer(page):
+        if m[1] or m[3]:
+            opening.append((m.start(), m.end() if m[1] else m.end() + 2, m[1].lower() if m[1] else "--"))
+        else:
+            name = m[2].lower() if m[2] else "--"
+            starts.setdefault(name, []).append(m.start())
+            ends.setdefault(name, []).append(m.end())
+    out, at = [], 0
+    for start, end, name in opening:
+        if start < at:
+            continue
+        close = bisect_left(starts.get(name, []), end)
+        if close < len(starts.get(name, [])):
+            out.append(page[at:start])
+            at = ends[name][close]
+    out.append(page[at:])
+    return " ".join(out)
 
 
 def visible_text(page: str) -> str:
-    return html.unescape(TAG.sub(" ", HIDDEN.sub(" ", page)))
+    """Text outside of tags and hidden elements, its character references
+    resolved. A tag runs from ``<`` to the next ``>``; after the last ``>``
+    there are none, so no search runs to the end in vain."""
+    page = without_hidden(page)
+    last = page.rfind(">") + 1
+    return html.unescape(TAG.sub(" ", page[:last]) + page[last:])
 
 
 def lowered(text: str) -> np.ndarray:

@@ -311,3 +311,44 @@ def test_large_components_stay_exact(shipped):
     df = shipped.createDataFrame(rows, "vec_id long, embedding array<float>")
     got = kd_search.top_k(df, F.col("vec_id") % 20 == 0, 3).collect()
     assert sorted(map(tuple, got)) == brute_top(rows, 3, lambda i: i % 20 == 0)
+
+
+def test_visible_text_equals_the_plain_patterns():
+    import random
+    import re
+
+    from shelfcast.llm.lang_fusion import visible_text
+
+    hidden = re.compile(r"(?is)<(script|style|noscript|template)\b.*?</\1\s*>|<!--.*?-->")
+    rng = random.Random(5)
+    parts = ["<script", "<script>", "</script>", "</SCRIPT >", "<style a=1>", "</style>", "<!--", "-->", "<!---->", "--", "<", ">", "<p>", "word ",
+             "<scripts>", "</template>", "<Template>", "-", "\n"]
+    for _ in range(3000):
+        page = "".join(rng.choice(parts) for _ in range(rng.randrange(14)))
+        assert visible_text(page) == re.sub(r"(?s)<[^>]*>", " ", hidden.sub(" ", page)), page
+    assert visible_text("a &amp; b") == "a & b"
+
+
+def test_pages_of_unclosed_marks_take_linear_time():
+    import time
+
+    from shelfcast.llm.lang_fusion import visible_text
+
+    start = time.monotonic()
+    for mark in ("<", "<script>", "<!--", "<style ", "</script ", "<!-- <script> "):
+        page = mark * (2_000_000 // len(mark))
+        assert len(visible_text(page)) > 100_000
+    assert time.monotonic() - start < 60
+
+
+def test_declared_language_of_pages_of_unclosed_marks(spark):
+    import time
+
+    from pyspark.sql import functions as F
+
+    from shelfcast.llm.lang_fusion import PAGE_LANG
+
+    pages = spark.createDataFrame([("<html " * 300_000,), ('<HTML class="x"\n lang = "De-AT">',), ("<html>lang=fr",)], "h string")
+    start = time.monotonic()
+    got = [r[0] for r in pages.select(F.regexp_extract("h", PAGE_LANG, 1)).collect()]
+    assert got == ["", "De", ""] and time.monotonic() - start < 60
