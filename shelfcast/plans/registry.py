@@ -1064,7 +1064,7 @@ def q_t14(spark, d):
     return _additive(spark, d).select("store_nbr", "family", "date", "yhat", "yhat_lower", "yhat_upper")
 
 
-@register("t14_straight_line", f"""
+_LINE_SQL = f"""
 WITH h AS (SELECT store_nbr, family, count(*) AS n, regr_slope(sales, x) AS b, regr_intercept(sales, x) AS a,
   greatest(sqrt((var_pop(sales) - pow(regr_slope(sales, x), 2) * var_pop(x))), 1e-6 * greatest(max(abs(sales)), 1)) AS sd,
   avg(x) AS mx, var_pop(x) AS vx
@@ -1074,6 +1074,10 @@ f AS (SELECT store_nbr, family, date, date - DATE '2000-01-01' AS x FROM tf
 p AS (SELECT f.store_nbr, f.family, f.date, a + b * x AS v,
   1.96 * sd * sqrt(1 + 1.0 / n + pow(x - mx, 2) / (n * vx)) AS half
   FROM f JOIN h ON f.store_nbr = h.store_nbr AND f.family = h.family)
+"""
+
+
+@register("t14_straight_line", _LINE_SQL + """
 SELECT store_nbr, family, date, greatest(v, 0) AS yhat, greatest(v - half, 0) AS yhat_lower, greatest(v + half, 0) AS yhat_upper FROM p
 """, ("yhat", "yhat_lower", "yhat_upper"))
 def q_t14_line(spark, d):
@@ -1084,6 +1088,47 @@ def q_t14_line(spark, d):
     return line.select("store_nbr", "family", "date", "yhat", "yhat_lower", "yhat_upper")
 
 
+def _naive(tf: DataFrame) -> DataFrame:
+    d, vs, ts = F.col("date"), F.lit(VAL_START).cast("date"), F.lit(TEST_START).cast("date")
+    tagged = tf.withColumns({"_fit": d < vs, "_val": (d >= vs) & (d < ts)})
+    frame = forecast.seasonal_naive_frame(tagged, "_fit", "_val", "sales")
+    return frame.where(F.col("prediction").isNotNull()).select(
+        "store_nbr", "family", "date", F.col("prediction").alias("yhat"), F.lit("seasonal_naive").alias("order_label"))
+
+
+def _compared(spark, d, fits: dict) -> DataFrame:
+    from .compare import train_and_compare
+    tf = forecast.training_frame(_pipe(spark, d).features)
+    store = f"{ensure_checkpoint_dir(spark).rstrip('/')}/compare-{uuid.uuid4().hex[:12]}"
+    long, best = train_and_compare(spark, {"SeasonalNaive7": lambda: _naive(tf), **fits}, tf, store)
+    return long.crossJoin(F.broadcast(best)).select("model", "metric", "value", (F.col("model") == F.col("best_model")).alias("best"))
+
+
+@register("t17_train_and_compare_line", _LINE_SQL + f"""
+, per AS (SELECT store_nbr, family, {_METRICS_SQL.format(y='t.sales', p='greatest(p.v, 0)')}
+  FROM p JOIN tf t USING (store_nbr, family, date) GROUP BY 1, 2),
+mm AS ({_sn_sql(7, 'SeasonalNaive7', 0)}
+  UNION ALL SELECT 'StraightLine', 1, avg(rmsle), avg(mae), avg(rmse) FROM per)
+SELECT model, metric, value, model = (SELECT arg_min(model, (rmsle, position)) FROM mm) AS best
+FROM (SELECT * FROM mm) UNPIVOT (value FOR metric IN (rmsle, mae, rmse))
+""", ("value",))
+def q_t17_line(spark, d):
+    """Two models that SQL can express, trained and compared."""
+    from ..operators import models
+    tf = forecast.training_frame(_pipe(spark, d).features)
+    return _compared(spark, d, {"StraightLine": lambda: models.additive_forecasts(
+        tf, VAL_START, TEST_START, (), n_changepoints=0, weekly_order=0, yearly_order=0)})
+
+
+@register("t17_train_and_compare")
+def q_t17(spark, d):
+    """Seasonal naive, seasonal autoregression and the additive model."""
+    from ..operators import models
+    tf = forecast.training_frame(_pipe(spark, d).features)
+    return _compared(spark, d, {"SeasonalAR": lambda: models.sarima_forecasts(tf, VAL_START, TEST_START),
+                                "Additive": lambda: _additive(spark, d)})
+
+
 @register("a18_density_curve", _T6_SQL + """
 , st AS (SELECT MIN(sales) AS lo, MAX(sales) AS hi, stddev_samp(sales) AS sd, COUNT(sales) AS n FROM sub),
 fine AS (SELECT CASE WHEN hi = lo THEN 1 ELSE least(floor((sales - lo) / (hi - lo) * 2048) + 1, 2048) END AS b,

@@ -295,3 +295,21 @@ def test_boosted_queries_fit_the_original_rounds():
     from shelfcast.plans import registry
 
     assert registry.GBT == Boosting(rounds=300, depth=8, rate=0.05, row_sample=0.8, column_sample=0.8, l1=0.1, l2=1.0)
+
+
+def test_train_and_compare_reads_back_what_it_wrote(spark, tmp_path):
+    import pytest
+
+    from shelfcast.plans.compare import train_and_compare
+
+    df = _series(spark, [4.0, 4.0, 4.0]).unionByName(_series(spark, [2.0, 2.0, 2.0], store=2))
+    def model(shift):
+        return lambda: df.select("store_nbr", "family", "date", (F.col("sales") + shift).alias("yhat"), F.lit("m").alias("order_label"))
+    store = str(tmp_path / "metrics")
+    train_and_compare(spark, {"A": model(9.0), "Old": model(0.0)}, df, store)  # an earlier run of A, and another's
+    long, best = train_and_compare(spark, {"A": model(3.0), "B": model(1.0), "C": model(-1.0)}, df, store)
+    got = {(r.model, r.metric): r.value for r in long.collect()}
+    assert len(got) == 9 and got["A", "mae"] == 3.0 and got["B", "rmse"] == got["C", "mae"] == 1.0
+    assert best.first().best_model == "B"
+    with pytest.raises(ValueError):
+        train_and_compare(spark, {"A": model(3.0)}, df, store)

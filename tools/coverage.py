@@ -53,7 +53,7 @@ MANUAL = {
     "J6": (["u1_j8_integrated_dataset"], "operators.features.integrate", ""),
     "J7": (["u1_j8_integrated_dataset"], "operators.features.integrate", ""),
     "J11": (["t11_l4_split_importance"], "operators.ml.split_count_importance", ""),
-    "J12": (["t14_additive_forecasts"], "operators.models.additive_forecasts",
+    "J12": (["j12_future_frame_with_oil", "t14_additive_forecasts"], "operators.models.future_frame",
             "partial: future regressors come from the feature table, which joined oil by date (J6)"),
     "W13": (["t18_feature_dataset"], "operators.features.build_features", ""),
     "L1": (["s4_head_rows"], "sources.sinks.write_predictions; readers.head_rows", "orderBy only at the sink"),
@@ -66,8 +66,8 @@ MANUAL = {
     "T7": (["t7_param_search"], "operators.ml.param_search", ""),
     "T10": (["t10_gbt_metrics", "t16_lag_model_predictions"], "operators.ml.gbt, fit_lag_model", ""),
     "T12": (["t12_sequence_regression"], "operators.ml.sequence_dataset, sequence_regression", ""),
-    "T13": (["t13_seasonal_ar_forecasts"], "operators.models.sarima_forecasts (applyInPandas)", ""),
-    "T14": (["t14_additive_forecasts"], "operators.models.additive_forecasts (applyInPandas)", ""),
+    "T13": (["t13_order_search", "t13_seasonal_ar_forecasts"], "operators.models.lag_moments, order_fits, sarima_forecasts", ""),
+    "T14": (["t14_straight_line", "t14_additive_forecasts"], "operators.models.additive_forecasts (applyInPandas)", ""),
     "W12": (["w12_sequence_windows"], "operators.series.sequence_windows", ""),
 }
 
