@@ -54,7 +54,7 @@ MANUAL = {
     "J7": (["u1_j8_integrated_dataset"], "operators.features.integrate", ""),
     "J11": (["t11_l4_split_importance"], "operators.ml.split_count_importance", ""),
     "J12": (["j12_future_frame_with_oil", "t14_additive_forecasts"], "operators.models.future_frame",
-            "partial: future regressors come from the feature table, which joined oil by date (J6)"),
+            ""),
     "W13": (["t18_feature_dataset"], "operators.features.build_features", ""),
     "L1": (["s4_head_rows"], "sources.sinks.write_predictions; readers.head_rows", "orderBy only at the sink"),
     "L6": (["l6_store_family_matrix", "a11_metric_matrix", "a10_store_family_means"], "operators.evaluate.metric_matrix_long, pivot_matrix", ""),
