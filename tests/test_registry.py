@@ -12,7 +12,8 @@ from tests.conftest import SF_SMALL
 TABLES = ["region", "nation", "supplier", "part", "orders", "lineitem"]
 CHECKED = ["g2_train_grid", "g4_w1_w4_clean_oil", "a1_holiday_store_features", "t18_feature_dataset",
            "t4_baseline_backtest", "t5_rolling_validation", "t6_submission", "a4_cleaning_counters",
-           "w10_positional_split", "a19_box_by_store_type"]
+           "w10_positional_split", "a19_box_by_store_type", "a3_quality_report", "t13_order_search", "t14_straight_line",
+           "j12_future_frame_with_oil", "t17_train_and_compare_line"]
 
 
 @pytest.fixture(scope="module")
