@@ -1,10 +1,16 @@
 """Quality classifier: Bradley-Terry pairwise ranking.
 
-A document's worth is linear in a few text statistics. Preference pairs (a row
-labelled good beats a row labelled bad) are fitted by logistic loss on the
+A document's worth is linear in a few text statistics. All preference pairs (each
+row labelled good beats each row labelled bad) are fitted by logistic loss on the
 feature differences, and the cut between kept and rejected documents is a
 quantile of the fitted rows' worth: the share of bad rows among all labels.
 
+Every labelled row takes part. A pair's loss depends on its worths alone, so the
+sum over all pairs does not need the pairs: each row is spread over the nodes of
+a fine grid of worths (cubic interpolation, relative error below 1e-7), the rows
+of a node are added up in one pass over the labelled rows, and the driver pairs
+nodes. A Newton step is one such pass; what is added up has the size of the grid.
+
 Defined cases: a null text counts as empty and is scored like any other; rows
 with a null ``doc_id`` are scored too but never used for fitting; a repeated
 row is scored once per row; a repeated label row is fitted once, and a document
@@ -15,18 +21,23 @@ score is 0.5. Further columns of the inputs are ignored, whatever their names.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from dataclasses import dataclass
+from functools import partial
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from .common import column, fold, map_arrow, texts
+from .common import column, map_arrow, stage, texts
 
-#: The fit reads at most this many labelled documents of each label, chosen by
-#: a hash of doc_id, and draws at most this many preference pairs from them.
-FIT_ROWS_PER_LABEL = 3000
-FIT_PAIRS = 40_000
+#: Distance of the grid's nodes, in units of worth.
+STEP = 1 / 16
+RIDGE = 1e-2
+#: Bins in which a pass counts the worths when the cut is looked for.
+BINS = 1024
+#: Labelled rows of one block.
+BLOCK_ROWS = 4096
 #: A score at or above this is predicted good.
 CUT = 0.3
 
@@ -89,62 +100,176 @@ class Ranker:
         return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
 
 
-def fit_ranker(x: np.ndarray, y: np.ndarray, bad_share: float, pairs: int = FIT_PAIRS, seed: int = 7) -> Ranker:
-    """Fit from feature rows ``x`` with labels ``y`` (1 good, 0 bad).
+def _added(*parts: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Keys in order and, for each, the sum of its rows, of parts of (keys, rows)."""
+    keys, rows = (np.concatenate(c) for c in zip(*parts))
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
+    return keys[first], np.add.reduceat(rows[order], first) if len(first) else rows
 
-    ``bad_share`` is the quantile of the cut, among rows weighted so that the
-    bad ones make up that share."""
-    d = x.shape[1] if x.size else len(FEATURES)
-    good, bad = np.flatnonzero(y == 1), np.flatnonzero(y == 0)
-    if not len(good) or not len(bad):
+
+def _moments(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """By label: the number of rows, the sums of the features and of their squares."""
+    return _added((y, np.hstack([np.ones((len(x), 1)), x, x * x])))
+
+
+def _spread(x: np.ndarray, y: np.ndarray, ranker: Ranker) -> tuple[np.ndarray, np.ndarray]:
+    """By 2 * node + label: the number of rows, and the sums of their features
+    and of the products of two features, each row spread over four nodes."""
+    z = np.clip((x - ranker.mean) / ranker.scale, -8, 8)
+    at = z @ ranker.weights / STEP
+    k = np.floor(at).astype(np.int64)
+    u = (at - k)[:, None]
+    i, j = np.triu_indices(z.shape[1])
+    rows = np.hstack([np.ones((len(z), 1)), z, z[:, i] * z[:, j]])
+    shares = -u * (u - 1) * (u - 2) / 6, (u + 1) * (u - 1) * (u - 2) / 2, -(u + 1) * u * (u - 2) / 2, (u + 1) * u * (u - 1) / 6
+    return _added(*[_added((2 * (k + n) + y, rows * share)) for n, share in zip((-1, 0, 1, 2), shares)])
+
+
+def _square(flat: np.ndarray, d: int) -> np.ndarray:
+    out = np.zeros((d, d))
+    out[np.triu_indices(d)] = flat
+    return out + np.triu(out, 1).T
+
+
+def _all_pairs(keys: np.ndarray, sums: np.ndarray, w: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+    """Loss, gradient and second derivatives over all pairs of a good and a bad row."""
+    d = len(w)
+    good, bad = sums[keys % 2 == 1], sums[keys % 2 == 0]
+    at_good, at_bad = keys[keys % 2 == 1] // 2 * STEP, keys[keys % 2 == 0] // 2 * STEP
+    pairs = good[:, 0].sum() * bad[:, 0].sum()
+    loss, grad, hess = 0.0, np.zeros(d), np.zeros((d, d))
+    for lo in range(0, len(good), 256):
+        g = good[lo : lo + 256]
+        gap = at_good[lo : lo + 256, None] - at_bad
+        q = 1 / (1 + np.exp(np.clip(gap, -500, 500)))
+        loss += g[:, 0] @ np.logaddexp(0, -gap) @ bad[:, 0]
+        grad += g[:, 0] @ q @ bad[:, 1 : d + 1] - (q @ bad[:, 0]) @ g[:, 1 : d + 1]
+        curve = q * (1 - q)
+        cross = g[:, 1 : d + 1].T @ curve @ bad[:, 1 : d + 1]
+        hess += _square((curve @ bad[:, 0]) @ g[:, d + 1 :] + (g[:, 0] @ curve) @ bad[:, d + 1 :], d) - cross - cross.T
+    return loss / pairs + RIDGE / 2 * (w @ w), grad / pairs + RIDGE * w, hess / pairs + RIDGE * np.eye(d)
+
+
+def _bins(x: np.ndarray, y: np.ndarray, ranker: Ranker, lo: float, hi: float) -> tuple[np.ndarray, ...]:
+    """Of the worths from ``lo`` to ``hi``, by bin: bad rows, good rows, the least and the largest."""
+    worth = ranker.worth(x)
+    inside = (worth >= lo) & (worth <= hi)
+    worth, y = worth[inside], y[inside]
+    cell = np.zeros(len(worth), np.int64)
+    if hi > lo and math.isfinite(hi - lo):
+        cell = np.minimum(((worth - lo) / (hi - lo) * BINS).astype(np.int64), BINS - 1)
+    return _bins_added((cell, np.stack([y == 0, y == 1], 1).astype(np.int64), worth, worth))
+
+
+def _bins_added(*parts: tuple[np.ndarray, ...]) -> tuple[np.ndarray, ...]:
+    cell, count, least, most = (np.concatenate(c) for c in zip(*parts))
+    order = np.argsort(cell, kind="stable")
+    cell, count, least, most = cell[order], count[order], least[order], most[order]
+    first = np.flatnonzero(np.diff(cell, prepend=-1))
+    if not len(first):
+        return cell, count, least, most
+    return cell[first], np.add.reduceat(count, first), np.minimum.reduceat(least, first), np.maximum.reduceat(most, first)
+
+
+def _cut(total: Callable, ranker: Ranker, weights: np.ndarray, bad_share: float) -> float:
+    """The middle between the worth at which the rows' ``weights`` (of a bad and
+    of a good one) reach ``bad_share`` and the next one in order, ties included."""
+    lo, hi, before, after = -math.inf, math.inf, np.zeros(2), math.inf
+    while lo < hi:
+        _, count, least, most = total(partial(_bins, ranker=ranker, lo=lo, hi=hi), _bins_added)
+        reached = (before + count.cumsum(axis=0)) @ weights
+        k = min(int(np.searchsorted(reached, bad_share - 1e-12)), len(reached) - 1)
+        before = before + count[:k].sum(axis=0)
+        after = least[k + 1] if k + 1 < len(least) else after
+        lo, hi, here = float(least[k]), float(most[k]), count[k]
+    # The last of the rows with this worth (a good one, if any) may lie past the share already.
+    last = weights[1] if here[1] else weights[0]
+    again = here.sum() > 1 and (before + here) @ weights - last >= bad_share - 1e-12
+    return lo if again or after == math.inf else (lo + after) / 2
+
+
+def _fit(total: Callable, bad_share: float) -> Ranker:
+    """``total(fn, add)`` adds up ``fn(x, y)`` over all blocks of rows."""
+    found = total(_moments, _added)
+    if found is None or len(found[0]) < 2:
+        d = len(FEATURES) if found is None or not len(found[0]) else found[1].shape[1] // 2
         return Ranker(np.zeros(d), np.ones(d), np.zeros(d), 0.0, 1.0)
-    mean, scale = x.mean(0), x.std(0) + 1e-3
-    z = np.clip((x - mean) / scale, -8, 8)
-    rng = np.random.default_rng(seed)
-    diff = z[rng.choice(good, pairs)] - z[rng.choice(bad, pairs)]
-    w = np.zeros(d)
-    for _ in range(30):  # Newton steps on the pairwise logistic loss with a ridge
-        p = 1 / (1 + np.exp(-np.clip(diff @ w, -30, 30)))
-        grad = diff.T @ (p - 1) / pairs + 1e-2 * w
-        hess = (diff * (p * (1 - p))[:, None]).T @ diff / pairs + 1e-2 * np.eye(d)
-        step = np.linalg.solve(hess, grad)
-        w -= step
+    rows, sums = found[1][:, 0], found[1].sum(axis=0)
+    n, d = sums[0], len(sums) // 2
+    mean = sums[1 : d + 1] / n
+    scale = np.sqrt(np.maximum(sums[d + 1 :] / n - mean**2, 0)) + 1e-3
+    w, step, last = np.zeros(d), np.zeros(d), math.inf
+    for _ in range(60):  # Newton steps on the pairwise logistic loss with a ridge
+        ranker = Ranker(mean, scale, w, 0.0, 1.0)
+        keys, at = total(partial(_spread, ranker=ranker), _added)
+        loss, grad, hess = _all_pairs(keys, at, w)
+        if loss > last + 1e-9:
+            step = step / 2
+            w = w + step
+            continue
+        step, last = np.linalg.solve(hess, grad), loss
         if np.abs(step).max() < 1e-8:
             break
-    worth = z @ w
-    order = np.argsort(worth, kind="stable")
-    share = np.where(y == 0, bad_share / len(bad), (1 - bad_share) / len(good))[order].cumsum()
-    k = min(int(np.searchsorted(share, bad_share - 1e-12)), len(order) - 2)
-    cut = float((worth[order[k]] + worth[order[k + 1]]) / 2)
-    return Ranker(mean, scale, w, cut, float(max(1e-6, worth.std() / 4)))
-
-
-def fit_from_labels(docs: DataFrame, labels: DataFrame, fit_rows=None, per_label: int = FIT_ROWS_PER_LABEL) -> Ranker:
-    """Fit on a bounded sample of the labelled rows that ``fit_rows`` (a column
-    condition on doc_id) admits. The texts come from one scan of ``docs`` joined
-    with the at most ``2 * per_label`` chosen ids, which are broadcast."""
+        w = w - step
+    w, at = ranker.weights, at.sum(axis=0)
+    variance = w @ _square(at[d + 1 :], d) @ w / n - (w @ at[1 : d + 1] / n) ** 2
+    cut = _cut(total, ranker, np.array([bad_share, 1 - bad_share]) / rows, bad_share)
+    return Ranker(mean, scale, w, cut, max(1e-6, math.sqrt(max(0.0, variance)) / 4))
+
+
+def fit_ranker(x: np.ndarray, y: np.ndarray, bad_share: float) -> Ranker:
+    """Fit from feature rows ``x`` with labels ``y`` (1 good, 0 bad).
+
+    ``bad_share`` is the quantile of the cut, among rows weighted so that the
+    bad ones make up that share."""
+    return _fit(lambda fn, add: fn(x, y) if x.size else None, bad_share)
+
+
+def fit_from_labels(docs: DataFrame, labels: DataFrame, fit_rows=None) -> Ranker:
+    """Fit on all labelled rows that ``fit_rows`` (a column condition on doc_id)
+    admits. Features are made where the texts are and meet the labels by a
+    shuffle; the fit then reads the labelled rows in blocks."""
     rows = labels.select("doc_id", F.col("quality").cast("int").alias("y")).where("doc_id IS NOT NULL AND y IN (0, 1)").distinct()
+    known = docs.select("doc_id", "text").where("doc_id IS NOT NULL")
     if fit_rows is not None:
-        rows = rows.where(fit_rows)
+        rows, known = rows.where(fit_rows), known.where(fit_rows)
     n = {r.y: r.n for r in rows.groupBy("y").agg(F.count("*").alias("n")).collect()}
     if len(n) < 2:
         return fit_ranker(np.zeros((0, len(FEATURES))), np.zeros(0), 0.5)
-    chosen = None
-    for y in (0, 1):
-        part = rows.where(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_label)
-        chosen = part if chosen is None else chosen.unionAll(part)
-    picked = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
 
     def features(batches):
         for b in batches:
-            t = texts(b)
-            yield {"x": [text_features(s) for s in t], "y": column(b, "y"), "doc_id": column(b, "doc_id")}
+            yield {"doc_id": column(b, "doc_id"), "x": [np.array(text_features(s), "<f8").tobytes() for s in texts(b)]}
+
+    def blocks(batches):
+        held = []
+        for b in batches:
+            held += zip(column(b, "y"), column(b, "x"))
+            while len(held) >= BLOCK_ROWS:
+                yield block(held[:BLOCK_ROWS])
+                held = held[BLOCK_ROWS:]
+        if held:
+            yield block(held)
+
+    def block(held):
+        return {"y": [np.array([y for y, _ in held], "<i8").tobytes()], "x": [b"".join(x for _, x in held)]}
+
+    found = map_arrow(known, ["doc_id", "text"], "doc_id long, x binary", features).join(rows, "doc_id")
+    staged = stage(map_arrow(found, ["y", "x"], "y binary, x binary", blocks), "labelled-features").rdd
+
+    def total(fn, add):
+        def one(so_far, r):
+            part = fn(np.frombuffer(r.x, "<f8").reshape(-1, len(FEATURES)), np.frombuffer(r.y, "<i8"))
+            return part if so_far is None else add(so_far, part)
+
+        def both(a, b):
+            return b if a is None else a if b is None else add(a, b)
+
+        return staged.treeAggregate(None, one, both)
 
-    found = map_arrow(picked, ["doc_id", "text", "y"], "doc_id long, y int, x array<double>", features).collect()
-    found.sort(key=lambda r: (r.doc_id, r.y, r.x))
-    return fit_ranker(
-        np.array([r.x for r in found]).reshape(len(found), len(FEATURES)), np.array([r.y for r in found]), n[0] / (n[0] + n[1])
-    )
+    return _fit(total, n[0] / (n[0] + n[1]))
 
 
 def score_documents(docs: DataFrame, ranker: Ranker) -> DataFrame:

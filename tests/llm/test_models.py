@@ -67,6 +67,51 @@ def test_cut_is_the_quantile_of_the_bad_share():
     assert ((r.score(x) >= 0.3) == (y == 1)).all()
 
 
+def all_pairs_optimum(x, y):
+    """Weights by Newton steps over every pair written out."""
+    z = np.clip((x - x.mean(0)) / (x.std(0) + 1e-3), -8, 8)
+    diff = (z[y == 1][:, None] - z[y == 0][None]).reshape(-1, x.shape[1])
+    w = np.zeros(x.shape[1])
+    for _ in range(30):
+        p = 1 / (1 + np.exp(-diff @ w))
+        hess = (diff * (p * (1 - p))[:, None]).T @ diff / len(diff) + 1e-2 * np.eye(len(w))
+        w -= np.linalg.solve(hess, diff.T @ (p - 1) / len(diff) + 1e-2 * w)
+    return w, z @ w
+
+
+def test_ranking_is_fitted_on_all_pairs():
+    rng = np.random.default_rng(3)
+    y = (rng.random(500) < 0.7).astype(int)
+    x = rng.normal(size=(500, 5)) + y[:, None] * [0.5, 0, 1, -0.3, 0]
+    w, worth = all_pairs_optimum(x, y)
+    r = ranking.fit_ranker(x, y, (y == 0).mean())
+    assert np.abs(r.weights - w).max() < 1e-6
+    k = (y == 0).sum()
+    assert abs(r.cut - np.sort(worth)[k - 1 : k + 1].mean()) < 1e-5
+    assert abs(r.spread - worth.std() / 4) < 1e-5
+    # An uneven share weighs the rows of the labels differently; ties stay on one side.
+    tied = ranking.fit_ranker(np.repeat(x, 3, axis=0), np.repeat(y, 3), 0.5)
+    order = np.argsort(tied.worth(x), kind="stable")
+    share = np.where(y == 0, 0.5 / k, 0.5 / (500 - k))[order].cumsum()
+    at = int(np.searchsorted(share, 0.5 - 1e-12))
+    low, high = tied.worth(x)[order][at : at + 2]
+    assert low - 1e-9 <= tied.cut <= (low + high) / 2 + 1e-9
+
+
+def test_ranking_reads_every_labelled_row(frame, shipped):
+    # More rows of each label than any sample of 3,000 would hold.
+    rows = [(i, f"word{i} " * (1 + i % 7) + ("$" if i % 2 and i % 11 else "")) for i in range(8000)]
+    labels = shipped.createDataFrame([(i, i % 2) for i in range(8000)], "doc_id long, quality int")
+    r = ranking.fit_from_labels(frame(rows, clash=False).repartition(5), labels)
+    x = np.array([ranking.text_features(t) for _, t in rows])
+    y = np.arange(8000) % 2
+    assert np.allclose(r.mean, x.mean(0), rtol=1e-12) and np.allclose(r.scale, x.std(0) + 1e-3, rtol=1e-6, atol=1e-9)
+    whole = ranking.fit_ranker(x, y, 0.5)
+    assert np.abs(r.weights - whole.weights).max() < 1e-6 and abs(r.cut - whole.cut) < 1e-6
+    worth = np.sort(r.worth(x))
+    assert abs(r.cut - (worth[3999] + worth[4000]) / 2) < 1e-9
+
+
 # -- rules ----------------------------------------------------------------------
 
 
