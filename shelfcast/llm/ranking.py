@@ -21,6 +21,7 @@ score is 0.5. Further columns of the inputs are ignored, whatever their names.
 from __future__ import annotations
 
 import math
+import pickle
 from collections.abc import Callable
 from dataclasses import dataclass
 from functools import partial
@@ -36,8 +37,8 @@ STEP = 1 / 16
 RIDGE = 1e-2
 #: Bins in which a pass counts the worths when the cut is looked for.
 BINS = 1024
-#: Labelled rows of one block.
-BLOCK_ROWS = 4096
+#: Labelled rows of one block, and tasks that add up what the others report.
+BLOCK_ROWS, TOGETHER = 4096, 6
 #: A score at or above this is predicted good.
 CUT = 0.3
 
@@ -257,17 +258,33 @@ def fit_from_labels(docs: DataFrame, labels: DataFrame, fit_rows=None) -> Ranker
         return {"y": [np.array([y for y, _ in held], "<i8").tobytes()], "x": [b"".join(x for _, x in held)]}
 
     found = map_arrow(known, ["doc_id", "text"], "doc_id long, x binary", features).join(rows, "doc_id")
-    staged = stage(map_arrow(found, ["y", "x"], "y binary, x binary", blocks), "labelled-features").rdd
+    staged = stage(map_arrow(found, ["y", "x"], "y binary, x binary", blocks), "labelled-features")
 
     def total(fn, add):
-        def one(so_far, r):
-            part = fn(np.frombuffer(r.x, "<f8").reshape(-1, len(FEATURES)), np.frombuffer(r.y, "<i8"))
-            return part if so_far is None else add(so_far, part)
-
-        def both(a, b):
-            return b if a is None else a if b is None else add(a, b)
-
-        return staged.treeAggregate(None, one, both)
+        """Added up in the tasks, then by a few of them, then here."""
+        def one(batches):
+            out = None
+            for b in batches:
+                for y, x in zip(column(b, "y"), column(b, "x")):
+                    part = fn(np.frombuffer(x, "<f8").reshape(-1, len(FEATURES)), np.frombuffer(y, "<i8"))
+                    out = part if out is None else add(out, part)
+            if out is not None:
+                yield {"part": [pickle.dumps(out)]}
+
+        def several(batches):
+            out = None
+            for b in batches:
+                for part in map(pickle.loads, column(b, "part")):
+                    out = part if out is None else add(out, part)
+            if out is not None:
+                yield {"part": [pickle.dumps(out)]}
+
+        parts = map_arrow(staged, ["y", "x"], "part binary", one).repartition(TOGETHER)
+        out = None
+        for r in map_arrow(parts, ["part"], "part binary", several).collect():
+            part = pickle.loads(r.part)
+            out = part if out is None else add(out, part)
+        return out
 
     return _fit(total, n[0] / (n[0] + n[1]))
 

@@ -101,7 +101,9 @@ def anchors(raw: bytes, starts: np.ndarray, ends: np.ndarray, length: int = LENG
     new[first] = True
     lo = np.flatnonzero(new)
     stop = np.flatnonzero(valid & np.append(new[1:] | ~valid[1:], True))
-    return h[at[lo]], lo, stop, at[lo]
+    # The least hash of a window is a small number: multiplied, all numbers are as
+    # likely, and buckets by the high bits get equal shares.
+    return h[at[lo]] * _M[1], lo, stop, at[lo]
 
 
 def pieces(docs: list[tuple[int, bytes]], length: int) -> Iterator[tuple[bytes, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
@@ -478,7 +480,7 @@ def _gram_hash(gram: bytes) -> int:
     for k in (1, 2, 3):
         h ^= h >> 29
         h = (h + words[k] & mask) * int(_M[k]) & mask
-    return h ^ h >> 32
+    return (h ^ h >> 32) * int(_M[1]) & mask
 
 
 def kept_bytes(raw: bytes, spans: bytes | None) -> tuple[bytes, int]:

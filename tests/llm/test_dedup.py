@@ -194,3 +194,12 @@ def test_components_of_a_long_chain(shipped):
     random.Random(1).shuffle(rows)
     got = {r.node: r.root for r in jaccard_join.components(shipped.createDataFrame(rows, "a long, b long"), Workspace(shipped, "t")).collect()}
     assert got == {**{i: 100 for i in range(101, 161)}, 7: 3, 9: 3}
+
+
+def test_anchors_are_dealt_in_equal_shares():
+    raw = np.random.default_rng(2).integers(97, 123, 400_000).astype(np.uint8).tobytes()
+    h, lo, _, at = suffix_dedup.anchors(raw, np.array([0]), np.array([len(raw)]))
+    for parts in (8, 50, 200):
+        share = np.bincount((((h >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)).astype(int), minlength=parts)
+        assert share.max() < 2 * share.mean() and share.min() > 0
+    assert all(suffix_dedup._gram_hash(raw[a : a + suffix_dedup.GRAM]) == int(x) for a, x in zip(at[:50].tolist(), h[:50]))
