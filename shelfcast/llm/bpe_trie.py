@@ -32,7 +32,7 @@ import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 
-from .common import column, joined, map_arrow, text_array
+from .common import column, joined, kept, map_arrow, text_array
 from .tokens import BLOCK, INNER_BLANK, RecentCache, bare_chunks, numbered, slices
 
 # Fixed value: the pattern of the vocabulary file's pre-tokenizer.
@@ -206,7 +206,8 @@ class TrieBPE:
         """For each text: the number of tokens, the ids and the decoded text,
         the last two as strings joined by blanks."""
         for block in slices(batch if isinstance(batch, pa.Array) else pa.array(batch, pa.string()), BLOCK):
-            chunks, numbers, begins = numbered(pc.ascii_split_whitespace(block))
+            words, numbers, begins = numbered(pc.ascii_split_whitespace(block))
+            chunks = words.to_numpy(zero_copy_only=False).tolist()
             known = self.cache.complete([chunks], self.spelled_chunks)
             made = list(map(known.__getitem__, chunks))
             count = np.fromiter(map(_count, made), np.int64, len(made))
@@ -220,14 +221,11 @@ class TrieBPE:
 
 
 _count, _ids, _decoded = map(itemgetter, range(3))
-_MODELS: dict[str, TrieBPE] = {}
 
 
 def model(path: str) -> TrieBPE:
-    """The worker's model of a vocabulary file, kept between tasks."""
-    if path not in _MODELS:
-        _MODELS[path] = TrieBPE(path)
-    return _MODELS[path]
+    """The worker's model of a vocabulary file, kept between its tasks."""
+    return kept(path, lambda: TrieBPE(path))
 
 
 def encode_decode(docs: DataFrame, vocabulary: str) -> DataFrame:

@@ -88,6 +88,27 @@ def release_memory() -> None:
         trim(0)
 
 
+#: What this worker keeps between tasks, by key, and the keys its task has asked for.
+_KEPT: dict = {}
+_ASKED: set = set()
+
+
+def kept(key, make: Callable):
+    """``make()``, made once for a row of tasks of this worker that ask for it.
+    The first ``map_arrow`` task that does not lets it go: a vocabulary and its
+    cache take more memory than most tasks, and a worker serves all stages."""
+    if key not in _KEPT:
+        _KEPT[key] = make()
+    _ASKED.add(key)
+    return _KEPT[key]
+
+
+def _let_go() -> None:
+    for key in [k for k in _KEPT if k not in _ASKED]:
+        del _KEPT[key]
+    _ASKED.clear()
+
+
 def map_arrow(df: DataFrame, columns: list, schema: str, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[dict]]) -> DataFrame:
     """``mapInArrow`` over ``columns``; ``fn`` yields dicts of column -> values
     (lists or numpy arrays) that are turned into batches of ``schema``."""
@@ -95,11 +116,13 @@ def map_arrow(df: DataFrame, columns: list, schema: str, fn: Callable[[Iterator[
     out = _schema(schema)
 
     def run(batches):
+        _ASKED.clear()
         for part in fn(batches):
             yield pa.RecordBatch.from_arrays(
                 [pa.array(part[f.name], type=f.type) for f in out], schema=out
             )
         part = None
+        _let_go()
         release_memory()
 
     return picked.mapInArrow(run, schema)

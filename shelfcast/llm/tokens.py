@@ -22,6 +22,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from .common import kept
+
 # The Unicode white space characters.
 WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 LED_CHUNK = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
@@ -31,6 +33,7 @@ UNUSUAL = f"  | \n|\n |\n\n|^[ \n]|[ \n]$|^$|[\t\x0b-\r\x1c-\x1f{WHITE[4:]}]"
 # Fixed value: letters or digits, then ASCII marks other than the apostrophe,
 # which may begin a contraction. Either tokenizer's pattern cuts between the two.
 MARKED = re.compile(r"([^\W_]+)([!-&(-/:-@\[-^`{-~]+)")
+MARKS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c not in "'_")
 LETTERS_MARKED = re.compile(r"([A-Za-z]+)([!-&(-/:-;=-@\[-^`{-~]*)")
 LINE_FEED = ("\n",)
 CONTROL_BLANK = re.compile("[\x1c-\x1f]")
@@ -104,7 +107,28 @@ def slices(texts: pa.Array, size: int) -> Iterator[pa.Array]:
         lo = hi
 
 
-def numbered(lists: pa.ListArray, without_first: bool = False) -> tuple[list[str], np.ndarray, np.ndarray]:
+def marked(whole: pa.Array, lower: bool) -> tuple[list[str], np.ndarray, list[str], np.ndarray]:
+    """Chunks of letters or digits before closing marks, cut in two: the distinct
+    first parts (of other chunks, all of them) and the number of each chunk's,
+    and the same of the second parts, with -1 for a chunk without."""
+    base = pc.ascii_rtrim(whole, characters=MARKS)
+    two = pc.and_(pc.less(pc.binary_length(base), pc.binary_length(whole)), pc.utf8_is_alnum(base))
+    for odd in ("<|", "İ") if lower else ("<|",):
+        two = pc.and_not(two, pc.match_substring(whole, odd))
+    at = np.flatnonzero(two.to_numpy(zero_copy_only=False))
+    long = pc.utf8_length(base.take(at)).to_numpy().tolist()
+    tails = pa.array([w[n:] for w, n in zip(_strings(whole.take(at)), long)], pa.string()).dictionary_encode()
+    tail = np.full(len(whole), -1)
+    tail[at] = tails.indices.to_numpy()
+    bases = pc.if_else(two, base, whole).dictionary_encode()
+    return _strings(bases.dictionary), bases.indices.to_numpy(), _strings(tails.dictionary), tail
+
+
+def _strings(words: pa.Array) -> list[str]:
+    return words.to_numpy(zero_copy_only=False).tolist()
+
+
+def numbered(lists: pa.ListArray, without_first: bool = False) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     """The distinct strings of ``lists`` but the empty one, the numbers of all in
     a row, and where each list begins in it (with the end of the last). The first
     of each list may be left out; no list is empty."""
@@ -114,14 +138,14 @@ def numbered(lists: pa.ListArray, without_first: bool = False) -> tuple[list[str
         rest[begins[:-1]] = False
         words, begins = words.filter(pa.array(rest)), begins - np.arange(len(begins))
     found = words.dictionary_encode()
-    words, numbers = found.dictionary.to_numpy(zero_copy_only=False).tolist(), found.indices.to_numpy()
-    if "" in words:
-        empty = words.index("")
+    words, numbers = found.dictionary, found.indices.to_numpy()
+    empty = pc.index(words, "").as_py()
+    if empty >= 0:
         full = numbers != empty
         begins = np.concatenate([[0], np.cumsum(full)])[begins]
         numbers = numbers[full]
         numbers = numbers - (numbers > empty)
-        del words[empty]
+        words = words.filter(pc.not_equal(words, ""))
     return words, numbers, begins
 
 
@@ -288,12 +312,21 @@ class TextEncoder:
         for w, rest in zip(first, self._gather(*numbered(lists, without_first=True))):
             yield known[w] + rest
 
-    def _gather(self, chunks: list[str], numbers: np.ndarray, begins: np.ndarray) -> Iterator[bytes]:
+    def _gather(self, chunks: pa.Array, numbers: np.ndarray, begins: np.ndarray) -> Iterator[bytes]:
         """For each list of chunk numbers the ids of its chunks."""
-        known = self.cache.complete([chunks], self.encode_chunks)
-        made = list(map(known.__getitem__, chunks))
+        bases, base, tails, tail = marked(chunks, not self.byte_level)
+        tails = [(t,) for t in tails]
+        known = self.cache.complete([bases, tails], self.encode_chunks)
+        made = [*map(known.__getitem__, bases), *map(known.__getitem__, tails), b""]
         size = np.fromiter(map(len, made), np.int64, len(made)) // 4
         ids, start = np.frombuffer(b"".join(made), "<u4"), np.cumsum(size) - size
+        # A chunk's ids are those of its two parts, of which the second may be empty.
+        parts = np.stack([base, np.where(tail < 0, len(made) - 1, tail + len(bases))], 1).ravel()
+        n = size[parts]
+        place = np.cumsum(n)
+        ids = ids[np.repeat(start[parts] - place + n, n) + np.arange(n.sum())]
+        size = n.reshape(-1, 2).sum(axis=1)
+        start = np.cumsum(size) - size
         for first in range(0, len(begins) - 1, 64):
             # Some texts at a time, so that the working arrays stay short.
             ends = begins[first : first + 65]
@@ -309,12 +342,8 @@ class TextEncoder:
 BLOCK = 12_000_000
 INNER_BLANK = re.compile(f"[{WHITE}]")
 _BLANKS = frozenset(c for c in map(chr, range(0x3001)) if LED_CHUNK.match(c) and not BARE_CHUNK.match(c))
-_ENCODERS: dict = {}
 
 
 def encoder(path: str, byte_level: bool) -> TextEncoder:
-    """The worker's encoder for a vocabulary file, kept between tasks."""
-    key = (path, byte_level)
-    if key not in _ENCODERS:
-        _ENCODERS[key] = TextEncoder(path, byte_level)
-    return _ENCODERS[key]
+    """The worker's encoder for a vocabulary file, kept between its tasks."""
+    return kept((path, byte_level), lambda: TextEncoder(path, byte_level))

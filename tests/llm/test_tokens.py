@@ -163,3 +163,43 @@ def test_packing_groups_stay_near_the_bound(shipped):
     df = shipped.createDataFrame(rows, "doc_id long, piece int, start long, length long, ids_crc32 long")
     got = packing.pack(df, group_rows=1500).groupBy("sequence_id").sum("length").collect()
     assert len(got) <= 1.03 * -(-sum(r[3] for r in rows) // 2048)
+
+
+@pytest.mark.parametrize("path, byte_level", [(BYTE, True), (WORD, False)])
+def test_a_word_is_encoded_once_whatever_marks_follow(path, byte_level):
+    words = ["river", "Übung", "été", "x1", "日本", "İx", "12", "don't", "a_b", "½", "ét"]
+    marks = ["", ".", ",", "###", "$$$", "*.", "<|", "<|endoftext|>", "'", "'s.", "_", "·", ")́", "≠"]
+    chunks = [w + m for w in words for m in marks]
+    texts = ["start " + " ".join(chunks), "start " + "\n".join(chunks), "start " + " ".join(chunks[::-1]) + " end"]
+    enc = tokens.TextEncoder(path, byte_level)
+    want = [ids_of(path, t) for t in texts]
+    assert [np.frombuffer(x, "<u4").tolist() for x in enc.encode(texts)] == want
+    known = set(enc.cache.young)
+    assert "river" in known and not {"river.", "river,", "river###", "Übung$$$"} & known
+
+
+def test_a_worker_lets_go_of_what_its_tasks_stopped_using(frame, shipped):
+    from shelfcast.llm import common
+
+    made = []
+    common.kept("k", lambda: made.append(1) or "model")
+    common._let_go()
+    assert common.kept("k", lambda: made.append(1) or "model") == "model" and len(made) == 1
+    common._let_go()
+    common._let_go()
+    assert "k" not in common._KEPT
+
+    def asks(batches):
+        for b in batches:
+            tokens.encoder(BYTE, True)
+            yield {"n": [int((BYTE, True) in common._KEPT)]}
+
+    def looks(batches):
+        for b in batches:
+            yield {"n": [len(common._KEPT)]}
+
+    docs = frame([(1, "a")]).coalesce(1)
+    assert common.map_arrow(docs, ["text"], "n int", asks).collect()[0].n == 1
+    # Idle workers take turns; each lets go at the end of its first task that does not ask.
+    seen = [common.map_arrow(docs, ["text"], "n int", looks).collect()[0].n for _ in range(25)]
+    assert seen[-1] == 0
