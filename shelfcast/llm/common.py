@@ -150,16 +150,19 @@ def text_array(batch: pa.RecordBatch, column: str = "text") -> pa.Array:
 
 
 def joined(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
-    """Batches in order, short ones put together up to about ``size`` bytes."""
+    """Batches in order, short ones put together up to about ``size`` bytes.
+    While one is in use, the short ones are gone already."""
     held, n = [], 0
     for b in batches:
         if held and n + b.nbytes > size:
-            yield pa.concat_batches(held)
-            held, n = [], 0
+            held, n = [pa.concat_batches(held)], 0
+            yield held.pop()
         held.append(b)
         n += b.nbytes
+    b = None
     if held:
-        yield pa.concat_batches(held)
+        held = [pa.concat_batches(held)]
+        yield held.pop()
 
 
 def column(batch: pa.RecordBatch, name: str) -> list:

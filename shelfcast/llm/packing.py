@@ -26,21 +26,25 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from .common import column, joined, map_arrow, stage, text_array
-from .tokens import BLOCK, encoder
+from .tokens import encoder
 
 SIZE = 2048
 END_ID = 0
 GROUP_ROWS = 20_000
+#: Bytes of text that a task encodes at once, and words that its worker remembers.
+#: Packing ends the pipeline, when the executor's heap is grown to its limit, so
+#: its workers take less than the tokenizer operators'.
+BLOCK, WORDS = 4_000_000, 200_000
 
 
 def token_pieces(docs: DataFrame, vocabulary: str, size: int = SIZE, end_id: int = END_ID) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 of each piece of each row."""
 
     def run(batches):
-        enc, end = encoder(vocabulary, False), np.array([end_id], "<u4").tobytes()
+        enc, end = encoder(vocabulary, False, WORDS), np.array([end_id], "<u4").tobytes()
         for b in joined(batches, BLOCK):
             rows: dict[str, list] = {n: [] for n in ("doc_id", "piece", "start", "length", "ids_crc32")}
-            for doc, ids in zip(column(b, "doc_id"), enc.encode(text_array(b))):
+            for doc, ids in zip(column(b, "doc_id"), enc.encode(text_array(b), BLOCK)):
                 ids += end
                 for k, lo in enumerate(range(0, len(ids), 4 * size)):
                     part = ids[lo : lo + 4 * size]

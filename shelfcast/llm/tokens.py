@@ -56,6 +56,10 @@ def led_chunks(text: str) -> list:
 BLANK_SECOND = re.compile(f" [{WHITE}]")
 
 
+#: Words that an encoder remembers, twice over at most.
+CACHE = 400_000
+
+
 class RecentCache:
     """Values by key, of bounded size: entries not asked for during the last
     ``size`` new ones are forgotten, and long keys at once."""
@@ -152,7 +156,7 @@ def numbered(lists: pa.ListArray, without_first: bool = False) -> tuple[pa.Array
 class TextEncoder:
     """Ids of whole texts as little-endian unsigned 32-bit bytes."""
 
-    def __init__(self, path: str, byte_level: bool, cache: int = 400_000):
+    def __init__(self, path: str, byte_level: bool, cache: int = CACHE):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -287,10 +291,10 @@ class TextEncoder:
             self._cut(rows[:half], row_ids[:half], out, alone)
             self._cut(rows[half:], row_ids[half:], out, alone)
 
-    def encode(self, texts: list[str] | pa.Array) -> Iterator[bytes]:
+    def encode(self, texts: list[str] | pa.Array, size: int | None = None) -> Iterator[bytes]:
         """Ids of each text, in order. Texts are handled in blocks of a few
-        million bytes, so memory does not grow with the list."""
-        for block in slices(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()), BLOCK):
+        million bytes (or ``size``), so memory does not grow with the list."""
+        for block in slices(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()), size or BLOCK):
             if not self.byte_level:
                 yield from self._gather(*numbered(pc.ascii_split_whitespace(block)))
                 continue
@@ -344,6 +348,7 @@ INNER_BLANK = re.compile(f"[{WHITE}]")
 _BLANKS = frozenset(c for c in map(chr, range(0x3001)) if LED_CHUNK.match(c) and not BARE_CHUNK.match(c))
 
 
-def encoder(path: str, byte_level: bool) -> TextEncoder:
+def encoder(path: str, byte_level: bool, cache: int = CACHE) -> TextEncoder:
     """The worker's encoder for a vocabulary file, kept between its tasks."""
-    return kept((path, byte_level), lambda: TextEncoder(path, byte_level))
+    key = (path, byte_level) if cache == CACHE else (path, byte_level, cache)
+    return kept(key, lambda: TextEncoder(path, byte_level, cache))

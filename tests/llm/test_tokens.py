@@ -57,6 +57,42 @@ def test_short_batches_are_joined_in_order():
     assert len(out) == 3 and not list(joined(iter([]), 10))
 
 
+def test_short_batches_are_gone_while_the_joined_one_is_in_use():
+    import weakref
+
+    import pyarrow as pa
+
+    from shelfcast.llm.common import joined
+
+    alive = weakref.WeakValueDictionary()
+
+    def batches():
+        for k in range(6):
+            b = pa.record_batch({"x": [str(k) * 1000]})
+            alive[k] = b
+            yield b
+            b = None
+
+    # The batch that did not fit any more is there, and none at the end.
+    assert [len(alive) for _ in joined(batches(), 2500)] == [1, 1, 0]
+
+
+def test_packing_holds_small_blocks_and_few_words(monkeypatch):
+    import pyarrow as pa
+
+    held, numbered = [], tokens.numbered
+    monkeypatch.setattr(tokens, "numbered", lambda lists, *a: held.append(sum(map(len, lists.flatten().to_pylist()))) or numbered(lists, *a))
+    texts = [" ".join(f"word{k} x{k * k}" for k in range(lo, lo + 50)) for lo in range(0, 2000, 50)]
+    enc = tokens.encoder(WORD, False, 300)
+    try:
+        got = [np.frombuffer(x, "<u4").tolist() for x in enc.encode(pa.array(texts), 2000)]
+    finally:
+        tokens.kept.__globals__["_KEPT"].pop((WORD, False, 300))
+    assert got == [ids_of(WORD, t) for t in texts]
+    assert max(held) <= 2000 and len(enc.cache.young) + len(enc.cache.old) < 2 * (300 + 400)
+    assert packing.BLOCK < tokens.BLOCK and packing.WORDS < tokens.CACHE
+
+
 MODEL = bpe_trie.TrieBPE(WORD, cache=500)
 
 
