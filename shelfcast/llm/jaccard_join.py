@@ -20,7 +20,10 @@ are joined to components, and only what could still link two components is
 verified in a second round. What cannot is told by exact
 bounds: the sizes; the distances to a common hub (Jaccard distance obeys the
 triangle inequality); and, for groups of frequent pairs, the counts of rare
-tokens, as sets that share a rare token meet in that token's group.
+tokens, as sets that share a rare token meet in that token's group. Members of
+groups of more than ``MANY`` sets are not paired for that: ``_beside_hubs`` finds
+the pairs by the tokens in which they differ from the hub, and what is too far
+from it gets another hub.
 
 Defined cases: a null or empty text has no set, zero shingles and itself as
 component. A text of fewer words than a shingle has one. Each row is a document
@@ -194,6 +197,10 @@ def _signatures(docs: DataFrame, work: Workspace, counted, percent: int, n: int)
 
 #: Index groups of up to so many sets are listed as pairs.
 SMALL = 8
+#: Open groups of up to so many sets are joined with themselves in round two.
+MANY = 64
+#: A hub settles the sets of larger ones up to this Jaccard distance.
+REACH = 0.5
 # What a row (kind, x, y, c) of the members table says.
 PAIR, GROUP, IN_LARGE, IN_SMALL, COMBINED = range(5)
 
@@ -334,6 +341,58 @@ def _apart(x: str, y: str, percent: int):
     return 100 * F.least(nx - rx, ny - ry) < percent * (rx + ry + F.greatest(nx - rx, ny - ry))
 
 
+def _beside_hubs(left: DataFrame, sets: DataFrame, work: Workspace, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """A hub for each group of ``left`` (gid, paired, cid, n, rare, root and more):
+    the links (a, b) to hubs, the pairs (a, b) of different roots that may link
+    and have a member within ``REACH`` of the hub, and the rows of ``left`` beyond.
+
+    A set is told by its differences, the tokens that only it or only the hub has.
+    Sets x and y of d and e differences, s of them shared, are d + e - 2 s tokens
+    apart, and link if that is at most t = (100 - percent) / (100 + percent) of
+    their summed sizes. Two sets linked to the hub are in one component already,
+    so one is far: its d exceeds t of its size and the hub's. Then s is more than
+    half of e - t (size of y - size of the hub), which is less than e: the
+    differences of y, ordered by how many members of the hub have them, can be
+    cut to a prefix that still shares one with x."""
+    more, less, key = 100 + percent, 100 - percent, ["centre", "paired", "cid"]
+    hubs = left.groupBy("gid").agg(F.min(F.struct("rare", "cid")).alias("hub")).select("gid", F.col("hub.cid").alias("centre"))
+    placed = left.join(hubs, "gid")
+    mine, its = sets.select("cid", "tokens"), sets.select(F.col("cid").alias("centre"), F.col("tokens").alias("theirs"))
+    members = placed.select(*key, "n", "rare", "root").distinct().join(mine, "cid").join(its, "centre")
+    members = members.select(*key, "n", "rare", "root", F.size("theirs").alias("hub_n"), F.concat(F.array_except("tokens", "theirs"), F.array_except("theirs", "tokens")).alias("apart"))
+    size, both = F.size("apart"), F.col("n") + F.col("hub_n")
+    members = work.stage(members.select(
+        *key, "n", "rare", "root", "apart", size.alias("size"), (more * size > less * both).alias("far"),
+        (F.floor((more * size - less * (F.col("n") - F.col("hub_n"))) / (2 * more)) + 1).alias("common"),
+        (2 * size / (both + size)).alias("d"),
+    ), "members")
+    to_hub = members.where("NOT far AND cid != centre").select(F.greatest("cid", "centre").alias("a"), F.least("cid", "centre").alias("b"))
+    beyond = placed.join(members.where(F.col("d") <= REACH).select(*key), key, "left_anti").select(*left.columns)
+
+    # Who links with a set within reach is no further from the hub than this.
+    near = members.where(F.col("d") <= REACH + 1 - percent / 100 + 1e-9)
+    listed = near.select(*key, F.explode("apart").alias("token"))
+    often = listed.groupBy("centre", "paired", "token").agg(F.count("*").alias("df"))
+    order = listed.join(often, ["centre", "paired", "token"]).groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("order"))
+    placed_tokens = near.drop("apart").join(order, key).select(*key, "n", "rare", "root", "size", "far", "common", "d", F.posexplode("order").alias("at", "t"))
+    placed_tokens = work.stage(placed_tokens.select("*", "t.token").drop("t"), "differences")
+    x, y, c = placed_tokens.where("far").alias("x"), placed_tokens.where("at <= size - common").alias("y"), F.col
+    same = (c("x.centre") == c("y.centre")) & (c("x.paired") == c("y.paired")) & (c("x.token") == c("y.token"))
+    # From these places on no more than so many are shared.
+    shared = F.least(c("x.size") - c("x.at"), c("y.size") - c("y.at"))
+    enough = 2 * more * shared >= more * (c("x.size") + c("y.size")) - less * (c("x.n") + c("y.n"))
+    pairs = x.join(y, same & (c("x.root") != c("y.root")) & (~c("y.far") | (c("x.cid") > c("y.cid")))
+                   & ((c("x.d") <= REACH) | (c("y.d") <= REACH)) & enough & ~(c("x.paired") & _apart("x.", "y.", percent)))
+    return to_hub, pairs.select(F.greatest("x.cid", "y.cid").alias("a"), F.least("x.cid", "y.cid").alias("b")), beyond
+
+
+def _mixed(rows: DataFrame, work: Workspace, name: str) -> DataFrame:
+    """The rows of groups that hold different roots and more than two sets, with
+    the group's size m."""
+    size = rows.groupBy("gid").agg(F.min("root").alias("lowest"), F.max("root").alias("highest"), F.count("*").alias("m"))
+    return work.stage(rows.join(size.where("lowest != highest AND m > 2").select("gid", "m"), "gid"), name)
+
+
 def similar_groups(docs: DataFrame, percent: int = 85, n: int = 4) -> DataFrame:
     """doc_id, n_shingles, component_id of every row."""
     parts = task_count(docs)
@@ -389,18 +448,36 @@ def similar_groups(docs: DataFrame, percent: int = 85, n: int = 4) -> DataFrame:
         "gid", "paired", "cid", "n", "rare", F.coalesce("root", "cid").alias("root"),
         F.coalesce("h.hub", "cid").alias("hub"), F.coalesce("h.d", F.lit(0.0)).alias("d"),
     )
-    mixed = marked.groupBy("gid").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("m")).where("x != y AND m > 2").select("gid")
-    open_groups = work.stage(marked.join(mixed, "gid"), "open-groups")
-    a, b = open_groups.alias("a"), open_groups.alias("b")
+    left = _mixed(marked, work, "open-groups")
+    few, to_hubs, beside = left.where(F.col("m") <= MANY), [], []
+    left = left.where(F.col("m") > MANY)
+    count = left.count()
+    if count:
+        large = work.stage(tokens.join(left.select("cid").distinct(), "cid", "left_semi").dropDuplicates(["cid"]), "large-sets")
+    while count:
+        to_hub, pairs, beyond = _beside_hubs(left.drop("m"), large, work, percent)
+        to_hubs.append(to_hub)
+        beside.append(pairs)
+        left = _mixed(beyond, work, "open-groups")
+        few, left = few.unionByName(left.where(F.col("m") <= MANY)), left.where(F.col("m") > MANY)
+        before, count = count, left.count()
+        if 20 * count > 19 * before:  # Hubs do not settle these: no two are near each other.
+            few, count = few.unionByName(left), 0
+    a, b = few.alias("a"), few.alias("b")
     far, c = 1 - percent / 100 + 1e-9, F.col
     apart = c("a.paired") & _apart("a.", "b.", percent)
     rest = a.join(b, (c("a.gid") == c("b.gid")) & (c("a.cid") > c("b.cid")) & (c("a.root") != c("b.root"))
                   & (100 * F.least("a.n", "b.n") >= percent * F.greatest("a.n", "b.n"))
                   & ~((c("a.hub") == c("b.hub")) & (F.abs(c("a.d") - c("b.d")) > far)) & ~apart)
-    rest = rest.select(c("a.cid").alias("a"), c("b.cid").alias("b")).distinct()
+    rest = rest.select(c("a.cid").alias("a"), c("b.cid").alias("b"))
+    for pairs in beside:
+        rest = rest.unionByName(pairs)
+    rest = rest.distinct()
     done = checked.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     rest = work.stage(rest.join(done, ["a", "b"], "left_anti"), "rest")
     links = checked.where("linked").select("a", "b").unionByName(_verified(rest, tokens, percent).where("linked").select("a", "b"))
+    for to_hub in to_hubs:
+        links = links.unionByName(to_hub)
     label = components(links, work)
 
     # Back to documents: the smallest doc_id of each component.

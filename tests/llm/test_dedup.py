@@ -169,6 +169,68 @@ def test_groups_equal_brute_force_without_frequent_tokens(frame):
     assert groups(frame, []) == []
 
 
+def near_copies(seed, n, common=40, most=7):
+    """Copies of one text, each with some of ``common`` edits made, and drifts: texts
+    of which each is near the one before, and ever farther from the first."""
+    r = random.Random(seed)
+    base = [f"b{i}" for i in range(110)]
+    edits = [(r.randrange(110), f"c{i}") for i in range(common)]
+    rows = []
+    for i in range(n):
+        words = list(base)
+        for at, word in r.sample(edits, r.randint(1, most)):
+            words[at] = word
+        if i % 4 == 0:
+            words += [f"t{r.randint(0, 9)}"] * r.randint(1, 6)
+        rows.append((r.randint(0, 10**9), " ".join(words)))
+    for k in range(2):
+        words = list(base)
+        for i in range(12):
+            words[9 * i] = f"d{k}"
+            rows.append((r.randint(0, 10**9), " ".join(words)))
+    return rows
+
+
+def test_groups_equal_brute_force_with_many_members(frame, monkeypatch):
+    """Large groups go by the differences from hubs, small ones are joined."""
+    monkeypatch.setattr(jaccard_join.counted_tokens, "__defaults__", (4, 3, 1 << 20))
+    monkeypatch.setattr(jaccard_join.index_keys, "__defaults__", (16, 6))
+    monkeypatch.setattr(jaccard_join, "SMALL", 2)
+    rows = near_copies(5, 120) + families(6, 3, 120, 9) + families(7, 5, 24, 3) + families(8, 4, 8, 2)
+    # Short texts that share a common line and little else: far from any one hub.
+    rows += [(10**6 + i, f"a line that all of these texts hold x{i % 40} y{i % 40} z{i % 13} u{i % 7} v{i % 5}") for i in range(120)]
+    rows += [(rows[3][0], rows[3][1]), (None, rows[4][1]), (10**9 + 5, rows[5][1].upper())] + list(enumerate(ODD_TEXTS))
+    want = brute_groups(rows)
+    for many, reach in ((2, 0.5), (20, 0.1)):
+        monkeypatch.setattr(jaccard_join, "MANY", many)
+        monkeypatch.setattr(jaccard_join, "REACH", reach)
+        assert groups(frame, rows) == want, (many, reach)
+
+
+def test_pairs_of_a_large_group_grow_with_its_size(frame, monkeypatch):
+    """Of copies of one text, most have two edits of their own, a sixth has three
+    that many have: too far from the hub, and not so far from the others that
+    their distances tell."""
+    made, plain = {}, Workspace.stage
+
+    def stage(self, df, name):
+        made[name] = plain(self, df, name)
+        if name == "rest":
+            made["pairs"] = made[name].count()
+        return made[name]
+
+    monkeypatch.setattr(Workspace, "stage", stage)
+    r = random.Random(3)
+    rows = [(0, " ".join(f"b{k}" for k in range(110)))]
+    for i in range(1, 721):
+        words = rows[0][1].split()
+        for at in r.sample(range(8, 110, 13), 3) if i % 6 == 0 else r.sample(range(110), 2):
+            words[at] = f"c{at}" if i % 6 == 0 else f"e{i}"
+        rows.append((i, " ".join(words)))
+    assert groups(frame, rows) == brute_groups(rows)
+    assert made["pairs"] < 3 * len(rows)
+
+
 def test_index_finds_every_similar_pair():
     """The prefix scheme itself: similar sets share a key, whatever is frequent."""
     rng = np.random.default_rng(0)
