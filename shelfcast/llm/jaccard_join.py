@@ -386,11 +386,11 @@ def _beside_hubs(left: DataFrame, sets: DataFrame, work: Workspace, percent: int
     return to_hub, pairs.select(F.greatest("x.cid", "y.cid").alias("a"), F.least("x.cid", "y.cid").alias("b")), beyond
 
 
-def _mixed(rows: DataFrame, work: Workspace, name: str) -> DataFrame:
-    """The rows of groups that hold different roots and more than two sets, with
-    the group's size m."""
+def _mixed(rows: DataFrame, least: int) -> DataFrame:
+    """The rows of groups that hold different roots and at least so many sets,
+    with the group's size m."""
     size = rows.groupBy("gid").agg(F.min("root").alias("lowest"), F.max("root").alias("highest"), F.count("*").alias("m"))
-    return work.stage(rows.join(size.where("lowest != highest AND m > 2").select("gid", "m"), "gid"), name)
+    return rows.join(size.where((F.col("lowest") != F.col("highest")) & (F.col("m") >= least)).select("gid", "m"), "gid")
 
 
 def similar_groups(docs: DataFrame, percent: int = 85, n: int = 4) -> DataFrame:
@@ -448,7 +448,7 @@ def similar_groups(docs: DataFrame, percent: int = 85, n: int = 4) -> DataFrame:
         "gid", "paired", "cid", "n", "rare", F.coalesce("root", "cid").alias("root"),
         F.coalesce("h.hub", "cid").alias("hub"), F.coalesce("h.d", F.lit(0.0)).alias("d"),
     )
-    left = _mixed(marked, work, "open-groups")
+    left = work.stage(_mixed(marked, 3), "open-groups")  # Of two, one was the hub of the other.
     few, to_hubs, beside = left.where(F.col("m") <= MANY), [], []
     left = left.where(F.col("m") > MANY)
     count = left.count()
@@ -458,7 +458,7 @@ def similar_groups(docs: DataFrame, percent: int = 85, n: int = 4) -> DataFrame:
         to_hub, pairs, beyond = _beside_hubs(left.drop("m"), large, work, percent)
         to_hubs.append(to_hub)
         beside.append(pairs)
-        left = _mixed(beyond, work, "open-groups")
+        left = work.stage(_mixed(beyond, 2), "open-groups")
         few, left = few.unionByName(left.where(F.col("m") <= MANY)), left.where(F.col("m") > MANY)
         before, count = count, left.count()
         if 20 * count > 19 * before:  # Hubs do not settle these: no two are near each other.

@@ -231,6 +231,22 @@ def test_pairs_of_a_large_group_grow_with_its_size(frame, monkeypatch):
     assert made["pairs"] < 3 * len(rows)
 
 
+def test_two_sets_beyond_a_hub_are_still_compared(shipped):
+    """Two like sets in a large group of others, which share no group but that."""
+    sets = {i: list(range(100 * i, 100 * i + 20)) for i in range(5)} | {7: list(range(900, 920)), 8: list(range(901, 921))}
+    left = shipped.createDataFrame([(1, False, i, 20, i, i) for i in sets], "gid long, paired boolean, cid long, n long, rare long, root long")
+    tokens = shipped.createDataFrame(list(sets.items()), "cid long, tokens array<long>")
+    work = Workspace(shipped, "t")
+    for settled in range(5):
+        to_hub, pairs, beyond = jaccard_join._beside_hubs(left, tokens, work, 85)
+        assert to_hub.count() == pairs.count() == 0
+        left = work.stage(jaccard_join._mixed(beyond, 2), "left")
+        assert left.count() == 6 - settled
+        left = left.drop("m")
+    to_hub, pairs, beyond = jaccard_join._beside_hubs(left, tokens, work, 85)
+    assert [tuple(r) for r in to_hub.collect()] == [(8, 7)] and beyond.count() == 0
+
+
 def test_index_finds_every_similar_pair():
     """The prefix scheme itself: similar sets share a key, whatever is frequent."""
     rng = np.random.default_rng(0)
